@@ -93,5 +93,21 @@ def gathered(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(starts - before, lengths)
 
 
+def powers(base: int, n: int) -> np.ndarray:
+    """base ** 0 to base ** (n - 1) in 64 bits."""
+    out = np.full(n, base % (1 << 64), np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, out=out)
+
+
+def range_hash(x: np.ndarray, begins: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
+    """A hash of each x[begin:end] (bytes) that doesn't depend on its place: sums of random words times powers of an odd base."""
+    base = int(random_words(1, seed + 1000)[0]) | 1
+    total = np.zeros(len(x) + 1, np.uint64)
+    np.cumsum(random_words(256, seed)[x] * powers(base, len(x)), out=total[1:])
+    back = powers(pow(base, -1, 1 << 64), len(x) + 1)
+    return mixed((total[ends] - total[begins]) * back[begins] + (ends - begins).astype(np.uint64))
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
