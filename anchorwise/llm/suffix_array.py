@@ -1,7 +1,8 @@
 """Suffix arrays by induced sorting, and permuted common prefixes, in numpy.
 
-The byte level induces whole buckets at a time. The reduced strings below it have large alphabets and small
-buckets; there the same recursion runs over plain lists."""
+Suffixes are classified, the leftmost-smaller substrings are sorted and named by induction, and the order of all
+suffixes is induced from theirs, whole buckets of a byte at a time. The reduced string of names has a large alphabet and small buckets, where
+induction has no wide steps; its order comes from naming stretches of names again and again, each two or three of the last."""
 
 from __future__ import annotations
 
@@ -103,7 +104,7 @@ def _names(t: np.ndarray, lms: np.ndarray, ordered: np.ndarray) -> tuple[np.ndar
 
 
 def suffix_array(t: np.ndarray) -> np.ndarray:
-    """The suffix array of a byte string (uint8), in linear time."""
+    """The suffix array of a byte string (uint8)."""
     n = len(t)
     if n < 2:
         return np.arange(n, dtype=np.int64)
@@ -118,66 +119,43 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
         ordered = sa[is_lms[sa]]
         names, k = _names(t, lms, ordered)
         if k < len(lms):
-            ordered = lms[np.array(_sais(names.tolist(), k), np.int64)]
+            ordered = lms[_ordered(names, k)]
     else:
         ordered = lms
     return _induce(t, smaller, counts, ordered)
 
 
-def _sais(s: list[int], k: int) -> list[int]:
-    """The same over a list of numbers below k."""
-    n = len(s)
-    if n == 1:
-        return [0]
-    smaller = bytearray(n)
-    for i in range(n - 2, -1, -1):
-        a, b = s[i], s[i + 1]
-        if a < b or (a == b and smaller[i + 1]):
-            smaller[i] = 1
-    counts = np.bincount(s, minlength=k)
-    ends = np.cumsum(counts)
-    begins, ends = (ends - counts).tolist(), ends.tolist()
-    flags = np.frombuffer(smaller, np.uint8)
-    lms = (np.flatnonzero((flags[1:] == 1) & (flags[:-1] == 0)) + 1).tolist()
-
-    def induce(seeds: list[int]) -> list[int]:
-        sa = [-1] * n
-        at = [e - 1 for e in ends]
-        for j in reversed(seeds):
-            c = s[j]
-            sa[at[c]] = j
-            at[c] -= 1
-        at = begins.copy()
-        c = s[n - 1]
-        sa[at[c]] = n - 1
-        at[c] += 1
-        for i in sa:
-            if i > 0:
-                j = i - 1
-                if not smaller[j]:
-                    c = s[j]
-                    sa[at[c]] = j
-                    at[c] += 1
-        at = [e - 1 for e in ends]
-        for x in range(n - 1, -1, -1):
-            i = sa[x]
-            if i > 0:
-                j = i - 1
-                if smaller[j]:
-                    c = s[j]
-                    sa[at[c]] = j
-                    at[c] -= 1
-        return sa
-
-    if lms:
-        t, at = np.array(s, np.int64), np.array(lms, np.int64)
-        is_lms = np.zeros(n, bool)
-        is_lms[at] = True
-        sa = np.array(induce(lms), np.int64)
-        names, m = _names(t, at, sa[is_lms[sa]])
-        order = np.argsort(names) if m == len(lms) else np.array(_sais(names.tolist(), m), np.int64)
-        lms = at[order].tolist()
-    return induce(lms)
+def _ordered(names: np.ndarray, k: int) -> np.ndarray:
+    """The suffix order of a string of numbers below k. Each round sorts the groups that are still tied by the ranks of the next
+    stretches behind them, so a stretch grows two- or threefold a round."""
+    n = len(names)
+    bits = n.bit_length()
+    fold = 3 if 3 * bits <= 63 else 2
+    counts = np.bincount(names, minlength=k)
+    rank = np.zeros(n + 1, np.int64)
+    rank[:n] = (np.cumsum(counts) - counts)[names] + 1  # place of the group's first; 0 is the end
+    tied = np.flatnonzero(counts[names] > 1)
+    step = 1
+    while len(tied):
+        key = rank[tied]
+        for m in range(1, fold):
+            key = key << bits | rank[np.minimum(tied + m * step, n)]
+        order = np.argsort(key)
+        tied, key = tied[order], key[order]
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
+        old = rank[tied]
+        group = np.ones(len(key), bool)
+        group[1:] = old[1:] != old[:-1]
+        at = np.arange(len(key))
+        first, own = np.maximum.accumulate(np.where(group, at, 0)), np.maximum.accumulate(np.where(new, at, 0))
+        rank[tied] = old + own - first
+        alone = new & np.append(new[1:], True)
+        tied = tied[~alone]
+        step *= fold
+    out = np.empty(n, np.int64)
+    out[rank[:n] - 1] = np.arange(n)
+    return out
 
 
 def permuted_lcp(t: np.ndarray, sa: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from . import common
 from .suffix_array import permuted_lcp, suffix_array
 
-LENGTH, PIECE, SHARD_BYTES, HOT = 400, 32, 3_000_000, 20_000
+LENGTH, PIECE, SHARD_BYTES, HOT = 400, 32, 2_000_000, 20_000
 PLACE = np.uint64((1 << 24) - 1)
 RUN = "uid long, start int, windows int, key long, d1 long, d2 long, self boolean"
 FOUND = "uid long, start int, windows int, key long, several boolean, whole boolean"
@@ -219,13 +219,7 @@ def windows(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
                 x, n = raw[at[a] : at[b]], np.diff(at[a : b + 1]) - length + 1
                 seg = np.repeat(np.arange(a, b), n)
                 place = common.gathered(at[a:b] - at[a], n)
-                both = []
-                for seed in (21, 22):
-                    m = common.random_words(1, seed + 50) | np.uint64(1)
-                    power = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.repeat(m, len(x)))])
-                    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(common.random_words(256, seed)[x] * power[len(x) - 1 :: -1][: len(x)])])
-                    # Places from the right end: powers fall along the text; a window's sum is brought to one power.
-                    both.append(common.mixed((total[place + length] - total[place]) * power[place]).view(np.int64))
+                both = [common.range_hash(x, place, place + length, seed).view(np.int64) for seed in (21, 22)]
                 yield pa.RecordBatch.from_arrays([pa.array(y) for y in (key[seg], *both, uid[seg], (start[seg] + place - (at[seg] - at[a])).astype(np.int32), several[seg])], ["key", "h1", "h2", "uid", "first", "several"])
 
     return run
