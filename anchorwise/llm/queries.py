@@ -17,6 +17,28 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_filter import judge
+
+    return judge(read(spark, sf_dir, "pages"), RULES)
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import warc
+
+    folder = warc.new_folder(spark)
+    warc.write(read(spark, sf_dir, "pages"), folder)
+    captures = warc.assemble(warc.read(spark, folder, with_payload=False))
+    captures = captures.withColumn("page_id", F.regexp_extract("metadata.fields", r"page-id: (-?\d+)", 1).try_cast("long"))
+    firsts = captures.filter("response.kind = 'response'").select(F.col("capture_id").alias("first_id"), F.col("page_id").alias("first_page"), F.col("response.payload_bytes").alias("first_bytes"))
+    again = captures.filter("response.kind = 'revisit'").join(firsts, F.col("response.refers_to") == F.col("first_id"))
+    row = lambda df, size, refers: df.select("page_id", size.alias("payload_bytes"), F.col("response.payload_digest").alias("payload_digest"), F.col("response.kind").alias("record_type"), refers.alias("refers_to"), F.col("response.target_uri").alias("target_uri"))
+    return row(captures.filter("response.kind = 'response'"), F.col("response.payload_bytes"), F.lit(None).cast("long")).union(row(again, F.col("first_bytes"), F.col("first_page")))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .minhash import near_duplicates
 
@@ -59,6 +81,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op4_warc": """
+            WITH p AS (SELECT page_id, coalesce(html, '') AS h, regexp_replace(coalesce(url, ''), '[\r\n]', '', 'g') AS target_uri FROM pages),
+            q AS (SELECT page_id, target_uri, octet_length(encode(h)) AS payload_bytes, sha256(h) AS payload_digest, min(page_id) OVER (PARTITION BY h) AS f FROM p)
+            SELECT page_id, target_uri, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 100 AND f <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+                   CASE WHEN payload_bytes >= 100 AND f <> page_id THEN f END AS refers_to FROM q""",
         "op7_exact_dedup": """
             WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
             SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
