@@ -60,6 +60,12 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op8_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quotes import link_quotations
+
+    return link_quotations(read(spark, sf_dir, "conversations"))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .fingerprint import neighbours
 
