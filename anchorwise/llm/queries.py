@@ -17,6 +17,16 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_segment_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .segment_sampling import decode, sample
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    out = sample(read(spark, sf_dir, "documents"), model).withColumns({"n_pieces": F.size("ids"), "ids_hash": F.xxhash64("ids")})
+    return decode(out, model).withColumn("decoded_sha256", F.sha2("text", 256)).drop("text")
+
+
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
 
