@@ -284,3 +284,21 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, keep: list[str] | N
     joined = dealt.join(per, "uid", "left").select("doc_id", "text", F.coalesce("found", F.array().cast("array<struct<first:int,past:int>>")).alias("found"), *keep)
     kinds = dict(docs.dtypes)
     return joined.mapInArrow(kept_bytes, ", ".join([f"doc_id {kinds['doc_id']}, n_bytes long, n_removed long, spans array<struct<first:long,past:long>>, kept binary", *(f"`{c}` {kinds[c]}" for c in keep)]))
+
+
+def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        text = pa.array([x.decode(errors="ignore") for x in common.column(batch, "kept").to_pylist()], pa.string())
+        yield pa.RecordBatch.from_arrays([text, *(x for n, x in zip(batch.schema.names, batch.columns, strict=True) if n != "kept")], ["__text", *(n for n in batch.schema.names if n != "kept")])
+
+
+def without_repeats(docs: DataFrame, *, length: int = LENGTH) -> DataFrame:
+    """docs with their repeated strings cut out of `text`, and n_chars, where there is one, counted anew. Bytes of a character that a cut
+    leaves incomplete go too. Null texts become empty. No row goes."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    names = {c: f"c{i}" for i, c in enumerate(others)}  # whatever their names
+    out = remove_repeats(docs.select("doc_id", "text", *(F.col(f"`{c}`").alias(n) for c, n in names.items())), length=length, keep=list(names.values()))
+    out = out.select("doc_id", "kept", *names.values())
+    out = out.mapInArrow(_decoded, ", ".join(f"{c} {k}" for c, k in [("__text", "string"), *((c, k) for c, k in out.dtypes if c != "kept")]))
+    cell = lambda c: F.char_length("__text").cast(dict(docs.dtypes)["n_chars"]) if c == "n_chars" else F.col("__text") if c == "text" else F.col(names.get(c, c))
+    return out.select(*(cell(c).alias(c) for c in docs.columns))

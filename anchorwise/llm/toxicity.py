@@ -148,19 +148,23 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Lexicon:
     return lexicon
 
 
-def score(docs: DataFrame, lexicon: Lexicon, *, keep: list[str] | None = None) -> DataFrame:
-    """Per row: doc_id, matched (sum of weights), words, score, and the columns named in `keep`."""
-    keep = keep or []
-    docs = docs.select("doc_id", "text", *(c for c in keep if c not in ("doc_id", "text")))
-    kinds = dict(docs.dtypes)
+def _scored(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """docs with __matched, __words and __score; passes all columns through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = lexicon.automaton()
         for batch in batches:
             total, words = lexicon.sums(common.column(batch, "text").to_pylist(), automaton)
-            own = [c for c in batch.schema.names if c in ("doc_id", *keep)]
-            yield pa.RecordBatch.from_arrays([*(common.column(batch, c) for c in own), pa.array(total), pa.array(words.astype(np.int64)), pa.array(lexicon.scores(total, words))], [*own, "__matched", "__words", "__score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(total), pa.array(words.astype(np.int64)), pa.array(lexicon.scores(total, words))], [*batch.schema.names, "__matched", "__words", "__score"])
 
-    own = [c for c in docs.columns if c in ("doc_id", *keep)]
-    out = docs.mapInArrow(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in own), "__matched double, __words long, __score double"]))
-    return out.withColumnsRenamed({"__matched": "matched", "__words": "n_words", "__score": "score"})
+    return docs.mapInArrow(run, ", ".join([*(f"`{c}` {k}" for c, k in docs.dtypes), "__matched double, __words long, __score double"]))
+
+
+def score(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """Per row: doc_id, matched (sum of weights), n_words, score."""
+    return _scored(docs.select("doc_id", "text"), lexicon).select("doc_id", F.col("__matched").alias("matched"), F.col("__words").alias("n_words"), F.col("__score").alias("score"))
+
+
+def drop_toxic(docs: DataFrame, lexicon: Lexicon, limit: float = 0.7) -> DataFrame:
+    """docs without the rows that score `limit` or more."""
+    return _scored(docs, lexicon).filter(F.col("__score") < limit).select(docs.columns)
