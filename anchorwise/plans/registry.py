@@ -24,9 +24,15 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def _all() -> None:
+    from . import queries  # noqa: F401  registers them
+
+
 def queries() -> dict[str, Query]:
+    _all()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _all()
     return dict(_SQL)
