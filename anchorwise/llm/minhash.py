@@ -5,11 +5,11 @@ fewer words the whole sequence is its one shingle; without words the set is empt
 
 1. One pass gives each row the digest of its set, `bands` * `rows` universal-hash minima folded to a hash for each band, and one
    byte of each minimum. Rows of equal sets form a class; from here on one row stands for each class.
-2. Candidates are classes that share a band. A band's bucket is judged against its smallest class (a star), so its cost is linear.
-   Candidates whose minima agree far too seldom are dropped (`slack` is five standard errors); the others are confirmed on full sets.
-3. Links that stars can't see join a bucket's classes that are still in different components. Only these cross pairs are compared, in
-   blocks of at most `block` classes, by the bytes of their minima, and confirmed on full sets. Pairs within a component need no
-   comparison, as they can't change it.
+2. Candidates are classes that share a band. The smallest class of a bucket is its star; each class is judged against the
+   star with which it shares the most bands, so there is one candidate a class. Candidates whose minima agree far too seldom are dropped (`slack` is five standard errors); the others are confirmed on full sets.
+3. Links that this doesn't see join a bucket's classes that are still in different components. Buckets of that kind with a class in common make a
+   cluster. Its cross pairs are compared, in tasks of two blocks of at most `block` classes, by the bytes of their minima and then on full
+   sets; a task gives a forest of links, not all of them. Pairs within a component need no comparison, as they can't change it.
 4. Components come from alternating large-star and small-star rounds until the edges stay the same.
 
 A pair at the threshold 0.85 shares no band with probability (1 - 0.85 ** rows) ** bands, 8e-8 here.
@@ -130,21 +130,35 @@ def _alike(width: int, least: int):  # noqa: ANN201
     return run
 
 
-def _blocks(width: int, least: int):  # noqa: ANN201
-    """One block pair of a bucket: pairs of different components whose minima agree often enough. side 0 with side 1, or with itself."""
+def _blocks(width: int, least: int, percent: int, size: int):  # noqa: ANN201
+    """Two blocks of a cluster (or one with itself): links that join different components, a forest of them at most."""
 
     def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
         rep, comp, side = (table[x].to_numpy() for x in ("rep", "comp", "side"))
         m = _matrix(table["minima"], width)
-        left = np.flatnonzero(side == 0)
-        right = np.flatnonzero(side == 1)
+        h, off = distinct(*shingles(*common.utf8(table["text"]), size))
+        _, ids = np.unique(h, return_inverse=True)  # places in the blocks' own dictionary
+        n = np.diff(off)
+        mark = np.zeros(len(h) + 1, np.int64)
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         right = right if len(right) else left
-        found = []
+        comp = comp.copy()
+        found: list[tuple[int, int]] = []
         for i in left:
-            hit = right[comp[right] != comp[i]]
+            hit = right[(comp[right] != comp[i]) & (100 * np.minimum(n[right], n[i]) >= percent * np.maximum(n[right], n[i]))]
             hit = hit[(m[hit] == m[i]).sum(1) >= least]
-            found += [(min(rep[i], rep[j]), max(rep[i], rep[j])) for j in hit]
-        pairs = np.unique(np.array(found, np.int64).reshape(-1, 2), axis=0)
+            if not len(hit):
+                continue
+            own = ids[off[i] : off[i + 1]]
+            mark[own] = 1
+            both = np.add.reduceat(mark[ids[common.gathered(off[hit], n[hit])]], np.cumsum(n[hit]) - n[hit])
+            mark[own] = 0
+            for j in hit[100 * both >= percent * (n[hit] + n[i] - both)]:
+                if comp[j] != comp[i]:
+                    found.append((rep[i], rep[j]))
+                    comp[comp == comp[j]] = comp[i]
+        pairs = np.array(found, np.int64).reshape(-1, 2)
         return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
     return run
@@ -201,7 +215,7 @@ def components(links: DataFrame, *, most_rounds: int = 50) -> DataFrame:
         edges = small.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).distinct()
         edges = common.cut(edges)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == mark:
+        if now == mark:  # settled
             break
         mark = now
     else:
@@ -224,7 +238,8 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, size: int = WORDS, ba
     banded = reps.select("rep", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.min("rep").alias("a"), F.count("*").alias("n")).filter("n > 1")
     shared = common.cut(banded.join(buckets, "band").select("band", "n", "a", F.col("rep").alias("b")))
-    pairs = shared.filter("a != b").select("a", "b").distinct()
+    often = shared.filter("a != b").groupBy("b", "a").agg(F.count("*").alias("n"))
+    pairs = often.groupBy("b").agg(F.max(F.struct("n", (-F.col("a")).alias("a"))).alias("top")).select((-F.col("top.a")).alias("a"), "b")
     pairs = pairs.join(minima.toDF("a", "ma"), "a").join(minima.toDF("b", "mb"), "b").mapInArrow(_alike(width, least), "a long, b long")
     pairs = common.cut(pairs)
     # Texts that any confirmation can ask for: those in a bucket with another class.
@@ -232,25 +247,31 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, size: int = WORDS, ba
     texts = common.cut(texts.select("uid", "text").join(asked, "uid"))
     links = common.cut(confirm(pairs, texts, percent, size))
     comps = components(links)
-    # Buckets whose classes are in different components: only cross pairs can matter now.
+    # Buckets whose classes are in different components: only cross pairs can matter now. Buckets with a class in common make a cluster.
     member = shared.select("band", F.col("b").alias("rep")).join(comps.toDF("rep", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    sizes = member.groupBy("band", "comp").agg(F.count("*").alias("m"))
-    split = sizes.groupBy("band").agg(F.count("*").alias("k"), F.sum("m").alias("n"), F.max(F.struct("m", "comp")).alias("top")).filter("k > 1")
-    split = split.select("band", F.col("top.comp").alias("main"), F.ceil(F.col("top.m") / block).cast("int").alias("mains"), F.ceil((F.col("n") - F.col("top.m")) / block).cast("int").alias("others"))
-    cross = member.join(split, "band").withColumn("is_main", F.col("comp") == F.col("main"))
-    own = F.pmod(F.xxhash64("rep"), F.when(F.col("is_main"), F.col("mains")).otherwise(F.col("others"))).cast("int")
-    cross = cross.withColumn("own", own)
-    # A task for each pair of blocks: (other i, main j) as (i, -1 - j), (other i, other j >= i) as (i, j).
-    as_main = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda i: F.struct(i.alias("i"), (-1 - F.col("own")).alias("j"), F.lit(1).alias("side")))
-    as_other = F.concat(
-        F.transform(F.sequence(F.lit(0), F.col("mains") - 1), lambda j: F.struct(F.col("own").alias("i"), (-1 - j).alias("j"), F.lit(0).alias("side"))),
-        F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda j: F.struct(F.least("own", j).alias("i"), F.greatest("own", j).alias("j"), F.when(F.col("own") <= j, 0).otherwise(1).alias("side"))),
-    )
-    cross = cross.select("band", "rep", "comp", F.explode(F.when(F.col("is_main"), as_main).otherwise(as_other)).alias("t")).select("band", "rep", "comp", "t.*")
-    more = cross.join(minima, "rep").groupBy("band", "i", "j").applyInArrow(_blocks(width, least), "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti")
-    more = common.cut(more)
-    if not more.isEmpty():
-        comps = components(links.union(confirm(more, texts, percent, size)))
+    split = member.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("rep").alias("a")).filter("low != high").select("band", "a")
+    member = common.cut(member.join(split, "band").select("a", "rep", "comp").distinct())
+    if not member.isEmpty():
+        clusters = components(member.select("a", F.col("rep").alias("b")))
+        cross = member.select("rep", "comp").distinct().join(clusters.toDF("rep", "cluster"), "rep")
+        sizes = cross.groupBy("cluster", "comp").agg(F.count("*").alias("m")).groupBy("cluster").agg(F.sum("m").alias("n"), F.max(F.struct("m", "comp")).alias("top"))
+        blocks = lambda n: F.ceil(n / block).cast("int")
+        sizes = sizes.select("cluster", F.col("top.comp").alias("main"), blocks(F.col("top.m")).alias("mains"), blocks(F.col("n") - F.col("top.m")).alias("others"), (F.col("n") <= block).alias("small"))
+        cross = cross.join(sizes, "cluster").withColumn("is_main", F.col("comp") == F.col("main"))
+        cross = cross.withColumn("own", F.pmod(F.xxhash64("rep"), F.when(F.col("is_main"), F.col("mains")).otherwise(F.col("others"))).cast("int"))
+        # A small cluster is one task. Of a large one, a task for each pair of blocks: (other i, main j) as (i, -1 - j), (other i, other j >= i) as (i, j).
+        task = lambda i, j, side: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), side.cast("int").alias("side"))
+        as_main = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda i: task(i, -1 - F.col("own"), F.lit(1)))
+        as_other = F.concat(
+            F.transform(F.sequence(F.lit(0), F.col("mains") - 1), lambda j: task(F.col("own"), -1 - j, F.lit(0))),
+            F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda j: task(F.least("own", j), F.greatest("own", j), F.when(F.col("own") <= j, 0).otherwise(1))),
+        )
+        tasks = F.when(F.col("small"), F.array(task(F.lit(0), F.lit(0), F.lit(0)))).when(F.col("is_main"), as_main).otherwise(as_other)
+        cross = cross.select("cluster", "rep", "comp", tasks.alias("tasks")).join(minima, "rep").join(texts.withColumnRenamed("uid", "rep"), "rep")
+        cross = cross.select("cluster", "rep", "comp", "minima", "text", F.explode("tasks").alias("t")).select("cluster", "rep", "comp", "minima", "text", "t.*")
+        more = common.cut(cross.groupBy("cluster", "i", "j").applyInArrow(_blocks(width, least, percent, size), "a long, b long"))
+        if not more.isEmpty():
+            comps = components(comps.toDF("a", "b").union(more))
     classes = classes.join(comps.toDF("rep", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     ids = classes.groupBy("comp").agg(F.min("least_id").alias("component_id"))
     classes = common.cut(classes.join(ids, "comp").select("d1", "d2", "component_id"))
