@@ -38,6 +38,9 @@ def _apart(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(raw, place, 32), at + np.searchsorted(place, at)
 
 
+_BETWEEN = b"\xff"  # stands behind each text; no byte of UTF-8
+
+
 class Encoder:
     """Ids of whole texts. White space never reaches the ids, so a text is encoded by words (at ASCII blanks), each distinct one once."""
 
@@ -49,10 +52,11 @@ class Encoder:
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.known = _Numbers({_BETWEEN: 0})
         self.flat, self.at, self.size = np.array([self.end], np.uint32), np.zeros(1, np.int64), np.ones(1, np.int64)
 
     def learn(self, words: list[bytes]) -> None:
+        """words: those with the numbers behind the last known one."""
         texts = [w.decode(errors="replace") for w in words]
         ids, size = [], []
         for a in range(0, len(texts), 64):  # several in one call; a token belongs to the word in which it begins
@@ -65,31 +69,35 @@ class Encoder:
         self.at = np.concatenate([self.at, len(self.flat) + np.cumsum(size) - size])
         self.size = np.concatenate([self.size, size])
         self.flat = np.concatenate([self.flat, np.array(ids, np.uint32)])
-        first = len(self.known) + 1
-        self.known.update((w, first + i) for i, w in enumerate(words))
 
     def encode(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with the end id, and offsets."""
         if len(self.known) > WORDS:
             self.clear()
         raw, at = _apart(raw, at)
-        view, at = raw.tobytes(), at.tolist()
+        view = np.insert(raw, np.repeat(at[1:], 3), np.tile(np.frombuffer(b" %s " % _BETWEEN, np.uint8), len(at) - 1)).tobytes()
         if b"<|" not in view:  # else names of special tokens could arise
             view = view.lower()
-        words = [view[a:b].split() for a, b in zip(at[:-1], at[1:], strict=True)]
-        known = self.known
-        new = {w for ws in words for w in ws if w not in known}
-        if new:
-            self.learn(sorted(new))
-        get = known.__getitem__
-        index: list[int] = []
-        for ws in words:
-            index.extend(map(get, ws))
-            index.append(0)
-        kinds = np.array(index, np.int64)
-        ids = self.flat[common.gathered(self.at[kinds], self.size[kinds])]
-        ends = np.cumsum([len(ws) + 1 for ws in words])
-        return ids, np.concatenate([[0], np.cumsum(self.size[kinds])[ends - 1]]) if words else np.zeros(1, np.int64)
+        words = view.split()
+        kinds = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        if self.known.new:
+            self.learn(self.known.new)
+            self.known.new = []
+        size = self.size[kinds]
+        return self.flat[common.gathered(self.at[kinds], size)], np.concatenate([[0], np.cumsum(size)[kinds == 0]])
+
+
+class _Numbers(dict):
+    """Numbers of words in the order in which they are first asked for."""
+
+    def __init__(self, known: dict[bytes, int]) -> None:
+        super().__init__(known)
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
+        return n
 
 
 @functools.lru_cache(2)
