@@ -131,11 +131,11 @@ def with_next(df: DataFrame, columns: list[str], parts: int | None = None) -> Da
 
 
 def neighbours(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, text, n_chars, fingerprint, edited (its second half replaced from the next text), edited_fingerprint, near_edited, near_next."""
+    """Per row: doc_id, n_chars, fingerprint, edited (its second half replaced from the next text), edited_fingerprint, near_edited, near_next."""
     rows = common.with_uid(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
     rows = with_next(fingerprint(rows, "text", "fingerprint"), ["text", "fingerprint"])
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
-    rows = rows.select("doc_id", "text", n.cast("long").alias("n_chars"), "fingerprint", "next_fingerprint", F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half)).alias("edited"))
+    rows = rows.select("doc_id", n.cast("long").alias("n_chars"), "fingerprint", "next_fingerprint", F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half)).alias("edited"))
     rows = fingerprint(rows, "edited", "edited_fingerprint")
     return compare(rows, {"near_edited": ("fingerprint", "edited_fingerprint"), "near_next": ("fingerprint", "next_fingerprint")}).drop("next_fingerprint")
