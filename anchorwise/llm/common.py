@@ -33,9 +33,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _scanned(plan) -> bool:  # noqa: ANN001  a logical plan of the JVM
+    """Whether rows come straight from files, a checkpoint or the driver, in an order that doesn't change."""
+    if plan.nodeName() in ("LogicalRelation", "LogicalRDD", "LocalRelation", "Range") or plan.nodeName().startswith("Relation"):
+        return True
+    kids = plan.children()
+    return plan.nodeName() in ("Project", "Filter") and all(_scanned(kids.apply(i)) for i in range(kids.size()))
+
+
 def with_uid(df: DataFrame) -> DataFrame:
     """Adds uid, a number for each row. It follows from the row's place in its input split, so that a second
-    scan of the same input, or a scan made again after an executor was lost, gives the same numbers."""
+    scan of the same input, or a scan made again after an executor was lost, gives the same numbers. Rows that come
+    out of a shuffle have no such place; they are written to the shared folder first."""
+    if not _scanned(df._jdf.queryExecution().optimizedPlan()):
+        df = cut(df)
     return df.withColumn("uid", F.monotonically_increasing_id())
 
 

@@ -8,7 +8,7 @@ The search is A-star over perturbed values, top down. The root's value is a Gumb
 and has that value. The rest of the tree falls into one subtree for each token: all paths that leave the leaf's path there. A subtree's value is
 a Gumbel draw at its log-probability, truncated at the value of the leaf it leaves. The greatest value on the queue is the next sample, which is walked
 and splits its own subtree likewise. After k samples the next value is the threshold kappa; a sample of log-probability p has the inclusion score
-1 - exp(-exp(p - kappa)), 1 if there is no further segmentation.
+1 - exp(-exp(p - kappa)), 1 if there is no further segmentation; long texts' scores are tiny, so their logarithms are given.
 
 Draws are hashes of (doc_id, sample, place), so a row's samples don't depend on its partition; rows with equal doc_id and text
 have equal samples, null ids count as 0. Null text is empty; an empty text has one sample without pieces. U+2581 in a text decodes
@@ -27,12 +27,12 @@ from pyspark.sql import DataFrame
 
 from . import common
 
-SAMPLES, ALPHA, WORDS, LONGEST = 2, 1.0, 250_000, 16
+SAMPLES, ALPHA, WORDS, LONGEST = 2, 1.0, 120_000, 16
 BLANK, BYTES, FIRST = "▁", 3, 259  # ids of byte pieces begin at 3, those of other pieces at 259
 _WORD = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _ROUND = np.uint64(0xC2B2AE3D27D4EB4F)
-OUT = "rank int, ids array<int>, log_prob double, perturbed double, inclusion double"
+OUT = "rank int, ids array<int>, log_prob double, perturbed double, log_inclusion double"
 
 
 class _Rows:
@@ -105,7 +105,7 @@ class Lattices:
         self.known: dict[str, int] = {}
         self.words = _Rows(base=np.int64, end=np.int64)
         self.nodes = _Rows(first=np.int64, last=np.int64)
-        self.edges = _Rows(src=np.int64, step=np.int16, id=np.int32, log=np.float64, cum=np.float64)
+        self.edges = _Rows(src=np.int32, step=np.int16, id=np.int32, log=np.float64, cum=np.float32)
 
     def learn(self, words: list[str]) -> None:
         chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
@@ -146,10 +146,14 @@ class Lattices:
             own = common.gathered(begin[at], many[at])
             total[at] = np.logaddexp.reduceat(weight[own] + total[src[own] + step[own]], np.cumsum(many[at]) - many[at])
         log = weight + total[src + step] - total[src]
-        running = np.concatenate([[0.0], np.cumsum(np.exp(log))])
         first, last = begin, begin + many - 1
+        # Sums within each node alone, so that draws don't depend on what else is learned.
+        cum, nth = np.exp(log), np.arange(len(src)) - begin[src]
+        for k in range(1, int(nth.max()) + 1):
+            at = np.flatnonzero(nth == k)
+            cum[at] += cum[at - 1]
         e, v, base = self.edges.n, self.nodes.n, np.cumsum(size + 1) - (size + 1)
-        self.edges.add(src=src + v, step=step, id=ids, log=np.minimum(log, 0.0), cum=running[1:] - running[begin[src]])
+        self.edges.add(src=src + v, step=step, id=ids, log=np.minimum(log, 0.0), cum=cum)
         self.nodes.add(first=first + e, last=last + e)
         self.words.add(base=base + v, end=base + size + v)
         first = len(self.known)
@@ -214,7 +218,7 @@ def _walk(lat: Lattices, node: np.ndarray, end: np.ndarray, seed: np.ndarray, sh
 
 
 def sample_chunk(lat: Lattices, texts: list[list[str]], seeds: np.ndarray, k: int) -> list[list[tuple]]:
-    """For each text of words: (edges, log-probability, perturbed value, inclusion score), the best first."""
+    """For each text of words: (edges, log-probability, perturbed value, logarithm of the inclusion score), the best first."""
     words = lat.index(texts)
     n = len(texts)
     logs = lat.edges.log
@@ -256,7 +260,6 @@ def sample_chunk(lat: Lattices, texts: list[list[str]], seeds: np.ndarray, k: in
         token_word = np.repeat(np.concatenate([p[2] for p in parts]), count)
         # Subtrees that leave the new part of each path, valued all at once.
         new_log = logs[found]
-        before_all = np.cumsum(new_log) - new_log
         with np.errstate(divide="ignore", over="ignore"):
             beside = np.log(-np.expm1(new_log))
             noise = np.log(-np.log(_uniform(seeds[np.repeat(going, np.diff(cut))], 1000 + r, np.arange(len(found)) - np.repeat(cut[:-1], np.diff(cut)))))
@@ -275,7 +278,7 @@ def sample_chunk(lat: Lattices, texts: list[list[str]], seeds: np.ndarray, k: in
             behind = prefix + (float(logs[head[2]]) if head else 0.0)
             if b > a:
                 with np.errstate(invalid="ignore"):
-                    phi = behind + before_all[a:b] - before_all[a] + beside[a:b]
+                    phi = behind + np.cumsum(new_log[a:b]) - new_log[a:b] + beside[a:b]
                     v = -np.logaddexp(-m, noise[a:b] - phi)
                 v[~np.isfinite(beside[a:b])] = -np.inf
                 best = np.argpartition(v, -min(k, len(v)))[-min(k, len(v)) :] if len(v) > k else np.arange(len(v))
@@ -300,11 +303,16 @@ def sample_chunk(lat: Lattices, texts: list[list[str]], seeds: np.ndarray, k: in
         rows = []
         for edges, _, m in leaves[d]:
             p = float(logs[edges].sum())
-            rows.append((edges, p, float(m), float(-np.expm1(-np.exp(min(p - kappa[d], 700.0)))) if np.isfinite(kappa[d]) else 1.0))
-        out.append(rows or [(np.zeros(0, np.int64), 0.0, float(value[d]), 1.0)])
+            rows.append((edges, p, float(m), _log_inclusion(p - kappa[d])))
+        out.append(rows or [(np.zeros(0, np.int64), 0.0, float(value[d]), 0.0)])
     return out
 
 
+def _log_inclusion(x: float) -> float:
+    """ln(1 - exp(-exp(x))), which for small x is x itself."""
+    return x if x < -30 else 0.0 if x > 30 else float(np.log(-np.expm1(-np.exp(x))))
+
+
 def _ids(lat: Lattices, edges: np.ndarray) -> np.ndarray:
     ids = lat.edges.id[edges]
     if len(ids) and ids.min() < 0:  # characters without a piece
@@ -316,7 +324,7 @@ def _ids(lat: Lattices, edges: np.ndarray) -> np.ndarray:
 
 
 def sample(docs: DataFrame, path: str, *, k: int = SAMPLES, alpha: float = ALPHA, seed: int = 0) -> DataFrame:
-    """docs (doc_id, text) to one row for each sample: doc_id, rank, ids, log_prob, perturbed, inclusion."""
+    """docs (doc_id, text) to one row for each sample: doc_id, rank, ids, log_prob, perturbed, log_inclusion."""
     if k < 1:
         raise ValueError("k must be 1 or more")
     kind = dict(docs.dtypes)["doc_id"]
@@ -337,7 +345,7 @@ def sample(docs: DataFrame, path: str, *, k: int = SAMPLES, alpha: float = ALPHA
                 yield pa.RecordBatch.from_arrays([
                     common.column(batch, "doc_id").take(pa.array(np.repeat(np.arange(a, b), many))), pa.array(np.concatenate([np.arange(m) for m in many]).astype(np.int32)), lists,
                     *(pa.array(np.array([s[i] for r in rows for s in r], float)) for i in (1, 2, 3)),
-                ], ["doc_id", "rank", "ids", "log_prob", "perturbed", "inclusion"])
+                ], ["doc_id", "rank", "ids", "log_prob", "perturbed", "log_inclusion"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {OUT}")
 
@@ -349,9 +357,12 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "text") -> Dat
         lat = lattices(path, ALPHA)
         for batch in batches:
             lists = common.column(batch, ids)
-            offsets = lists.offsets.to_numpy().astype(np.int64)
-            raw, at = lat.decode(lists.flatten().to_numpy().astype(np.int64), offsets - offsets[0])
-            text = pa.array([raw[a:b].tobytes().decode(errors="replace") for a, b in zip(at[:-1], at[1:], strict=True)], pa.string())
+            offsets, flat, found = lists.offsets.to_numpy().astype(np.int64), lists.flatten().to_numpy(), []
+            offsets = offsets - offsets[0]
+            for a, b in common.spans(offsets, 1 << 18):
+                raw, at = lat.decode(flat[offsets[a] : offsets[b]].astype(np.int64), offsets[a : b + 1] - offsets[a])
+                found += [raw[x:y].tobytes().decode(errors="replace") for x, y in zip(at[:-1], at[1:], strict=True)]
+            text = pa.array(found, pa.string())
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i, n in enumerate(batch.schema.names) if n != ids), text], [*(n for n in batch.schema.names if n != ids), out])
 
     return df.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in [*((c, t) for c, t in df.dtypes if c != ids), (out, "string")]))

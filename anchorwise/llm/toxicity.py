@@ -41,7 +41,8 @@ _BREAK = re.compile(r"[\W\d_]+")
 
 def fold(text: str | None) -> str:
     """Letters only, with a blank before, between and behind words."""
-    return f" {_BREAK.sub(' ', (text or '').lower().translate(_TABLE)).strip()} "
+    words = _BREAK.sub(" ", (text or "").lower().translate(_TABLE)).strip()
+    return f" {words} " if words else " "
 
 
 @dataclass
@@ -68,7 +69,7 @@ class Lexicon:
         total, words = np.zeros(len(texts)), np.zeros(len(texts))
         for i, text in enumerate(texts):
             s = fold(text)
-            words[i] = max(0, s.count(" ") - 1)
+            words[i] = s.count(" ") - 1
             hits = list(automaton.iter(s))
             if not hits:
                 continue
