@@ -81,6 +81,15 @@ def pairs_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_terms.terms_of_html(pages_of(spark, sf_dir), DISTANCE, tokenizer="pattern")
 
 
+def flat(df: DataFrame, column: str = "parents") -> DataFrame:
+    """A list column as text."""
+    return df.withColumn(column, F.array_join(column, "|"))
+
+
+def flat_sql(sql: str, column: str = "parents") -> str:
+    return f"SELECT * REPLACE (array_to_string({column}, '|') AS {column}) FROM ({sql})"
+
+
 def rounded(df: DataFrame) -> DataFrame:
     return df.withColumn("tf_idf", F.round("tf_idf", 6))
 
@@ -103,9 +112,9 @@ def link_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_terms.link_refs(pages_of(spark, sf_dir))
 
 
-@query(f"WITH {PIECES_SQL} SELECT page_id, list(term ORDER BY pos) AS terms FROM pos GROUP BY page_id")
+@query(flat_sql(f"WITH {PIECES_SQL} SELECT page_id, list(term ORDER BY pos) AS terms FROM pos GROUP BY page_id", "terms"))
 def page_term_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link_terms.page_terms(table(spark, sf_dir, "pages"), key="page_id", tokenizer="pattern").filter(F.size("terms") > 0).select("page_id", "terms")
+    return flat(link_terms.page_terms(table(spark, sf_dir, "pages"), key="page_id", tokenizer="pattern").filter(F.size("terms") > 0).select("page_id", "terms"), "terms")
 
 
 @query()
@@ -225,12 +234,12 @@ def redirect_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dump.resolve(part.select("p_partkey", F.col("p_brand").alias("article_ref")), known)
 
 
-@query("""WITH m AS (SELECT n_name, 'x [[Category:' || r_name || '|key]] [[category:All nations]] [[Category:' || r_name || ']]' AS markup FROM nation JOIN region ON n_regionkey = r_regionkey)
-    SELECT n_name AS name, list_sort(list_distinct(list_transform(regexp_extract_all(markup, '(?i)\\[\\[Category:(.+?)\\]\\]', 1), lambda c: replace(split_part(c, '|', 1), ' ', '_')))) AS parents FROM m""")
+@query(flat_sql("""WITH m AS (SELECT n_name, 'x [[Category:' || r_name || '|key]] [[category:All nations]] [[Category:' || r_name || ']]' AS markup FROM nation JOIN region ON n_regionkey = r_regionkey)
+    SELECT n_name AS name, list_sort(list_distinct(list_transform(regexp_extract_all(markup, '(?i)\\[\\[Category:(.+?)\\]\\]', 1), lambda c: replace(split_part(c, '|', 1), ' ', '_')))) AS parents FROM m"""))
 def category_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     markup = F.concat(F.lit("x [[Category:"), "r_name", F.lit("|key]] [[category:All nations]] [[Category:"), "r_name", F.lit("]]"))
-    return rows.select(F.col("n_name").alias("name"), F.array_sort(W.parent_categories(markup)).alias("parents"))
+    return flat(rows.select(F.col("n_name").alias("name"), F.array_sort(W.parent_categories(markup)).alias("parents")))
 
 
 DISAMBIGUATION_MARKUP = ["'{{' || p_brand || ' disambiguation}}'", "'{{hndis|' || p_name || '}}'", "'{{disambiguation needed|' || p_name || '}}'", "'disambiguation ' || p_name", "'x {{ Dab }} ' || p_name", "'{{disambig-' || replace(p_brand, ' ', '') || '}}'"]
@@ -264,9 +273,9 @@ def main_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dump.main_articles(dump.routed(made_pages(spark, sf_dir)))
 
 
-@query("SELECT replace(p_name, ' ', '_') AS name, arg_max([replace(p_brand, ' ', '_')], p_partkey) AS parents FROM part WHERE p_partkey % 13 = 1 GROUP BY 1")
+@query(flat_sql("SELECT replace(p_name, ' ', '_') AS name, arg_max([replace(p_brand, ' ', '_')], p_partkey) AS parents FROM part WHERE p_partkey % 13 = 1 GROUP BY 1"))
 def dump_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dump.categories(dump.routed(made_pages(spark, sf_dir)))
+    return flat(dump.categories(dump.routed(made_pages(spark, sf_dir))))
 
 
 @query("SELECT DISTINCT replace(p_name || CASE WHEN p_partkey % 13 = 10 THEN ' (disambiguation)' ELSE '' END, ' ', '_') AS title FROM part WHERE p_partkey % 13 IN (10, 11)")
@@ -398,28 +407,28 @@ def category_display(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.display(nation_categories(spark, sf_dir))
 
 
-@query(f"{NATION_EDGES} SELECT child AS name, list(parent ORDER BY parent) AS parents FROM e GROUP BY child UNION ALL SELECT DISTINCT parent, []::VARCHAR[] FROM e")
+@query(flat_sql(f"{NATION_EDGES} SELECT child AS name, list(parent ORDER BY parent) AS parents FROM e GROUP BY child UNION ALL SELECT DISTINCT parent, []::VARCHAR[] FROM e"))
 def category_graph_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.build(nation_categories(spark, sf_dir))
+    return flat(graph.build(nation_categories(spark, sf_dir)))
 
 
-@query("SELECT n_name AS name, CASE WHEN r_name = 'ASIA' THEN ['ASIA'] ELSE []::VARCHAR[] END AS parents FROM nation JOIN region ON n_regionkey = r_regionkey UNION ALL SELECT 'ASIA', []::VARCHAR[]")
+@query(flat_sql("SELECT n_name AS name, CASE WHEN r_name = 'ASIA' THEN ['ASIA'] ELSE []::VARCHAR[] END AS parents FROM nation JOIN region ON n_regionkey = r_regionkey UNION ALL SELECT 'ASIA', []::VARCHAR[]"))
 def parent_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only one of the regions is a node, so other parents are dropped."""
     asia = spark.createDataFrame([("ASIA", [])], "name string, parents array<string>")
-    return graph.resolve_parents(nation_categories(spark, sf_dir).union(asia))
+    return flat(graph.resolve_parents(nation_categories(spark, sf_dir).union(asia)))
 
 
-@query("SELECT n_name AS name, [r_name] AS parents FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_name IN (SELECT min(n_name) FROM nation)")
+@query(flat_sql("SELECT n_name AS name, [r_name] AS parents FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_name IN (SELECT min(n_name) FROM nation)"))
 def category_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = nation_categories(spark, sf_dir)
-    return graph.find(found, table(spark, sf_dir, "nation").agg(F.min("n_name")).first()[0])
+    return flat(graph.find(found, table(spark, sf_dir, "nation").agg(F.min("n_name")).first()[0]))
 
 
-@query("SELECT n_name AS name, CASE WHEN n_name = 'none' THEN []::VARCHAR[] ELSE [r_name, 'World'] END AS parents FROM nation JOIN region ON n_regionkey = r_regionkey")
+@query(flat_sql("SELECT n_name AS name, CASE WHEN n_name = 'none' THEN []::VARCHAR[] ELSE [r_name, 'World'] END AS parents FROM nation JOIN region ON n_regionkey = r_regionkey"))
 def category_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = nation_edges(spark, sf_dir).select(F.concat("child", F.lit("\t"), "parent", F.lit("|World")).alias("line"))
-    return readers.parse_categories(rows)
+    return flat(readers.parse_categories(rows))
 
 
 @query(f"WITH {PIECES_SQL} SELECT 'ARTICLES' AS counter, count(*) AS value FROM pages UNION ALL SELECT 'WIKITERM', count(*) FROM pairs UNION ALL SELECT 'LINKS', count(*) FROM lpos")
