@@ -20,11 +20,10 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_segment_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    from .segment_sampling import decode, sample
+    from .segment_sampling import sample
 
-    model = public_tokenizers.path("piece_bpe_32k.model")
-    out = sample(read(spark, sf_dir, "documents"), model).withColumns({"n_pieces": F.size("ids"), "ids_hash": F.xxhash64("ids")})
-    return decode(out, model).withColumn("decoded_sha256", F.sha2("text", 256)).drop("text")
+    out = sample(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), decoded=True)
+    return out.select("doc_id", "rank", "log_prob", "perturbed", "log_inclusion", F.size("ids").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -73,7 +72,8 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quotes import link_quotations
 
-    return link_quotations(read(spark, sf_dir, "conversations"))
+    out = link_quotations(read(spark, sf_dir, "conversations"))
+    return out.select("conv_id", "turn", "role", "body", F.size("quotes").cast("long").alias("n_quotes"), "parent_turn", "depth", F.array_join(F.transform("reply_path", lambda x: x.cast("string")), "/").alias("reply_path"))
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +91,33 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "matched", "n_words")
 
 
+NORMAL = r"lower(trim(regexp_replace(x, '\s+', ' ', 'g')))"
+OP8_SQL = rf"""
+    WITH RECURSIVE m AS (SELECT row_number() OVER () AS uid, conv_id, turn, role, coalesce(text, '') AS t FROM conversations),
+    l AS (SELECT uid, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS pos FROM m WHERE regexp_matches(t, '(?m)^[ \t]*>')),
+    v AS (SELECT uid, pos, length(regexp_replace(regexp_extract(line, '^(?:[ \t]*>)+'), '[^>]', '', 'g')) AS level, regexp_replace(line, '^(?:[ \t]*>)+[ \t]?', '') AS line FROM l),
+    w AS (SELECT *, coalesce((lag(level) OVER q <> level)::INT, 1) AS new, coalesce(lead(level) OVER q, 0) AS nxt FROM v WINDOW q AS (PARTITION BY uid ORDER BY pos)),
+    r AS (SELECT * FROM (SELECT *, sum(new) OVER (PARTITION BY uid ORDER BY pos) AS run FROM w) WHERE NOT (level = 0 AND nxt > 0 AND regexp_matches(line, '(?i)^[ \t]*on\b.+\bwrote:[ \t\r]*$'))),
+    b AS (SELECT uid, trim(string_agg(line, chr(10) ORDER BY pos)) AS body FROM r WHERE level = 0 GROUP BY uid),
+    msg AS (SELECT m.uid, conv_id, turn, role, CASE WHEN regexp_matches(t, '(?m)^[ \t]*>') THEN coalesce(body, '') ELSE t END AS body FROM m LEFT JOIN b USING (uid)),
+    p AS (SELECT * FROM (SELECT uid, run, level, string_agg(line, chr(10) ORDER BY pos) AS passage FROM r WHERE level > 0 GROUP BY ALL) JOIN (SELECT uid, conv_id, turn FROM m) USING (uid) WHERE trim(passage) <> ''),
+    orig AS (SELECT DISTINCT conv_id, turn, {NORMAL} AS norm FROM (SELECT conv_id, turn, unnest(list_concat([body], string_split_regex(body, '\n[ \t\r]*\n'), string_split(body, chr(10)))) AS x FROM msg WHERE conv_id IS NOT NULL AND turn IS NOT NULL)),
+    parts AS (SELECT uid, run, conv_id, turn, 3 AS size, passage AS x FROM p UNION ALL SELECT uid, run, conv_id, turn, 2, unnest(string_split_regex(passage, '\n[ \t\r]*\n')) FROM p UNION ALL SELECT uid, run, conv_id, turn, 1, unnest(string_split(passage, chr(10))) FROM p),
+    asked AS (SELECT * FROM (SELECT DISTINCT uid, run, conv_id, turn, size, {NORMAL} AS norm FROM parts) WHERE norm <> ''),
+    near AS (SELECT a.uid, a.run, a.size, 1 AS own, a.conv_id AS c, min(o.turn) AS to_turn FROM asked a JOIN orig o USING (conv_id, norm) GROUP BY a.uid, a.run, a.size, a.conv_id, a.turn, a.norm HAVING min(o.turn) < a.turn),
+    firsts AS (SELECT norm, min(struct_pack(c := conv_id, t := turn)) AS f FROM orig GROUP BY norm),
+    far AS (SELECT uid, run, size, 0 AS own, f.c AS c, f.t AS to_turn FROM asked JOIN firsts USING (norm) WHERE f.c IS DISTINCT FROM conv_id),
+    best AS (SELECT * FROM (FROM near UNION ALL FROM far) QUALIFY row_number() OVER (PARTITION BY uid, run ORDER BY own DESC, size DESC, c, to_turn) = 1),
+    inner_links AS (SELECT p.uid, p.conv_id, p.turn, p.level, to_turn FROM p JOIN best USING (uid, run) WHERE best.c IS NOT DISTINCT FROM p.conv_id),
+    parent AS (SELECT uid, conv_id, turn, max(to_turn) AS parent_turn FROM inner_links i WHERE level = (SELECT min(level) FROM inner_links j WHERE j.uid = i.uid) GROUP BY ALL),
+    par AS (SELECT conv_id, turn, max(parent_turn) AS above FROM parent GROUP BY ALL),
+    rec AS (SELECT conv_id, turn, above, turn::VARCHAR AS path, 1 AS depth FROM par UNION ALL SELECT rec.conv_id, rec.turn, par.above, rec.above::VARCHAR || '/' || path, depth + 1 FROM rec JOIN par ON par.conv_id = rec.conv_id AND par.turn = rec.above),
+    paths AS (SELECT conv_id, turn, above::VARCHAR || '/' || path AS path, depth FROM rec WHERE NOT EXISTS (FROM par WHERE par.conv_id = rec.conv_id AND par.turn = rec.above))
+    SELECT msg.conv_id, msg.turn, role, body, (SELECT count(*) FROM p WHERE p.uid = msg.uid) AS n_quotes, parent_turn,
+           coalesce(CASE WHEN parent_turn IS NOT NULL THEN depth END, 0)::INT AS depth, coalesce(CASE WHEN parent_turn IS NOT NULL THEN path END, msg.turn::VARCHAR, '') AS reply_path
+    FROM msg LEFT JOIN parent USING (uid) LEFT JOIN paths ON paths.conv_id = msg.conv_id AND paths.turn = msg.turn"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2:3].isdigit()}
 
@@ -102,6 +129,7 @@ def oracle_sql() -> dict[str, str]:
             q AS (SELECT page_id, target_uri, octet_length(encode(h)) AS payload_bytes, sha256(h) AS payload_digest, min(page_id) OVER (PARTITION BY h) AS f FROM p)
             SELECT page_id, target_uri, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 100 AND f <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
                    CASE WHEN payload_bytes >= 100 AND f <> page_id THEN f END AS refers_to FROM q""",
+        "op8_quotation_linking": OP8_SQL,
         "op7_exact_dedup": """
             WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
             SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256

@@ -44,7 +44,7 @@ def parse(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     lines = lines.select("uid", "pos", F.length(F.regexp_replace(marks, "[^>]", "")).alias("level"), F.regexp_replace("line", MARKS + r"[ \t]?", "").alias("line"))
     w = Window.partitionBy("uid").orderBy("pos")
     lines = lines.withColumns({"new": F.coalesce((F.lag("level").over(w) != F.col("level")).cast("int"), F.lit(1)), "next": F.lead("level").over(w)})
-    lines = lines.withColumn("run", F.sum("new").over(w)).filter(~((F.col("level") == 0) & (F.col("next") > 0) & F.col("line").rlike(ATTRIBUTION)))
+    lines = lines.withColumn("run", F.sum("new").over(w)).filter(~((F.col("level") == 0) & (F.coalesce("next", F.lit(0)) > 0) & F.col("line").rlike(ATTRIBUTION)))
     joined = lambda: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "line"))), lambda x: x.line), "\n")
     bodies = lines.filter("level = 0").groupBy("uid").agg(F.trim(joined()).alias("body"))
     passages = lines.filter("level > 0").groupBy("uid", "run", "level").agg(joined().alias("passage")).filter(F.trim("passage") != "")

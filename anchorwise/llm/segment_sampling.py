@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 
 from . import common
 
-SAMPLES, ALPHA, WORDS, LONGEST = 2, 1.0, 120_000, 16
+SAMPLES, ALPHA, WORDS, LONGEST = 2, 1.0, 100_000, 16
 BLANK, BYTES, FIRST = "▁", 3, 259  # ids of byte pieces begin at 3, those of other pieces at 259
 _WORD = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -323,8 +323,17 @@ def _ids(lat: Lattices, edges: np.ndarray) -> np.ndarray:
     return ids
 
 
-def sample(docs: DataFrame, path: str, *, k: int = SAMPLES, alpha: float = ALPHA, seed: int = 0) -> DataFrame:
-    """docs (doc_id, text) to one row for each sample: doc_id, rank, ids, log_prob, perturbed, log_inclusion."""
+def _texts(lat: Lattices, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    found = []
+    for a, b in common.spans(offsets, 1 << 18):
+        raw, at = lat.decode(ids[offsets[a] : offsets[b]].astype(np.int64), offsets[a : b + 1] - offsets[a])
+        found += [raw[x:y].tobytes().decode(errors="replace") for x, y in zip(at[:-1], at[1:], strict=True)]
+    return pa.array(found, pa.string())
+
+
+def sample(docs: DataFrame, path: str, *, k: int = SAMPLES, alpha: float = ALPHA, seed: int = 0, decoded: bool = False) -> DataFrame:
+    """docs (doc_id, text) to one row for each sample: doc_id, rank, ids, log_prob, perturbed, log_inclusion; with `decoded` also text, as
+    decode() would give it, without a second pass."""
     if k < 1:
         raise ValueError("k must be 1 or more")
     kind = dict(docs.dtypes)["doc_id"]
@@ -341,13 +350,15 @@ def sample(docs: DataFrame, path: str, *, k: int = SAMPLES, alpha: float = ALPHA
                 rows = sample_chunk(lat, texts, seeds[a:b], k)
                 flat = [_ids(lat, s[0]) for r in rows for s in r]
                 many = [len(r) for r in rows]
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in flat])]).astype(np.int32)), pa.array(np.concatenate(flat).astype(np.int32)))
+                ids, ends = np.concatenate(flat).astype(np.int32), np.concatenate([[0], np.cumsum([len(x) for x in flat])])
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
+                more = [_texts(lat, ids, ends)] if decoded else []
                 yield pa.RecordBatch.from_arrays([
                     common.column(batch, "doc_id").take(pa.array(np.repeat(np.arange(a, b), many))), pa.array(np.concatenate([np.arange(m) for m in many]).astype(np.int32)), lists,
-                    *(pa.array(np.array([s[i] for r in rows for s in r], float)) for i in (1, 2, 3)),
-                ], ["doc_id", "rank", "ids", "log_prob", "perturbed", "log_inclusion"])
+                    *(pa.array(np.array([s[i] for r in rows for s in r], float)) for i in (1, 2, 3)), *more,
+                ], ["doc_id", "rank", "ids", "log_prob", "perturbed", "log_inclusion", *["text"] * decoded])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {OUT}")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {OUT}" + ", text string" * decoded)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "text") -> DataFrame:
@@ -357,12 +368,8 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "text") -> Dat
         lat = lattices(path, ALPHA)
         for batch in batches:
             lists = common.column(batch, ids)
-            offsets, flat, found = lists.offsets.to_numpy().astype(np.int64), lists.flatten().to_numpy(), []
-            offsets = offsets - offsets[0]
-            for a, b in common.spans(offsets, 1 << 18):
-                raw, at = lat.decode(flat[offsets[a] : offsets[b]].astype(np.int64), offsets[a : b + 1] - offsets[a])
-                found += [raw[x:y].tobytes().decode(errors="replace") for x, y in zip(at[:-1], at[1:], strict=True)]
-            text = pa.array(found, pa.string())
+            offsets = lists.offsets.to_numpy().astype(np.int64)
+            text = _texts(lat, lists.flatten().to_numpy(), offsets - offsets[0])
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i, n in enumerate(batch.schema.names) if n != ids), text], [*(n for n in batch.schema.names if n != ids), out])
 
     return df.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in [*((c, t) for c, t in df.dtypes if c != ids), (out, "string")]))

@@ -71,6 +71,8 @@ def test_samples_decode_to_their_texts(spark):
     texts = collections.defaultdict(set)
     for i, t in rows:
         texts[i].add((t or "").replace("▁", " "))
+    at_once = segment_sampling.sample(df, MODEL, k=3, decoded=True).drop("rank").collect()
+    assert all(r.text in texts[r.doc_id] for r in at_once) and len(at_once) == out.count()
     sp = SentencePieceProcessor(model_file=MODEL)
     for r in segment_sampling.decode(out.withColumn("own", F.col("ids")), MODEL).collect():
         assert r.text in texts[r.doc_id] and sp.decode(list(r.own)) == r.text and -1e6 < r.log_inclusion <= 0

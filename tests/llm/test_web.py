@@ -79,6 +79,20 @@ def test_quotations_are_linked_and_ordered(spark):
     assert quotes.link_quotations(df.limit(0)).count() == 0
 
 
+def test_quotations_against_sql(spark, tmp_path):
+    import duckdb
+
+    from anchorwise.llm import queries
+
+    rows = [(c, t, "user", x) for c, t, x in [*TALK, *((9, i, (f"> m{i - 1} text\n" if i else "") + f"m{i} text\nOn it wrote:") for i in range(12))]]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    got = queries.op8_quotation_linking(spark, str(tmp_path))
+    want = con.sql(f"SELECT {', '.join(got.columns)} FROM ({queries.oracle_sql()['op8_quotation_linking']})").fetchall()
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+
+
 def test_plan_is_native(spark):
     df = spark.createDataFrame([(c, t, "user", x) for c, t, x in TALK], "conv_id long, turn long, role string, text string")
     from anchorwise.plans.jobs import explained
