@@ -13,6 +13,7 @@ from .plans import jobs
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="anchorwise", description=__doc__)
     top.add_argument("--master", help="Spark master; Spark's own setting by default")
+    top.add_argument("--planfile", help="where generate and analyze write their physical plan")
     top.add_argument("--debug", action="store_true", help="run in this process")
     sub = top.add_subparsers(dest="job", required=True)
     p = sub.add_parser("dump", help="split a dump into articles and side tables")
@@ -46,9 +47,9 @@ def main(argv: list[str] | None = None) -> int:
     if a.job == "dump":
         out = jobs.dump_job(spark, a.inputfile, a.outputdir, a.metadatadir, pages_per_file=a.pagesperfile, num_pages=a.numpages, sample_percent=a.samplepercent, compress=a.compress)
     elif a.job == "generate":
-        out = jobs.generate_job(spark, a.inputdir, a.workingdir, max_distance=a.maxdistance)
+        out = jobs.generate_job(spark, a.inputdir, a.workingdir, max_distance=a.maxdistance, plan_file=a.planfile)
     elif a.job == "analyze":
-        out = jobs.analyze_job(spark, a.workingdir, num_articles=a.numarticles)
+        out = jobs.analyze_job(spark, a.workingdir, num_articles=a.numarticles, plan_file=a.planfile)
     elif a.job == "category-graph":
         out = {"nodes": jobs.category_graph_job(spark, a.inputfile, a.outputfile)}
     else:

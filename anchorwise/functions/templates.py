@@ -11,7 +11,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Where article templates point to, and the mark of articles in text.
 ARTICLE_URL = "http://en.wikipedia.org/wiki/"
+ARTICLE_MARK = "_wikiarticle_"
 _EDGE = re.compile(r"\{\{|\}\}")
 
 
@@ -76,7 +78,7 @@ class Templates:
         if action == "articles":
             refs = [(x.replace(" ", "_"), x) for x in self.anonymous(content)]
             if to == "text":
-                return "".join(f" _wikiarticle_{ref}" for ref, _ in refs) + " "
+                return "".join(f" {ARTICLE_MARK}{ref}" for ref, _ in refs) + " "
             return "".join(f' <a href="{ARTICLE_URL}{ref}">{x}</a> ' for ref, x in refs)
         return ""  # ignored, unknown by rule, or an action that doesn't exist
 

@@ -6,7 +6,7 @@ each weakly connected component by itself, since its search never leaves one."""
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.shared import cut
@@ -45,6 +45,15 @@ def tails(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return nodes.join(edges.select(F.col("parent").alias("name")), "name", "left_anti")
 
 
+def size(nodes: DataFrame) -> int:
+    return nodes.count()
+
+
+def make_set(*names: str) -> Column:
+    """Distinct names as an array."""
+    return F.array_distinct(F.array(*map(F.lit, names)))
+
+
 def find(categories: DataFrame, name: str) -> DataFrame:
     return categories.filter(F.col("name") == name)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,11 +37,13 @@ def dump_job(spark: SparkSession, input_file: str, output_dir: str, metadata_dir
         pages.unpersist()
 
 
-def generate_job(spark: SparkSession, input_dir: str, working_dir: str, *, max_distance: int = link_terms.MAX_DISTANCE, rules: list[tuple[str, str]] | None = None, strict: bool = False) -> dict[str, int]:
-    """Article lines to terms near links, with counters. No shuffle."""
+def generate_job(spark: SparkSession, input_dir: str, working_dir: str, *, max_distance: int = link_terms.MAX_DISTANCE, rules: list[tuple[str, str]] | None = None, strict: bool = False, plan_file: str | None = None) -> dict[str, int]:
+    """Article lines to terms near links, with counters. No shuffle. The plan goes to `plan_file`, if given."""
     seen, made = Observation("articles"), Observation("terms")
     articles = readers.articles(spark, input_dir, strict).observe(seen, F.count(F.lit(1)).alias("ARTICLES"))
     terms = link_terms.terms_of_markup(articles, max_distance, rules=rules).observe(made, F.count(F.lit(1)).alias("WIKITERM"))
+    if plan_file:
+        Path(plan_file).write_text(explained(terms))
     sinks.terms(terms, f"{working_dir}/{schemas.TERMS_DIR}")
     # Rendering and parsing are lenient, so no page fails to parse.
     counts = {counter_name("generate", k): int(v) for k, v in {**seen.get, **made.get, "HTML_PARSE": seen.get["ARTICLES"], "HTML_PARSE_ERROR": 0}.items()}
@@ -47,11 +51,13 @@ def generate_job(spark: SparkSession, input_dir: str, working_dir: str, *, max_d
     return counts
 
 
-def analyze_job(spark: SparkSession, working_dir: str, *, num_articles: int | None = None, top: int = tfidf.TOP, weight: str = "signed") -> None:
-    """Terms to document frequencies and to the best articles of each term."""
+def analyze_job(spark: SparkSession, working_dir: str, *, num_articles: int | None = None, top: int = tfidf.TOP, weight: str = "signed", plan_file: str | None = None) -> None:
+    """Terms to document frequencies and to the best articles of each term. The plan of the scores goes to `plan_file`, if given."""
     terms = readers.terms(spark, f"{working_dir}/{schemas.TERMS_DIR}")
     sinks.term_df(tfidf.document_frequency(terms, num_articles), f"{working_dir}/{schemas.TERM_DF_DIR}")
     scores = tfidf.scores(tfidf.weighted(terms, weight), top)
+    if plan_file:
+        Path(plan_file).write_text(explained(scores))
     sinks.term_scores(scores.repartition("term").sortWithinPartitions("term", F.desc("tf_idf"), "doc"), f"{working_dir}/{schemas.TERM_SCORES_DIR}")
 
 

@@ -71,6 +71,7 @@ def test_build_display_and_lookup(spark):
     built = graph.build(rows)
     assert {(r.name, tuple(r.parents)) for r in built.collect()} == {("a", ()), ("b", ("x", "y")), ("x", ()), ("y", ())}
     assert [r.shown for r in graph.display(built).collect()] == ["a: []", "b: [x, y]", "x: []", "y: []"]
+    assert graph.size(built) == 4 and rows.select(graph.make_set("a", "a", "b")).first()[0] == ["a", "b"]
     assert graph.find(built, "b").count() == 1 and graph.find(built, "q").count() == 0
     assert graph.same_graph(rows, spark.createDataFrame([("b", ["x", "y"]), ("a", [])], "name string, parents array<string>")) and not graph.same_graph(rows, built)
     with pytest.raises(Exception, match="occurs twice"):

@@ -33,8 +33,9 @@ def test_dump_generate_analyze(spark, tmp_path):
     assert len(lines) == 3 and all(x.count("\t") == 1 for x in lines) and len(files) == 2
     assert [tuple(r) for r in readers.categories(spark, f"{meta}/categories.txt").collect()] == [("Fruit", ["Food", "Plants"])]
     assert [tuple(r)[:2] for r in readers.redirects(spark, f"{meta}/redirects.txt").collect()] == [("Old_apple", "Apple")]
-    counts = jobs.generate_job(spark, out, work, max_distance=20)
+    counts = jobs.generate_job(spark, out, work, max_distance=20, plan_file=str(tmp_path / "plan"))
     assert counts["generate.ARTICLES"] == 3 and counts["generate.WIKITERM"] > 0
+    assert "Scan text" in (tmp_path / "plan").read_text()
     assert readers.counters(spark, f"{work}/counters/generate") == counts
     terms = readers.terms(spark, f"{work}/terms")
     assert terms.count() == counts["generate.WIKITERM"] and {r[0] for r in terms.select("article_ref").distinct().collect()} == {"Apple", "Apple_tree", "Cider"}
