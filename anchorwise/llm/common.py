@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BATCH_BYTES = 4 << 20
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -54,6 +59,31 @@ def parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def _tidy() -> None:
+    """Gives freed memory back to the system, as workers live on from task to task."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """mapInArrow over batches cut to about BATCH_BYTES, however long the rows are."""
+
+    def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = max(1, int(batch.num_rows * BATCH_BYTES / max(batch.nbytes, 1)))
+            for a in range(0, batch.num_rows, rows):
+                yield batch.slice(a, rows)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(cut_up(batches))
+        finally:
+            _tidy()
+
+    return df.mapInArrow(task, schema)
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all values, one behind the other, and the n + 1 offsets. Nulls are empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -37,7 +37,7 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def digests(docs: DataFrame) -> DataFrame:
     """uid, doc_id, digest of each row."""
-    return common.with_uid(docs.select("doc_id", "text")).mapInArrow(_digest, "uid long, doc_id long, digest binary")
+    return common.with_uid(docs.select("doc_id", "text")).transform(common.mapped, _digest, "uid long, doc_id long, digest binary")
 
 
 def history(rows: DataFrame, least: int = 1) -> DataFrame:

@@ -85,7 +85,7 @@ def fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
                     found += written(digests(raw[at[c] : at[d]], at[c : d + 1] - at[c]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], [*batch.schema.names, out])
 
-    return df.mapInArrow(run, ", ".join(f"`{c}` {k}" for c, k in [*df.dtypes, (out, "string")]))
+    return df.transform(common.mapped, run, ", ".join(f"`{c}` {k}" for c, k in [*df.dtypes, (out, "string")]))
 
 
 def compare(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
@@ -96,7 +96,7 @@ def compare(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
             more = [pa.array(likeness(common.column(batch, a), common.column(batch, b))) for a, b in pairs.values()]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, *pairs])
 
-    return df.mapInArrow(run, ", ".join(f"`{c}` {k}" for c, k in [*df.dtypes, *((c, "double") for c in pairs)]))
+    return df.transform(common.mapped, run, ", ".join(f"`{c}` {k}" for c, k in [*df.dtypes, *((c, "double") for c in pairs)]))
 
 
 def with_next(df: DataFrame, columns: list[str], parts: int | None = None) -> DataFrame:

@@ -220,4 +220,4 @@ def pack(docs: DataFrame, path: str, *, tiers: tuple[int, ...] = TIERS, end: int
         packer.finish()
         yield packer.batch()
 
-    return docs.select("doc_id", "text").mapInArrow(run, PIECE)
+    return docs.select("doc_id", "text").transform(common.mapped, run, PIECE)

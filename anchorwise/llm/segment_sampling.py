@@ -358,7 +358,7 @@ def sample(docs: DataFrame, path: str, *, k: int = SAMPLES, alpha: float = ALPHA
                     *(pa.array(np.array([s[i] for r in rows for s in r], float)) for i in (1, 2, 3)), *more,
                 ], ["doc_id", "rank", "ids", "log_prob", "perturbed", "log_inclusion", *["text"] * decoded])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {OUT}" + ", text string" * decoded)
+    return docs.select("doc_id", "text").transform(common.mapped, run, f"doc_id {kind}, {OUT}" + ", text string" * decoded)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "text") -> DataFrame:
@@ -372,4 +372,4 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "text") -> Dat
             text = _texts(lat, lists.flatten().to_numpy(), offsets - offsets[0])
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i, n in enumerate(batch.schema.names) if n != ids), text], [*(n for n in batch.schema.names if n != ids), out])
 
-    return df.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in [*((c, t) for c, t in df.dtypes if c != ids), (out, "string")]))
+    return df.transform(common.mapped, run, ", ".join(f"`{c}` {t}" for c, t in [*((c, t) for c, t in df.dtypes if c != ids), (out, "string")]))

@@ -126,7 +126,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Lexicon:
     if not n.get(0) or not n.get(1):
         return lexicon
     share = n[1] / (n[0] + n[1])
-    counts = texts.mapInArrow(_beginnings, "word string, toxic long, other long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+    counts = texts.transform(common.mapped, _beginnings, "word string, toxic long, other long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
     odds = F.log((F.col("toxic") + 0.5) / (n[1] + 1)) - F.log((F.col("other") + 0.5) / (n[0] + 1))
     # So often that, of a million beginnings, chance would make one or none look toxic.
     least = max(3, math.ceil(math.log(1e6) / math.log(1 / min(share, 0.5))))
@@ -143,7 +143,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Lexicon:
             total, words = work.sums(common.column(batch, "text").to_pylist(), automaton)
             yield pa.RecordBatch.from_arrays([pa.array(total), pa.array(words), common.column(batch, "toxic")], ["total", "words", "toxic"])
 
-    points = texts.mapInArrow(sums, "total double, words double, toxic int").toPandas()  # `sample` rows at most
+    points = texts.transform(common.mapped, sums, "total double, words double, toxic int").toPandas()  # `sample` rows at most
     points = points.sort_values(["total", "words", "toxic"])
     lexicon.curve = _fit(_features(points.total.to_numpy(), points.words.to_numpy()), points.toxic.to_numpy())
     return lexicon
@@ -158,7 +158,7 @@ def _scored(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
             total, words = lexicon.sums(common.column(batch, "text").to_pylist(), automaton)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(total), pa.array(words.astype(np.int64)), pa.array(lexicon.scores(total, words))], [*batch.schema.names, "__matched", "__words", "__score"])
 
-    return docs.mapInArrow(run, ", ".join([*(f"`{c}` {k}" for c, k in docs.dtypes), "__matched double, __words long, __score double"]))
+    return docs.transform(common.mapped, run, ", ".join([*(f"`{c}` {k}" for c, k in docs.dtypes), "__matched double, __words long, __score double"]))
 
 
 def score(docs: DataFrame, lexicon: Lexicon) -> DataFrame:

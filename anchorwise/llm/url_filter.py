@@ -126,4 +126,4 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], model: Model | None =
             verdict = [f[1] if f else "block" if s >= limit else "allow" for f, s in zip(fits, score, strict=True)]
             yield pa.RecordBatch.from_arrays([common.column(batch, "page_id"), *(pa.array(c, pa.string()) for c in ([h for h, _ in both], [p for _, p in both], [f[0] if f else None for f in fits], verdict)), pa.array(score)], ["page_id", "host", "path", "rule", "verdict", "score"])
 
-    return pages.select("page_id", "url").mapInArrow(run, f"page_id {kind}, host string, path string, rule string, verdict string, score double")
+    return pages.select("page_id", "url").transform(common.mapped, run, f"page_id {kind}, host string, path string, rule string, verdict string, score double")

@@ -110,7 +110,7 @@ def _parse(with_payload: bool):  # noqa: ANN202
 def read(spark: SparkSession, folder: str, *, with_payload: bool = True) -> DataFrame:
     """The records of all archives in a folder."""
     files = spark.read.format("binaryFile").load(folder).select("content")
-    return files.mapInArrow(_parse(with_payload), RECORD)
+    return files.transform(common.mapped, _parse(with_payload), RECORD)
 
 
 def assemble(records: DataFrame) -> DataFrame:
