@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 from . import common
 from .suffix_array import permuted_lcp, suffix_array
 
-LENGTH, PIECE, SHARD_BYTES, HOT = 400, 32, 2_000_000, 20_000
+LENGTH, PIECE, SHARD_BYTES, HOT = 400, 32, 2_000_000, 8_000
 PLACE = np.uint64((1 << 24) - 1)
-RUN = "uid long, start int, windows int, key long, d1 long, d2 long, self boolean"
+RUN = "uid long, start int, windows int, key long, d1 long, d2 long, self boolean, several boolean, deal long, whole boolean"
 FOUND = "uid long, start int, windows int, key long, several boolean, whole boolean"
 
 
@@ -58,12 +58,14 @@ def _keys(x: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 
 def segments(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(uid, text) to one row for each segment."""
+    """(uid, text) to one row for each segment. Where a batch holds a digest more than once, all but one of its segments are known to be repeated; these are
+    dealt by chance, and the one is marked, so that a hot key gets a row a batch at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, at = common.utf8(common.column(batch, "text"))
             uid = common.column(batch, "uid").to_numpy()
+            rows: list[tuple] = []
             for a, b in common.spans(at, 1 << 20):
                 x = raw[at[a] : at[b]]
                 if len(x) < length:
@@ -82,7 +84,20 @@ def segments(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
                 view, last = memoryview(x), stop + length - 1
                 digest = b"".join([hashlib.blake2b(view[p:q], digest_size=16).digest() for p, q in zip(place.tolist(), last.tolist(), strict=True)])
                 two = np.frombuffer(digest, np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([pa.array(y) for y in (uid[a + doc[own]], (place - begin[own]).astype(np.int32), (stop - place).astype(np.int32), keys[place].view(np.int64), two[:, 0].copy(), two[:, 1].copy(), left[place] != right[stop - 1])], ["uid", "start", "windows", "key", "d1", "d2", "self"])
+                rows.append((uid[a + doc[own]], (place - begin[own]).astype(np.int32), (stop - place).astype(np.int32), keys[place].view(np.int64), two[:, 0], two[:, 1], left[place] != right[stop - 1]))
+            if rows:
+                columns = [np.concatenate(c) for c in zip(*rows, strict=True)]
+                d1, d2 = columns[4], columns[5]
+                order = np.lexsort((d2, d1))
+                new = np.ones(len(order), bool)
+                new[1:] = (d1[order][1:] != d1[order][:-1]) | (d2[order][1:] != d2[order][:-1])
+                whole = np.zeros(len(order), bool)
+                whole[order] = ~new
+                several = whole.copy()
+                several[order] |= np.append(~new[1:], False)
+                chance = common.mixed(columns[0].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + columns[1].astype(np.uint64)).view(np.int64)
+                columns += [several, np.where(whole, chance, columns[3]), whole]
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], ["uid", "start", "windows", "key", "d1", "d2", "self", "several", "deal", "whole"])
 
     return run
 
@@ -96,7 +111,7 @@ def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def out(rows: list[np.ndarray], last: bool) -> Iterator[pa.RecordBatch]:
         nonlocal held, before, split
-        uid, start, windows, key, d1, d2, own = rows
+        uid, start, windows, key, d1, d2, own, known = rows
         n = len(uid)
         m = n if last else n - 1  # the last row waits for the next one
         if m > 0:
@@ -109,7 +124,7 @@ def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             key_at = np.maximum.accumulate(np.where(new_key, at, -1))
             text_at = np.maximum.accumulate(np.where(new_text & ~new_key, at, -1))
             earlier = (text_at > key_at) | ((key_at < 0) & split)
-            again = ~new_text | ~ends_text
+            again = ~new_text | ~ends_text | known
             rep = ends_text & (earlier | ~ends_key | own)
             rep &= at < m
             whole = again & (at < m)
@@ -125,7 +140,12 @@ def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None if last else [y[n - 1 :] for y in rows]
 
     for batch in batches:
-        rows = [common.column(batch, x).to_numpy(zero_copy_only=False) for x in ("uid", "start", "windows", "key", "d1", "d2", "self")]
+        rows = [common.column(batch, x).to_numpy(zero_copy_only=False) for x in ("uid", "start", "windows", "key", "d1", "d2", "self", "several", "whole")]
+        whole = rows.pop()
+        if whole.any():  # settled before
+            done = [y[whole] for y in rows]
+            yield pa.RecordBatch.from_arrays([pa.array(y) for y in (*done[:4], done[7], done[7])], ["uid", "start", "windows", "key", "several", "whole"])
+            rows = [y[~whole] for y in rows]
         if not len(rows[0]):
             continue
         yield from out([np.concatenate([a, b]) for a, b in zip(held, rows, strict=True)] if held else rows, False)
@@ -145,7 +165,7 @@ def pieces(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
             uid = np.repeat(common.column(batch, "uid").to_numpy(), per)
             base = np.repeat(at[:-1], per) + start
             size = windows.astype(np.int64) + length - 1
-            for a, b in common.spans(np.concatenate([[0], np.cumsum(size)]), 8 << 20):
+            for a, b in common.spans(np.concatenate([[0], np.cumsum(size)]), 2 << 20):
                 data = raw[common.gathered(base[a:b], size[a:b])]
                 text = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(np.concatenate([[0], np.cumsum(size[a:b])]).astype(np.int32)), pa.py_buffer(data)])
                 yield pa.RecordBatch.from_arrays([pa.array(key[a:b]), pa.array(uid[a:b]), pa.array(start[a:b]), pa.array(several[a:b]), text], ["key", "uid", "start", "several", "bytes"])
@@ -225,71 +245,71 @@ def windows(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
     return run
 
 
-def kept_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text, found) to what stays of each text, with the removed spans."""
-    for batch in batches:
-        raw, at = common.utf8(common.column(batch, "text"))
-        found = common.column(batch, "found")
-        ids = common.column(batch, "doc_id")
-        for a, b in common.spans(at, 16 << 20):
-            x = raw[at[a] : at[b]]
-            edge = np.zeros(len(x) + 1, np.int32)
-            part = found.slice(a, b - a)
-            per = np.diff(part.offsets.to_numpy())
-            flat = part.flatten()
-            base = np.repeat(at[a:b] - at[a], per)
-            np.add.at(edge, base + flat.field(0).to_numpy(), 1)
-            np.add.at(edge, base + flat.field(1).to_numpy(), -1)
-            gone = np.cumsum(edge)[:-1] > 0
-            begin = at[a:b] - at[a]
-            n = np.diff(at[a : b + 1])
-            before = np.concatenate([[False], gone[:-1]])
-            before[begin[n > 0]] = False
-            opens = np.flatnonzero(gone & ~before)
-            after = np.append(gone[1:], False)
-            after[(begin + n - 1)[n > 0]] = False
-            closes = np.flatnonzero(gone & ~after) + 1
-            doc = np.searchsorted(begin, opens, "right") - 1
-            spans_at = np.searchsorted(doc, np.arange(b - a + 1))
-            spans = pa.ListArray.from_arrays(pa.array(spans_at.astype(np.int32)), pa.StructArray.from_arrays([pa.array((y - begin[doc]).astype(np.int64)) for y in (opens, closes)], ["first", "past"]))
-            total = np.concatenate([[0], np.cumsum(gone)])
-            removed = total[begin + n] - total[begin]
-            text = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(np.concatenate([[0], np.cumsum(n - removed)]).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(x[~gone]))])
-            yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(n.astype(np.int64)), pa.array(removed.astype(np.int64)), spans, text, *(batch.column(i).slice(a, b - a) for i in range(3, batch.num_columns))], ["doc_id", "n_bytes", "n_removed", "spans", "kept", *batch.schema.names[3:]])
-
-
-def remove_repeats(docs: DataFrame, *, length: int = LENGTH, keep: list[str] | None = None, shard_bytes: int = SHARD_BYTES, hot: int = HOT) -> DataFrame:
+def kept_bytes(as_text: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(doc_id, text, found) to what stays of each text, with the removed spans. As text, without what a cut leaves of a character."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, at = common.utf8(common.column(batch, "text"))
+            found = common.column(batch, "found")
+            ids = common.column(batch, "doc_id")
+            for a, b in common.spans(at, 4 << 20):
+                x = raw[at[a] : at[b]]
+                edge = np.zeros(len(x) + 1, np.int32)
+                part = found.slice(a, b - a)
+                per = np.diff(part.offsets.to_numpy())
+                flat = part.flatten()
+                base = np.repeat(at[a:b] - at[a], per)
+                np.add.at(edge, base + flat.field(0).to_numpy(), 1)
+                np.add.at(edge, base + flat.field(1).to_numpy(), -1)
+                gone = np.cumsum(edge)[:-1] > 0
+                begin = at[a:b] - at[a]
+                n = np.diff(at[a : b + 1])
+                before = np.concatenate([[False], gone[:-1]])
+                before[begin[n > 0]] = False
+                opens = np.flatnonzero(gone & ~before)
+                after = np.append(gone[1:], False)
+                after[(begin + n - 1)[n > 0]] = False
+                closes = np.flatnonzero(gone & ~after) + 1
+                doc = np.searchsorted(begin, opens, "right") - 1
+                spans_at = np.searchsorted(doc, np.arange(b - a + 1))
+                spans = pa.ListArray.from_arrays(pa.array(spans_at.astype(np.int32)), pa.StructArray.from_arrays([pa.array((y - begin[doc]).astype(np.int64)) for y in (opens, closes)], ["first", "past"]))
+                total = np.concatenate([[0], np.cumsum(gone)])
+                removed = total[begin + n] - total[begin]
+                text = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(np.concatenate([[0], np.cumsum(n - removed)]).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(x[~gone]))])
+                if as_text:
+                    text = pa.array([x.decode(errors="ignore") for x in text.to_pylist()], pa.string())
+                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(n.astype(np.int64)), pa.array(removed.astype(np.int64)), spans, text, *(batch.column(i).slice(a, b - a) for i in range(3, batch.num_columns))], ["doc_id", "n_bytes", "n_removed", "spans", "kept", *batch.schema.names[3:]])
+
+    return run
+
+
+def remove_repeats(docs: DataFrame, *, length: int = LENGTH, keep: list[str] | None = None, shard_bytes: int = SHARD_BYTES, hot: int = HOT, as_text: bool = False) -> DataFrame:
     """Per row of docs (doc_id, text, others): doc_id, n_bytes, n_removed, spans (removed, first byte and the one past the last),
-    kept (the bytes left), and the columns named in `keep`. A byte is removed if a `length`-byte string over it starts anywhere else too."""
+    kept (the bytes left, or with `as_text` the text), and the columns named in `keep`. A byte is removed if a `length`-byte string over it starts anywhere else too."""
     spark, keep = docs.sparkSession, keep or []
     docs = common.with_uid(docs.select("doc_id", "text", *keep))
     texts = docs.select("uid", "text")
-    found = texts.mapInArrow(segments(length), RUN).repartition(common.parts(spark), "key").sortWithinPartitions("key", "d1", "d2").mapInArrow(judged, FOUND)
+    found = texts.transform(common.mapped, segments(length), RUN).repartition(common.parts(spark), "deal").sortWithinPartitions("key", "d1", "d2").transform(common.mapped, judged, FOUND)
     found = common.cut(found)
     single = found.filter("not whole").select("uid", "start", "windows", "key", "several")
     wanted = single.groupBy("uid").agg(F.collect_list(F.struct("start", "windows", "key", "several")).alias("wanted"))
     dealt = docs.repartition(common.parts(spark), "uid")  # both joins by uid read this one exchange
-    bits = dealt.select("uid", "text").join(wanted, "uid").mapInArrow(pieces(length), "key long, uid long, start int, several boolean, bytes binary")
+    bits = dealt.select("uid", "text").join(wanted, "uid").transform(common.mapped, pieces(length), "key long, uid long, start int, several boolean, bytes binary")
     often = single.groupBy("key").count().filter(F.col("count") > hot).select("key")  # at most rows / hot keys
     runs = None
     if not often.isEmpty():
-        each = bits.join(F.broadcast(often), "key").mapInArrow(windows(length), "key long, h1 long, h2 long, uid long, first int, several boolean")
+        each = bits.join(F.broadcast(often), "key").transform(common.mapped, windows(length), "key long, h1 long, h2 long, uid long, first int, several boolean")
         again = each.groupBy("key", "h1", "h2").agg(F.count("*").alias("n"), F.max("several").alias("s")).filter("n > 1 or s").select("key", "h1", "h2")
         runs = each.filter("not several").join(again, ["key", "h1", "h2"]).select("uid", "first", (F.col("first") + length).alias("past"))
         bits = bits.join(F.broadcast(often), "key", "left_anti")
-    by_array = bits.repartition(common.parts(spark), "key").sortWithinPartitions("key").mapInArrow(shards(length, shard_bytes), "uid long, first int, past int")
+    by_array = bits.repartition(common.parts(spark), "key").sortWithinPartitions("key").transform(common.mapped, shards(length, shard_bytes), "uid long, first int, past int")
     runs = by_array if runs is None else runs.union(by_array)
     runs = runs.union(found.filter("whole").select("uid", F.col("start").alias("first"), (F.col("start") + F.col("windows") + length - 1).alias("past")))
     per = runs.groupBy("uid").agg(F.collect_list(F.struct("first", "past")).alias("found"))
     joined = dealt.join(per, "uid", "left").select("doc_id", "text", F.coalesce("found", F.array().cast("array<struct<first:int,past:int>>")).alias("found"), *keep)
     kinds = dict(docs.dtypes)
-    return joined.mapInArrow(kept_bytes, ", ".join([f"doc_id {kinds['doc_id']}, n_bytes long, n_removed long, spans array<struct<first:long,past:long>>, kept binary", *(f"`{c}` {kinds[c]}" for c in keep)]))
-
-
-def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        text = pa.array([x.decode(errors="ignore") for x in common.column(batch, "kept").to_pylist()], pa.string())
-        yield pa.RecordBatch.from_arrays([text, *(x for n, x in zip(batch.schema.names, batch.columns, strict=True) if n != "kept")], ["__text", *(n for n in batch.schema.names if n != "kept")])
+    return joined.transform(common.mapped, kept_bytes(as_text), ", ".join([f"doc_id {kinds['doc_id']}, n_bytes long, n_removed long, spans array<struct<first:long,past:long>>, kept {'string' if as_text else 'binary'}", *(f"`{c}` {kinds[c]}" for c in keep)]))
 
 
 def without_repeats(docs: DataFrame, *, length: int = LENGTH) -> DataFrame:
@@ -297,8 +317,6 @@ def without_repeats(docs: DataFrame, *, length: int = LENGTH) -> DataFrame:
     leaves incomplete go too. Null texts become empty. No row goes."""
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     names = {c: f"c{i}" for i, c in enumerate(others)}  # whatever their names
-    out = remove_repeats(docs.select("doc_id", "text", *(F.col(f"`{c}`").alias(n) for c, n in names.items())), length=length, keep=list(names.values()))
-    out = out.select("doc_id", "kept", *names.values())
-    out = out.mapInArrow(_decoded, ", ".join(f"{c} {k}" for c, k in [("__text", "string"), *((c, k) for c, k in out.dtypes if c != "kept")]))
-    cell = lambda c: F.char_length("__text").cast(dict(docs.dtypes)["n_chars"]) if c == "n_chars" else F.col("__text") if c == "text" else F.col(names.get(c, c))
+    out = remove_repeats(docs.select("doc_id", "text", *(F.col(f"`{c}`").alias(n) for c, n in names.items())), length=length, keep=list(names.values()), as_text=True)
+    cell = lambda c: F.char_length("kept").cast(dict(docs.dtypes)["n_chars"]) if c == "n_chars" else F.col("kept") if c == "text" else F.col(names.get(c, c))
     return out.select(*(cell(c).alias(c) for c in docs.columns))
