@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from . import common
 
-WORDS, BANDS, ROWS, SLACK, BLOCK, PART = 5, 28, 5, 0.16, 2048, 1024
+WORDS, BANDS, ROWS, SLACK, BLOCK, PART = 5, 28, 5, 0.16, 2048, 256
 SIGNED = "uid long, doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, minima binary"
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
@@ -199,7 +199,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> Data
     salted = pairs.join(many, "a").withColumn("part", F.pmod(F.xxhash64("b"), "parts").cast("int"))
     centres = salted.select("a", "part").distinct().select(F.col("a").alias("uid"), "a", "part")
     rows = salted.select(F.col("b").alias("uid"), "a", "part").union(centres).join(texts, "uid").select("a", "part", F.col("uid").alias("b"), (F.col("a") != F.col("uid")).alias("member"), "text")
-    return rows.repartition(common.parts(pairs.sparkSession), "a", "part").sortWithinPartitions("a", "part", "member").mapInArrow(_confirmed(percent, size), "a long, b long")
+    return rows.repartition(common.parts(pairs.sparkSession), "a", "part").sortWithinPartitions("a", "part", "member").transform(common.mapped, _confirmed(percent, size), "a long, b long")
 
 
 def components(links: DataFrame, *, most_rounds: int = 50) -> DataFrame:
@@ -229,7 +229,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, size: int = WORDS, ba
     texts = common.with_uid(docs.select("doc_id", "text"))
     width = bands * rows
     least = max(0, int(width * (percent / 100 - slack)))
-    sign = common.cut(texts.mapInArrow(signed(bands, rows, size), SIGNED))
+    sign = common.cut(texts.transform(common.mapped, signed(bands, rows, size), SIGNED))
     classes = sign.filter("n_shingles > 0").groupBy("d1", "d2").agg(F.min("uid").alias("rep"), F.min("doc_id").alias("least_id"))
     classes = common.cut(classes)
     reps = sign.join(classes.select(F.col("rep").alias("uid")), "uid").select(F.col("uid").alias("rep"), "bands", "minima")
@@ -240,7 +240,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, size: int = WORDS, ba
     shared = common.cut(banded.join(buckets, "band").select("band", "n", "a", F.col("rep").alias("b")))
     often = shared.filter("a != b").groupBy("b", "a").agg(F.count("*").alias("n"))
     pairs = often.groupBy("b").agg(F.max(F.struct("n", (-F.col("a")).alias("a"))).alias("top")).select((-F.col("top.a")).alias("a"), "b")
-    pairs = pairs.join(minima.toDF("a", "ma"), "a").join(minima.toDF("b", "mb"), "b").mapInArrow(_alike(width, least), "a long, b long")
+    pairs = pairs.join(minima.toDF("a", "ma"), "a").join(minima.toDF("b", "mb"), "b").transform(common.mapped, _alike(width, least), "a long, b long")
     pairs = common.cut(pairs)
     # Texts that any confirmation can ask for: those in a bucket with another class.
     asked = shared.select(F.col("b").alias("uid")).distinct()
