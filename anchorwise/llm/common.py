@@ -84,6 +84,19 @@ def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     return df.mapInArrow(task, schema)
 
 
+class Numbers(dict):
+    """Numbers of words in the order in which they are first asked for; `new` holds those asked for since it was last emptied."""
+
+    def __init__(self, *known: object) -> None:
+        super().__init__({w: i for i, w in enumerate(known)})
+        self.new: list = []
+
+    def __missing__(self, word: object) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
+        return n
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all values, one behind the other, and the n + 1 offsets. Nulls are empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -52,7 +52,7 @@ class Encoder:
         self.clear()
 
     def clear(self) -> None:
-        self.known = _Numbers({_BETWEEN: 0})
+        self.known = common.Numbers(_BETWEEN)
         self.flat, self.at, self.size = np.array([self.end], np.uint32), np.zeros(1, np.int64), np.ones(1, np.int64)
 
     def learn(self, words: list[bytes]) -> None:
@@ -87,19 +87,6 @@ class Encoder:
         return self.flat[common.gathered(self.at[kinds], size)], np.concatenate([[0], np.cumsum(size)[kinds == 0]])
 
 
-class _Numbers(dict):
-    """Numbers of words in the order in which they are first asked for."""
-
-    def __init__(self, known: dict[bytes, int]) -> None:
-        super().__init__(known)
-        self.new: list[bytes] = []
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self)
-        self.new.append(word)
-        return n
-
-
 @functools.lru_cache(2)
 def _encoder(path: str, end: int) -> Encoder:
     """Words stay known from task to task of a worker."""

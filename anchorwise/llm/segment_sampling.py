@@ -20,6 +20,7 @@ import functools
 import heapq
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 
 from . import common
 
-SAMPLES, ALPHA, WORDS, LONGEST = 2, 1.0, 100_000, 16
+SAMPLES, ALPHA, WORDS, LONGEST = 2, 1.0, 250_000, 16
 BLANK, BYTES, FIRST = "▁", 3, 259  # ids of byte pieces begin at 3, those of other pieces at 259
 _WORD = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -69,6 +70,7 @@ class Lattices:
         self.raw = np.frombuffer(b"".join(raw), np.uint8)
         self.weight = -alpha * np.log1p(np.maximum(np.arange(n) - FIRST, 0) + 1.0)
         self.byte_weight = -alpha * np.log1p(float(n))
+        self.weight[BYTES : BYTES + 256] = self.byte_weight
         usable = [i for i in range(FIRST, n) if not sp.is_byte(i) and not sp.is_unused(i)]
         # An open table of pieces by the hash of their characters.
         self.table, self.ids = np.zeros(1 << 18, np.uint64), np.full(1 << 18, -1, np.int32)
@@ -102,12 +104,13 @@ class Lattices:
         return found
 
     def clear(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = common.Numbers()
         self.words = _Rows(base=np.int64, end=np.int64)
         self.nodes = _Rows(first=np.int64, last=np.int64)
         self.edges = _Rows(src=np.int32, step=np.int16, id=np.int32, log=np.float64, cum=np.float32)
 
     def learn(self, words: list[str]) -> None:
+        """words: those with the numbers behind the last known one."""
         chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
         size = np.array([len(w) for w in words], np.int64)
         word = np.repeat(np.arange(len(words)), size)
@@ -123,7 +126,8 @@ class Lattices:
             h = self._next(h, chars[place + k - 1])
             found = self._look(h)
             if k == 1:
-                found = np.where(found < 0, -2 - chars[place].astype(np.int64), found)
+                c = chars[place].astype(np.int64)
+                found = np.where(found >= 0, found, np.where(c < 0x80, BYTES + c, -2 - c))
             hit = found != -1
             src.append(node[place[hit]])
             step.append(np.full(hit.sum(), k))
@@ -156,17 +160,17 @@ class Lattices:
         self.edges.add(src=src + v, step=step, id=ids, log=np.minimum(log, 0.0), cum=cum)
         self.nodes.add(first=first + e, last=last + e)
         self.words.add(base=base + v, end=base + size + v)
-        first = len(self.known)
-        self.known.update((w, first + i) for i, w in enumerate(words))
 
     def index(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """Numbers of all words."""
         if len(self.known) > WORDS:
             self.clear()
-        new = {w for ws in texts for w in ws if w not in self.known}
-        if new:
-            self.learn(sorted(new))
-        get = self.known.__getitem__
-        return [np.fromiter(map(get, ws), np.int64, len(ws)) for ws in texts]
+        size = [len(ws) for ws in texts]
+        found = np.fromiter(map(self.known.__getitem__, chain.from_iterable(texts)), np.int64, sum(size))
+        if self.known.new:
+            self.learn(self.known.new)
+            self.known.new = []
+        return np.split(found, np.cumsum(size)[:-1])
 
     def decode(self, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of each run of ids and their offsets, without the blank in front."""
@@ -315,11 +319,15 @@ def _log_inclusion(x: float) -> float:
 
 def _ids(lat: Lattices, edges: np.ndarray) -> np.ndarray:
     ids = lat.edges.id[edges]
-    if len(ids) and ids.min() < 0:  # characters without a piece
-        out: list[int] = []
-        for i in ids.tolist():
-            out += [i] if i >= 0 else [BYTES + b for b in chr(-2 - i).encode()]
-        ids = np.array(out, np.int32)
+    wide = np.flatnonzero(ids < 0)  # characters of several bytes without a piece
+    if len(wide):
+        raw = [chr(-2 - i).encode() for i in ids[wide].tolist()]
+        many = np.ones(len(ids), np.int64)
+        many[wide] = [len(x) for x in raw]
+        at = (np.cumsum(many) - many)[wide]
+        ids = np.repeat(ids, many)
+        for a, x in zip(at.tolist(), raw, strict=True):
+            ids[a : a + len(x)] = [BYTES + b for b in x]
     return ids
 
 
@@ -345,7 +353,7 @@ def sample(docs: DataFrame, path: str, *, k: int = SAMPLES, alpha: float = ALPHA
             seeds = common.mixed((keys.view(np.uint64) + np.uint64(seed)) * _STEP)
             text = common.column(batch, "text")
             _, at = common.utf8(text)
-            for a, b in common.spans(at, 1 << 19):
+            for a, b in common.spans(at, 1 << 20):
                 texts = [_WORD.findall(BLANK + t.replace(" ", BLANK)) if t else [] for t in text.slice(a, b - a).to_pylist()]
                 rows = sample_chunk(lat, texts, seeds[a:b], k)
                 flat = [_ids(lat, s[0]) for r in rows for s in r]
