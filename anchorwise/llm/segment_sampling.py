@@ -36,6 +36,15 @@ _ROUND = np.uint64(0xC2B2AE3D27D4EB4F)
 OUT = "rank int, ids array<int>, log_prob double, perturbed double, log_inclusion double"
 
 
+def words(text: str | None) -> list[str]:
+    """The words of a text, each with its blanks in front."""
+    if not text:
+        return []
+    if BLANK in text or "  " in text or text[-1] == " " or text[0] == " ":
+        return _WORD.findall(BLANK + text.replace(" ", BLANK))
+    return (BLANK + text.replace(" ", f" {BLANK}")).split(" ")
+
+
 class _Rows:
     """Arrays that grow together."""
 
@@ -354,7 +363,7 @@ def sample(docs: DataFrame, path: str, *, k: int = SAMPLES, alpha: float = ALPHA
             text = common.column(batch, "text")
             _, at = common.utf8(text)
             for a, b in common.spans(at, 1 << 20):
-                texts = [_WORD.findall(BLANK + t.replace(" ", BLANK)) if t else [] for t in text.slice(a, b - a).to_pylist()]
+                texts = [words(t) for t in text.slice(a, b - a).to_pylist()]
                 rows = sample_chunk(lat, texts, seeds[a:b], k)
                 flat = [_ids(lat, s[0]) for r in rows for s in r]
                 many = [len(r) for r in rows]

@@ -54,6 +54,11 @@ def test_samples_follow_their_probabilities(text):
         assert abs(first[s] / n - q) < 0.03 and abs(second[s] / n - behind[s]) < 0.03 and abs(weighed[s] / n - q) < 0.03
 
 
+def test_words_are_those_of_the_pattern():
+    for t in [*ODD, "a b", "a", " a", "a ", "a  b", "▁", "a▁b c", "\n a\tb"]:
+        assert segment_sampling.words(t) == (segment_sampling._WORD.findall("▁" + t.replace(" ", "▁")) if t else [])
+
+
 def test_all_samples_of_a_small_lattice():
     lat = segment_sampling.lattices(MODEL, 1.0)
     rows = segment_sampling.sample_chunk(lat, [["▁", "①"], []], np.ones(2, np.uint64), 50)
