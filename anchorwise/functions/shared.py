@@ -1,4 +1,4 @@
-"""Lineage cuts in the folder that driver and executors share."""
+"""Lineage cuts in the folder that driver and executors share, and the spreading of small inputs."""
 
 from __future__ import annotations
 
@@ -13,3 +13,10 @@ def cut(df: DataFrame) -> DataFrame:
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="anchorwise-"))
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deals out an input that has fewer splits than the cluster has cores, for steps that cost much a row. Larger inputs stay as
+    they are, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

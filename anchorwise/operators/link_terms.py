@@ -27,13 +27,14 @@ def page_items(html: Column, tokenizer: str = "break", drop_script: bool = False
     mark = lambda r: F.struct(null.alias("term"), r.alias("ref"))
     one = lambda t: F.filter(F.array(term(t)), lambda x: T.accepted(x.term))
 
-    def part(text: Column, i: Column) -> Column:
-        words = F.transform(T.words(T.plain_text(text), tokenizer), term)
-        marks = F.filter(F.array(mark(T.link_target(F.get(attributes, i)))), lambda x: x.ref.isNotNull())
-        label = one(T.normalize_phrase(T.plain_text(F.coalesce(F.get(labels, i), F.lit("")))))
+    def part(piece: Column) -> Column:
+        words = F.transform(T.words(T.plain_text(piece["0"]), tokenizer), term)
+        marks = F.filter(F.array(mark(T.link_target(piece["1"]))), lambda x: x.ref.isNotNull())
+        label = one(T.normalize_phrase(T.plain_text(F.coalesce(piece["2"], F.lit("")))))
         return F.concat(words, marks, label)
 
-    return F.flatten(F.concat(F.array(one(title)), F.transform(texts, part)))
+    # The three arrays are arguments of one function: inside the lambda they would be made anew for every piece.
+    return F.flatten(F.concat(F.array(one(title)), F.transform(F.arrays_zip(texts, attributes, labels), part)))
 
 
 def page_terms(pages: DataFrame, *, key: str = "article_name", html: str = "html", tokenizer: str = "break", drop_script: bool = False) -> DataFrame:
@@ -49,11 +50,12 @@ def proximity_pairs(page: DataFrame, max_distance: int = MAX_DISTANCE, *, key: s
     """Of page_terms(): a row for each link and each term around it."""
     if max_distance < 0:
         raise ValueError("max_distance must be 0 or more")
-    link = page.select(F.col(key), "terms", F.explode("links").alias("link"))
+    # The outer form, since for the inner one the optimizer would first evaluate the page again to see if it has links.
+    link = page.select(F.col(key), "terms", F.explode_outer("links").alias("link")).filter("link is not null")
     low = F.greatest(F.col("link.pos") - max_distance, F.lit(0))
     size = F.greatest(F.least(F.col("link.pos") + max_distance, F.size("terms")) - low, F.lit(0))
     near = F.transform(F.slice("terms", low + 1, size), lambda t, j: F.struct(t.alias("term"), (low + j - F.col("link.pos")).cast("int").alias("distance")))
-    return link.select(F.col(key), F.col("link.ref").alias("article_ref"), F.explode(near).alias("n")).select(F.col(key).alias("article_name"), "n.term", "article_ref", F.col("n.distance").alias("term_distance"))
+    return link.select(F.col(key), F.col("link.ref").alias("article_ref"), F.explode_outer(near).alias("n")).filter("n is not null").select(F.col(key).alias("article_name"), "n.term", "article_ref", F.col("n.distance").alias("term_distance"))
 
 
 def terms_of_html(pages: DataFrame, max_distance: int = MAX_DISTANCE, **options: object) -> DataFrame:

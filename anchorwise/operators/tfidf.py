@@ -20,8 +20,9 @@ def weighted(terms: DataFrame, kind: str = "signed") -> DataFrame:
 
 
 def doc_term_counts(rows: DataFrame) -> DataFrame:
-    """(doc, term, weight) to (doc, term, count): partial sums before the shuffle."""
-    return rows.groupBy("doc", "term").agg(F.sum("weight").alias("count"))
+    """(doc, term, weight) to (doc, term, count): partial sums before the shuffle. Rows without a key count nowhere; to say so
+    here makes all uses of the result read one exchange, as joins would else filter some of them."""
+    return rows.filter("doc is not null and term is not null").groupBy("doc", "term").agg(F.sum("weight").alias("count"))
 
 
 def doc_totals(counts: DataFrame) -> DataFrame:
@@ -35,7 +36,7 @@ def frequencies(counts: DataFrame) -> DataFrame:
 
 def inverse_frequencies(counts: DataFrame) -> DataFrame:
     """(term, idf). Counts of documents, overall and by term, follow from the distinct pairs."""
-    docs = counts.agg(F.count_distinct("doc").alias("docs"))
+    docs = doc_totals(counts).agg(F.count("total").alias("docs"))
     by_term = counts.groupBy("term").agg(F.count("count").alias("with_term"))
     return by_term.crossJoin(F.broadcast(docs)).select("term", scoring.inverse_document_frequency(F.col("docs"), F.col("with_term")).alias("idf"))
 
@@ -52,9 +53,10 @@ def scores(rows: DataFrame, top: int | None = TOP) -> DataFrame:
 
 def document_frequency(terms: DataFrame, articles: int | None = None) -> DataFrame:
     """(article_name, term) to (term, num_articles, df), most frequent first. `articles`: the number that df is a share of; all distinct ones by default."""
-    counts = terms.groupBy("term").agg(F.count_distinct("article_name").alias("num_articles"))
+    pairs = terms.filter("article_name is not null and term is not null").groupBy("article_name", "term").agg(F.sum(F.lit(1)).alias("n"))  # distinct; both uses read this one exchange
+    counts = pairs.groupBy("term").agg(F.count("n").alias("num_articles"))
     if articles is None:
-        counts = counts.crossJoin(F.broadcast(terms.agg(F.count_distinct("article_name").alias("n"))))
+        counts = counts.crossJoin(F.broadcast(pairs.groupBy("article_name").agg(F.sum("n").alias("s")).agg(F.count("s").alias("of"))))
     else:
-        counts = counts.withColumn("n", F.lit(articles))
-    return counts.select("term", "num_articles", scoring.document_frequency(F.col("num_articles"), F.col("n")).alias("df")).orderBy(F.desc("num_articles"), "term")
+        counts = counts.withColumn("of", F.lit(articles))
+    return counts.select("term", "num_articles", scoring.document_frequency(F.col("num_articles"), F.col("of")).alias("df")).orderBy(F.desc("num_articles"), "term")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import scoring, templates
 from ..functions import terms as T
 from ..functions import wikitext as W
+from ..functions.shared import spread
 from ..operators import dump, graph, link_terms, tfidf
 from ..sources import readers
 from .registry import query
@@ -74,7 +75,7 @@ def tfidf_sql(triples: str, top: int | None) -> str:
 
 
 def pages_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select(F.col("url").alias("article_name"), "html")
+    return spread(table(spark, sf_dir, "pages").select(F.col("url").alias("article_name"), "html"))
 
 
 def pairs_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,19 +132,19 @@ def distance_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT doc_id, unnest({words_sql('text')}) AS term, generate_subscripts({words_sql('text')}, 1) - 1 AS pos FROM documents")
 def doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(T.words(F.col("text"), "pattern")).alias("pos", "term")).withColumn("pos", F.col("pos").cast("long"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.posexplode(T.words(F.col("text"), "pattern")).alias("pos", "term")).withColumn("pos", F.col("pos").cast("long"))
 
 
 @query("SELECT doc_id, t AS term, count(*) AS n FROM (SELECT doc_id, trim(unnest(string_split_regex(text, '[ \\t\\r\\n]'))) AS t FROM documents) WHERE regexp_matches(t, '^\\p{L}') GROUP BY ALL")
 def whitespace_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.explode(T.words(F.col("text"), "space")).alias("term")).groupBy("doc_id", "term").agg(F.count("*").alias("n"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.explode(T.words(F.col("text"), "space")).alias("term")).groupBy("doc_id", "term").agg(F.count("*").alias("n"))
 
 
 # ---- document frequency, TF-IDF ----
 
 
 def doc_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc"), F.explode(T.words(F.col("text"), "pattern")).alias("term"), F.lit(1).alias("weight"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(F.col("doc_id").cast("string").alias("doc"), F.explode(T.words(F.col("text"), "pattern")).alias("term"), F.lit(1).alias("weight"))
 
 
 def line_triples(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import math
 from pyspark.sql import functions as F
 
 from anchorwise.__main__ import parser
+from anchorwise.operators import link_terms
 from anchorwise.operators.graph import same_graph
 from anchorwise.plans import jobs
 from anchorwise.sources import readers, sinks
@@ -71,12 +72,23 @@ def test_category_graph_and_redirect_map(spark, tmp_path):
 def test_plan_of_pairs_has_no_exchange_and_no_python(spark):
     from anchorwise.plans import registry
 
-    plan = jobs.explained(registry.queries()["proximity_pairs"](spark, "/root/testdata/sf0.001"))
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").selectExpr("url AS article_name", "html")
+    plan = jobs.explained(link_terms.terms_of_html(pages, 10))
     assert "Exchange" not in plan and "Python" not in plan and "ReadSchema: struct<url:string,html:string>" in plan
     plan = jobs.explained(registry.queries()["tfidf_top20_lineitem"](spark, "/root/testdata/sf0.001"))
     assert "WindowGroupLimit" in plan and "Python" not in plan
 
 
+def test_scores_read_their_input_once(spark):
+    from anchorwise.plans import registry
+
+    for name in ("tfidf_top20", "flagship_link_terms_top20", "term_document_frequency"):
+        df = registry.queries()[name](spark, "/root/testdata/sf0.001")
+        df.collect()
+        final = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple").partition("Initial Plan")[0]
+        assert final.count("FileScan") == 1 and "ReusedExchange" in final
+
+
 def test_arguments():
     a = parser().parse_args(["generate", "--inputdir", "i", "--workingdir", "w"])
     assert a.maxdistance == 100 and a.job == "generate"
