@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 
 from . import common
 
-SAMPLES, ALPHA, WORDS, LONGEST = 2, 1.0, 250_000, 16
+SAMPLES, ALPHA, WORDS, LONGEST = 2, 1.0, 300_000, 16
 BLANK, BYTES, FIRST = "▁", 3, 259  # ids of byte pieces begin at 3, those of other pieces at 259
 _WORD = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -81,18 +81,22 @@ class Lattices:
         self.byte_weight = -alpha * np.log1p(float(n))
         self.weight[BYTES : BYTES + 256] = self.byte_weight
         usable = [i for i in range(FIRST, n) if not sp.is_byte(i) and not sp.is_unused(i)]
-        # An open table of pieces by the hash of their characters.
-        self.table, self.ids = np.zeros(1 << 18, np.uint64), np.full(1 << 18, -1, np.int32)
+        # An open table of pieces and of their beginnings (id -1) by the hash of their characters.
+        self.table, self.ids = np.zeros(1 << 18, np.uint64), np.full(1 << 18, -2, np.int32)
         self.probes = 1
+        placed: dict[int, int] = {}
         for i in usable:
             h = np.zeros(1, np.uint64)
             for c in np.frombuffer(pieces[i].encode("utf-32-le"), np.uint32):
                 h = self._next(h, np.array([c]))
-            slot, k = int(h[0] >> np.uint64(46)), 1
-            while self.table[slot]:
-                slot, k = (slot + 1) & ((1 << 18) - 1), k + 1
-            self.table[slot], self.ids[slot] = h[0], i
-            self.probes = max(self.probes, k)
+                if (key := int(h[0])) not in placed:
+                    slot, k = key >> 46, 1
+                    while self.table[slot]:
+                        slot, k = (slot + 1) & ((1 << 18) - 1), k + 1
+                    self.table[slot], self.ids[slot] = h[0], -1
+                    self.probes = max(self.probes, k)
+                    placed[key] = slot
+            self.ids[placed[int(h[0])]] = i
         self.clear()
 
     @staticmethod
@@ -100,8 +104,9 @@ class Lattices:
         return (h ^ h >> np.uint64(29) ^ (chars.astype(np.uint64) + np.uint64(1))) * np.uint64(0xD6E8FEB86659FD93)
 
     def _look(self, h: np.ndarray) -> np.ndarray:
+        """Ids of pieces; -1 for other beginnings of pieces, -2 for what begins none."""
         slot = (h >> np.uint64(46)).astype(np.int64)
-        found, todo = np.full(len(h), -1, np.int32), np.arange(len(h))
+        found, todo = np.full(len(h), -2, np.int32), np.arange(len(h))
         for _ in range(self.probes):
             at = self.table[slot[todo]]
             hit = at == h[todo]
@@ -134,13 +139,16 @@ class Lattices:
                 break
             h = self._next(h, chars[place + k - 1])
             found = self._look(h)
+            at, got = place, found
             if k == 1:
                 c = chars[place].astype(np.int64)
-                found = np.where(found >= 0, found, np.where(c < 0x80, BYTES + c, -2 - c))
-            hit = found != -1
-            src.append(node[place[hit]])
-            step.append(np.full(hit.sum(), k))
-            ids.append(found[hit])
+                got = np.where(found >= 0, found, np.where(c < 0x80, BYTES + c, -2 - c))
+            else:
+                at, got = place[found >= 0], found[found >= 0]
+            src.append(node[at])
+            step.append(np.full(len(at), k))
+            ids.append(got)
+            place, h = place[found != -2], h[found != -2]
         # Long pieces first, so that walks find likely edges soon.
         src, step, ids = (np.concatenate(x[::-1]) for x in (src, step, ids))
         order = np.argsort(src, kind="stable")
