@@ -12,7 +12,7 @@ fewer words the whole sequence is its one shingle; without words the set is empt
    sets; a task gives a forest of links, not all of them. Pairs within a component need no comparison, as they can't change it.
 4. Components come from alternating large-star and small-star rounds until the edges stay the same.
 
-A pair at the threshold 0.85 shares no band with probability (1 - 0.85 ** rows) ** bands, 8e-8 here.
+A pair at the threshold 0.85 shares no band with probability (1 - 0.85 ** rows) ** bands, 8e-8 here (1.5e-5 at 0.8, the pipeline's threshold).
 Null text counts as empty; rows with a null id, repeated rows and ties are rows of their own; component_id is the smallest doc_id
 (null if all are null). An empty table gives no rows."""
 
@@ -281,8 +281,8 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, size: int = WORDS, ba
     return linked.union(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """docs with one row of each component."""
-    found = near_duplicates(docs).filter("kept")
+def drop_near_copies(docs: DataFrame, *, percent: int = 85) -> DataFrame:
+    """docs with one row of each component of sets whose similarity is `percent` hundredths or more."""
+    found = near_duplicates(docs, percent=percent).filter("kept")
     stay = found.groupBy("component_id", F.when(F.col("component_id").isNull() | (F.col("n_shingles") == 0), F.col("uid")).alias("own")).agg(F.min("uid").alias("uid")).select("uid")
     return common.with_uid(docs).join(stay, "uid", "left_semi").drop("uid")

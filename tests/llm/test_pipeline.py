@@ -54,6 +54,24 @@ def test_stages_drop_what_is_planted_and_keep_the_rest(spark, tmp_path):
     assert {r.doc_id for r in out.select("doc_id").distinct().collect()} == set(last)
 
 
+def test_near_dedup_stage_links_from_a_similarity_of_four_fifths(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklm") for _ in range(rng.randint(4, 9)))
+    sets = lambda t: {tuple(t[i : i + 5]) for i in range(len(t) - 4)}
+    docs, likeness = [], {}
+    for k in range(20):
+        base = [word() for _ in range(200)]
+        edits = 4 if k % 2 == 0 else 5  # similarities of 0.815 and 0.774
+        other = [word() if i % 30 == 20 and i < 20 + 30 * edits else w for i, w in enumerate(base)]
+        docs += [(10 * k, base), (10 * k + edits, other)]
+        a, b = sets(base), sets(other)
+        likeness[10 * k + edits] = len(a & b) / len(a | b)
+    rows = spark.createDataFrame([(i, " ".join(t), "en", "s", 1) for i, t in docs], "doc_id long, text string, lang string, source string, n_chars long")
+    left = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, rows, "").collect()}
+    assert {0.8 <= j < 0.85 for i, j in likeness.items() if i % 10 == 4} == {True} and {j < 0.8 for i, j in likeness.items() if i % 10 == 5} == {True}
+    assert left == {i for i, _ in docs} - {i for i, j in likeness.items() if j >= 0.8}
+
+
 def test_run_on_an_empty_table(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
