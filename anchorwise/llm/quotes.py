@@ -4,7 +4,7 @@ Lines that begin with `>` marks are quoted; the number of marks is the level. Ne
 paragraphs (between blank lines) and their lines are normalised (lower case, white space runs to one blank) and hashed, and so are the unquoted texts
 of all messages. A passage is linked to the earliest message before it in its conversation that has the largest unit in common
 (passage, then paragraph, then line), and else to the first such message of any other conversation. Originals are reduced to one row a
-hash before the join, so a line that many messages share costs no more than one row a quotation.
+hash before the join (with the first messages of two conversations, as one may be the asker's own), so a line that many messages share costs no more than one row a quotation.
 
 The parent of a message is the latest original in its conversation of its passages of the lowest level linked there. Paths from the first message down
 come by doubling, in as many rounds as the logarithm of the longest chain. Rows are ordered by conversation and path: a reply
@@ -57,8 +57,11 @@ def links(passages: DataFrame, originals: DataFrame) -> DataFrame:
     units = originals.filter("conv_id is not null and turn is not null").select("conv_id", "turn", F.explode(_units(F.col("body"))).alias("u")).select("conv_id", "turn", "u.key")
     within = units.groupBy("conv_id", "key").agg(F.min("turn").alias("to_turn"))
     near = asked.join(within, ["conv_id", "key"]).filter("to_turn < turn").select("uid", "run", "size", F.lit(1).alias("own"), F.col("conv_id").alias("to_conv"), "to_turn")
-    first = units.groupBy("key").agg(F.min(F.struct("conv_id", "turn")).alias("f"))
-    far = asked.join(first, "key").filter(~F.col("f.conv_id").eqNullSafe(F.col("conv_id"))).select("uid", "run", "size", F.lit(0).alias("own"), F.col("f.conv_id").alias("to_conv"), F.col("f.turn").alias("to_turn"))
+    # The first messages of the two least conversations: one of them at least is not the asker's own. The limit of the window also holds before its shuffle.
+    two = within.withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("conv_id"))).filter("nth <= 2")
+    firsts = two.groupBy("key").agg(*(F.min(F.when(F.col("nth") == k, F.struct("conv_id", F.col("to_turn").alias("turn")))).alias(f"f{k}") for k in (1, 2)))
+    other = F.when(F.col("f1.conv_id").eqNullSafe(F.col("conv_id")), F.col("f2")).otherwise(F.col("f1"))
+    far = asked.join(firsts, "key").withColumn("f", other).filter("f is not null").select("uid", "run", "size", F.lit(0).alias("own"), F.col("f.conv_id").alias("to_conv"), F.col("f.turn").alias("to_turn"))
     best = near.union(far).groupBy("uid", "run").agg(F.max(F.struct("own", "size", (-F.col("to_conv")).alias("c"), (-F.col("to_turn")).alias("t"))).alias("b"))
     return passages.join(best, ["uid", "run"], "left").select("uid", "conv_id", "turn", "run", "level", "passage", (-F.col("b.c")).alias("to_conv"), (-F.col("b.t")).alias("to_turn"))
 

@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -79,6 +80,22 @@ def test_quotations_are_linked_and_ordered(spark):
     assert quotes.link_quotations(df.limit(0)).count() == 0
 
 
+def test_quotations_of_other_conversations(spark):
+    rng = random.Random(3)
+    lines = ["Thanks all", "yes", "no idea", "see you"]
+    rows = [(1, 0, "> Thanks all"), (1, 1, "Thanks all"), (2, 0, "Thanks all")]
+    rows += [(c, t, rng.choice(["> ", ""]) + rng.choice(lines) + f" {k}") for k in range(12) for c, t in rng.sample([(c, t) for c in range(10 * k + 10, 10 * k + 15) for t in range(4)], 9)]
+    rows += [(None, 0, "> yes 3"), (None, 1, "no idea 4")]
+    got = quotes.link_quotations(spark.createDataFrame([(c, t, "user", x) for c, t, x in rows], "conv_id long, turn long, role string, text string")).collect()
+    want = []
+    for c, t, x in rows:
+        if x.startswith("> "):
+            same = sorted((a, b) for a, b, y in rows if y == x[2:] and a is not None)
+            want.append((c, t, *next(iter([s for s in same if s[0] == c and s[1] < t] + [s for s in same if s[0] != c]), (None, None))))
+    found = [(r.conv_id, r.turn, q.conv_id, q.turn) for r in got for q in r.quotes]
+    assert (1, 0, 2, 0) in found and sorted(map(str, found)) == sorted(map(str, want))
+
+
 def test_quotations_against_sql(spark, tmp_path):
     import duckdb
 
