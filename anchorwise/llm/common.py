@@ -9,10 +9,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BATCH_BYTES = 4 << 20
+#: Bits of a row key for the place in a file; the others are for the file.
+FILE_ROW_BITS = 27
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -38,19 +40,38 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _scanned(plan) -> bool:  # noqa: ANN001  a logical plan of the JVM
-    """Whether rows come straight from files, a checkpoint or the driver, in an order that doesn't change."""
-    if plan.nodeName() in ("LogicalRelation", "LogicalRDD", "LocalRelation", "Range") or plan.nodeName().startswith("Relation"):
-        return True
-    kids = plan.children()
-    return plan.nodeName() in ("Project", "Filter") and all(_scanned(kids.apply(i)) for i in range(kids.size()))
+def _source(plan):  # noqa: ANN001, ANN202  a logical plan of the JVM
+    """The leaf that rows come straight from, or None where they come out of anything but projections and filters."""
+    while plan.nodeName() in ("Project", "Filter"):
+        plan = plan.children().apply(0)
+    return plan if plan.children().isEmpty() else None
+
+
+def _file_salt(df: DataFrame, place: Column) -> int | None:
+    """A salt under which the hashes of the paths of df's files differ."""
+    if len(df.inputFiles()) == 1:
+        return 0
+    files = df.select(place["file_path"].alias("path")).distinct()
+    n, *found = files.agg(F.count("*"), *(F.count_distinct(_file_number(F.col("path"), k)) for k in range(8))).first()
+    return found.index(n) if n in found else None
+
+
+def _file_number(path: Column, salt: int) -> Column:
+    return F.pmod(F.xxhash64(path, F.lit(salt)), F.lit(1 << 63 - FILE_ROW_BITS))
 
 
 def with_uid(df: DataFrame) -> DataFrame:
-    """Adds uid, a number for each row. It follows from the row's place in its input split, so that a second
-    scan of the same input, or a scan made again after an executor was lost, gives the same numbers. Rows that come
-    out of a shuffle have no such place; they are written to the shared folder first."""
-    if not _scanned(df._jdf.queryExecution().optimizedPlan()):
+    """Adds uid, a number for each row, the same in every scan of the same input. In Parquet files it follows from the file and the row's place in it,
+    so it doesn't change with splits, which depend on settings and on the cores registered at the moment. A checkpoint has partitions of its own, that don't change. Other rows
+    are written to the shared folder first."""
+    source = _source(df._jdf.queryExecution().optimizedPlan())
+    if source is not None and source.nodeName().startswith(("LogicalRelation", "Relation")) and source.relation().getClass().getSimpleName() == "HadoopFsRelation" and source.relation().fileFormat().toString() == "Parquet":
+        place = df.metadataColumn("_metadata")
+        salt = _file_salt(df, place)
+        if salt is not None:
+            row = F.when(place["row_index"] < 1 << FILE_ROW_BITS, place["row_index"]).otherwise(F.raise_error(F.lit("a file has too many rows for row keys")))
+            return df.withColumn("uid", F.shiftleft(_file_number(place["file_path"], salt), FILE_ROW_BITS) + row)
+    if source is None or source.nodeName() not in ("LogicalRDD", "Scan ExistingRDD"):
         df = cut(df)
     return df.withColumn("uid", F.monotonically_increasing_id())
 

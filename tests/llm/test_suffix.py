@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 
-from anchorwise.llm import suffix_dedup
+from anchorwise.llm import common, suffix_dedup
 from anchorwise.llm.suffix_array import permuted_lcp, suffix_array
 
 
@@ -64,3 +64,23 @@ def test_clean_documents_keep_their_columns(spark):
     assert got.columns == docs.columns
     assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, "", "a", 0, 5), (2, "", None, 0, 6), (None, "", "b", 0, 7)], key=str)
     assert suffix_dedup.without_repeats(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_row_keys_do_not_follow_splits(spark, tmp_path, files):
+    at, setting = str(tmp_path / "rows"), "spark.sql.files.minPartitionNum"
+    spark.range(4000).selectExpr("id as doc_id", "concat(id, ' ', sha2(string(id), 512)) as text").coalesce(1).repartition(files).write.option("parquet.block.size", 4096).parquet(at)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        seen, splits = [], []
+        df = common.with_uid(spark.read.parquet(at).filter("doc_id <> 7"))
+        for n in ("6", "4"):
+            spark.conf.set(setting, n)
+            again = df.select("*")
+            splits.append(again.rdd.getNumPartitions())
+            seen.append({r.doc_id: r.uid for r in again.collect()})
+        assert splits[0] != splits[1]
+        assert seen[0] == seen[1] and len(set(seen[0].values())) == 3999
+    finally:
+        spark.conf.unset(setting)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
