@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from anchorwise.llm import common, exact_dedup, minhash, packing, suffix_dedup, toxicity
 
-#: Bytes of a repeated string. Passages of 50 words have 250 bytes and more in the languages at hand.
+#: Bytes of a repeated string. Rare passages of just over 50 short words are below it and stay: of sf0.1's 3,528,163 windows of 51 words 31 (28 texts, 3 of them in two
+#: documents each; 230 bytes and more) among those with 30 distinct words or more.
 REPEATED_BYTES = 240
 #: Least similarity of near copies, in hundredths. The 85 of op5's query holds for that query alone.
 NEAR_PERCENT = 80
