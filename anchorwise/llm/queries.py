@@ -14,7 +14,8 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .suffix_dedup import remove_repeats
 
     out = remove_repeats(read(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    left = F.make_valid_utf8(F.col("kept").cast("string"))  # U+FFFD for what a cut leaves of a character
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), left.alias("text"))
 
 
 def op2_segment_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,13 +1,19 @@
-"""Suffix arrays by induced sorting, and permuted common prefixes, in numpy.
+"""Suffix arrays by induced sorting, and permuted common prefixes.
 
-Suffixes are classified, the leftmost-smaller substrings are sorted and named by induction, and the order of all
-suffixes is induced from theirs, whole buckets of a byte at a time. The reduced string of names has a large alphabet and small buckets, where
-induction has no wide steps; its order comes from naming stretches of names again and again, each two or three of the last."""
+Suffixes are classified, the leftmost-smaller substrings are sorted by induction and named, the string of their names is sorted the same way, level by level,
+until all names differ, and the order of all suffixes is induced from that. At the level of bytes the induction runs in numpy, a whole bucket at a
+time, runs of one byte included; names have a large alphabet and small buckets, so the levels above are plain loops. Each level has at most half the
+places of the one below, and takes time in proportion to them."""
 
 from __future__ import annotations
 
 import numpy as np
 
+from . import common
+
+#: Substrings longer than this are compared one by one, and so are the last `FEW` common prefixes.
+LONG, FEW = 64, 32
+
 
 def _types(t: np.ndarray) -> np.ndarray:
     """True where a suffix is smaller than the next one. The last suffix is larger than the (virtual) end, so False."""
@@ -32,7 +38,23 @@ def _place(sa: np.ndarray, at: np.ndarray, found: np.ndarray, chars: np.ndarray,
     at[c[first]] += sign * sizes
 
 
-def _induce(t: np.ndarray, smaller: np.ndarray, counts: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+def _runs(t: np.ndarray) -> np.ndarray:
+    """For each place, how many equal bytes stand directly before it."""
+    at = np.arange(len(t))
+    first = np.concatenate([[True], t[1:] != t[:-1]])
+    return at - np.maximum.accumulate(np.where(first, at, 0))
+
+
+def _with_runs(now: np.ndarray, back: np.ndarray) -> np.ndarray:
+    """`now` and, behind it, the places before each in its run of one byte: first those one place before, then those two places before, and so on."""
+    more = back[now]
+    if not more.any():
+        return now
+    step = common.gathered(np.ones(len(now), np.int64), more)
+    return np.concatenate([now, (np.repeat(now, more) - step)[np.argsort(step, kind="stable")]])
+
+
+def _induce(t: np.ndarray, smaller: np.ndarray, back: np.ndarray, counts: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     """The order of all suffixes that follows from `seeds`, the leftmost-smaller suffixes in bucket order."""
     n = len(t)
     sa = np.full(n, -1, np.int64)
@@ -42,32 +64,31 @@ def _induce(t: np.ndarray, smaller: np.ndarray, counts: np.ndarray, seeds: np.nd
     per = np.bincount(t[seeds], minlength=len(counts))
     seed_end = np.cumsum(per)
     heads = begins.copy()
-    # Larger suffixes, left to right. The virtual end induces the last suffix first.
+    # Larger suffixes, left to right. The virtual end induces the last suffix first. Places of the own bucket all lie in runs behind those already there.
     sa[heads[t[n - 1]]] = n - 1
     heads[t[n - 1]] += 1
     for c in used:
-        done = begins[c]
-        while done < heads[c]:
-            now = sa[done : heads[c]]
-            done = heads[c]
+        if heads[c] > begins[c]:
+            now = _with_runs(sa[begins[c] : heads[c]], back)
+            heads[c] = begins[c] + len(now)
+            sa[begins[c] : heads[c]] = now
             j = now[now > 0] - 1
-            j = j[~smaller[j]]
+            j = j[~smaller[j] & (t[j] != c)]
             if len(j):
                 _place(sa, heads, j, t[j], 1)
         if per[c]:
-            j = seeds[seed_end[c] - per[c] : seed_end[c]]
-            j = j[j > 0] - 1
+            j = seeds[seed_end[c] - per[c] : seed_end[c]] - 1  # a seed is never the first place
             if len(j):
                 _place(sa, heads, j, t[j], 1)
     # Smaller suffixes, right to left.
     tails = ends - 1
     for c in used[::-1]:
-        done = ends[c] - 1
-        while done > tails[c]:
-            now = sa[tails[c] + 1 : done + 1][::-1]
-            done = tails[c]
+        if tails[c] < ends[c] - 1:
+            now = _with_runs(sa[tails[c] + 1 : ends[c]][::-1], back)
+            tails[c] = ends[c] - 1 - len(now)
+            sa[tails[c] + 1 : ends[c]] = now[::-1]
             j = now[now > 0] - 1
-            j = j[smaller[j]]
+            j = j[smaller[j] & (t[j] != c)]
             if len(j):
                 _place(sa, tails, j, t[j], -1)
         now = sa[begins[c] : heads[c]][::-1]
@@ -86,6 +107,12 @@ def _names(t: np.ndarray, lms: np.ndarray, ordered: np.ndarray) -> tuple[np.ndar
     p, q = ordered[:-1], ordered[1:]
     same = length[p] == length[q]
     at = np.flatnonzero(same)
+    far = at[length[p[at]] > LONG]
+    raw = t.tobytes() if len(far) else b""
+    for i in far.tolist():  # few, as all lengths together are those of the text
+        a, b, size = (int(x) * t.itemsize for x in (p[i], q[i], length[p[i]]))
+        same[i] = max(a, b) + size <= len(raw) and raw[a : a + size] == raw[b : b + size]
+    at = at[length[p[at]] <= LONG]
     k = 0
     while len(at):
         at = at[length[p[at]] > k]
@@ -108,12 +135,12 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     n = len(t)
     if n < 2:
         return np.arange(n, dtype=np.int64)
-    smaller = _types(t)
+    smaller, back = _types(t), _runs(t)
     counts = np.bincount(t, minlength=256)
     lms = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
     if len(lms):
         by_char = lms[np.argsort(t[lms], kind="stable")]
-        sa = _induce(t, smaller, counts, by_char)
+        sa = _induce(t, smaller, back, counts, by_char)
         is_lms = np.zeros(n, bool)
         is_lms[lms] = True
         ordered = sa[is_lms[sa]]
@@ -122,40 +149,70 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
             ordered = lms[_ordered(names, k)]
     else:
         ordered = lms
-    return _induce(t, smaller, counts, ordered)
-
-
-def _ordered(names: np.ndarray, k: int) -> np.ndarray:
-    """The suffix order of a string of numbers below k. Each round sorts the groups that are still tied by the ranks of the next
-    stretches behind them, so a stretch grows two- or threefold a round."""
-    n = len(names)
-    bits = n.bit_length()
-    fold = 3 if 3 * bits <= 63 else 2
-    counts = np.bincount(names, minlength=k)
-    rank = np.zeros(n + 1, np.int64)
-    rank[:n] = (np.cumsum(counts) - counts)[names] + 1  # place of the group's first; 0 is the end
-    tied = np.flatnonzero(counts[names] > 1)
-    step = 1
-    while len(tied):
-        key = rank[tied]
-        for m in range(1, fold):
-            key = key << bits | rank[np.minimum(tied + m * step, n)]
-        order = np.argsort(key)
-        tied, key = tied[order], key[order]
-        new = np.ones(len(key), bool)
-        new[1:] = key[1:] != key[:-1]
-        old = rank[tied]
-        group = np.ones(len(key), bool)
-        group[1:] = old[1:] != old[:-1]
-        at = np.arange(len(key))
-        first, own = np.maximum.accumulate(np.where(group, at, 0)), np.maximum.accumulate(np.where(new, at, 0))
-        rank[tied] = old + own - first
-        alone = new & np.append(new[1:], True)
-        tied = tied[~alone]
-        step *= fold
-    out = np.empty(n, np.int64)
-    out[rank[:n] - 1] = np.arange(n)
-    return out
+    return _induce(t, smaller, back, counts, ordered)
+
+
+def _filled(s: np.ndarray, smaller: np.ndarray, counts: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    """_induce() for a string of numbers."""
+    n = len(s)
+    ends = np.cumsum(counts)
+    sa = np.full(n, -1, np.int64)
+    sa[ends[s[seeds]] - np.cumsum(np.bincount(s[seeds], minlength=len(counts)))[s[seeds]] + np.arange(len(seeds))] = seeds  # at the buckets' ends
+    sa, last = sa.tolist(), int(s[n - 1])
+    # The number before each place, if that place is a larger (a smaller) suffix, else -1; -1 also before no place.
+    larger_left, smaller_left = np.full(n + 1, -1), np.full(n + 1, -1)
+    larger_left[1:n] = np.where(smaller[:-1], -1, s[:-1])
+    smaller_left[1:n] = np.where(smaller[:-1], s[:-1], -1)
+    at = (ends - counts).tolist()
+    left = larger_left.tolist()
+    sa[at[last]] = n - 1  # first in its bucket, as larger than the virtual end
+    at[last] += 1
+    for i in sa:  # grows under the loop
+        c = left[i]
+        if c >= 0:
+            p = at[c]
+            sa[p] = i - 1
+            at[c] = p + 1
+    at, left = ends.tolist(), smaller_left.tolist()
+    for i in reversed(sa):
+        c = left[i]
+        if c >= 0:
+            p = at[c] - 1
+            sa[p] = i - 1
+            at[c] = p
+    return np.array(sa, np.int64)
+
+
+def _ordered(s: np.ndarray, k: int) -> np.ndarray:
+    """The suffix array of a string of numbers below k, all of which occur."""
+    n = len(s)
+    if n == 1:
+        return np.zeros(1, np.int64)
+    smaller, counts = _types(s), np.bincount(s, minlength=k)
+    lms = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
+    ordered = lms
+    if len(lms):
+        sa = _filled(s, smaller, counts, lms[np.argsort(s[lms], kind="stable")])
+        is_lms = np.zeros(n, bool)
+        is_lms[lms] = True
+        ordered = sa[is_lms[sa]]
+        names, k = _names(s, lms, ordered)
+        if k < len(lms):
+            ordered = lms[_ordered(names, k)]
+    return _filled(s, smaller, counts, ordered)
+
+
+def _common_from(raw: bytes, a: int, b: int) -> int:
+    """The length of the common prefix of raw[a:] and raw[b:]."""
+    n, size, step = len(raw) - max(a, b), 0, LONG
+    while size < n:
+        step = min(2 * step, n - size)
+        if raw[a + size : a + size + step] == raw[b + size : b + size + step]:
+            size += step
+            continue
+        x, y = (np.frombuffer(raw, np.uint8, step, p + size) for p in (a, b))
+        return size + int(np.argmax(x != y))
+    return size
 
 
 def permuted_lcp(t: np.ndarray, sa: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -179,12 +236,15 @@ def permuted_lcp(t: np.ndarray, sa: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     q, size = phi[p], np.zeros(n, np.int64)
     length = np.zeros(len(p), np.int64)
     live = np.arange(len(p))
-    while len(live):
+    while len(live) > FEW:
         a, b = p[live] + length[live], q[live] + length[live]
         more = np.maximum(a, b) + 8 <= n
         more[more] = word[a[more]] == word[b[more]]
         live = live[more]
         length[live] += 8
+    raw = t.tobytes() if len(live) else b""
+    for i in live.tolist():
+        length[i] += _common_from(raw, int(p[i] + length[i]), int(q[i] + length[i]))
     live = np.arange(len(p))
     while len(live):
         a, b = p[live] + length[live], q[live] + length[live]

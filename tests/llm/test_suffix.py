@@ -1,4 +1,5 @@
 import collections
+import hashlib
 import random
 
 import numpy as np
@@ -27,12 +28,12 @@ def test_suffix_array_and_common_prefixes(letters):
 
 def brute(texts, length):
     raw = [(t or "").encode() for t in texts]
-    seen = collections.Counter(b[i : i + length] for b in raw for i in range(len(b) - length + 1))
+    seen = collections.Counter(hash(b[i : i + length]) for b in raw for i in range(len(b) - length + 1))
     out = []
     for b in raw:
         gone = bytearray(len(b))
         for i in range(len(b) - length + 1):
-            if seen[b[i : i + length]] > 1:
+            if seen[hash(b[i : i + length])] > 1:
                 gone[i : i + length] = b"\1" * length
         out.append((len(b), sum(gone), bytes(x for x, g in zip(b, gone) if not g)))
     return sorted(out)
@@ -57,6 +58,34 @@ def test_removed_bytes_against_brute_force(spark, hot, shard):
     assert all(sum(s.past - s.first for s in r.spans) == r.n_removed for r in got)
 
 
+def test_periodic_and_very_long_texts_against_brute_force(spark):
+    rng = random.Random(3)
+    noise = lambda n: "".join(rng.choices("abcdefgh é", k=n))
+    part = noise(700)
+    texts = ["x" * 900, "y" * 401, "y" * 400, "ab" * 500, "ba" * 450 + noise(50), part * 3, noise(300) + part, "q" * 700 + part[:399], " " * 500 + noise(10) + " " * 450]
+    texts += [noise(1_100_000) + part + noise(1_500_000), noise(2_200_000) + " " * 1000 + part]  # stretches of their own
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = suffix_dedup.remove_repeats(docs).collect()
+    assert sorted((r.n_bytes, r.n_removed, bytes(r.kept)) for r in got) == brute(texts, 400)
+
+
+def test_a_long_run_of_one_byte_takes_seconds():
+    t = np.full(5_000_000, 32, np.uint8)
+    assert suffix_array(t)[:3].tolist() == [4_999_999, 4_999_998, 4_999_997]
+    two = np.concatenate([t, [33], t[:-1], [31]]).astype(np.uint8)
+    size, _ = permuted_lcp(two, suffix_array(two))
+    assert size.max() == 4_999_999
+
+
+def test_query_against_brute_force_over_a_whole_table(spark):
+    from anchorwise.llm.queries import op1_suffix_array_dedup
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").collect()
+    got = op1_suffix_array_dedup(spark, "/root/testdata/sf0.001").collect()
+    assert sorted((r.n_bytes, r.n_removed, r.kept_sha256) for r in got) == sorted((n, m, hashlib.sha256(x).hexdigest()) for n, m, x in brute([d.text for d in docs], 400))
+    assert {r.doc_id: r.n_bytes for r in got} == {d.doc_id: len((d.text or "").encode()) for d in docs}
+
+
 def test_clean_documents_keep_their_columns(spark):
     rows = [(1, "é" * 100, "a", 100, 5), (2, "é" * 100, None, 100, 6), (None, None, "b", None, 7)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, uid string, n_chars long, kept long")
