@@ -1,9 +1,9 @@
 """Suffix arrays by induced sorting, and permuted common prefixes.
 
 Suffixes are classified, the leftmost-smaller substrings are sorted by induction and named, the string of their names is sorted the same way, level by level,
-until all names differ, and the order of all suffixes is induced from that. At the level of bytes the induction runs in numpy, a whole bucket at a
-time, runs of one byte included; names have a large alphabet and small buckets, so the levels above are plain loops. Each level has at most half the
-places of the one below, and takes time in proportion to them."""
+until all names differ, and the order of all suffixes is induced from that. The induction runs in numpy, for bytes a whole bucket at a
+time, for names, which have many small buckets, a stretch of neighbouring buckets at a time. Runs of one letter are placed in one step. Each level has at most half the
+places of the one below."""
 
 from __future__ import annotations
 
@@ -13,6 +13,8 @@ from . import common
 
 #: Substrings longer than this are compared one by one, and so are the last `FEW` common prefixes.
 LONG, FEW = 64, 32
+#: Stretches of buckets, and places in one at least.
+STRETCHES, STRETCH = 256, 256
 
 
 def _types(t: np.ndarray) -> np.ndarray:
@@ -153,34 +155,52 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
 
 
 def _filled(s: np.ndarray, smaller: np.ndarray, counts: np.ndarray, seeds: np.ndarray) -> np.ndarray:
-    """_induce() for a string of numbers."""
+    """_induce() for a string of numbers. What a stretch of buckets induces in other stretches is placed at once. What it induces in itself is little: these places
+    are known beforehand, and go bucket by bucket, by the ranks of the places behind them."""
     n = len(s)
     ends = np.cumsum(counts)
-    sa = np.full(n, -1, np.int64)
-    sa[ends[s[seeds]] - np.cumsum(np.bincount(s[seeds], minlength=len(counts)))[s[seeds]] + np.arange(len(seeds))] = seeds  # at the buckets' ends
-    sa, last = sa.tolist(), int(s[n - 1])
-    # The number before each place, if that place is a larger (a smaller) suffix, else -1; -1 also before no place.
-    larger_left, smaller_left = np.full(n + 1, -1), np.full(n + 1, -1)
-    larger_left[1:n] = np.where(smaller[:-1], -1, s[:-1])
-    smaller_left[1:n] = np.where(smaller[:-1], s[:-1], -1)
-    at = (ends - counts).tolist()
-    left = larger_left.tolist()
-    sa[at[last]] = n - 1  # first in its bucket, as larger than the virtual end
-    at[last] += 1
-    for i in sa:  # grows under the loop
-        c = left[i]
-        if c >= 0:
-            p = at[c]
-            sa[p] = i - 1
-            at[c] = p + 1
-    at, left = ends.tolist(), smaller_left.tolist()
-    for i in reversed(sa):
-        c = left[i]
-        if c >= 0:
-            p = at[c] - 1
-            sa[p] = i - 1
-            at[c] = p
-    return np.array(sa, np.int64)
+    begins = ends - counts
+    stretch = begins // max(STRETCH, n // STRETCHES)
+    own = stretch[s]
+    cuts = np.flatnonzero(np.concatenate([[True], stretch[1:] != stretch[:-1], [True]]))
+    back = _runs(s)
+    within = np.flatnonzero((own[:-1] == own[1:]) & (s[:-1] != s[1:]))
+    runs = np.flatnonzero(s[:-1] == s[1:])
+    sa, rank = np.full(n, -1, np.int64), np.empty(n, np.int64)
+    slots = ends[s[seeds]] - np.cumsum(np.bincount(s[seeds], minlength=len(counts)))[s[seeds]] + np.arange(len(seeds))  # at the buckets' ends
+    sa[slots] = seeds
+    at = begins.copy()
+    sa[at[s[n - 1]]] = n - 1  # first in its bucket, as larger than the virtual end
+    at[s[n - 1]] += 1
+    for sign, kind in ((1, ~smaller), (-1, smaller)):  # larger suffixes from the left, then smaller ones from the right
+        inner = within[kind[within]]
+        inner = inner[np.argsort(s[inner], kind="stable")]
+        some = np.unique(np.concatenate([s[inner], s[runs[kind[runs]]]]))  # buckets with places of their own stretch
+        low, high = np.searchsorted(s[inner], some), np.searchsorted(s[inner], some, "right")
+        of = np.searchsorted(some, cuts)
+        for k in range(len(cuts) - 1)[::sign]:
+            first, past = begins[cuts[k]], ends[cuts[k + 1] - 1]
+            here = sa[first:past]
+            full = np.flatnonzero(here >= 0)
+            rank[here[full]] = first + full
+            for m in range(of[k], of[k + 1])[::sign]:
+                c = some[m]
+                e = inner[low[m] : high[m]]
+                e = e[np.argsort(sign * rank[e + 1])]
+                now = sa[begins[c] : at[c]] if sign > 0 else sa[at[c] + 1 : ends[c]][::-1]
+                now = _with_runs(np.concatenate([now, e]), back)
+                place = np.arange(begins[c], begins[c] + len(now)) if sign > 0 else np.arange(ends[c] - 1, ends[c] - 1 - len(now), -1)
+                sa[place], rank[now] = now, place
+                at[c] = place[-1] + sign
+            now = here[here >= 0][::sign]
+            j = now[now > 0] - 1
+            j = j[kind[j] & (own[j] != stretch[cuts[k]])]
+            if len(j):
+                _place(sa, at, j, s[j], sign)
+        if sign > 0:
+            sa[slots] = -1
+            at = ends - 1
+    return sa
 
 
 def _ordered(s: np.ndarray, k: int) -> np.ndarray:
