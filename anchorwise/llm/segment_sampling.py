@@ -1,7 +1,8 @@
 """SentencePiece encoding and decoding with sampled segmentations (operator 2): Gumbel top-k without replacement.
 
 A text (blanks as U+2581, one in front) is a chain of words, as no piece goes on behind a non-blank with a blank. The lattice of a word has a node for
-each place and an edge for each piece of the vocabulary, weighted -alpha * ln(rank of the piece); characters without a piece have one edge
+each place and an edge for each piece of the vocabulary, weighted by the model's score: alpha times the logarithm of a probability, or, where scores are the ranks of merges
+(0, -1, -2 and so on), -alpha * ln(rank + 2), so pieces that the model scores out of reach weigh next to nothing; characters without a piece have one edge
 of byte pieces. Backward sums turn weights into probabilities of edges, so a segmentation's probability is the product of its edges'.
 
 The search is A-star over perturbed values, top down. The root's value is a Gumbel draw for log-probability 0, the best leaf below it is found by a plain walk
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 
 from . import common
 
-SAMPLES, ALPHA, WORDS, LONGEST = 2, 1.0, 300_000, 16
+SAMPLES, ALPHA, WORDS = 2, 1.0, 300_000
 BLANK, BYTES, FIRST = "▁", 3, 259  # ids of byte pieces begin at 3, those of other pieces at 259
 _WORD = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -77,10 +78,14 @@ class Lattices:
         self.size = np.array([len(x) for x in raw], np.int64)
         self.at = np.cumsum(self.size) - self.size
         self.raw = np.frombuffer(b"".join(raw), np.uint8)
-        self.weight = -alpha * np.log1p(np.maximum(np.arange(n) - FIRST, 0) + 1.0)
-        self.byte_weight = -alpha * np.log1p(float(n))
+        usable = [i for i in range(n) if raw[i] and not sp.is_byte(i) and not sp.is_unused(i) and not sp.is_control(i)]
+        score = np.array([sp.get_score(i) for i in range(n)])
+        own = score[usable]
+        ranks = (own <= 0).all() and (own == np.round(own)).all()  # of merges; else logarithms of probabilities
+        self.weight = alpha * (-np.log(2.0 - np.minimum(score, 0)) if ranks else score)
+        self.byte_weight = -alpha * np.log(2.0 + n) if ranks else alpha * (own.min() - 10)
         self.weight[BYTES : BYTES + 256] = self.byte_weight
-        usable = [i for i in range(FIRST, n) if not sp.is_byte(i) and not sp.is_unused(i)]
+        self.longest = max(map(len, (pieces[i] for i in usable)), default=1)
         # An open table of pieces and of their beginnings (id -1) by the hash of their characters.
         self.table, self.ids = np.zeros(1 << 18, np.uint64), np.full(1 << 18, -2, np.int32)
         self.probes = 1
@@ -121,7 +126,7 @@ class Lattices:
         self.known = common.Numbers()
         self.words = _Rows(base=np.int64, end=np.int64)
         self.nodes = _Rows(first=np.int64, last=np.int64)
-        self.edges = _Rows(src=np.int32, step=np.int16, id=np.int32, log=np.float64, cum=np.float32)
+        self.edges = _Rows(src=np.int32, step=np.int16, id=np.int32, log=np.float64, cum=np.float64)
 
     def learn(self, words: list[str]) -> None:
         """words: those with the numbers behind the last known one."""
@@ -132,7 +137,7 @@ class Lattices:
         node = np.arange(len(chars)) + word  # each word has a node more than places
         src, step, ids = [], [], []
         h, place = np.zeros(len(chars), np.uint64), np.arange(len(chars))
-        for k in range(1, LONGEST + 1):
+        for k in range(1, self.longest + 1):
             inside = place + k <= end[place]
             place, h = place[inside], h[inside]
             if not len(place):
