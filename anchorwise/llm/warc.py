@@ -2,15 +2,15 @@
 
 Each page becomes three records: request, response or revisit, and metadata (with its page_id); request and metadata name the response in
 WARC-Concurrent-To. Of equal payloads of `least` bytes or more the smallest page_id (then the first place in the input) is a response, the others
-are revisits that name it in WARC-Refers-To. Spark's text writer puts the records into gzip files of at most `per_file` captures; records end
+are revisits that name it in WARC-Refers-To. Spark's text writer puts the records into gzip files of about FILE_BYTES and at most PER_FILE captures (by the mean size of this input's captures); records end
 with two line breaks, which is the writer's line separator. A lost task's file is written again under Spark's commit protocol.
 
-The reader takes whole files (bounded by per_file), walks the records by Content-Length and checks each response's payload against its
-digest. Assembly groups all records by the identifier that they name (a response by its own), which joins the three kinds in one
+The reader takes files of any number of gzip members, or plain ones. It inflates them piece by piece, so it holds a compressed file and one record, walks the records by Content-Length and checks each response's payload against its
+digest; rows go on in batches of about BATCH_BYTES. Assembly groups all records by the identifier that they name (a response by its own), which joins the three kinds in one
 shuffle, and gives one nested row a capture; a request or metadata record without a response stays as a row without one.
 
 Null html is an empty payload, a null url an empty target; line breaks in a url are dropped. Repeated rows are captures of their own.
-A null page_id comes first among equal payloads. An empty table gives no rows."""
+A null page_id comes first among equal payloads. Very long pages are records like others. Columns but page_id, url and html are not read. An empty table gives no rows."""
 
 from __future__ import annotations
 
@@ -20,12 +20,12 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
 
-LEAST, PER_FILE, BREAK, DATE = 100, 2000, "\r\n", "2024-01-01T00:00:00Z"
+LEAST, PER_FILE, FILE_BYTES, BREAK, DATE = 100, 2000, 64 << 20, "\r\n", "2024-01-01T00:00:00Z"
 RECORD = "record_id string, kind string, names string, target_uri string, refers_to string, payload_digest string, payload_bytes long, fields string, payload binary"
 
 
@@ -42,13 +42,16 @@ def _record(kind: Column | str, record_id: Column, mime: str, block: Column, *mo
     return F.concat(F.concat_ws(BREAK, *lines), F.lit(2 * BREAK), block)
 
 
-def write(pages: DataFrame, folder: str, *, least: int = LEAST, per_file: int = PER_FILE) -> None:
+def write(pages: DataFrame, folder: str, *, least: int = LEAST, per_file: int = PER_FILE, file_bytes: int = FILE_BYTES) -> None:
     """pages (page_id, url, html) to archives in `folder`."""
     rows = common.with_uid(pages.select("page_id", F.regexp_replace(F.coalesce("url", F.lit("")), "[\r\n]", "").alias("url"), F.coalesce("html", F.lit("")).alias("html")))
     rows = rows.withColumn("digest", F.sha2("html", 256))
-    keys = rows.filter(F.octet_length("html") >= least).select("page_id", "uid", "digest")
+    seen = Observation()
+    size = rows.select("page_id", "uid", "digest", F.octet_length("html").alias("size")).observe(seen, F.avg("size").alias("mean"))
+    keys = size.filter(F.col("size") >= least).select("page_id", "uid", "digest")
     firsts = keys.groupBy("digest").agg(F.min(F.struct("page_id", "uid")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("digest", "first")
-    again = common.cut(keys.join(firsts, "digest").filter("uid != first.uid").select("uid", F.struct(F.col("first.page_id"), F.col("first.uid")).alias("first")))
+    again = common.cut(keys.join(common.cut(firsts), "digest").filter("uid != first.uid").select("uid", F.struct(F.col("first.page_id"), F.col("first.uid")).alias("first")))
+    per_file = max(1, min(per_file, int(file_bytes / ((seen.get["mean"] or 0) + 1000))))  # 1000 for headers
     rows = rows.join(again, "uid", "left")
     own, uri = _id("response"), ("WARC-Target-URI", F.when(F.col("url") != "", F.col("url")))
     answer = F.concat(F.lit(f"HTTP/1.1 200 OK{BREAK}Content-Type: text/html; charset=utf-8{BREAK}Content-Length: "), F.octet_length("html").cast("string"), F.lit(2 * BREAK))
@@ -66,43 +69,107 @@ def write(pages: DataFrame, folder: str, *, least: int = LEAST, per_file: int =
     rows.select(capture).write.option("lineSep", 2 * BREAK).option("compression", "gzip").option("maxRecordsPerFile", per_file).text(folder)
 
 
-def _records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+def _inflated(data: memoryview) -> Iterator[bytes]:
+    """The bytes of a file of one gzip member or more, or of a plain one, in pieces of about BATCH_BYTES at most."""
+    if bytes(data[:2]) != b"\x1f\x8b":
+        for a in range(0, len(data), common.BATCH_BYTES):
+            yield bytes(data[a : a + common.BATCH_BYTES])
+        return
+    member, rest, a, begun = zlib.decompressobj(31), b"", 0, False
+    while rest or a < len(data):
+        if not rest:
+            rest = bytes(data[a : a + (1 << 18)])
+            a += len(rest)
+        if not begun and not (rest := rest.lstrip(b"\0")):  # padding between members
+            continue
+        begun = True
+        out = member.decompress(rest, common.BATCH_BYTES)
+        rest = member.unconsumed_tail
+        if out:
+            yield out
+        if member.eof:
+            member, rest, begun = zlib.decompressobj(31), member.unused_data, False
+    if begun:
+        raise ValueError("a gzip member is cut short")
+
+
+class _Input:
+    """Bytes of an iterator, as many as are asked for."""
+
+    def __init__(self, pieces: Iterator[bytes]) -> None:
+        self.pieces, self.held, self.at = pieces, bytearray(), 0
+
+    def more(self) -> bool:
+        piece = next(self.pieces, None)
+        if piece is None:
+            return False
+        del self.held[: self.at]
+        self.at = 0
+        self.held += piece
+        return True
+
+    def past(self, mark: bytes) -> bytes | None:
+        """Up to the mark, without it; None at the end."""
+        seen = 0
+        while (found := self.held.find(mark, self.at + seen)) < 0:
+            seen = max(0, len(self.held) - self.at - len(mark) + 1)
+            if not self.more():
+                if len(self.held) > self.at:
+                    raise ValueError("a record is cut short")
+                return None
+        out = bytes(self.held[self.at : found])
+        self.at = found + len(mark)
+        return out
+
+    def take(self, n: int) -> bytes:
+        while len(self.held) - self.at < n:
+            if not self.more():
+                raise ValueError("a record is cut short")
+        out = bytes(self.held[self.at : self.at + n])
+        self.at += n
+        return out
+
+
+def records(data: bytes | memoryview) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers (names in lower case) and block of each record of an archive."""
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        lines = data[at:end].decode().split(BREAK)
+    source = _Input(_inflated(memoryview(data)))
+    while (top := source.past(b"\r\n\r\n")) is not None:
+        lines = top.decode().split(BREAK)
         if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no record at byte {at}")
+            raise ValueError(f"no record begins with {lines[0][:40]!r}")
         head = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-        size = int(head["content-length"])
-        block = data[end + 4 : end + 4 + size]
-        if len(block) < size or data[end + 4 + size : end + 8 + size] != b"\r\n\r\n":
-            raise ValueError(f"the record at byte {at} is cut short")
+        block = source.take(int(head["content-length"]))
+        if source.take(4) != b"\r\n\r\n":
+            raise ValueError(f"{head.get('warc-record-id')}: its length is not that of its block")
         yield head, block
-        at = end + 8 + size
 
 
 def _parse(with_payload: bool):  # noqa: ANN202
+    names = [x.split()[0] for x in RECORD.split(", ")]
+    kinds = [pa.string()] * 6 + [pa.int64(), pa.string(), pa.binary()]
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [()] * 9, kinds, strict=True)], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [x.split()[0] for x in RECORD.split(", ")]
-        kinds = [pa.string()] * 6 + [pa.int64(), pa.string(), pa.binary()]
         for batch in batches:
             for content in common.column(batch, "content"):
-                raw = content.as_py()
-                raw = zlib.decompress(raw, 31) if raw[:2] == b"\x1f\x8b" else raw
-                rows = []
-                for head, block in _records(raw):
+                rows, size = [], 0
+                for head, block in records(content.as_buffer()):
                     kind, payload, fields = head["warc-type"], None, None
                     digest = head.get("warc-payload-digest", "").removeprefix("sha256:") or None
                     if kind == "response":
                         payload = block[block.index(b"\r\n\r\n") + 4 :]
-                        if digest != hashlib.sha256(payload).hexdigest():
+                        if digest is not None and digest != hashlib.sha256(payload).hexdigest():
                             raise ValueError(f"{head['warc-record-id']}: the payload doesn't have its digest")
                     elif kind != "revisit":
-                        fields = block.decode()
+                        fields = block.decode(errors="replace")
                     rows.append((head["warc-record-id"], kind, head.get("warc-concurrent-to"), head.get("warc-target-uri", ""), head.get("warc-refers-to"), digest, None if payload is None else len(payload), fields, payload if with_payload else None))
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [()] * 9, kinds, strict=True)], names)
+                    size += len(block)
+                    if size > common.BATCH_BYTES:
+                        yield batch_of(rows)
+                        rows, size = [], 0
+                yield batch_of(rows)
 
     return run
 
