@@ -6,7 +6,7 @@ filled with the largest pieces of shorter tiers that fit, then by a cut of one m
 windows of its own tier. At a task's end the last open window is cut into powers of two, so no sequence needs padding.
 Sequences of each tier are dealt to step groups of equal token counts.
 
-Null or empty texts have the end id alone. Rows with a null id and repeated rows are documents of their own. Empty tables give no rows."""
+Null or empty texts have the end id alone. Very long texts are encoded as one; their whole windows go out at once. Columns but doc_id and text are not read. Rows with a null id and repeated rows are documents of their own. Empty tables give no rows."""
 
 from __future__ import annotations
 
@@ -50,6 +50,12 @@ class Encoder:
 
         self.tokenizer, self.end = Tokenizer.from_file(path), end
         self.clear()
+        # Words are encoded in lower case and apart from their punctuation and white space; a tokenizer for which that differs is refused.
+        probe = "The Quick, brown\nfox. JUMPS over\tÉTÉ, naïve  Straße. x,y 3.14 (A.B) İ ΑΣ Ω don't"
+        raw, at = common.utf8(pa.array([probe]))
+        if self.encode(raw, at)[0].tolist() != [*self.tokenizer.encode(probe, add_special_tokens=False).ids, end]:
+            raise ValueError(f"{path}: this tokenizer's ids depend on case, white space or neighbouring words")
+        self.clear()
 
     def clear(self) -> None:
         self.known = common.Numbers(_BETWEEN)
