@@ -1,16 +1,18 @@
 """Toxicity (operator 10): a weighted lexicon matched by Aho-Corasick.
 
 Texts are folded: lower case, look-alike letters and digit substitutions to Latin letters, all but letters to single blanks.
-The lexicon holds beginnings of words (and whole words of the fixed list) with weights; an automaton finds them behind a blank.
-Matches inside an exception phrase don't count. The sum of weights, as such and per thousand words, goes into a logistic
-curve whose three coefficients are fitted with the lexicon.
+The lexicon holds whole words (the fixed list, and learned words of less than four letters) and learned beginnings of words, with weights; an automaton finds them behind a blank.
+Of the entries that fit one word the longest counts. Words inside an exception phrase don't count. The sum of weights per thousand words goes into a logistic
+curve whose two coefficients are fitted with the lexicon; nothing else of a text does, so its length alone has no part in the score.
 
 Weights are learned from a bounded sample of labelled rows (`sample`, those with the smallest hashes of doc_id): log odds of a
-word's beginning in toxic against other texts. Null or empty texts have no match and get the curve's lowest score. Rows with a
-null doc_id are scored, not learned from. Of repeated rows each is scored. Without labels the fixed list alone counts."""
+word or beginning in toxic against other texts. Every one that passes the test of chance is an entry, so only the sample bounds the lexicon. Null or empty texts have no match and get the curve's lowest score. Rows with a
+null doc_id are scored, not learned from. Of repeated rows each is scored. Without labels the fixed list alone counts. Very long texts are matched in one pass each; matches
+that don't count take no memory. Columns with the names that scores have while they are made pass unchanged."""
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 from collections import Counter
@@ -24,8 +26,8 @@ from pyspark.sql import functions as F
 
 from . import common
 
-SAMPLE, ENTRIES, SHORTEST, LONGEST, LEAST_ODDS = 12_000, 2_000, 4, 10, 3.5
-# Common insults, with the weight 3 unless the sample gives another.
+SAMPLE, SHORTEST, LONGEST, LEAST_ODDS = 12_000, 4, 10, 3.5
+# Common insults, whole words with the weight 3 unless the sample gives another.
 INSULTS = "clown disgusting idiot loser moron pathetic scum stupid trash worthless".split()
 # Phrases in which such words are harmless.
 EXCEPTIONS = ["class clown", "clown car", "clown fish", "sore loser", "trash bag", "trash can", "trash collection", "worthless securities"]
@@ -47,11 +49,11 @@ def fold(text: str | None) -> str:
 
 @dataclass
 class Lexicon:
-    """Patterns that start with a blank, with weights; phrases; coefficients of the curve."""
+    """Patterns that start with a blank (and end with one, if they are whole words), with weights; phrases; coefficients of the curve."""
 
-    weights: dict[str, float] = field(default_factory=lambda: {f" {w}": 3.0 for w in INSULTS})
+    weights: dict[str, float] = field(default_factory=lambda: {f" {w} ": 3.0 for w in INSULTS})
     exceptions: list[str] = field(default_factory=lambda: list(EXCEPTIONS))
-    curve: tuple[float, float, float] = (-3.0, 1.5, 0.5)
+    curve: tuple[float, float] = (-3.0, 1.5)
 
     def automaton(self):  # noqa: ANN201
         import ahocorasick
@@ -70,13 +72,23 @@ class Lexicon:
         for i, text in enumerate(texts):
             s = fold(text)
             words[i] = s.count(" ") - 1
-            hits = list(automaton.iter(s))
-            if not hits:
-                continue
-            safe = [(end - size + 1, end) for end, (size, weight) in hits if weight == 0.0]
-            for end, (size, weight) in hits:
-                if weight and not any(a <= end - size + 1 and end <= b for a, b in safe):
-                    total[i] += weight
+            best: dict[int, tuple[int, float]] = {}  # by the blank before a word, in order of their ends
+            safe: list[tuple[int, int]] = []  # phrases, apart and in order
+            for end, (size, weight) in automaton.iter(s):
+                start = end - size + 1
+                if weight == 0.0:
+                    while safe and safe[-1][1] >= start:
+                        start = min(start, safe.pop()[0])
+                    safe.append((start, end))
+                elif size > best.get(start, (0, 0.0))[0]:
+                    best[start] = (size, weight)
+            if safe:
+                starts = [a for a, _ in safe]
+                for start, (size, _) in list(best.items()):
+                    k = bisect.bisect_right(starts, start) - 1
+                    if k >= 0 and start + size - 1 <= safe[k][1]:
+                        del best[start]
+            total[i] = sum(weight for _, weight in best.values())
         return total, words
 
     def scores(self, total: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -84,7 +96,7 @@ class Lexicon:
 
 
 def _features(total: np.ndarray, words: np.ndarray) -> np.ndarray:
-    return np.stack([np.ones(len(total)), np.log1p(total), np.log1p(1000 * total / (words + 50))], 1)
+    return np.stack([np.ones(len(total)), np.log1p(1000 * total / (words + 50))], 1)
 
 
 def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[float, ...]:
@@ -100,12 +112,12 @@ def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[float, ...]:
 
 
 def _beginnings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents, toxic and other, that hold each beginning."""
+    """Documents, toxic and other, that hold each word (with a blank behind it, if it has less than SHORTEST letters) or beginning."""
     seen: tuple[Counter, Counter] = (Counter(), Counter())
     for batch in batches:
         for text, toxic in zip(common.column(batch, "text").to_pylist(), common.column(batch, "toxic").to_pylist(), strict=True):
             words = set(fold(text).split())
-            seen[toxic].update({w[:k] for w in words for k in range(SHORTEST, min(len(w), LONGEST) + 1)})
+            seen[toxic].update({w[:k] for w in words for k in range(SHORTEST, min(len(w), LONGEST) + 1)} | {f"{w} " for w in words if len(w) < SHORTEST})
     keys = list(seen[0].keys() | seen[1].keys())
     for a in range(0, len(keys), 50_000):
         some = keys[a : a + 50_000]
@@ -130,11 +142,14 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Lexicon:
     odds = F.log((F.col("toxic") + 0.5) / (n[1] + 1)) - F.log((F.col("other") + 0.5) / (n[0] + 1))
     # So often that, of a million beginnings, chance would make one or none look toxic.
     least = max(3, math.ceil(math.log(1e6) / math.log(1 / min(share, 0.5))))
-    found = counts.withColumn("odds", odds).filter((F.col("toxic") >= least) & (F.col("odds") >= LEAST_ODDS)).orderBy(F.desc("odds"), "word").limit(ENTRIES * 8).collect()
+    found = counts.withColumn("odds", odds).filter((F.col("toxic") >= least) & (F.col("odds") >= LEAST_ODDS)).collect()  # words of the sample
     for r in sorted(found, key=lambda r: (len(r.word), r.word)):
-        # A beginning that is part of a chosen shorter one adds nothing.
-        if len(lexicon.weights) < ENTRIES and not any(f" {r.word[:k]}" in lexicon.weights for k in range(SHORTEST, len(r.word))):
+        # A beginning of which a chosen one is a beginning adds nothing.
+        if not any(f" {r.word[:k]}" in lexicon.weights for k in range(SHORTEST, len(r.word))):
             lexicon.weights[f" {r.word}"] = round(r.odds, 4)
+    for w in INSULTS:  # as much as the sample says, if it says anything of the word's beginnings
+        learned = [r.odds for r in found if w.startswith(r.word)]
+        lexicon.weights[f" {w} "] = round(max(learned), 4) if learned else 3.0
     work = lexicon
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,23 +164,24 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Lexicon:
     return lexicon
 
 
-def _scored(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """docs with __matched, __words and __score; passes all columns through."""
+def _scored(docs: DataFrame, lexicon: Lexicon, names: tuple[str, str, str]) -> DataFrame:
+    """docs with the sum of weights, the number of words and the score, under `names`, which must be free; passes all columns through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = lexicon.automaton()
         for batch in batches:
             total, words = lexicon.sums(common.column(batch, "text").to_pylist(), automaton)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(total), pa.array(words.astype(np.int64)), pa.array(lexicon.scores(total, words))], [*batch.schema.names, "__matched", "__words", "__score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(total), pa.array(words.astype(np.int64)), pa.array(lexicon.scores(total, words))], [*batch.schema.names, *names])
 
-    return docs.transform(common.mapped, run, ", ".join([*(f"`{c}` {k}" for c, k in docs.dtypes), "__matched double, __words long, __score double"]))
+    return docs.transform(common.mapped, run, ", ".join([*(f"`{c}` {k}" for c, k in docs.dtypes), *(f"`{c}` {k}" for c, k in zip(names, ("double", "long", "double"), strict=True))]))
 
 
 def score(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     """Per row: doc_id, matched (sum of weights), n_words, score."""
-    return _scored(docs.select("doc_id", "text"), lexicon).select("doc_id", F.col("__matched").alias("matched"), F.col("__words").alias("n_words"), F.col("__score").alias("score"))
+    return _scored(docs.select("doc_id", "text"), lexicon, ("matched", "n_words", "score")).drop("text")
 
 
 def drop_toxic(docs: DataFrame, lexicon: Lexicon, limit: float = 0.7) -> DataFrame:
     """docs without the rows that score `limit` or more."""
-    return _scored(docs, lexicon).filter(F.col("__score") < limit).select(docs.columns)
+    names = tuple(common.free(docs, f"__{c}") for c in ("matched", "words", "score"))
+    return _scored(docs, lexicon, names).filter(F.col(names[2]) < limit).drop(*names)
