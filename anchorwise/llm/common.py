@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 BATCH_BYTES = 4 << 20
 #: Bits of a row key for the place in a file; the others are for the file.
 FILE_ROW_BITS = 27
+#: Rows that a task reads of a small table.
+PART_ROWS = 200_000
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -22,12 +24,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset and there is one process only (tests)."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         if current.isDefined():
             return current.get()
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is not set: it names the folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="anchorwise-")
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(found)
@@ -40,6 +44,36 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def few(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """A checkpoint read by a task for every PART_ROWS rows (counted unless given), so that small tables don't make as many shuffle files as there are shuffle partitions."""
+    tasks = max(1, -(-(df.count() if rows is None else rows) // PART_ROWS))
+    return df.coalesce(tasks) if df.rdd.getNumPartitions() > tasks else df
+
+
+def release(*checkpoints: DataFrame) -> None:
+    """Deletes the files of checkpoints that nothing reads any more."""
+    for df in checkpoints:
+        plan = df._jdf.queryExecution().logical()
+        while not plan.children().isEmpty():
+            plan = plan.children().apply(0)
+        found = plan.rdd().getCheckpointFile()
+        if found.isDefined():
+            delete(df.sparkSession, found.get())
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def free(df: DataFrame, name: str) -> str:
+    """`name`, with underscores before it until df has no such column."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name = f"_{name}"
+    return name
+
+
 def _source(plan):  # noqa: ANN001, ANN202  a logical plan of the JVM
     """The leaf that rows come straight from, or None where they come out of anything but projections and filters."""
     while plan.nodeName() in ("Project", "Filter"):
@@ -60,8 +94,8 @@ def _file_number(path: Column, salt: int) -> Column:
     return F.pmod(F.xxhash64(path, F.lit(salt)), F.lit(1 << 63 - FILE_ROW_BITS))
 
 
-def with_uid(df: DataFrame) -> DataFrame:
-    """Adds uid, a number for each row, the same in every scan of the same input. In Parquet files it follows from the file and the row's place in it,
+def with_uid(df: DataFrame, name: str = "uid") -> DataFrame:
+    """Adds uid (or `name`), a number for each row, the same in every scan of the same input. In Parquet files it follows from the file and the row's place in it,
     so it doesn't change with splits, which depend on settings and on the cores registered at the moment. A checkpoint has partitions of its own, that don't change. Other rows
     are written to the shared folder first."""
     source = _source(df._jdf.queryExecution().optimizedPlan())
@@ -70,10 +104,10 @@ def with_uid(df: DataFrame) -> DataFrame:
         salt = _file_salt(df, place)
         if salt is not None:
             row = F.when(place["row_index"] < 1 << FILE_ROW_BITS, place["row_index"]).otherwise(F.raise_error(F.lit("a file has too many rows for row keys")))
-            return df.withColumn("uid", F.shiftleft(_file_number(place["file_path"], salt), FILE_ROW_BITS) + row)
+            return df.withColumn(name, F.shiftleft(_file_number(place["file_path"], salt), FILE_ROW_BITS) + row)
     if source is None or source.nodeName() not in ("LogicalRDD", "Scan ExistingRDD"):
         df = cut(df)
-    return df.withColumn("uid", F.monotonically_increasing_id())
+    return df.withColumn(name, F.monotonically_increasing_id())
 
 
 def parts(spark: SparkSession) -> int:

@@ -23,6 +23,8 @@ from . import common
 
 #: Distinct digests in a shard, rows in one lookup, bits a key at each level.
 SHARD_KEYS, LOOKUP_ROWS, GAMMA, LEVELS = 8192, 32768, 2, 48
+#: Rows of two numbers that are broadcast at most.
+SMALL = 1_000_000
 INDEX = "shard int, n int, levels array<binary>, digests binary, winners array<long>, uids binary, sizes binary"
 LOOKED = "doc_id long, uid long, digest binary, keep_id long, keep_uid long, group_size long, member boolean"
 
@@ -137,13 +139,15 @@ def deduplicate(rows: DataFrame, known: DataFrame) -> DataFrame:
     known, rows = known.withColumn("shard", _shard(shards)), rows.withColumn("shard", _shard(shards))
     # A shard of a hot digest is looked up in several parts. At most n / LOOKUP_ROWS shards have more than one.
     salts = known.groupBy("shard").agg(F.ceil(F.sum("size") / LOOKUP_ROWS).cast("int").alias("salts")).filter("salts > 1")
+    if n // LOOKUP_ROWS <= SMALL:
+        salts = F.broadcast(salts)
     index = known.groupBy("shard").applyInArrow(_build, INDEX)
-    index = index.join(F.broadcast(salts), "shard", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
-    rows = rows.join(F.broadcast(salts), "shard", "left").withColumn("salt", F.pmod(F.xxhash64("uid"), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts")
+    index = index.join(salts, "shard", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
+    rows = rows.join(salts, "shard", "left").withColumn("salt", F.pmod(F.xxhash64("uid"), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts")
     looked = common.cut(rows.groupBy("shard", "salt").cogroup(index.groupBy("shard", "salt")).applyInArrow(_look, LOOKED))
     rest = looked.filter("not member").select("doc_id", "uid", "digest")
     own = rest.groupBy("digest").agg(F.max(F.struct("doc_id", "uid")).alias("w"), F.count("*").alias("group_size"))
-    rest = rest.join(own, "digest").select("doc_id", "uid", "digest", F.col("w.doc_id").alias("keep_id"), F.col("w.uid").alias("keep_uid"), "group_size", F.lit(False).alias("member"))
+    rest = rest.join(common.cut(own), "digest").select("doc_id", "uid", "digest", F.col("w.doc_id").alias("keep_id"), F.col("w.uid").alias("keep_uid"), "group_size", F.lit(False).alias("member"))
     out = looked.filter("member").select(rest.columns).union(rest)
     return out.withColumn("kept", F.col("uid") == F.col("keep_uid"))
 
@@ -155,6 +159,7 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """docs without the rows that exact_dedup() does not keep."""
-    stay = exact_dedup(docs).filter("kept").select("uid")
-    return common.with_uid(docs).join(stay, "uid", "left_semi").drop("uid")
+    """docs without the rows that exact_dedup() does not keep. Any names of other columns pass."""
+    key = common.free(docs, "uid")
+    stay = exact_dedup(docs).filter("kept").select(F.col("uid").alias(key))
+    return common.with_uid(docs, key).join(stay, key, "left_semi").drop(key)

@@ -8,10 +8,13 @@ fewer words the whole sequence is its one shingle; without words the set is empt
 2. Candidates are classes that share a band. The smallest class of a bucket is its star; each class is judged against the
    star with which it shares the most bands, so there is one candidate a class. Candidates whose minima agree far too seldom are dropped (`slack` is five standard errors); the others are confirmed on full sets.
 3. Links that this doesn't see join a bucket's classes that are still in different components. Buckets of that kind with a class in common make a
-   cluster. Its cross pairs are compared, in tasks of two blocks of at most `block` classes, by the bytes of their minima and then on full
+   cluster. Its cross pairs are compared, in tasks of two blocks of about `block` classes and BLOCK_SHINGLES shingles at most, by the bytes of their minima and then on full
    sets; a task gives a forest of links, not all of them. Pairs within a component need no comparison, as they can't change it.
 4. Components come from alternating large-star and small-star rounds until the edges stay the same.
 
+Tables that a hot key is joined to (minima of a node, members of a bucket, ids of a component) are written to the shared folder first, so each side of such a join
+is a shuffle of its own, whose large partitions Spark splits. Checkpoints are deleted once nothing reads them.
+
 A pair at the threshold 0.85 shares no band with probability (1 - 0.85 ** rows) ** bands, 8e-8 here (1.5e-5 at 0.8, the pipeline's threshold).
 Null text counts as empty; rows with a null id, repeated rows and ties are rows of their own; component_id is the smallest doc_id
 (null if all are null). An empty table gives no rows."""
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 
 from . import common
 
-WORDS, BANDS, ROWS, SLACK, BLOCK, PART = 5, 28, 5, 0.16, 2048, 256
+WORDS, BANDS, ROWS, SLACK, BLOCK, BLOCK_SHINGLES, PART = 5, 28, 5, 0.16, 2048, 1 << 20, 256
 SIGNED = "uid long, doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, minima binary"
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
@@ -195,26 +198,37 @@ def _confirmed(percent: int, size: int):  # noqa: ANN201
 
 def confirm(pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> DataFrame:
     """pairs (a, b), distinct, to those alike enough. A centre with many members is dealt in parts of about PART members."""
-    many = pairs.groupBy("a").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
+    many = common.cut(pairs.groupBy("a").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts")))
     salted = pairs.join(many, "a").withColumn("part", F.pmod(F.xxhash64("b"), "parts").cast("int"))
-    centres = salted.select("a", "part").distinct().select(F.col("a").alias("uid"), "a", "part")
+    centres = many.select(F.col("a").alias("uid"), "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     rows = salted.select(F.col("b").alias("uid"), "a", "part").union(centres).join(texts, "uid").select("a", "part", F.col("uid").alias("b"), (F.col("a") != F.col("uid")).alias("member"), "text")
-    return rows.repartition(common.parts(pairs.sparkSession), "a", "part").sortWithinPartitions("a", "part", "member").transform(common.mapped, _confirmed(percent, size), "a long, b long")
+    found = common.cut(rows.repartition(common.parts(pairs.sparkSession), "a", "part").sortWithinPartitions("a", "part", "member").transform(common.mapped, _confirmed(percent, size), "a long, b long"))
+    common.release(many)
+    return found
 
 
 def components(links: DataFrame, *, most_rounds: int = 50) -> DataFrame:
     """(a, b) to (node, comp): the smallest node that each linked node can reach, itself included."""
     edges = common.cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct())
-    mark = None
+    state = lambda: edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    mark = state()
     for _ in range(most_rounds):
+        written = [edges]
+
+        def kept(df: DataFrame) -> DataFrame:
+            """In about as many parts as the edges need; no step makes more than twice their number."""
+            written.append(common.cut(common.few(df, mark[0])))
+            return written[-1]
+
+        edges = common.few(edges, mark[0])
         both = edges.union(edges.select("v", "u").toDF("u", "v"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        edges = small.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).distinct()
-        edges = common.cut(edges)
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        least = kept(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+        large = kept(both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v"))
+        least = kept(large.groupBy("u").agg(F.min("v").alias("m")))
+        small = large.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = kept(small.union(least.select("u", F.col("m").alias("v"))).distinct())
+        common.release(*written[:-1])
+        now = state()
         if now == mark:  # settled
             break
         mark = now
@@ -223,66 +237,73 @@ def components(links: DataFrame, *, most_rounds: int = 50) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
 
 
+def _residual(shared: DataFrame, comps: DataFrame, reps: DataFrame, texts: DataFrame, least: int, width: int, percent: int, size: int, block: int) -> DataFrame:
+    """Links (a, b) between classes that share a bucket, or a cluster of buckets, but not a component: a forest of them at least, as far as sets are alike enough."""
+    member = common.cut(shared.select("band", F.col("b").alias("rep")).join(comps.toDF("rep", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep")))
+    split = common.cut(member.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("rep").alias("a")).filter("low != high").select("band", "a"))
+    cross = common.few(common.cut(member.join(split, "band").select("a", "rep", "comp").distinct()))
+    common.release(member, split)
+    clusters = components(cross.select("a", F.col("rep").alias("b")))
+    cross = cross.select("rep", "comp").distinct().join(clusters.toDF("rep", "cluster"), "rep").join(reps.select("rep", "n_shingles", "minima"), "rep")
+    cross = common.few(common.cut(cross))
+    by_comp = cross.groupBy("cluster", "comp").agg(F.count("*").alias("m"), F.sum("n_shingles").alias("s"))
+    sizes = by_comp.groupBy("cluster").agg(F.sum("m").alias("n"), F.sum("s").alias("all"), F.max(F.struct("m", "s", "comp")).alias("top"))
+    blocks = lambda rows, shingles: F.greatest(F.ceil(rows / block), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
+    sizes = common.cut(sizes.select("cluster", F.col("top.comp").alias("main"), blocks(F.col("top.m"), F.col("top.s")).alias("mains"), blocks(F.col("n") - F.col("top.m"), F.col("all") - F.col("top.s")).alias("others")))
+    dealt = cross.join(sizes, "cluster").withColumn("is_main", F.col("comp") == F.col("main"))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("rep"), F.when(F.col("is_main"), F.col("mains")).otherwise(F.col("others"))).cast("int"))
+    # A task for each pair of blocks: (other i, main j) as (i, -1 - j), (other i, other j >= i) as (i, j).
+    task = lambda i, j, side: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), side.cast("int").alias("side"))
+    as_main = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda i: task(i, -1 - F.col("own"), F.lit(1)))
+    as_other = F.concat(
+        F.transform(F.sequence(F.lit(0), F.col("mains") - 1), lambda j: task(F.col("own"), -1 - j, F.lit(0))),
+        F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda j: task(F.least("own", j), F.greatest("own", j), F.when(F.col("own") <= j, 0).otherwise(1))),
+    )
+    dealt = dealt.select("cluster", "rep", "comp", "minima", F.explode(F.when(F.col("is_main"), as_main).otherwise(as_other)).alias("t"))
+    dealt = dealt.join(texts.withColumnRenamed("uid", "rep"), "rep").select("cluster", "rep", "comp", "minima", "text", "t.*")
+    more = common.few(common.cut(dealt.groupBy("cluster", "i", "j").applyInArrow(_blocks(width, least, percent, size), "a long, b long")))
+    common.release(cross, sizes)
+    return more
+
+
 def near_duplicates(docs: DataFrame, *, percent: int = 85, size: int = WORDS, bands: int = BANDS, rows: int = ROWS, slack: float = SLACK, block: int = BLOCK) -> DataFrame:
     """Per row of docs (doc_id, text): uid, doc_id, n_shingles, component_id, kept (one row of each component)."""
-    spark = docs.sparkSession
     texts = common.with_uid(docs.select("doc_id", "text"))
     width = bands * rows
     least = max(0, int(width * (percent / 100 - slack)))
     sign = common.cut(texts.transform(common.mapped, signed(bands, rows, size), SIGNED))
-    classes = sign.filter("n_shingles > 0").groupBy("d1", "d2").agg(F.min("uid").alias("rep"), F.min("doc_id").alias("least_id"))
-    classes = common.cut(classes)
-    reps = sign.join(classes.select(F.col("rep").alias("uid")), "uid").select(F.col("uid").alias("rep"), "bands", "minima")
-    reps = common.cut(reps)
+    classes = common.cut(sign.filter("n_shingles > 0").groupBy("d1", "d2").agg(F.min("uid").alias("rep"), F.min("doc_id").alias("least_id")))
+    reps = common.cut(sign.join(classes.select(F.col("rep").alias("uid")), "uid").select(F.col("uid").alias("rep"), "n_shingles", "bands", "minima"))
     minima = reps.select("rep", "minima")
     banded = reps.select("rep", F.explode("bands").alias("band"))
-    buckets = banded.groupBy("band").agg(F.min("rep").alias("a"), F.count("*").alias("n")).filter("n > 1")
-    shared = common.cut(banded.join(buckets, "band").select("band", "n", "a", F.col("rep").alias("b")))
+    buckets = common.cut(banded.groupBy("band").agg(F.min("rep").alias("a"), F.count("*").alias("n")).filter("n > 1").select("band", "a"))
+    shared = common.few(common.cut(banded.join(buckets, "band").select("band", "a", F.col("rep").alias("b"))))
+    common.release(buckets)
     often = shared.filter("a != b").groupBy("b", "a").agg(F.count("*").alias("n"))
     pairs = often.groupBy("b").agg(F.max(F.struct("n", (-F.col("a")).alias("a"))).alias("top")).select((-F.col("top.a")).alias("a"), "b")
     pairs = pairs.join(minima.toDF("a", "ma"), "a").join(minima.toDF("b", "mb"), "b").transform(common.mapped, _alike(width, least), "a long, b long")
-    pairs = common.cut(pairs)
+    pairs = common.few(common.cut(pairs))
     # Texts that any confirmation can ask for: those in a bucket with another class.
     asked = shared.select(F.col("b").alias("uid")).distinct()
     texts = common.cut(texts.select("uid", "text").join(asked, "uid"))
-    links = common.cut(confirm(pairs, texts, percent, size))
+    links = confirm(pairs, texts, percent, size)
     comps = components(links)
-    # Buckets whose classes are in different components: only cross pairs can matter now. Buckets with a class in common make a cluster.
-    member = shared.select("band", F.col("b").alias("rep")).join(comps.toDF("rep", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    split = member.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("rep").alias("a")).filter("low != high").select("band", "a")
-    member = common.cut(member.join(split, "band").select("a", "rep", "comp").distinct())
-    if not member.isEmpty():
-        clusters = components(member.select("a", F.col("rep").alias("b")))
-        cross = member.select("rep", "comp").distinct().join(clusters.toDF("rep", "cluster"), "rep")
-        sizes = cross.groupBy("cluster", "comp").agg(F.count("*").alias("m")).groupBy("cluster").agg(F.sum("m").alias("n"), F.max(F.struct("m", "comp")).alias("top"))
-        blocks = lambda n: F.ceil(n / block).cast("int")
-        sizes = sizes.select("cluster", F.col("top.comp").alias("main"), blocks(F.col("top.m")).alias("mains"), blocks(F.col("n") - F.col("top.m")).alias("others"), (F.col("n") <= block).alias("small"))
-        cross = cross.join(sizes, "cluster").withColumn("is_main", F.col("comp") == F.col("main"))
-        cross = cross.withColumn("own", F.pmod(F.xxhash64("rep"), F.when(F.col("is_main"), F.col("mains")).otherwise(F.col("others"))).cast("int"))
-        # A small cluster is one task. Of a large one, a task for each pair of blocks: (other i, main j) as (i, -1 - j), (other i, other j >= i) as (i, j).
-        task = lambda i, j, side: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), side.cast("int").alias("side"))
-        as_main = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda i: task(i, -1 - F.col("own"), F.lit(1)))
-        as_other = F.concat(
-            F.transform(F.sequence(F.lit(0), F.col("mains") - 1), lambda j: task(F.col("own"), -1 - j, F.lit(0))),
-            F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda j: task(F.least("own", j), F.greatest("own", j), F.when(F.col("own") <= j, 0).otherwise(1))),
-        )
-        tasks = F.when(F.col("small"), F.array(task(F.lit(0), F.lit(0), F.lit(0)))).when(F.col("is_main"), as_main).otherwise(as_other)
-        cross = cross.select("cluster", "rep", "comp", tasks.alias("tasks")).join(minima, "rep").join(texts.withColumnRenamed("uid", "rep"), "rep")
-        cross = cross.select("cluster", "rep", "comp", "minima", "text", F.explode("tasks").alias("t")).select("cluster", "rep", "comp", "minima", "text", "t.*")
-        more = common.cut(cross.groupBy("cluster", "i", "j").applyInArrow(_blocks(width, least, percent, size), "a long, b long"))
-        if not more.isEmpty():
-            comps = components(comps.toDF("a", "b").union(more))
-    classes = classes.join(comps.toDF("rep", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    ids = classes.groupBy("comp").agg(F.min("least_id").alias("component_id"))
-    classes = common.cut(classes.join(ids, "comp").select("d1", "d2", "component_id"))
+    more = _residual(shared, comps, reps, texts, least, width, percent, size, block)
+    ends = components(comps.toDF("a", "b").union(more))
+    common.release(pairs, texts, links, shared, reps, more)
+    named = common.cut(classes.join(ends.toDF("rep", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep")))
+    ids = common.cut(named.groupBy("comp").agg(F.min("least_id").alias("component_id")))
+    of = common.cut(named.join(ids, "comp").select("d1", "d2", "component_id"))
+    common.release(classes, named, ids)
     rows_out = sign.select("uid", "doc_id", "n_shingles", "d1", "d2")
-    linked = rows_out.filter("n_shingles > 0").join(classes, ["d1", "d2"]).select("uid", "doc_id", "n_shingles", "component_id")
+    linked = rows_out.filter("n_shingles > 0").join(of, ["d1", "d2"]).select("uid", "doc_id", "n_shingles", "component_id")
     alone = rows_out.filter("n_shingles = 0").select("uid", "doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.union(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def drop_near_copies(docs: DataFrame, *, percent: int = 85) -> DataFrame:
-    """docs with one row of each component of sets whose similarity is `percent` hundredths or more."""
+    """docs with one row of each component of sets whose similarity is `percent` hundredths or more. Any names of other columns pass."""
+    key = common.free(docs, "uid")
     found = near_duplicates(docs, percent=percent).filter("kept")
-    stay = found.groupBy("component_id", F.when(F.col("component_id").isNull() | (F.col("n_shingles") == 0), F.col("uid")).alias("own")).agg(F.min("uid").alias("uid")).select("uid")
-    return common.with_uid(docs).join(stay, "uid", "left_semi").drop("uid")
+    stay = found.groupBy("component_id", F.when(F.col("component_id").isNull() | (F.col("n_shingles") == 0), F.col("uid")).alias("own")).agg(F.min("uid").alias(key)).select(key)
+    return common.with_uid(docs, key).join(stay, key, "left_semi").drop(key)
