@@ -42,7 +42,9 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = warc.new_folder(spark)
     warc.write(read(spark, sf_dir, "pages"), folder)
     captures = warc.assemble(warc.read(spark, folder, with_payload=False))
-    captures = captures.withColumn("page_id", F.regexp_extract("metadata.fields", r"page-id: (-?\d+)", 1).try_cast("long"))
+    from .common import cut
+
+    captures = cut(captures.select("capture_id", "response", F.regexp_extract("metadata.fields", r"page-id: (-?\d+)", 1).try_cast("long").alias("page_id")))  # the archives are read once
     firsts = captures.filter("response.kind = 'response'").select(F.col("capture_id").alias("first_id"), F.col("page_id").alias("first_page"), F.col("response.payload_bytes").alias("first_bytes"))
     again = captures.filter("response.kind = 'revisit'").join(firsts, F.col("response.refers_to") == F.col("first_id"))
     row = lambda df, size, refers: df.select("page_id", size.alias("payload_bytes"), F.col("response.payload_digest").alias("payload_digest"), F.col("response.kind").alias("record_type"), refers.alias("refers_to"), F.col("response.target_uri").alias("target_uri"))

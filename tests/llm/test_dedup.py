@@ -23,8 +23,8 @@ def test_exact_copies(spark):
     twice = spark.createDataFrame([(1, "a"), (1, "a")], "doc_id long, text string")
     assert [r[3] for r in exact(spark, twice)].count(True) == 1
     assert exact(spark, df.limit(0)) == []
-    left = exact_dedup.drop_copies(df.withColumn("uid2", F.lit(1)))
-    assert left.count() == 6 and left.columns == ["doc_id", "text", "uid2"]
+    left = exact_dedup.drop_copies(df.withColumn("uid", F.lit(1)).withColumn("_UID", F.lit(2)))
+    assert left.columns == ["doc_id", "text", "uid", "_UID"] and [(r[2], r[3]) for r in left.collect()] == [(1, 2)] * 6
 
 
 def test_history_and_new_rows(spark):
@@ -95,10 +95,19 @@ def test_repeated_rows_and_empty_tables(spark):
     df = spark.createDataFrame([(1, text), (1, text), (None, text), (None, ""), (3, "solo")], "doc_id long, text string")
     got = sorted(((r.doc_id, r.component_id) for r in minhash.near_duplicates(df).collect()), key=str)
     assert got == sorted([(1, 1), (1, 1), (None, 1), (None, None), (3, 3)], key=str)
-    assert minhash.drop_near_copies(df).count() == 3
+    left = minhash.drop_near_copies(df.withColumn("uid", F.lit("u")))
+    assert left.columns == ["doc_id", "text", "uid"] and [r.uid for r in left.collect()] == ["u"] * 3
     assert near(df.limit(0)) == [] and minhash.drop_near_copies(df.limit(0)).count() == 0
 
 
+def test_very_long_texts(spark):
+    text = " ".join(f"w{i}" for i in range(3_000_000))  # over 20 MB
+    df = spark.createDataFrame([(1, text), (2, text + " end"), (3, "lone words only here now")], "doc_id long, text string").repartition(1)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(df).collect()}
+    assert got == {1: (2_999_996, 1), 2: (2_999_997, 1), 3: (1, 3)}
+    assert sorted(r.doc_id for r in exact_dedup.drop_copies(df.union(df.filter("doc_id = 2").selectExpr("9L", "upper(text)"))).select("doc_id").collect()) == [1, 3, 9]
+
+
 def test_long_chains_of_links(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(100)] + [(200, 201), (5, 5)], "a long, b long")
     got = {(r.node, r.comp) for r in minhash.components(links).collect()}

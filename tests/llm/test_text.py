@@ -1,6 +1,6 @@
 import collections
-import hashlib
 import math
+import random
 import zlib
 
 import numpy as np
@@ -85,6 +85,27 @@ def test_samples_decode_to_their_texts(spark):
     out.unpersist()
 
 
+def test_weights_are_the_models_scores():
+    lat, sp = segment_sampling.lattices(MODEL, 1.0), SentencePieceProcessor(model_file=MODEL)
+    usable = [i for i in range(259, 32000) if not sp.is_byte(i) and not sp.is_unused(i)]
+    assert all(math.isclose(lat.weight[i], -math.log(2 - sp.get_score(i))) for i in usable)
+    best = max(usable, key=lambda i: lat.weight[i])
+    assert sp.get_score(best) == max(map(sp.get_score, usable)) and all(lat.weight[i] < -20 for i in usable if sp.get_score(i) < -1e8)
+    assert lat.longest == max(len(sp.id_to_piece(i)) for i in usable)
+
+
+def test_very_long_texts(spark):
+    text = "many different words " * 20 + "".join(f" w{i}" for i in range(3_000_000))  # over 20 MB
+    df = spark.createDataFrame([(1, text), (2, "short")], "doc_id long, text string").repartition(1)
+    r = segment_sampling.sample(df.limit(1).withColumn("text", F.substring("text", 1, 3_000_000)), MODEL, k=1, decoded=True).first()
+    assert r.text == text[:3_000_000]
+    got = packing.pack(df, WORDS).agg(F.sum("length"), F.max("doc_tokens")).first()
+    assert got[0] > got[1] > 6_000_000
+    near = {r.doc_id: r for r in fingerprint.neighbours(df).drop("edited").collect()}
+    assert near[1].n_chars == len(text) and near[2].n_chars == 5
+    assert {r.doc_id: r.n_words for r in toxicity.score(df, toxicity.Lexicon()).collect()}[1] > 3_000_000
+
+
 # ---- packing ----
 
 
@@ -122,6 +143,16 @@ def test_pieces_and_sequences(spark):
     assert one == zlib.crc32(next(bytes(r.ids) for r in packing.pack(df.filter("doc_id = 12"), WORDS).collect()))
 
 
+def test_other_tokenizers_are_refused(tmp_path):
+    from tokenizers import models, pre_tokenizers
+
+    tk = Tokenizer(models.WordLevel({"[UNK]": 0, "the": 1, "The": 2}, unk_token="[UNK]"))
+    tk.pre_tokenizer = pre_tokenizers.Whitespace()
+    tk.save(str(tmp_path / "t.json"))
+    with pytest.raises(ValueError, match="ids depend on"):
+        packing.Encoder(str(tmp_path / "t.json"))
+
+
 # ---- fingerprints ----
 
 
@@ -146,7 +177,7 @@ def test_fingerprints_and_neighbours(spark, monkeypatch, parts):
     rows = [(i * 3, t) for i, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("look", F.lit("clash")).repartition(3)
     real = fingerprint.with_next
-    monkeypatch.setattr(fingerprint, "with_next", lambda d, c: real(d, c, parts))
+    monkeypatch.setattr(fingerprint, "with_next", lambda d, c, i: real(d, c, i, parts))
     got = sorted(fingerprint.neighbours(df).collect(), key=lambda r: r.doc_id)
     for k, r in enumerate(got):
         a, b = texts[k], texts[(k + 1) % len(texts)]
@@ -155,6 +186,23 @@ def test_fingerprints_and_neighbours(spark, monkeypatch, parts):
         assert 0 <= r.near_next <= 1 and (r.near_edited == 1.0 if a == edited else True)
 
 
+def test_long_texts_are_read_in_slices():
+    text = "".join(chr(97 + i * i % 23) + str(i % 1013) for i in range(90_000))
+    assert len(text) > fingerprint.SLICE
+    raw, at = common.utf8(pa.array([text]))
+    assert fingerprint.written(fingerprint.digests(raw, at)) == [slow_digest(text)]
+
+
+def test_ranges_of_cuts(spark):
+    import bisect
+
+    ids = spark.createDataFrame([(i,) for i in range(-3, 200)] + [(None,)], "i long")
+    for n in (1, 2, 3, 17, 64, 65, 150):
+        cuts = [k * 190 // n for k in range(n)]
+        got = {r.i: r.p for r in ids.select("i", fingerprint._range_of(F.col("i"), cuts).alias("p")).collect()}
+        assert got == {None: 0, **{i: bisect.bisect_right(cuts, i) for i in range(-3, 200)}}
+
+
 def test_neighbours_of_nulls_and_single_rows(spark):
     one = fingerprint.neighbours(spark.createDataFrame([(5, "abcd")], "doc_id long, text string")).first()
     assert one.edited == "abab" and one.near_next == 1.0
@@ -191,8 +239,52 @@ def test_learned_lexicon_marks_held_out_rows(spark):
     assert toxicity.score(df.limit(0), lex).count() == 0
 
 
+def slow_sum(text, lex):
+    """Word by word, the longest entry that fits, unless the word is in a phrase."""
+    words = toxicity.fold(text).split()
+    inside = set()
+    for p in (p.split() for p in lex.exceptions):
+        inside |= {j for i in range(len(words)) if words[i : i + len(p)] == p for j in range(i, i + len(p))}
+    total = 0.0
+    for i, w in enumerate(words):
+        fit = [e for e in lex.weights if (e.endswith(" ") and e.strip() == w) or (not e.endswith(" ") and w.startswith(e[1:]))]
+        total += lex.weights[max(fit, key=len)] if fit and i not in inside else 0.0
+    return total
+
+
+def test_sums_against_a_slow_matcher():
+    rng = random.Random(4)
+    lex = toxicity.Lexicon(weights={" idiot ": 3.0, " idio": 1.5, " trash ": 2.0, " cl": 0.5, " clow": 4.0, " clown ": 3.0, " x ": 1.0}, exceptions=["trash can", "clown car", "class clown", "clown"[:3] + "ck trash can x"])
+    words = ["idiot", "idiots", "trash", "trashed", "can", "clown", "clowns", "car", "class", "clock", "x", "xx", "tr@sh", "fine"]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 30))) for _ in range(400)] + ["class clown car", "a clown", "trash", None, "", "clock trash can x trash can"]
+    total, _ = lex.sums(texts, lex.automaton())
+    assert total.tolist() == [slow_sum(t, lex) for t in texts]
+
+
+def test_insults_are_whole_words_and_count_once():
+    lex = toxicity.Lexicon()
+    assert lex.sums(["trashed", "scumble", "losers", "a clown"], lex.automaton())[0].tolist() == [0.0, 0.0, 0.0, 3.0]
+
+
+def test_the_length_of_a_text_alone_has_no_part():
+    lex = toxicity.Lexicon()
+    text = "you idiot " + "word " * 98
+    total, words = lex.sums([text, text * 50], lex.automaton())
+    a, b = lex.scores(total, words)
+    assert a < b < a + 0.2  # but for the 50 words that are added to each
+
+
+def test_scores_pass_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "idiot moron", 5.0, "m")], "doc_id long, text string, __score double, __Matched string")
+    got = toxicity.drop_toxic(df, toxicity.Lexicon(), limit=1.0)
+    assert got.columns == df.columns and [tuple(r) for r in got.collect()] == [tuple(r) for r in df.collect()]
+
+
 def test_fit_without_labels_and_bounded_sample(spark):
     df = spark.createDataFrame([(1, "idiot"), (2, "fine")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert toxicity.fit(df, none).weights == toxicity.Lexicon().weights
-    assert hashlib.sha256(b"").hexdigest()[:4] == "e3b0"
+    rows = [(i, f"zorkumate number{i}" if i % 3 else "plain text") for i in range(300)]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, int(i % 3 > 0)) for i, _ in rows], "doc_id long, toxic int")
+    assert any(w.startswith(" zork") for w in toxicity.fit(docs, labels).weights)
+    assert not any(w.startswith(" zork") for w in toxicity.fit(docs, labels, sample=2).weights)  # too few to tell

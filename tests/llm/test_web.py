@@ -1,7 +1,10 @@
 import collections
+import gzip
 import hashlib
+import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -26,8 +29,42 @@ def test_rules_come_before_the_model(spark):
 def test_model_parts_the_labelled_table_and_new_urls():
     m = url_filter.Model.train()
     assert all((s >= 0.5) == bool(y) for s, (_, y) in zip(m.scores([x for x, _ in url_filter.LABELLED]), url_filter.LABELLED))
-    s = m.scores(["www.cheap-casino-pills.example.com/buy", "library.example.org/en/books/12"])
-    assert s[0] > 0.5 > s[1]
+    s = m.scores(["www.cheap-casino-pills.example.com/buy", "library.example.org/en/books/12", ""])
+    assert s[0] > 0.5 > s[1] and 0.1 < s[2] < 0.5  # without n-grams: the share of unwanted rows, so null urls are allowed
+
+
+def test_model_judges_hosts_that_it_has_not_seen(spark):
+    import re
+
+    host = lambda x: x.partition("/")[0]
+    known = {host(x) for x, _ in url_filter.LABELLED}
+    words = {w for x in known for w in [x.split(".example.")[0].split(".")[-1]]}
+    for sf in ("sf0.001", "sf0.01", "sf0.1", "check_s"):
+        seen = {url_filter.split(r.url)[0] for r in spark.read.parquet(f"/root/testdata/{sf}/pages.parquet").select("url").collect()}
+        assert not known & seen and not words & {x.split(".example.")[0].split(".")[-1] for x in seen if x}
+    right = []
+    for k in range(8):  # held-out words
+        fold = [random.Random(i).randrange(8) for i in range(len(url_filter.LABELLED))]
+        m = url_filter.Model.train([x for x, f in zip(url_filter.LABELLED, fold) if f != k])
+        rest = [x for x, f in zip(url_filter.LABELLED, fold) if f == k]
+        right += [(s >= 0.5) == bool(y) for s, (_, y) in zip(m.scores([x for x, _ in rest]), rest)]
+    assert sum(right) / len(right) >= 0.9
+    assert all(re.fullmatch(r"[a-z0-9.-]+/[a-z0-9./]*", x) for x, _ in url_filter.LABELLED)
+
+
+def test_scores_against_a_slow_model():
+    m = url_filter.Model.train()
+    for name in ("www.pills-shop.example.com/en/1", "é.example.org/", "a", ""):
+        raw = f"^{name}$".encode()
+        grams = []
+        for n in url_filter.SIZES:
+            for i in range(len(raw) - n + 1):
+                h = n
+                for x in raw[i : i + n]:
+                    h = (h * 257 + x) % (1 << 64)
+                grams.append(int(common.mixed(np.array([h], np.uint64))[0]) >> (64 - url_filter.BITS))
+        z = sum(float(m.weights[g]) for g in grams) / max(1, len(grams)) ** 0.5 + m.bias
+        assert abs(m.scores([name])[0] - 1 / (1 + math.exp(-z))) < 1e-6
 
 
 def test_archives_come_back(spark, tmp_path):
@@ -54,11 +91,31 @@ def test_archives_come_back(spark, tmp_path):
     assert warc.assemble(warc.read(spark, str(tmp_path / "e"))).count() == 0
 
 
+RECORD = b"WARC/1.1\r\nWARC-Type: x\r\nContent-Length: 2\r\n\r\nab\r\n\r\n"
+
+
 def test_damaged_archives_fail():
-    good = b"WARC/1.1\r\nWARC-Type: x\r\nContent-Length: 2\r\n\r\nab\r\n\r\n"
-    assert [b for _, b in warc._records(good * 2)] == [b"ab", b"ab"]
-    with pytest.raises(ValueError):
-        list(warc._records(good[:-5]))
+    assert [b for _, b in warc.records(RECORD * 2)] == [b"ab", b"ab"] and list(warc.records(b"")) == []
+    for bad in (RECORD[:-5], RECORD + b"WARC", RECORD.replace(b": 2", b": 3"), gzip.compress(RECORD)[:-9]):
+        with pytest.raises(ValueError):
+            list(warc.records(bad))
+
+
+def test_all_members_of_an_archive_are_read(spark, tmp_path):
+    big = RECORD.replace(b": 2", b": 6000000").replace(b"ab", b"a " * 3_000_000)
+    assert [len(b) for _, b in warc.records(gzip.compress(RECORD) * 3 + b"\0\0" + gzip.compress(big + RECORD))] == [2, 2, 2, 6_000_000, 2]
+    rows = [f"WARC/1.1\r\nWARC-Type: metadata\r\nWARC-Record-ID: {i}\r\nContent-Length: {len(str(i))}\r\n\r\n{i}\r\n\r\n".encode() for i in range(300)]
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(map(gzip.compress, rows)))
+    (tmp_path / "b.warc").write_bytes(b"".join(rows))
+    assert sorted(int(r.fields) for r in warc.read(spark, str(tmp_path)).collect()) == sorted([*range(300)] * 2)
+
+
+def test_files_are_bounded_by_bytes(spark, tmp_path):
+    df = spark.createDataFrame([(i, "http://h.org/", chr(97 + i % 26) * 5000 + str(i)) for i in range(60)] + [(99, "u", "long page " * 500_000)], "page_id long, url string, html string").coalesce(1)
+    warc.write(df, str(tmp_path / "w"), file_bytes=400_000)
+    assert len(list((tmp_path / "w").glob("part-*"))) > 10
+    got = warc.assemble(warc.read(spark, str(tmp_path / "w"))).collect()
+    assert len(got) == 61 and max(r.response.payload_bytes for r in got) == 5_000_000
 
 
 TALK = [
