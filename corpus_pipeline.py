@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and gives the next one's docs, which are written as Parquet in the shared folder and read again, so a lost executor costs
 the running stage at most. All but the last return the columns of documents. Null texts pass all stages (as empty texts from the
-suffix-array stage on); repeated rows are copies; an empty table gives no sequences."""
+suffix-array stage on); repeated rows are copies, and of ties one stays; long texts go through whole; further columns pass all stages but the last, whatever their
+names; an empty table gives no sequences."""
 
 from __future__ import annotations
 
@@ -64,4 +65,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
+        if k:  # nothing reads what this stage has read any more
+            common.delete(spark, f"{folder}/{k - 1}")
     return docs
