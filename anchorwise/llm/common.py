@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -44,21 +45,21 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def few(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """A checkpoint read by a task for every PART_ROWS rows (counted unless given), so that small tables don't make as many shuffle files as there are shuffle partitions."""
-    tasks = max(1, -(-(df.count() if rows is None else rows) // PART_ROWS))
-    return df.coalesce(tasks) if df.rdd.getNumPartitions() > tasks else df
+def table(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Cuts the lineage by a table written to the shared folder, whose size the optimizer then knows. A checkpoint keeps the estimate that its plan led to: over joins of
+    checkpoints with each other, its number of digits doubles each time. With `rows`, it has a file for every PART_ROWS of them, not one for each shuffle partition."""
+    spark = df.sparkSession
+    folder = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
+    (df if rows is None else df.coalesce(max(2, -(-rows // PART_ROWS)))).write.parquet(folder)
+    out = spark.read.schema(df.schema).parquet(folder)
+    out._folder = folder
+    return out
 
 
-def release(*checkpoints: DataFrame) -> None:
-    """Deletes the files of checkpoints that nothing reads any more."""
-    for df in checkpoints:
-        plan = df._jdf.queryExecution().logical()
-        while not plan.children().isEmpty():
-            plan = plan.children().apply(0)
-        found = plan.rdd().getCheckpointFile()
-        if found.isDefined():
-            delete(df.sparkSession, found.get())
+def release(*tables: DataFrame) -> None:
+    """Deletes tables that nothing reads any more."""
+    for df in tables:
+        delete(df.sparkSession, df._folder)
 
 
 def delete(spark: SparkSession, path: str) -> None:

@@ -13,7 +13,7 @@ fewer words the whole sequence is its one shingle; without words the set is empt
 4. Components come from alternating large-star and small-star rounds until the edges stay the same.
 
 Tables that a hot key is joined to (minima of a node, members of a bucket, ids of a component) are written to the shared folder first, so each side of such a join
-is a shuffle of its own, whose large partitions Spark splits. Checkpoints are deleted once nothing reads them.
+is a shuffle of its own, whose large partitions Spark splits. These tables are deleted once nothing reads them.
 
 A pair at the threshold 0.85 shares no band with probability (1 - 0.85 ** rows) ** bands, 8e-8 here (1.5e-5 at 0.8, the pipeline's threshold).
 Null text counts as empty; rows with a null id, repeated rows and ties are rows of their own; component_id is the smallest doc_id
@@ -198,29 +198,28 @@ def _confirmed(percent: int, size: int):  # noqa: ANN201
 
 def confirm(pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> DataFrame:
     """pairs (a, b), distinct, to those alike enough. A centre with many members is dealt in parts of about PART members."""
-    many = common.cut(pairs.groupBy("a").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts")))
+    many = common.table(pairs.groupBy("a").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts")))
     salted = pairs.join(many, "a").withColumn("part", F.pmod(F.xxhash64("b"), "parts").cast("int"))
     centres = many.select(F.col("a").alias("uid"), "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     rows = salted.select(F.col("b").alias("uid"), "a", "part").union(centres).join(texts, "uid").select("a", "part", F.col("uid").alias("b"), (F.col("a") != F.col("uid")).alias("member"), "text")
-    found = common.cut(rows.repartition(common.parts(pairs.sparkSession), "a", "part").sortWithinPartitions("a", "part", "member").transform(common.mapped, _confirmed(percent, size), "a long, b long"))
+    found = common.table(rows.repartition(common.parts(pairs.sparkSession), "a", "part").sortWithinPartitions("a", "part", "member").transform(common.mapped, _confirmed(percent, size), "a long, b long"))
     common.release(many)
     return found
 
 
 def components(links: DataFrame, *, most_rounds: int = 50) -> DataFrame:
     """(a, b) to (node, comp): the smallest node that each linked node can reach, itself included."""
-    edges = common.cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct())
+    edges = common.table(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct())
     state = lambda: edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     mark = state()
     for _ in range(most_rounds):
         written = [edges]
 
         def kept(df: DataFrame) -> DataFrame:
-            """In about as many parts as the edges need; no step makes more than twice their number."""
-            written.append(common.cut(common.few(df, mark[0])))
+            """In about as many files as the edges need; no step makes more than twice their number."""
+            written.append(common.table(df, mark[0]))
             return written[-1]
 
-        edges = common.few(edges, mark[0])
         both = edges.union(edges.select("v", "u").toDF("u", "v"))
         least = kept(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = kept(both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v"))
@@ -239,17 +238,18 @@ def components(links: DataFrame, *, most_rounds: int = 50) -> DataFrame:
 
 def _residual(shared: DataFrame, comps: DataFrame, reps: DataFrame, texts: DataFrame, least: int, width: int, percent: int, size: int, block: int) -> DataFrame:
     """Links (a, b) between classes that share a bucket, or a cluster of buckets, but not a component: a forest of them at least, as far as sets are alike enough."""
-    member = common.cut(shared.select("band", F.col("b").alias("rep")).join(comps.toDF("rep", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep")))
-    split = common.cut(member.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("rep").alias("a")).filter("low != high").select("band", "a"))
-    cross = common.few(common.cut(member.join(split, "band").select("a", "rep", "comp").distinct()))
+    member = common.table(shared.select("band", F.col("b").alias("rep")).join(comps.toDF("rep", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep")))
+    split = common.table(member.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("rep").alias("a")).filter("low != high").select("band", "a"))
+    cross = common.table(member.join(split, "band").select("a", "rep", "comp").distinct())
     common.release(member, split)
     clusters = components(cross.select("a", F.col("rep").alias("b")))
-    cross = cross.select("rep", "comp").distinct().join(clusters.toDF("rep", "cluster"), "rep").join(reps.select("rep", "n_shingles", "minima"), "rep")
-    cross = common.few(common.cut(cross))
+    pairs = cross
+    cross = common.table(pairs.select("rep", "comp").distinct().join(clusters.toDF("rep", "cluster"), "rep").join(reps.select("rep", "n_shingles", "minima"), "rep"))
+    common.release(pairs)
     by_comp = cross.groupBy("cluster", "comp").agg(F.count("*").alias("m"), F.sum("n_shingles").alias("s"))
     sizes = by_comp.groupBy("cluster").agg(F.sum("m").alias("n"), F.sum("s").alias("all"), F.max(F.struct("m", "s", "comp")).alias("top"))
     blocks = lambda rows, shingles: F.greatest(F.ceil(rows / block), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
-    sizes = common.cut(sizes.select("cluster", F.col("top.comp").alias("main"), blocks(F.col("top.m"), F.col("top.s")).alias("mains"), blocks(F.col("n") - F.col("top.m"), F.col("all") - F.col("top.s")).alias("others")))
+    sizes = common.table(sizes.select("cluster", F.col("top.comp").alias("main"), blocks(F.col("top.m"), F.col("top.s")).alias("mains"), blocks(F.col("n") - F.col("top.m"), F.col("all") - F.col("top.s")).alias("others")))
     dealt = cross.join(sizes, "cluster").withColumn("is_main", F.col("comp") == F.col("main"))
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("rep"), F.when(F.col("is_main"), F.col("mains")).otherwise(F.col("others"))).cast("int"))
     # A task for each pair of blocks: (other i, main j) as (i, -1 - j), (other i, other j >= i) as (i, j).
@@ -261,7 +261,7 @@ def _residual(shared: DataFrame, comps: DataFrame, reps: DataFrame, texts: DataF
     )
     dealt = dealt.select("cluster", "rep", "comp", "minima", F.explode(F.when(F.col("is_main"), as_main).otherwise(as_other)).alias("t"))
     dealt = dealt.join(texts.withColumnRenamed("uid", "rep"), "rep").select("cluster", "rep", "comp", "minima", "text", "t.*")
-    more = common.few(common.cut(dealt.groupBy("cluster", "i", "j").applyInArrow(_blocks(width, least, percent, size), "a long, b long")))
+    more = common.table(dealt.groupBy("cluster", "i", "j").applyInArrow(_blocks(width, least, percent, size), "a long, b long"))
     common.release(cross, sizes)
     return more
 
@@ -271,29 +271,29 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, size: int = WORDS, ba
     texts = common.with_uid(docs.select("doc_id", "text"))
     width = bands * rows
     least = max(0, int(width * (percent / 100 - slack)))
-    sign = common.cut(texts.transform(common.mapped, signed(bands, rows, size), SIGNED))
-    classes = common.cut(sign.filter("n_shingles > 0").groupBy("d1", "d2").agg(F.min("uid").alias("rep"), F.min("doc_id").alias("least_id")))
-    reps = common.cut(sign.join(classes.select(F.col("rep").alias("uid")), "uid").select(F.col("uid").alias("rep"), "n_shingles", "bands", "minima"))
+    sign = common.table(texts.transform(common.mapped, signed(bands, rows, size), SIGNED))
+    classes = common.table(sign.filter("n_shingles > 0").groupBy("d1", "d2").agg(F.min("uid").alias("rep"), F.min("doc_id").alias("least_id")))
+    reps = common.table(sign.join(classes.select(F.col("rep").alias("uid")), "uid").select(F.col("uid").alias("rep"), "n_shingles", "bands", "minima"))
     minima = reps.select("rep", "minima")
     banded = reps.select("rep", F.explode("bands").alias("band"))
-    buckets = common.cut(banded.groupBy("band").agg(F.min("rep").alias("a"), F.count("*").alias("n")).filter("n > 1").select("band", "a"))
-    shared = common.few(common.cut(banded.join(buckets, "band").select("band", "a", F.col("rep").alias("b"))))
+    buckets = common.table(banded.groupBy("band").agg(F.min("rep").alias("a"), F.count("*").alias("n")).filter("n > 1").select("band", "a"))
+    shared = common.table(banded.join(buckets, "band").select("band", "a", F.col("rep").alias("b")))
     common.release(buckets)
     often = shared.filter("a != b").groupBy("b", "a").agg(F.count("*").alias("n"))
     pairs = often.groupBy("b").agg(F.max(F.struct("n", (-F.col("a")).alias("a"))).alias("top")).select((-F.col("top.a")).alias("a"), "b")
     pairs = pairs.join(minima.toDF("a", "ma"), "a").join(minima.toDF("b", "mb"), "b").transform(common.mapped, _alike(width, least), "a long, b long")
-    pairs = common.few(common.cut(pairs))
+    pairs = common.table(pairs)
     # Texts that any confirmation can ask for: those in a bucket with another class.
     asked = shared.select(F.col("b").alias("uid")).distinct()
-    texts = common.cut(texts.select("uid", "text").join(asked, "uid"))
+    texts = common.table(texts.select("uid", "text").join(asked, "uid"))
     links = confirm(pairs, texts, percent, size)
     comps = components(links)
     more = _residual(shared, comps, reps, texts, least, width, percent, size, block)
     ends = components(comps.toDF("a", "b").union(more))
     common.release(pairs, texts, links, shared, reps, more)
-    named = common.cut(classes.join(ends.toDF("rep", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep")))
-    ids = common.cut(named.groupBy("comp").agg(F.min("least_id").alias("component_id")))
-    of = common.cut(named.join(ids, "comp").select("d1", "d2", "component_id"))
+    named = common.table(classes.join(ends.toDF("rep", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep")))
+    ids = common.table(named.groupBy("comp").agg(F.min("least_id").alias("component_id")))
+    of = common.table(named.join(ids, "comp").select("d1", "d2", "component_id"))
     common.release(classes, named, ids)
     rows_out = sign.select("uid", "doc_id", "n_shingles", "d1", "d2")
     linked = rows_out.filter("n_shingles > 0").join(of, ["d1", "d2"]).select("uid", "doc_id", "n_shingles", "component_id")
