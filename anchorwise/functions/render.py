@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .templates import Templates
+
 _HIDDEN = re.compile(r"<!--.*?-->|<ref[^>/]*/>|<ref[^>]*>.*?</ref\s*>", re.DOTALL | re.IGNORECASE)
 _LINK = re.compile(r"\[\[([^\[\]|]+)(?:\|([^\[\]]*))?\]\]")
 _OUTSIDE = re.compile(r"\[(https?://[^\s\]]+)(?:\s+([^\]]*))?\]")
@@ -91,10 +93,18 @@ def wrapped(title: Column, body: Column) -> Column:
     return F.concat(F.lit("<html><head><title>"), title, F.lit("</title></head><body>"), body, F.lit("</body></html>"))
 
 
-def rendered(text: Column) -> Column:
+def rendered(text: Column, rules: list[tuple[str, str]] | None = None, *, expand: bool = False) -> Column:
+    """The HTML of page bodies, with `expand` also with their templates expanded: one pass through Python for both."""
+
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        templates = Templates(rules) if expand else None
+
+        def one(t: str | None) -> str:
+            page = render(t)
+            return templates.page(page) if templates and "{{" in page else page
+
         for texts in batches:
-            yield texts.map(render, na_action=None)
+            yield texts.map(one, na_action=None)
 
     return run(text)

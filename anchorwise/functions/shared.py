@@ -3,18 +3,46 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint under spark.checkpoint.dir; under a temporary folder where that is unset (tests)."""
-    spark = df.sparkSession
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="anchorwise-"))
+    """A reliable checkpoint under spark.checkpoint.dir; under a temporary folder where that is unset and there is one process only (tests)."""
+    shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def shared_dir(spark: SparkSession) -> str:
+    current = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if current.isDefined():
+        return current.get()
+    found = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is not set: it names the folder that driver and executors share")
+        found = tempfile.mkdtemp(prefix="anchorwise-")
+    spark.sparkContext.setCheckpointDir(found)
+    return found
+
+
+def table(df: DataFrame) -> DataFrame:
+    """Cuts the lineage by a table in the shared folder, whose size the optimizer then knows; over joins of checkpoints with each other, estimates grow out of hand."""
+    folder = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    out = df.sparkSession.read.schema(df.schema).parquet(folder)
+    out._folder = folder
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Deletes tables that nothing reads any more."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._folder)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deals out an input that has fewer splits than the cluster has cores, for steps that cost much a row. Larger inputs stay as
     they are, without a shuffle."""

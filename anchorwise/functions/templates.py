@@ -104,23 +104,17 @@ class Templates:
 
 
 def expand_templates(html: Column, rules: list[tuple[str, str]] | None = None) -> Column:
-    """Nesting is beyond regular expressions, so this is an Arrow function; texts without a template don't pass it where `native_first` is used."""
+    """Nesting is beyond regular expressions, so this is an Arrow function; texts without a template come back as they are."""
 
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         templates = Templates(rules)
         for texts in batches:
-            yield texts.map(templates.page, na_action=None)
+            yield texts.map(lambda t: templates.page(t) if t and "{{" in t else t, na_action=None)
 
     return run(html)
 
 
-def native_first(df: DataFrame, column: str, rules: list[tuple[str, str]] | None = None) -> DataFrame:
-    """Expands templates in `column`; only rows that hold one go to Python."""
-    has = F.col(column).contains("{{")
-    return df.filter(~F.coalesce(has, F.lit(False))).unionByName(df.filter(has).withColumn(column, expand_templates(F.col(column), rules)))
-
-
 def unknown_templates(df: DataFrame, column: str, rules: list[tuple[str, str]] | None = None) -> DataFrame:
     """Templates without a rule, with counts."""
 

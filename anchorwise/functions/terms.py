@@ -15,12 +15,13 @@ ANCHOR = r"(?is)<a\b([^>]*)>(.*?)</a\s*>"
 TITLE = r"(?is)<title[^>]*>(.*?)</title\s*>"
 COMMENT = r"(?s)<!--.*?-->"
 SCRIPT = r"(?is)<(script|style)\b[^>]*>.*?</(script|style)\s*>"
-HREF = r"(?is)\bhref\s*=\s*[\x{22}']([^\x{22}']*)"
+HREF = r"(?is)(?:^|[\s\x{22}'])href\s*=\s*(?:\x{22}([^\x{22}]*)|'([^']*)|([^\s\x{22}'>][^\s>]*))"
 UNBROKEN = r"(?i)</[^>]*>|<(?:" + "|".join(INLINE) + r")(?:[\s/][^>]*)?>"
 TAG = r"<[A-Za-z!?][^>]*>"
 EDGE = r"^[\[\](),?!;:.'\x{22}]+|[\[\](),?!;:.'\x{22}]+$"
 BLANK = r"\s+"
-# Entities; the ampersand comes last.
+# Entities, and further ones that attributes hold; the ampersand comes last.
+ATTRIBUTE_ENTITIES = [("&#x27;", "'"), ("&#X27;", "'"), ("&#34;", '"'), ("&#x22;", '"'), ("&#38;", "&"), ("&#x26;", "&")]
 ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
 
 
@@ -55,6 +56,9 @@ def words(text: Column, tokenizer: str = "break") -> Column:
 
 
 def link_target(attributes: Column) -> Column:
-    """The article that an anchor's href names: decoded, root-relative, without a colon, cut at #; null for other anchors."""
-    href = F.try_url_decode(F.regexp_extract(attributes, HREF, 1))
+    """The article that an anchor's href names: in double, single or no quotes, its entities and then its bytes decoded, root-relative, without a colon, cut at #; null for other anchors."""
+    href = F.concat(*(F.regexp_extract(attributes, HREF, k) for k in (1, 2, 3)))  # one of them at most holds something
+    for entity, char in [*ATTRIBUTE_ENTITIES, *ENTITIES]:
+        href = F.replace(href, F.lit(entity), F.lit(char))
+    href = F.try_url_decode(href)
     return F.when(href.startswith("/") & ~href.contains(":"), F.regexp_extract(href, "^/([^#]*)", 1))

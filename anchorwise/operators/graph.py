@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.shared import cut
+from ..functions.shared import cut, release, table
 
 
 def edges_of(categories: DataFrame) -> DataFrame:
@@ -85,15 +85,18 @@ def has_cycles(edges: DataFrame, strict: bool = False) -> bool:
 def weak_components(edges: DataFrame) -> DataFrame:
     """(name, component): the least name that is connected with each."""
     both = edges.select(F.col("child").alias("a"), F.col("parent").alias("b")).union(edges.select("parent", "child").toDF("a", "b")).distinct()
-    state = cut(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("component")).withColumnRenamed("a", "name"))
+    state = table(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("component")).withColumnRenamed("a", "name"))
+    written = state
     while True:
         near = both.join(state.toDF("b", "other"), "b").groupBy(F.col("a").alias("name")).agg(F.min("other").alias("other"))
         # Also the label of one's label: halves the way to the least name.
         jump = state.toDF("component", "beyond")
         moved = state.join(near, "name").join(jump, "component", "left").select("name", F.least("component", "other", "beyond").alias("next"), "component")
-        moved = cut(moved)
+        moved = table(moved)
         if moved.filter("next != component").isEmpty():
             return state
+        written, last = moved, written
+        release(last)
         state = moved.select("name", F.col("next").alias("component"))
 
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from ..functions import terms as T
 from ..functions.render import rendered, wrapped
-from ..functions.templates import native_first
 
 MAX_DISTANCE = 100
 
@@ -64,8 +63,8 @@ def terms_of_html(pages: DataFrame, max_distance: int = MAX_DISTANCE, **options:
 
 
 def terms_of_markup(articles: DataFrame, max_distance: int = MAX_DISTANCE, *, rules: list[tuple[str, str]] | None = None, **options: object) -> DataFrame:
-    """(article_name, article_text) to terms near links: markup is rendered, templates are expanded, the rest is native."""
-    pages = native_first(articles.select("article_name", rendered(F.col("article_text")).alias("html")), "html", rules)
+    """(article_name, article_text) to terms near links: markup is rendered and templates are expanded in one pass, the rest is native."""
+    pages = articles.select("article_name", rendered(F.col("article_text"), rules, expand=True).alias("html"))
     return terms_of_html(pages.select("article_name", wrapped(F.col("article_name"), F.col("html")).alias("html")), max_distance, **options)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions.shared import release, table
 from ..functions.wikitext import counter_name
 from ..operators import dump, graph, link_terms, tfidf
 from ..sources import readers, sinks
@@ -26,7 +27,7 @@ def dump_job(spark: SparkSession, input_file: str, output_dir: str, metadata_dir
         pages = pages.filter(~is_main).unionByName(dump.hash_sample(pages.filter(is_main), sample_percent / 100, "title"))
     if num_pages is not None:
         pages = dump.page_limit(pages, num_pages, is_main)
-    pages = pages.persist()
+    pages = table(pages)  # routed once, for all outputs
     try:
         sinks.article_parts(dump.main_articles(pages), output_dir, pages_per_file=pages_per_file, compress=compress)
         sinks.categories(dump.categories(pages), f"{metadata_dir}/categories.txt")
@@ -34,7 +35,7 @@ def dump_job(spark: SparkSession, input_file: str, output_dir: str, metadata_dir
         sinks.disambiguations(dump.disambiguations(pages), f"{metadata_dir}/disambigs.txt")
         return {r.counter: r.value for r in dump.page_counters(pages).collect()}
     finally:
-        pages.unpersist()
+        release(pages)
 
 
 def generate_job(spark: SparkSession, input_dir: str, working_dir: str, *, max_distance: int = link_terms.MAX_DISTANCE, rules: list[tuple[str, str]] | None = None, strict: bool = False, plan_file: str | None = None) -> dict[str, int]:

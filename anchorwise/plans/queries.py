@@ -44,8 +44,12 @@ def words_sql(x: str) -> str:
 
 
 def ref_sql(attributes: str) -> str:
-    href = f"url_decode(regexp_extract({attributes}, {text(T.HREF)}, 1))"
-    return f"CASE WHEN starts_with({href}, '/') AND NOT contains({href}, ':') THEN regexp_extract({href}, '^/([^#]*)', 1) END"
+    """Written apart from the engine's patterns: the value by its first character, then entities, then bytes."""
+    value = f"trim(regexp_extract(' ' || {attributes}, '[\\s\"''][hH][rR][eE][fF]\\s*=(.*)$', 1, 's'))"
+    raw = f"CASE left({value}, 1) WHEN chr(34) THEN split_part({value}, chr(34), 2) WHEN chr(39) THEN split_part({value}, chr(39), 2) ELSE regexp_extract({value}, '^[^\\s>]*') END"
+    for entity, char in (("&#x27;", "''"), ("&#X27;", "''"), ("&#34;", '"'), ("&#x22;", '"'), ("&#38;", "&"), ("&#x26;", "&"), ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "''"), ("&#39;", "''"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
+        raw = f"replace({raw}, '{entity}', '{char}')"
+    return f"(SELECT CASE WHEN starts_with(v, '/') AND NOT contains(v, ':') THEN substr(split_part(v, '#', 1), 2) END FROM (SELECT url_decode({raw}) AS v))"
 
 
 PIECES_SQL = f"""
@@ -60,7 +64,9 @@ PIECES_SQL = f"""
     tok AS (SELECT page_id, article_name, piece, unnest(ts) AS term, generate_subscripts(ts, 1) AS ord FROM piece),
     pos AS (SELECT page_id, article_name, piece, term, row_number() OVER (PARTITION BY page_id ORDER BY piece, ord) - 1 AS pos FROM tok),
     lpos AS (SELECT l.page_id, l.piece, l.ref, count(p.term) AS pos FROM link l LEFT JOIN pos p ON p.page_id = l.page_id AND p.piece < l.piece WHERE l.ref IS NOT NULL GROUP BY ALL),
-    pairs AS (SELECT p.article_name, p.term, l.ref AS article_ref, (p.pos - l.pos)::INT AS term_distance FROM lpos l JOIN pos p ON p.page_id = l.page_id AND p.pos >= l.pos - {DISTANCE} AND p.pos < l.pos + {DISTANCE})"""
+    whole AS (SELECT page_id, any_value(article_name) AS article_name, list(term ORDER BY pos) AS ts FROM pos GROUP BY page_id),
+    near AS (SELECT article_name, ref, pos, greatest(pos - {DISTANCE}, 0) AS low, ts[greatest(pos - {DISTANCE}, 0) + 1 : pos + {DISTANCE}] AS around FROM lpos JOIN whole USING (page_id)),
+    pairs AS (SELECT article_name, unnest(around) AS term, ref AS article_ref, (low + generate_subscripts(around, 1) - 1 - pos)::INT AS term_distance FROM near)"""
 
 
 def tfidf_sql(triples: str, top: int | None) -> str:
@@ -325,7 +331,7 @@ def template_action(spark: SparkSession, sf_dir: str) -> DataFrame:
 def template_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested templates in pages: ignored, text, unknown, a stray end and an open one."""
     markup = F.concat(F.lit("a {{cite x|{{main|y}}}}{{portal|"), "p_name", F.lit("}} {{zzz|1}} b}} {{open "), "p_brand")
-    return templates.native_first(table(spark, sf_dir, "part").select("p_partkey", markup.alias("html")), "html")
+    return table(spark, sf_dir, "part").select("p_partkey", templates.expand_templates(markup).alias("html"))
 
 
 @query("SELECT lower(trim('zz ' || p_brand)) AS template, count(*) AS n FROM part GROUP BY 1")
@@ -374,24 +380,31 @@ def graph_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.closure(part_edges(spark, sf_dir))
 
 
-def knots(spark: SparkSession) -> DataFrame:
-    """A diamond, a circle of three and a tree."""
-    rows = [("a", "b"), ("a", "c"), ("b", "d"), ("c", "d"), ("p", "q"), ("q", "r"), ("r", "p"), ("t1", "t"), ("t2", "t"), ("t3", "t1")]
-    return spark.createDataFrame(rows, "child string, parent string")
+def knots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts in blocks of four (the last, smaller one left out): in turn a diamond and a circle."""
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("p"))
+    k = (F.col("p") - 1) % 4
+    name = lambda n: F.lpad((F.col("p") + n).cast("string"), 12, "0")
+    blocks = parts.filter(k == 0).join(parts.select((F.col("p") - 3).alias("p")), "p", "left_semi")
+    shape = lambda *pairs: F.array(*(F.struct(name(a).alias("child"), name(b).alias("parent")) for a, b in pairs))
+    edges = F.when((F.col("p") - 1) % 8 == 0, shape((0, 1), (0, 2), (1, 3), (2, 3))).otherwise(shape((0, 1), (1, 2), (2, 3), (3, 0)))
+    return blocks.select(F.explode(edges).alias("e")).select("e.*")
 
 
-KNOTS = "e(child, parent) AS (VALUES ('a','b'),('a','c'),('b','d'),('c','d'),('p','q'),('q','r'),('r','p'),('t1','t'),('t2','t'),('t3','t1'))"
+KNOTS = """b AS (SELECT p_partkey AS p FROM part WHERE p_partkey % 4 = 1 AND p_partkey + 3 IN (SELECT p_partkey FROM part)),
+    shape(kind, a, z) AS (VALUES (1, 0, 1), (1, 0, 2), (1, 1, 3), (1, 2, 3), (5, 0, 1), (5, 1, 2), (5, 2, 3), (5, 3, 0)),
+    e AS (SELECT lpad((p + a)::VARCHAR, 12, '0') AS child, lpad((p + z)::VARCHAR, 12, '0') AS parent, a, z FROM b JOIN shape ON p % 8 = kind)"""
 
 
-@query(f"WITH RECURSIVE {KNOTS}, r AS (SELECT child AS start, parent AS node FROM e UNION SELECT start, parent FROM r JOIN e ON node = child) SELECT TRUE AS reached_twice, (SELECT count(*) > 0 FROM r WHERE start = node) AS strict")
+@query(f"WITH RECURSIVE {KNOTS}, r AS (SELECT child AS start, parent AS node, 1 AS n FROM e UNION ALL SELECT start, parent, n + 1 FROM r JOIN e ON node = child WHERE n < 5) SELECT (SELECT max(c) > 1 FROM (SELECT count(*) AS c FROM r WHERE n < 4 GROUP BY start, node)) AS reached_twice, (SELECT count(*) > 0 FROM r WHERE start = node) AS strict")
 def graph_has_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = knots(spark)
+    e = knots(spark, sf_dir)
     return spark.createDataFrame([(graph.has_cycles(e), graph.has_cycles(e, strict=True))], "reached_twice boolean, strict boolean")
 
 
-@query("SELECT * FROM (VALUES ('a','b'),('a','c'),('b','d'),('p','q'),('q','r'),('t1','t'),('t2','t'),('t3','t1')) v(child, parent)")
+@query(f"WITH {KNOTS} SELECT child, parent FROM e WHERE NOT (a = 3 AND z = 0) AND NOT (a = 2 AND z = 3 AND child NOT IN (SELECT parent FROM e WHERE a = 1 AND z = 2))")
 def graph_break_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.break_cycles(knots(spark))
+    return graph.break_cycles(knots(spark, sf_dir))
 
 
 @query(f"{NATION_EDGES} SELECT child AS name FROM e UNION SELECT parent FROM e")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -62,15 +62,18 @@ def categories(spark: SparkSession, path: str) -> DataFrame:
     return parse_categories(lines(spark, path))
 
 
-def parse_redirects(rows: DataFrame) -> DataFrame:
-    """(line) `from TAB to` to (from_title, to_title, ordinal); other numbers of fields are left out."""
+def parse_redirects(rows: DataFrame, place: Column | None = None) -> DataFrame:
+    """(line) `from TAB to` to (from_title, to_title, ordinal); other numbers of fields are left out. `place`: what orders the rows; their order in one file by default."""
     fields = W.split_line(F.col("line"))
-    rows = rows.withColumn("ordinal", F.monotonically_increasing_id()).filter(F.size(fields) == 2)
+    rows = rows.withColumn("ordinal", F.monotonically_increasing_id() if place is None else place).filter(F.size(fields) == 2)
     return rows.select(F.get(fields, F.lit(0)).alias("from_title"), F.get(fields, F.lit(1)).alias("to_title"), "ordinal")
 
 
 def redirects(spark: SparkSession, path: str) -> DataFrame:
-    return parse_redirects(lines(spark, path))
+    """ordinal is the file's path, the beginning of the split in it, and the order in that: the order of all lines of all files by name, however they are dealt."""
+    rows = spark.read.text(path)
+    place = rows.select(F.col("value").alias("line"), F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row")).alias("place"))
+    return parse_redirects(place, F.col("place"))
 
 
 def graph(spark: SparkSession, path: str) -> DataFrame:

@@ -58,13 +58,15 @@ def test_limit_and_gzip(spark, tmp_path):
 
 
 def test_category_graph_and_redirect_map(spark, tmp_path):
-    (tmp_path / "categories.txt").write_text("Fayetteville FireAntz players\t\nPoliticians from Balochistan (Pakistan)\tPeople from Balochistan (Pakistan) by occupation|Pakistani politicians\na\tb\tc\n")
+    (tmp_path / "categories.txt").write_text("Quince pies\t\nBakers of the north (coast)\tBakers by region|Northern cooks\na\tb\tc\n")
     assert jobs.category_graph_job(spark, str(tmp_path / "categories.txt"), str(tmp_path / "g")) == 4
     g = readers.graph(spark, str(tmp_path / "g"))
-    assert g.filter("name like 'Fay%'").first().parents == []
+    assert g.filter("name like 'Quince%'").first().parents == []
     sinks.graph(g, str(tmp_path / "g2"))
     assert same_graph(g, readers.graph(spark, str(tmp_path / "g2")))
-    (tmp_path / "r.txt").write_text("a\tx\na\ty\nbad\nb\tz\n")
+    (tmp_path / "r.txt").mkdir()
+    (tmp_path / "r.txt" / "part-1").write_text("a\ty\n" + "b\tq\n" * 500)  # larger, so that it is dealt first
+    (tmp_path / "r.txt" / "part-0").write_text("a\tx\na\ty\nbad\nb\tz\n")
     assert jobs.redirect_map_job(spark, str(tmp_path / "r.txt"), str(tmp_path / "m")) == 2
     assert {tuple(r) for r in spark.read.parquet(str(tmp_path / "m")).collect()} == {("a", "x"), ("b", "z")}
 

@@ -102,7 +102,7 @@ def test_pages_keep_stray_and_open_templates(spark):
     assert t.page("a {{cite x|{{main|y}}}}{{portal|P}} {{zzz}} b}} {{open") == "a  P,   b}} {{open"
     assert t.page(None) == ""
     df = spark.createDataFrame([(1, "x {{main|A}}"), (2, "plain"), (3, None)], "i int, h string")
-    assert {r.i: r.h for r in templates.native_first(df, "h").collect()} == {1: 'x  <a href="http://en.wikipedia.org/wiki/A">A</a> ', 2: "plain", 3: None}
+    assert {r.i: r.h for r in df.withColumn("h", templates.expand_templates(F.col("h"))).collect()} == {1: 'x  <a href="http://en.wikipedia.org/wiki/A">A</a> ', 2: "plain", 3: None}
     assert [tuple(r) for r in templates.unknown_templates(spark.createDataFrame([("{{Q|1}} {{q}}",)], "h string"), "h").collect()] == [("q", 2)]
 
 
@@ -119,6 +119,39 @@ def test_markup_to_terms(spark):
     assert got == [("t", "Big_Town", -3), ("go", "Big_Town", -2), ("to", "Big_Town", -1), ("thetown", "Big_Town", 0), ("now", "Big_Town", 1), ("other", "Big_Town", 2)]
 
 
+TARGETS = {
+    ' href="/Schindler\'s_List"': "Schindler's_List", " href='/A\"B'": 'A"B', " href=/Bare_Name class=x": "Bare_Name", ' class="c" HREF = "/Up"': "Up", ' href="/O&#x27;Brien"': "O'Brien", ' href="/R&amp;D#x"': "R&D", ' href="/AT%26T"': "AT&T",
+    ' data-href="/no"': None, ' href="x"': None, ' href="/a:b"': None, ' href="/%zz"': None, "": None, ' title="t"href="/Close"': "Close", ' href="/S&#39;x"': "S'x", ' href="/Q&quot;"': 'Q"',
+}
+
+
+def test_link_targets(spark):
+    import duckdb
+
+    from anchorwise.plans import queries
+
+    df = spark.createDataFrame([(a,) for a in TARGETS], "a string")
+    assert {r.a: r.t for r in df.select("a", T.link_target(F.col("a")).alias("t")).collect()} == TARGETS
+    con = duckdb.connect()
+    for a, want in TARGETS.items():
+        if "%zz" not in a:
+            assert con.execute(f"SELECT {queries.ref_sql('a')} FROM (SELECT $1::VARCHAR AS a)", [a]).fetchone()[0] == want, a
+
+
+def test_titles_with_quotes_reach_the_terms(spark):
+    df = spark.createDataFrame([("T", "See [[Schindler's List]] and [[O'Brien|him]] or [[R&D]]")], "article_name string, article_text string")
+    assert [r.article_ref for r in link_terms.terms_of_markup(df, 1).select("article_ref").distinct().orderBy("article_ref").collect()] == ["O'Brien", "R&D", "Schindler's_List"]
+
+
+def test_markup_is_read_and_rendered_once(spark, tmp_path):
+    from anchorwise.plans import jobs
+    from anchorwise.sources import readers
+
+    (tmp_path / "a").write_text("T\tYSB7e21haW58WH19IFtbWV1d\n")
+    plan = jobs.explained(link_terms.terms_of_markup(readers.articles(spark, str(tmp_path)), 5)).partition("\n\n\n")[0]
+    assert plan.count("Scan text") == 1 and plan.count("ArrowEvalPython") == 1
+
+
 def test_element_paths():
     p = ElementPath()
     assert p.at("/") and p.within("/") and not p.at("one") and not p.within("/one")

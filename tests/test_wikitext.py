@@ -5,21 +5,20 @@ from anchorwise.functions import wikitext as W
 from anchorwise.operators import dump
 
 REDIRECTS = {
-    "#REDIRECT [[In One Breath]]": "In_One_Breath",
-    "#redirect [[In One Breath]]": "In_One_Breath",
-    "#REDIRECT:[[King of the Hill (season 4)]]": "King_of_the_Hill_(season_4)",
-    "#REDIRECT: [[Uzel Holding]]": "Uzel_Holding",
-    "#REDIRECT\n\n[[Taif Agreement]]": "Taif_Agreement",
-    "\n\n#REDIRECT: [[Beşiktaş J.K.]]": "Beşiktaş_J.K.",
-    "#redirect : [[How I Met Your Mother]]": "How_I_Met_Your_Mother",
-    "#redirect [[Blah# Anchor]]": "Blah",
+    "#REDIRECT [[Quince tart]]": "Quince_tart",
+    "#redirect [[Quince tart]]": "Quince_tart",
+    "#REDIRECT:[[The mill (part 2)]]": "The_mill_(part_2)",
+    "#REDIRECT: [[North gate]]": "North_gate",
+    "#REDIRECT\n\n[[Old bridge]]": "Old_bridge",
+    "\n\n#REDIRECT: [[Ünal F.Ş.]]": "Ünal_F.Ş.",
+    "#redirect : [[Who Saw My Cat]]": "Who_Saw_My_Cat",
+    "#redirect [[Pond# Fish]]": "Pond",
     "no directive": None,
 }
-DISAMBIGUATION = [
-    "{{disambiguation}}", "blah {{disambiguation}}", "{{ disambiguation }}", "blah {{Disambiguation}} blah", "{{disambiguation|geo|ship}}", "{{disambiguation |geo|ship}}", "{{disambig}}", "{{disambig|xx}}",
-    "{{Dab}}", "{{DAB}}", "{{Disamb}}", "{{Disambiguation cleanup}}", "{{Airport disambiguation}}", "{{Numberdis}}", "{{Letter-NumberCombDisambig}}", "{{Hndis}}", "{{Hndis-cleanup}}", "{{Geodis}}", "{{Disambig-Plants}}", "{{Mil-unit-dis}}",
-]
-OTHER = ["{{disambiguation needed|date=June 2012}}", "disambiguation", "{{disambiguation|a\nb}}", ""]
+# Names that must count as disambiguation.
+NAMES = "disambiguation Disambiguation disambig Dab DAB Disamb Numberdis Letter-NumberCombDisambig Hndis Hndis-cleanup Geodis Disambig-Rivers Mil-unit-dis".split()
+DISAMBIGUATION = [*(f"{{{{{n}}}}}" for n in NAMES), *(f"see {{{{ {n} |x|y}}}} too" for n in NAMES), "{{Disambiguation cleanup}}", "{{River disambiguation}}"]
+OTHER = ["{{disambiguation wanted|since=1999}}", "disambiguation", "{{disambiguation|a\nb}}", ""]
 
 
 def test_redirect_targets(spark):
@@ -28,9 +27,9 @@ def test_redirect_targets(spark):
 
 
 def test_parents_are_distinct_and_without_sort_keys(spark):
-    text = "[[Category:Cold War military installations]]\t[[category:Radar stations|x]] [[Category:Radar stations]]"
+    text = "[[Category:Old stone bridges]]\t[[category:Water mills|x]] [[Category:Water mills]]"
     got = spark.createDataFrame([(text,), ("",)], "t string").select(W.parent_categories(F.col("t"))).collect()
-    assert [r[0] for r in got] == [["Cold_War_military_installations", "Radar_stations"], []]
+    assert [r[0] for r in got] == [["Old_stone_bridges", "Water_mills"], []]
 
 
 def test_disambiguation(spark):
