@@ -32,6 +32,7 @@ from . import common
 SAMPLES, ALPHA, WORDS = 2, 1.0, 300_000
 BLANK, BYTES, FIRST = "▁", 3, 259  # ids of byte pieces begin at 3, those of other pieces at 259
 _WORD = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
+_FACTOR = 0xD6E8FEB86659FD93
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _ROUND = np.uint64(0xC2B2AE3D27D4EB4F)
 OUT = "rank int, ids array<int>, log_prob double, perturbed double, log_inclusion double"
@@ -89,24 +90,29 @@ class Lattices:
         # An open table of pieces and of their beginnings (id -1) by the hash of their characters.
         self.table, self.ids = np.zeros(1 << 18, np.uint64), np.full(1 << 18, -2, np.int32)
         self.probes = 1
-        placed: dict[int, int] = {}
+        slots: dict[int, int] = {}
+        used: set[int] = set()
         for i in usable:
-            h = np.zeros(1, np.uint64)
-            for c in np.frombuffer(pieces[i].encode("utf-32-le"), np.uint32):
-                h = self._next(h, np.array([c]))
-                if (key := int(h[0])) not in placed:
-                    slot, k = key >> 46, 1
-                    while self.table[slot]:
+            h = 0
+            for c in pieces[i]:
+                h = (h ^ h >> 29 ^ (ord(c) + 1)) * _FACTOR % (1 << 64)  # _next() of one character
+                if h not in slots:
+                    slot, k = h >> 46, 1
+                    while slot in used:
                         slot, k = (slot + 1) & ((1 << 18) - 1), k + 1
-                    self.table[slot], self.ids[slot] = h[0], -1
+                    used.add(slot)
+                    slots[h] = slot
+                    self.table[slot], self.ids[slot] = h, -1
                     self.probes = max(self.probes, k)
-                    placed[key] = slot
-            self.ids[placed[int(h[0])]] = i
+            self.ids[slots[h]] = i
+        self.words = _Rows(base=np.int64, end=np.int64)
+        self.nodes = _Rows(first=np.int64, last=np.int64)
+        self.edges = _Rows(src=np.int32, step=np.int16, id=np.int32, log=np.float64, cum=np.float64)
         self.clear()
 
     @staticmethod
     def _next(h: np.ndarray, chars: np.ndarray) -> np.ndarray:
-        return (h ^ h >> np.uint64(29) ^ (chars.astype(np.uint64) + np.uint64(1))) * np.uint64(0xD6E8FEB86659FD93)
+        return (h ^ h >> np.uint64(29) ^ (chars.astype(np.uint64) + np.uint64(1))) * np.uint64(_FACTOR)
 
     def _look(self, h: np.ndarray) -> np.ndarray:
         """Ids of pieces; -1 for other beginnings of pieces, -2 for what begins none."""
@@ -123,10 +129,9 @@ class Lattices:
         return found
 
     def clear(self) -> None:
+        """Forgets all words; the arrays' memory is used again."""
         self.known = common.Numbers()
-        self.words = _Rows(base=np.int64, end=np.int64)
-        self.nodes = _Rows(first=np.int64, last=np.int64)
-        self.edges = _Rows(src=np.int32, step=np.int16, id=np.int32, log=np.float64, cum=np.float64)
+        self.words.n = self.nodes.n = self.edges.n = 0
 
     def learn(self, words: list[str]) -> None:
         """words: those with the numbers behind the last known one."""
@@ -174,17 +179,18 @@ class Lattices:
         log = weight + total[src + step] - total[src]
         first, last = begin, begin + many - 1
         # Sums within each node alone, so that draws don't depend on what else is learned.
-        cum, nth = np.exp(log), np.arange(len(src)) - begin[src]
-        for k in range(1, int(nth.max()) + 1):
-            at = np.flatnonzero(nth == k)
-            cum[at] += cum[at - 1]
+        cum, head = np.exp(log), begin[many > 0]
+        deep = many[many > 0]
+        for k in range(1, int(deep.max(initial=0))):
+            head, deep = head[deep > k], deep[deep > k]
+            cum[head + k] += cum[head + k - 1]
         e, v, base = self.edges.n, self.nodes.n, np.cumsum(size + 1) - (size + 1)
         self.edges.add(src=src + v, step=step, id=ids, log=np.minimum(log, 0.0), cum=cum)
         self.nodes.add(first=first + e, last=last + e)
         self.words.add(base=base + v, end=base + size + v)
 
-    def index(self, texts: list[list[str]]) -> list[np.ndarray]:
-        """Numbers of all words."""
+    def index(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of all words, and where each text's begin and end."""
         if len(self.known) > WORDS:
             self.clear()
         size = [len(ws) for ws in texts]
@@ -192,7 +198,7 @@ class Lattices:
         if self.known.new:
             self.learn(self.known.new)
             self.known.new = []
-        return np.split(found, np.cumsum(size)[:-1])
+        return found, np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
 
     def decode(self, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of each run of ids and their offsets, without the blank in front."""
@@ -245,13 +251,14 @@ def _walk(lat: Lattices, node: np.ndarray, end: np.ndarray, seed: np.ndarray, sh
 
 def sample_chunk(lat: Lattices, texts: list[list[str]], seeds: np.ndarray, k: int) -> list[list[tuple]]:
     """For each text of words: (edges, log-probability, perturbed value, logarithm of the inclusion score), the best first."""
-    words = lat.index(texts)
+    found, at = lat.index(texts)
     n = len(texts)
     logs = lat.edges.log
-    bases = [lat.words.base[w] for w in words]
-    ends = [lat.words.end[w] for w in words]
+    base, end = lat.words.base[found], lat.words.end[found]
     # Draws go by a place in the text; shift turns a node into one.
-    shifts = [np.cumsum(e - b) - (e - b) - b for b, e in zip(bases, ends, strict=True)]
+    places = np.concatenate([[0], np.cumsum(end - base)])
+    shift = places[:-1] - np.repeat(places[at[:-1]], np.diff(at)) - base
+    words, bases, ends, shifts = ([x[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)] for x in (found, base, end, shift))
     queue: list[list] = [[] for _ in range(n)]
     leaves: list[list[tuple]] = [[] for _ in range(n)]  # (edges, word of each, value)
     kappa = np.full(n, -np.inf)
@@ -300,7 +307,7 @@ def sample_chunk(lat: Lattices, texts: list[list[str]], seeds: np.ndarray, k: in
                 edges = np.concatenate([head[0], [head[2]], edges])
                 word = np.concatenate([head[1], [head[3]], word])
             leaf, m = len(leaves[d]), value[d]
-            leaves[d].append((edges, word, m))
+            leaves[d].append((edges, word, m, prefix + (float(logs[head[2]]) if head else 0.0) + float(new_log[a:b].sum())))
             behind = prefix + (float(logs[head[2]]) if head else 0.0)
             if b > a:
                 with np.errstate(invalid="ignore"):
@@ -327,8 +334,7 @@ def sample_chunk(lat: Lattices, texts: list[list[str]], seeds: np.ndarray, k: in
     out = []
     for d in range(n):
         rows = []
-        for edges, _, m in leaves[d]:
-            p = float(logs[edges].sum())
+        for edges, _, m, p in leaves[d]:
             rows.append((edges, p, float(m), _log_inclusion(p - kappa[d])))
         out.append(rows or [(np.zeros(0, np.int64), 0.0, float(value[d]), 0.0)])
     return out
