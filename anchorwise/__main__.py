@@ -31,6 +31,10 @@ def parser() -> argparse.ArgumentParser:
     p = sub.add_parser("analyze", help="score terms")
     p.add_argument("--workingdir", required=True)
     p.add_argument("--numarticles", type=int)
+    p = sub.add_parser("markup", help="look at the markup of a dump: pairs, templates without a rule, categories, redirects")
+    p.add_argument("--inputfile", required=True)
+    p.add_argument("--outputdir", required=True)
+    p.add_argument("--maxdistance", type=int, default=100)
     for name, what in (("category-graph", "build the category graph"), ("redirect-map", "build the redirect map")):
         p = sub.add_parser(name, help=what)
         p.add_argument("--inputfile", required=True)
@@ -50,6 +54,8 @@ def main(argv: list[str] | None = None) -> int:
         out = jobs.generate_job(spark, a.inputdir, a.workingdir, max_distance=a.maxdistance, plan_file=a.planfile)
     elif a.job == "analyze":
         out = jobs.analyze_job(spark, a.workingdir, num_articles=a.numarticles, plan_file=a.planfile)
+    elif a.job == "markup":
+        out = jobs.markup_job(spark, a.inputfile, a.outputdir, max_distance=a.maxdistance)
     elif a.job == "category-graph":
         out = {"nodes": jobs.category_graph_job(spark, a.inputfile, a.outputfile)}
     else:

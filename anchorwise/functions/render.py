@@ -94,15 +94,18 @@ def wrapped(title: Column, body: Column) -> Column:
 
 
 def rendered(text: Column, rules: list[tuple[str, str]] | None = None, *, expand: bool = False) -> Column:
-    """The HTML of page bodies, with `expand` also with their templates expanded: one pass through Python for both."""
+    """The HTML of page bodies, with `expand` also with their templates expanded: one pass through Python for both. Null for a page that fails, so that it can be counted."""
 
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         templates = Templates(rules) if expand else None
 
-        def one(t: str | None) -> str:
-            page = render(t)
-            return templates.page(page) if templates and "{{" in page else page
+        def one(t: str | None) -> str | None:
+            try:
+                page = render(t)
+                return templates.page(page) if templates and "{{" in page else page
+            except Exception:  # noqa: BLE001  whatever a page does to the renderer, the others go on
+                return None
 
         for texts in batches:
             yield texts.map(one, na_action=None)

@@ -27,10 +27,11 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def table(df: DataFrame) -> DataFrame:
-    """Cuts the lineage by a table in the shared folder, whose size the optimizer then knows; over joins of checkpoints with each other, estimates grow out of hand."""
+def table(df: DataFrame, by: str | None = None) -> DataFrame:
+    """Cuts the lineage by a table in the shared folder, whose size the optimizer then knows; over joins of checkpoints with each other, estimates grow out of hand.
+    With `by`, a column of few values, a filter on it reads the files of that value alone."""
     folder = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
+    (df.write if by is None else df.write.partitionBy(by)).parquet(folder)
     out = df.sparkSession.read.schema(df.schema).parquet(folder)
     out._folder = folder
     return out

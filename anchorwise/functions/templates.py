@@ -152,3 +152,13 @@ def expand_template(content: Column, rules: list[tuple[str, str]] | None = None)
         result = F.lit(None).cast("string") if action is None else text if action == "text" else articles if action == "articles" else F.lit(action.removeprefix("constant:") if action.startswith("constant:") else "")
         value = (F if value is None else value).when(name.rlike(f"^(?:{pattern})$"), result)
     return value.otherwise(F.lit(None)) if value is not None else F.lit(None).cast("string")
+
+
+def markup_to_html(text: Column) -> Column:
+    """Markup in arguments of templates is left as it is."""
+    return text
+
+
+def markup_to_text(text: Column) -> Column:
+    """Markup in arguments of templates is left as it is."""
+    return text

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 REDIRECT = r"(?i)#REDIRECT[ \t]*:*[ \n]*\[\[(.+?)(#.+?|)\]\]"
 CATEGORY = r"(?i)\[\[Category:(.+?)\]\]"
 TITLE_BREAK = r"[\t\n\r]"
+# The plainer patterns of the survey of a markup sample.
+PLAIN_REDIRECT, PLAIN_CATEGORY = r"#REDIRECT \[\[(.+?)\]\]", r"\[\[Category:(.+)\]\]"
 # Names of disambiguation templates, as patterns.
 DISAMBIGUATION_NAMES = [
     "disambiguation", "disambig", r"disambig\-[^ \t]+", "disamb", "dab", r"disambiguation[ \t]+cleanup", r"[^ \t]+[ \t]+disambiguation",

@@ -8,40 +8,88 @@ from pyspark.sql import functions as F
 from ..functions import wikitext as W
 
 
+#: Rows of a range of `order`, about; and the fewest ranges.
+RANGE_ROWS, RANGES = 1_000_000, 64
+#: Bins of a round of nth_least(), whose counts come to the driver.
+BINS = 4096
+# Counters of page types whose names aren't the types' own; all types, and what is counted besides.
+COUNTERS = {"category": "category-valid-page", "redirect": "redirect-valid-page", "exception": "exception"}
+TYPES = "main redirect redirect-invalid project file template category category-invalid module disambiguation unknown other exception".split()
+
+
 def routed(pages: DataFrame) -> DataFrame:
-    """Adds page_type to (title, ns, is_redirect, text, ordinal)."""
-    return pages.withColumn("page_type", W.page_type(F.col("title"), F.col("ns"), F.col("is_redirect"), F.col("text")))
+    """Adds page_type to (title, ns, is_redirect, text, ordinal). Pages with a `malformed` source, if that column is there, are exceptions."""
+    kind = W.page_type(F.col("title"), F.col("ns"), F.col("is_redirect"), F.col("text"))
+    return pages.withColumn("page_type", F.when(F.col("malformed").isNotNull(), "exception").otherwise(kind) if "malformed" in pages.columns else kind)
 
 
-def main_before(df: DataFrame, is_main: Column, order: str = "ordinal", buckets: int = 64) -> DataFrame:
+def main_before(df: DataFrame, is_main: Column, order: str = "ordinal") -> DataFrame:
     """Adds main_before, the number of main rows in front of each. Rows are counted by range of `order` first, so no task sees all of them:
-    a running sum within a range, plus the sums of the ranges before (one row a range)."""
-    cuts = sorted(set(df.stat.approxQuantile(order, [i / buckets for i in range(1, buckets)], 0.01)))
+    a running sum within a range, plus the sums of the ranges before (one row a range). Ranges hold about RANGE_ROWS rows."""
+    buckets = max(RANGES, -(-df.count() // RANGE_ROWS))
+    cuts = sorted(set(df.stat.approxQuantile(order, [i / buckets for i in range(1, buckets)], 0.1 / buckets)))
     rows = df.withColumn("__main", is_main.cast("long")).withColumn("__range", F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: F.col(order) >= c)) if cuts else F.lit(0))
     totals = rows.groupBy("__range").agg(F.sum("__main").alias("__sum"))
-    front = totals.alias("a").join(F.broadcast(totals.alias("b")), F.col("b.__range") < F.col("a.__range"), "left").groupBy("a.__range").agg(F.coalesce(F.sum("b.__sum"), F.lit(0)).alias("__front"))
+    before = Window.partitionBy(F.lit(0)).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    front = totals.select("__range", F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__front"))
     w = Window.partitionBy("__range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.join(F.broadcast(front), "__range").withColumn("main_before", F.col("__front") + F.coalesce(F.sum("__main").over(w), F.lit(0)))
     return rows.drop("__main", "__range", "__front")
 
 
+def nth_least(df: DataFrame, column: str, n: int) -> int | None:
+    """The n-th least value of a column of whole numbers; None if there are fewer. Each round counts values by bin (pre-aggregated in the scan, BINS counts
+    to the driver) and goes on in the bin that holds the n-th, so no rows are shuffled or sorted; a file is scanned for this column alone."""
+    v = F.col(column).cast("decimal(20,0)")
+    rows = df.filter(F.col(column).isNotNull())
+    low, high, have = rows.agg(F.min(column), F.max(column), F.count(column)).first()
+    if have < n:
+        return None
+    while low < high:
+        step = (high - low) // BINS + 1
+        # A difference may be wider than 64 bits; pmod keeps the quotient whole.
+        off = v - F.lit(low).cast("decimal(20,0)")
+        bins = rows.filter(F.col(column).between(low, high)).select(((off - F.pmod(off, F.lit(step).cast("decimal(20,0)"))) / step).cast("int").alias("bin"))
+        for b, count in sorted(map(tuple, bins.groupBy("bin").count().collect())):
+            if n <= count:
+                break
+            n -= count
+        low, high = low + b * step, min(high, low + (b + 1) * step - 1)
+    return low
+
+
 def page_limit(df: DataFrame, limit: int, is_main: Column, order: str = "ordinal") -> DataFrame:
-    """Rows up to the one that makes `limit` main rows: a prefix, so rows of other types behind it go too."""
-    return main_before(df, is_main, order).filter(F.col("main_before") < limit).drop("main_before")
+    """Rows up to the one that makes `limit` main rows: a prefix, so rows of other types behind it go too. Only the last row's `order` is looked for; rows stay where they are."""
+    if limit < 1:
+        return df.limit(0)
+    last = nth_least(df.filter(is_main).select(order), order, limit)
+    return df if last is None else df.filter(F.col(order) <= last)
 
 
 def hash_sample(df: DataFrame, share: float, key: str, seed: int = 0) -> DataFrame:
     """Rows whose key hashes below `share`: the same ones in every run and on every cluster. 1 keeps all."""
+    return df.filter(in_sample(share, key, seed))
+
+
+def in_sample(share: float, key: str, seed: int = 0) -> Column:
     if not 0 <= share <= 1:
         raise ValueError("share must be from 0 to 1")
-    if share == 1:
-        return df
-    return df.filter(F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1_000_000)) < round(share * 1_000_000))
+    return F.lit(True) if share == 1 else F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1_000_000)) < round(share * 1_000_000)
 
 
 def main_articles(pages: DataFrame) -> DataFrame:
     """Routed pages to (article_name, article_text) of main pages."""
-    return pages.filter("page_type = 'main'").select(W.clean_title(F.col("title")).alias("article_name"), F.coalesce("text", F.lit("")).alias("article_text"))
+    return ordered_articles(pages).drop("ordinal")
+
+
+def ordered_articles(pages: DataFrame) -> DataFrame:
+    """main_articles() with their ordinal."""
+    return pages.filter("page_type = 'main'").select(W.clean_title(F.col("title")).alias("article_name"), F.coalesce("text", F.lit("")).alias("article_text"), "ordinal")
+
+
+def exceptions(pages: DataFrame, most: int = 100) -> DataFrame:
+    """(line) the first `most` pages that are no XML, each on one line."""
+    return pages.filter("page_type = 'exception'").orderBy("ordinal").limit(most).select(F.regexp_replace("malformed", W.TITLE_BREAK, " ").alias("line"))
 
 
 def categories(pages: DataFrame) -> DataFrame:
@@ -56,6 +104,21 @@ def redirects(pages: DataFrame) -> DataFrame:
     return rows.groupBy("from_title").agg(F.max_by("to_title", "ordinal").alias("to_title"))
 
 
+def plain_categories(pages: DataFrame) -> DataFrame:
+    """(name, parents) of category pages by the plainer pattern, which runs to the last brackets of a line; names as they stand, without sort keys; of pages with one name the last counts."""
+    parents = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(W.PLAIN_CATEGORY), F.lit(1)), lambda c: F.split_part(c, F.lit("|"), F.lit(1))))
+    rows = pages.filter((F.col("ns") == W.CATEGORY_SPACE) & F.col("title").startswith("Category:"))
+    rows = rows.select(F.substring("title", len("Category:") + 1, 1 << 30).alias("name"), parents.alias("parents"), "ordinal")
+    return rows.groupBy("name").agg(F.max_by("parents", "ordinal").alias("parents"))
+
+
+def plain_redirects(pages: DataFrame) -> DataFrame:
+    """(from_title, to_title) of redirects by the plainer pattern, which keeps anchors; of pages with one title the last counts."""
+    to = F.regexp_extract("text", W.PLAIN_REDIRECT, 1)
+    rows = pages.filter((F.col("ns") == W.MAIN) & F.col("is_redirect") & (to != "")).select(W.article_name(F.col("title")).alias("from_title"), W.article_name(to).alias("to_title"), "ordinal")
+    return rows.groupBy("from_title").agg(F.max_by("to_title", "ordinal").alias("to_title"))
+
+
 def redirect_map(rows: DataFrame, order: str = "ordinal") -> DataFrame:
     """(from_title, to_title, order) to a map in which the first entry of a title counts."""
     return rows.groupBy("from_title").agg(F.min_by("to_title", order).alias("to_title"))
@@ -72,5 +135,10 @@ def disambiguations(pages: DataFrame) -> DataFrame:
 
 
 def page_counters(pages: DataFrame) -> DataFrame:
-    """(counter, value) for each page type."""
-    return pages.groupBy(F.concat("page_type", F.lit("-page")).alias("counter")).agg(F.count("*").alias("value"))
+    """(counter, value) for each page type, 0 where there is none, and for exceptions."""
+    every = pages.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, TYPES))).alias("page_type"), F.lit(0).alias("n"))
+    sums = pages.select("page_type", F.lit(1).alias("n")).union(every).groupBy("page_type").agg(F.sum("n").alias("value"))
+    name = F.concat("page_type", F.lit("-page"))
+    for kind, counter in COUNTERS.items():
+        name = F.when(F.col("page_type") == kind, counter).otherwise(name)
+    return sums.select(name.alias("counter"), "value")

@@ -14,31 +14,33 @@ from ..functions.render import rendered, wrapped
 MAX_DISTANCE = 100
 
 
-def page_items(html: Column, tokenizer: str = "break", drop_script: bool = False) -> Column:
-    """Terms and link marks of a page in order: an array of (term, ref), one of which is null."""
+def page_items(html: Column, tokenizer: str = "break", drop_script: bool = False, raw: bool = False) -> Column:
+    """Terms and link marks of a page in order: an array of (term, ref), one of which is null. With `raw`, the title and the anchors' texts are terms as they stand, whatever they begin with."""
     html = F.regexp_replace(F.coalesce(html, F.lit("")), T.COMMENT, "")
-    title = T.normalize_phrase(T.plain_text(F.regexp_extract(html, T.TITLE, 1)))
+    phrase = (lambda t: t) if raw else T.normalize_phrase
+    title = phrase(T.plain_text(F.regexp_extract(html, T.TITLE, 1)))
     body = F.regexp_replace(html, T.TITLE, "")
     body = F.regexp_replace(body, T.SCRIPT, " ") if drop_script else body
     texts, attributes, labels = F.split(body, T.ANCHOR, -1), F.regexp_extract_all(body, F.lit(T.ANCHOR), F.lit(1)), F.regexp_extract_all(body, F.lit(T.ANCHOR), F.lit(2))
     null = F.lit(None).cast("string")
     term = lambda t: F.struct(t.alias("term"), null.alias("ref"))
     mark = lambda r: F.struct(null.alias("term"), r.alias("ref"))
-    one = lambda t: F.filter(F.array(term(t)), lambda x: T.accepted(x.term))
+    one = lambda t: F.filter(F.array(term(t)), lambda x: F.lit(True) if raw else T.accepted(x.term))
 
     def part(piece: Column) -> Column:
         words = F.transform(T.words(T.plain_text(piece["0"]), tokenizer), term)
         marks = F.filter(F.array(mark(T.link_target(piece["1"]))), lambda x: x.ref.isNotNull())
-        label = one(T.normalize_phrase(T.plain_text(F.coalesce(piece["2"], F.lit("")))))
+        label = one(phrase(T.plain_text(F.coalesce(piece["2"], F.lit("")))))
+        label = F.when(piece["2"].isNotNull(), label).otherwise(F.array().cast("array<struct<term:string,ref:string>>")) if raw else label  # the last piece has no anchor
         return F.concat(words, marks, label)
 
     # The three arrays are arguments of one function: inside the lambda they would be made anew for every piece.
     return F.flatten(F.concat(F.array(one(title)), F.transform(F.arrays_zip(texts, attributes, labels), part)))
 
 
-def page_terms(pages: DataFrame, *, key: str = "article_name", html: str = "html", tokenizer: str = "break", drop_script: bool = False) -> DataFrame:
+def page_terms(pages: DataFrame, *, key: str = "article_name", html: str = "html", tokenizer: str = "break", drop_script: bool = False, raw: bool = False) -> DataFrame:
     """key, terms (array), links (array of ref, pos)."""
-    items = pages.select(F.col(key), page_items(F.col(html), tokenizer, drop_script).alias("items"))
+    items = pages.select(F.col(key), page_items(F.col(html), tokenizer, drop_script, raw).alias("items"))
     marks = F.filter(F.transform("items", lambda x, k: F.struct(x.ref.alias("ref"), k.alias("at"))), lambda m: m.ref.isNotNull())
     # The n-th mark has n marks before it.
     links = F.transform(marks, lambda m, n: F.struct(m.ref.alias("ref"), (m["at"] - n).alias("pos")))
@@ -64,8 +66,13 @@ def terms_of_html(pages: DataFrame, max_distance: int = MAX_DISTANCE, **options:
 
 def terms_of_markup(articles: DataFrame, max_distance: int = MAX_DISTANCE, *, rules: list[tuple[str, str]] | None = None, **options: object) -> DataFrame:
     """(article_name, article_text) to terms near links: markup is rendered and templates are expanded in one pass, the rest is native."""
+    return terms_of_html(pages_of_markup(articles, rules), max_distance, **options)
+
+
+def pages_of_markup(articles: DataFrame, rules: list[tuple[str, str]] | None = None) -> DataFrame:
+    """(article_name, article_text) to (article_name, html). A page that can't be rendered has null, and so no terms."""
     pages = articles.select("article_name", rendered(F.col("article_text"), rules, expand=True).alias("html"))
-    return terms_of_html(pages.select("article_name", wrapped(F.col("article_name"), F.col("html")).alias("html")), max_distance, **options)
+    return pages.select("article_name", wrapped(F.col("article_name"), F.col("html")).alias("html"))
 
 
 def link_refs(pages: DataFrame, *, key: str = "article_name", html: str = "html") -> DataFrame:

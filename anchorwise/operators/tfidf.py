@@ -43,7 +43,11 @@ def inverse_frequencies(counts: DataFrame) -> DataFrame:
 
 def scores(rows: DataFrame, top: int | None = TOP) -> DataFrame:
     """(doc, term, weight) to (term, doc, tf_idf), the `top` documents of each term (all with None); ties go by doc."""
-    counts = doc_term_counts(rows)
+    return scores_of(doc_term_counts(rows), top)
+
+
+def scores_of(counts: DataFrame, top: int | None = TOP) -> DataFrame:
+    """The same from doc_term_counts()."""
     tf = frequencies(counts)
     if top is not None:
         w = Window.partitionBy("term").orderBy(F.desc("tf"), "doc")
@@ -54,9 +58,24 @@ def scores(rows: DataFrame, top: int | None = TOP) -> DataFrame:
 def document_frequency(terms: DataFrame, articles: int | None = None) -> DataFrame:
     """(article_name, term) to (term, num_articles, df), most frequent first. `articles`: the number that df is a share of; all distinct ones by default."""
     pairs = terms.filter("article_name is not null and term is not null").groupBy("article_name", "term").agg(F.sum(F.lit(1)).alias("n"))  # distinct; both uses read this one exchange
+    return document_frequency_of(pairs, articles)
+
+
+def document_frequency_of(pairs: DataFrame, articles: int | None = None) -> DataFrame:
+    """The same from distinct (article_name, term, n)."""
     counts = pairs.groupBy("term").agg(F.count("n").alias("num_articles"))
     if articles is None:
         counts = counts.crossJoin(F.broadcast(pairs.groupBy("article_name").agg(F.sum("n").alias("s")).agg(F.count("s").alias("of"))))
     else:
         counts = counts.withColumn("of", F.lit(articles))
     return counts.select("term", "num_articles", scoring.document_frequency(F.col("num_articles"), F.col("of")).alias("df")).orderBy(F.desc("num_articles"), "term")
+
+
+def both_counts(terms: DataFrame, kind: str = "signed") -> DataFrame:
+    """terms near links to one aggregate for both of their statistics, in one scan and one shuffle: (by, article_name, doc, term, count), where `by` is "doc" for
+    doc_term_counts() and "article" for the distinct pairs of document_frequency(). Rows without weight count in the latter alone."""
+    rows = terms.filter("term is not null").select("article_name", F.col("article_ref").alias("doc"), "term", scoring.distance_weight(F.col("term_distance"), kind).alias("weight"))
+    sets = rows.groupingSets([["article_name", "term"], ["doc", "term"]], "article_name", "doc", "term")
+    out = sets.agg(F.grouping("doc").alias("no_doc"), F.sum("weight").alias("count"), F.sum(F.lit(1)).alias("n"), F.count_if(F.col("weight") != 0).alias("weighed"))
+    out = out.withColumn("by", F.when(F.col("no_doc") == 1, "article").otherwise("doc")).filter("(by = 'article' AND article_name IS NOT NULL) OR (by = 'doc' AND doc IS NOT NULL AND weighed > 0)")
+    return out.select("by", "article_name", "doc", "term", "count", "n")

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions import templates
+from ..functions import wikitext as W
+from ..functions.render import rendered
 from ..functions.shared import release, table
 from ..functions.wikitext import counter_name
 from ..operators import dump, graph, link_terms, tfidf
@@ -20,46 +23,54 @@ def explained(df: DataFrame) -> str:
 
 
 def dump_job(spark: SparkSession, input_file: str, output_dir: str, metadata_dir: str, *, pages_per_file: int = sinks.PAGES_PER_FILE, num_pages: int | None = None, sample_percent: float = 100.0, compress: bool = False) -> dict[str, int]:
-    """Splits a dump into article lines, categories, redirects and disambiguations; gives counts of page types."""
+    """Splits a dump into article lines, categories, redirects, disambiguations and the first pages that are no XML; gives counts of page types."""
     pages = dump.routed(readers.dump_pages(spark, input_file))
     is_main = F.col("page_type") == "main"
     if sample_percent != 100:
-        pages = pages.filter(~is_main).unionByName(dump.hash_sample(pages.filter(is_main), sample_percent / 100, "title"))
-    if num_pages is not None:
-        pages = dump.page_limit(pages, num_pages, is_main)
-    pages = table(pages)  # routed once, for all outputs
+        pages = pages.filter(~is_main | dump.in_sample(sample_percent / 100, "title"))
+    routed = pages = table(pages)  # routed once, for all outputs
     try:
-        sinks.article_parts(dump.main_articles(pages), output_dir, pages_per_file=pages_per_file, compress=compress)
+        if num_pages is not None:
+            pages = dump.page_limit(pages, num_pages, is_main)
+        sinks.article_parts(dump.ordered_articles(pages), output_dir, pages_per_file=pages_per_file, compress=compress)
+        sinks.rejects(dump.exceptions(pages), f"{metadata_dir}/exceptions.txt")
         sinks.categories(dump.categories(pages), f"{metadata_dir}/categories.txt")
         sinks.redirects(dump.redirects(pages), f"{metadata_dir}/redirects.txt")
         sinks.disambiguations(dump.disambiguations(pages), f"{metadata_dir}/disambigs.txt")
         return {r.counter: r.value for r in dump.page_counters(pages).collect()}
     finally:
-        release(pages)
+        release(routed)
 
 
 def generate_job(spark: SparkSession, input_dir: str, working_dir: str, *, max_distance: int = link_terms.MAX_DISTANCE, rules: list[tuple[str, str]] | None = None, strict: bool = False, plan_file: str | None = None) -> dict[str, int]:
     """Article lines to terms near links, with counters. No shuffle. The plan goes to `plan_file`, if given."""
-    seen, made = Observation("articles"), Observation("terms")
-    articles = readers.articles(spark, input_dir, strict).observe(seen, F.count(F.lit(1)).alias("ARTICLES"))
-    terms = link_terms.terms_of_markup(articles, max_distance, rules=rules).observe(made, F.count(F.lit(1)).alias("WIKITERM"))
+    raw, seen, parsed, made = (Observation(x) for x in ("lines", "articles", "pages", "terms"))
+    lines = readers.lines(spark, input_dir)
+    articles = readers.parse_articles(lines.observe(raw, F.count_if(readers.is_rejected(F.col("line"))).alias("REJECTED")), strict).observe(seen, F.count(F.lit(1)).alias("ARTICLES"))
+    pages = link_terms.pages_of_markup(articles, rules).observe(parsed, F.count("html").alias("HTML_PARSE"), F.count_if(F.col("html").isNull()).alias("HTML_PARSE_ERROR"))
+    terms = link_terms.terms_of_html(pages, max_distance).observe(made, F.count(F.lit(1)).alias("WIKITERM"))
     if plan_file:
         Path(plan_file).write_text(explained(terms))
     sinks.terms(terms, f"{working_dir}/{schemas.TERMS_DIR}")
-    # Rendering and parsing are lenient, so no page fails to parse.
-    counts = {counter_name("generate", k): int(v) for k, v in {**seen.get, **made.get, "HTML_PARSE": seen.get["ARTICLES"], "HTML_PARSE_ERROR": 0}.items()}
+    if raw.get["REJECTED"]:  # only then is the input read for them
+        sinks.rejects(readers.rejected_lines(lines), f"{working_dir}/{schemas.REJECTS_DIR}")
+    counts = {counter_name("generate", k): int(v) for k, v in {**seen.get, **parsed.get, **made.get}.items()}
     sinks.counters(spark, counts, f"{working_dir}/{schemas.COUNTERS_DIR}/generate")
     return counts
 
 
 def analyze_job(spark: SparkSession, working_dir: str, *, num_articles: int | None = None, top: int = tfidf.TOP, weight: str = "signed", plan_file: str | None = None) -> None:
-    """Terms to document frequencies and to the best articles of each term. The plan of the scores goes to `plan_file`, if given."""
-    terms = readers.terms(spark, f"{working_dir}/{schemas.TERMS_DIR}")
-    sinks.term_df(tfidf.document_frequency(terms, num_articles), f"{working_dir}/{schemas.TERM_DF_DIR}")
-    scores = tfidf.scores(tfidf.weighted(terms, weight), top)
-    if plan_file:
-        Path(plan_file).write_text(explained(scores))
-    sinks.term_scores(scores.repartition("term").sortWithinPartitions("term", F.desc("tf_idf"), "doc"), f"{working_dir}/{schemas.TERM_SCORES_DIR}")
+    """Terms to document frequencies and to the best articles of each term: one scan and one aggregate for both. Its plan and that of the scores go to `plan_file`, if given."""
+    both = tfidf.both_counts(readers.terms(spark, f"{working_dir}/{schemas.TERMS_DIR}"), weight)
+    counts = table(both, by="by")
+    try:
+        scores = tfidf.scores_of(counts.filter("by = 'doc'").select("doc", "term", "count"), top)
+        if plan_file:
+            Path(plan_file).write_text(explained(both) + explained(scores))
+        sinks.term_df(tfidf.document_frequency_of(counts.filter("by = 'article'").select("article_name", "term", "n"), num_articles), f"{working_dir}/{schemas.TERM_DF_DIR}")
+        sinks.term_scores(scores.repartition("term").sortWithinPartitions("term", F.desc("tf_idf"), "doc"), f"{working_dir}/{schemas.TERM_SCORES_DIR}")
+    finally:
+        release(counts)
 
 
 def category_graph_job(spark: SparkSession, input_file: str, output_file: str) -> int:
@@ -71,3 +82,16 @@ def category_graph_job(spark: SparkSession, input_file: str, output_file: str) -
 def redirect_map_job(spark: SparkSession, input_file: str, output_file: str) -> int:
     sinks.redirect_map(dump.redirect_map(readers.redirects(spark, input_file)), output_file)
     return spark.read.parquet(output_file).count()
+
+
+def markup_job(spark: SparkSession, input_file: str, output_dir: str, *, max_distance: int = link_terms.MAX_DISTANCE) -> None:
+    """A look at the markup of a dump, with the plainer rules (words between blanks, titles and anchors as they stand): pairs of terms and links, counts of templates
+    without a rule, categories and redirects."""
+    dumped = readers.dump_pages(spark, input_file).filter("malformed is null")
+    main = dumped.filter((F.col("ns") == W.MAIN) & ~F.col("is_redirect"))
+    articles = main.select(F.col("title").alias("article_name"), F.col("text").alias("article_text"))
+    sinks.terms(link_terms.terms_of_html(link_terms.pages_of_markup(articles), max_distance, tokenizer="space", raw=True), f"{output_dir}/pairs")
+    html = articles.select(rendered(F.col("article_text")).alias("html"))
+    sinks.counts(templates.unknown_templates(html, "html").orderBy(F.desc("n"), "template"), f"{output_dir}/templates")
+    sinks.categories(dump.plain_categories(dumped), f"{output_dir}/categories.txt")
+    sinks.redirects(dump.plain_redirects(dumped), f"{output_dir}/redirects.txt")

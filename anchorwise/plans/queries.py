@@ -270,7 +270,9 @@ ROUTED_SQL = """SELECT p_partkey, CASE p_partkey % 13 WHEN 1 THEN 'category' WHE
     WHEN 6 THEN 'module' WHEN 7 THEN 'unknown' WHEN 8 THEN 'redirect' WHEN 9 THEN 'redirect-invalid' WHEN 10 THEN 'disambiguation' WHEN 11 THEN 'disambiguation' ELSE 'main' END AS page_type FROM part"""
 
 
-@query(f"SELECT page_type || '-page' AS counter, count(*) AS value FROM ({ROUTED_SQL}) GROUP BY 1")
+@query(f"""SELECT counter, count(page_type) AS value FROM (VALUES ('main', 'main-page'), ('redirect', 'redirect-valid-page'), ('redirect-invalid', 'redirect-invalid-page'), ('project', 'project-page'),
+    ('file', 'file-page'), ('template', 'template-page'), ('category', 'category-valid-page'), ('category-invalid', 'category-invalid-page'), ('module', 'module-page'), ('disambiguation', 'disambiguation-page'),
+    ('unknown', 'unknown-page'), ('other', 'other-page'), ('exception', 'exception')) AS t(kind, counter) LEFT JOIN ({ROUTED_SQL}) ON page_type = kind GROUP BY counter""")
 def page_router_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dump.page_counters(dump.routed(made_pages(spark, sf_dir)))
 

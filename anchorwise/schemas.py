@@ -14,4 +14,4 @@ COUNTERS = "counter string, value long"
 EDGES = "child string, parent string"
 
 # Sub-directories of a working directory.
-TERMS_DIR, TERM_DF_DIR, TERM_SCORES_DIR, COUNTERS_DIR = "terms", "term_df", "term_scores", "counters"
+TERMS_DIR, TERM_DF_DIR, TERM_SCORES_DIR, COUNTERS_DIR, REJECTS_DIR = "terms", "term_df", "term_scores", "counters", "rejects"

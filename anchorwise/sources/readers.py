@@ -10,14 +10,22 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import wikitext as W
 
-_PAGE = "title string, ns int, redirect struct<_title:string>, revision struct<text:struct<_VALUE:string>>"
+_PAGE = "title string, ns int, redirect struct<_title:string>, revision struct<text:struct<_VALUE:string>>, malformed string"
+#: Bits of an ordinal for the place in a file: of the row in its task (33), and of the task.
+PLACE_BITS = 50
 
 
 def dump_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Pages of a MediaWiki XML dump. The file is split among tasks; ordinal keeps the order of file and place."""
-    pages = spark.read.format("xml").option("rowTag", "page").schema(_PAGE).load(path)
-    pages = pages.select("title", "ns", F.col("redirect").isNotNull().alias("is_redirect"), F.coalesce("revision.text._VALUE", F.lit("")).alias("text"), F.monotonically_increasing_id().alias("ordinal"))
-    return pages.select(*(x.split()[0] for x in schemas.PAGES.split(", ")))
+    """Pages of a MediaWiki XML dump of one file or more. Files are split among tasks; ordinal keeps the order of files by name and of places in them, as the splits
+    of one file are dealt in order, whatever lies between them. `malformed` holds the source of pages that are no XML, and is null for the others."""
+    pages = spark.read.format("xml").option("rowTag", "page").option("columnNameOfCorruptRecord", "malformed").schema(_PAGE).load(path)
+    names = sorted(r.file_path for r in spark.read.format("binaryFile").load(path).select("_metadata.file_path").collect())  # no contents are read
+    if len(names) >= 1 << 63 - PLACE_BITS:
+        raise ValueError("too many dump files for ordinals")
+    place, path_of = F.monotonically_increasing_id(), pages.metadataColumn("_metadata")["file_path"]
+    file = F.array_position(F.array(*map(F.lit, names)), path_of) - 1 if len(names) > 1 else F.lit(0)
+    ordinal = F.when(place < 1 << PLACE_BITS, F.shiftleft(file.cast("long"), PLACE_BITS) + place).otherwise(F.raise_error(F.lit("too many tasks for ordinals")).cast("long"))
+    return pages.select("title", "ns", F.col("redirect").isNotNull().alias("is_redirect"), F.coalesce("revision.text._VALUE", F.lit("")).alias("text"), ordinal.alias("ordinal"), "malformed")
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
@@ -41,10 +49,15 @@ def parse_articles(rows: DataFrame, strict: bool = False) -> DataFrame:
     return rows.select(F.get(fields, F.lit(0)).alias("article_name"), F.coalesce(W.decode_body(F.get(fields, F.lit(1))), F.lit("")).alias("article_text"))
 
 
+def is_rejected(line: Column) -> Column:
+    """Whether parse_articles() leaves a line out."""
+    fields = W.split_line(line)
+    return ~F.coalesce(F.size(fields).between(1, 2) & (F.get(fields, F.lit(0)) != ""), F.lit(False))
+
+
 def rejected_lines(rows: DataFrame, most: int = 100) -> DataFrame:
     """The first lines, in number `most` at most, that parse_articles() leaves out."""
-    fields = W.split_line(F.col("line"))
-    return rows.filter(~(F.size(fields).between(1, 2) & (F.get(fields, F.lit(0)) != ""))).limit(most)
+    return rows.filter(is_rejected(F.col("line"))).limit(most)
 
 
 def terms(spark: SparkSession, path: str) -> DataFrame:

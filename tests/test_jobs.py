@@ -2,6 +2,7 @@ import glob
 import gzip
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from anchorwise.__main__ import parser
@@ -28,10 +29,10 @@ def dump_file(folder):
 def test_dump_generate_analyze(spark, tmp_path):
     out, meta, work = (str(tmp_path / x) for x in ("out", "meta", "work"))
     counts = jobs.dump_job(spark, dump_file(tmp_path), out, meta, pages_per_file=2)
-    assert counts == {"category-page": 2, "file-page": 1, "template-page": 1, "project-page": 1, "module-page": 1, "unknown-page": 1, "redirect-page": 1, "redirect-invalid-page": 1, "disambiguation-page": 2, "main-page": 3}
-    files = glob.glob(f"{out}/part-*")
-    lines = [x for f in files for x in open(f)]
-    assert len(lines) == 3 and all(x.count("\t") == 1 for x in lines) and len(files) == 2
+    assert {k: v for k, v in counts.items() if v} == {"category-valid-page": 2, "file-page": 1, "template-page": 1, "project-page": 1, "module-page": 1, "unknown-page": 1, "redirect-valid-page": 1, "redirect-invalid-page": 1, "disambiguation-page": 2, "main-page": 3}
+    assert len(counts) == 13 and counts["other-page"] == counts["exception"] == 0
+    lines = [[x.split("\t")[0] for x in open(f"{out}/part-00{k}.txt")] for k in range(2)]
+    assert lines == [["Apple", "Empty"], ["Cider"]] and len(glob.glob(f"{out}/*")) == 3  # and _SUCCESS
     assert [tuple(r) for r in readers.categories(spark, f"{meta}/categories.txt").collect()] == [("Fruit", ["Food", "Plants"])]
     assert [tuple(r)[:2] for r in readers.redirects(spark, f"{meta}/redirects.txt").collect()] == [("Old_apple", "Apple")]
     counts = jobs.generate_job(spark, out, work, max_distance=20, plan_file=str(tmp_path / "plan"))
@@ -54,7 +55,70 @@ def test_limit_and_gzip(spark, tmp_path):
     counts = jobs.dump_job(spark, dump_file(tmp_path), str(tmp_path / "o"), str(tmp_path / "m"), num_pages=1, compress=True)
     assert counts["main-page"] == 1 and sum(len(gzip.open(f).read().splitlines()) for f in glob.glob(f"{tmp_path}/o/*.gz")) == 1
     counts = jobs.dump_job(spark, dump_file(tmp_path), str(tmp_path / "o"), str(tmp_path / "m"), sample_percent=0)
-    assert "main-page" not in counts and counts["file-page"] == 1
+    assert counts["main-page"] == 0 and counts["file-page"] == 1 and open(tmp_path / "o" / "part-000.txt").read() == ""
+
+
+def test_pages_of_several_files_go_by_file_and_place(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    page = lambda t, x: f"<page><title>{t}</title><ns>0</ns><revision><text>{x}</text></revision></page>\n"
+    for name, titles, filler in (("a", "pqr", "x"), ("b", "stu", "y" * 100_000), ("c", "vw", "z" * 5000)):  # larger files are dealt first
+        (tmp_path / "d" / f"{name}.xml").write_text("<mediawiki>\n" + "".join(page(t, filler) for t in titles) + "</mediawiki>\n")
+    rows = readers.dump_pages(spark, str(tmp_path / "d")).orderBy("ordinal").collect()
+    assert "".join(r.title for r in rows) == "pqrstuvw"
+    counts = jobs.dump_job(spark, str(tmp_path / "d"), str(tmp_path / "o"), str(tmp_path / "m"), num_pages=5, pages_per_file=2)
+    assert counts["main-page"] == 5 and [x.split("\t")[0] for k in range(3) for x in open(tmp_path / "o" / f"part-00{k}.txt")] == list("pqrst")
+
+
+def test_malformed_pages_are_counted_and_kept(spark, tmp_path):
+    (tmp_path / "x.xml").write_text("<mediawiki>\n<page><title>Good</title><ns>0</ns><revision><text>a</text></revision></page>\n<page><title>Bad</title><ns>0</ns><revision><text>b</tex></revision></page>\n</mediawiki>\n")
+    counts = jobs.dump_job(spark, str(tmp_path / "x.xml"), str(tmp_path / "o"), str(tmp_path / "m"))
+    assert counts["main-page"] == 1 and counts["exception"] == 1
+    assert ["Bad" in r.value for r in spark.read.text(str(tmp_path / "m" / "exceptions.txt")).collect()] == [True]
+
+
+def test_pages_that_fail_and_lines_that_are_none_are_counted(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "part-000.txt").write_text("A\tW1tCXV0geA==\nB\t\nx\ty\tz\n")
+    counts = jobs.generate_job(spark, str(tmp_path / "in"), str(tmp_path / "w"))
+    assert counts["generate.ARTICLES"] == counts["generate.HTML_PARSE"] == 2 and counts["generate.HTML_PARSE_ERROR"] == 0
+    assert [r.value for r in spark.read.text(str(tmp_path / "w" / "rejects")).collect()] == ["x\ty\tz"]
+    with pytest.raises(Exception, match="missing|unterminated"):  # rules that are no patterns are at fault, not pages
+        jobs.generate_job(spark, str(tmp_path / "in"), str(tmp_path / "w"), rules=[("(", "ignore")])
+    pages = spark.createDataFrame([("A", None), ("B", "x <a href='/Y'>y</a>")], "article_name string, html string")
+    assert {r.article_name for r in link_terms.terms_of_html(pages).collect()} == {"B"}
+
+
+def test_analyze_reads_terms_once(spark, tmp_path):
+    from anchorwise.operators import tfidf
+
+    rows = [("a", "t", "x", 1), ("a", "t", "y", -2), ("b", "t", "x", 3), ("b", "u", None, 1), (None, "u", "x", 2), ("c", None, "x", 1)]
+    terms = spark.createDataFrame(rows, "article_name string, term string, article_ref string, term_distance int")
+    terms.write.parquet(str(tmp_path / "terms"))
+    both = tfidf.both_counts(readers.terms(spark, str(tmp_path / "terms")))
+    plan = jobs.explained(both)
+    assert plan.count("Scan parquet") == 2 and plan.count("Exchange hashpartitioning") <= 1  # the scan is listed, then described
+    norm = lambda df: sorted(tuple(r) for r in df.collect())
+    assert norm(both.filter("by = 'doc'").select("doc", "term", "count")) == norm(tfidf.doc_term_counts(tfidf.weighted(terms)))
+    assert norm(tfidf.document_frequency_of(both.filter("by = 'article'").select("article_name", "term", "n"))) == norm(tfidf.document_frequency(terms))
+    jobs.analyze_job(spark, str(tmp_path))
+    assert {r[0] for r in spark.read.option("sep", "\t").csv(str(tmp_path / "term_df")).collect()} == {"t", "u"}
+
+
+def test_markup_job(spark, tmp_path):
+    jobs.markup_job(spark, dump_file(tmp_path), str(tmp_path / "o"), max_distance=3)
+    pairs = {tuple(r) for r in readers.terms(spark, str(tmp_path / "o" / "pairs")).collect()}
+    assert ("Apple", "grows", "Apple_tree", -3) in pairs and ("Apple", "tree", "Apple_tree", 0) in pairs  # words and anchors as they stand
+    assert {(r[0], r[1]) for r in spark.read.option("sep", "\t").csv(str(tmp_path / "o" / "categories.txt")).collect()} >= {("Fruit", "Food]] [[Category:Plants")}
+    assert [tuple(r)[:2] for r in readers.redirects(spark, str(tmp_path / "o" / "redirects.txt")).collect()] == [("Old_apple", "Apple")]
+    assert spark.read.option("sep", "\t").csv(str(tmp_path / "o" / "templates")).count() >= 0
+
+
+def test_nth_least(spark):
+    from anchorwise.operators.dump import nth_least
+
+    values = [-(1 << 63), (1 << 63) - 1, 0, 5, 5, 5, 7, 1 << 50, -3] + [i * 1_000_003 for i in range(200)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v long")
+    assert [nth_least(df, "v", n) for n in (1, 2, 3, 6, 100, len(values), len(values) + 1)] == [*(sorted(values)[n - 1] for n in (1, 2, 3, 6, 100, len(values))), None]
 
 
 def test_category_graph_and_redirect_map(spark, tmp_path):

@@ -64,7 +64,7 @@ def pages(spark, rows=PAGES):
 def test_router_takes_the_first_type_that_applies(spark):
     assert [r.page_type for r in pages(spark).orderBy("ordinal").collect()] == [r[4] for r in PAGES]
     counts = {r.counter: r.value for r in dump.page_counters(pages(spark)).collect()}
-    assert counts["main-page"] == 2 and counts["category-page"] == 2 and counts["disambiguation-page"] == 2
+    assert counts["main-page"] == 2 and counts["category-valid-page"] == 2 and counts["other-page"] == 0 and len(counts) == 13 and counts["disambiguation-page"] == 2
 
 
 def test_side_tables(spark):
