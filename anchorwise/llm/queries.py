@@ -76,7 +76,9 @@ def op8_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quotes import link_quotations
 
     out = link_quotations(read(spark, sf_dir, "conversations"))
-    return out.select("conv_id", "turn", "role", "body", F.size("quotes").cast("long").alias("n_quotes"), "parent_turn", "depth", F.array_join(F.transform("reply_path", lambda x: x.cast("string")), "/").alias("reply_path"))
+    shown = lambda x: F.coalesce(x.cast("string"), F.lit("-"))
+    links = F.array_join(F.transform("quotes", lambda q: F.concat_ws(":", q.level.cast("string"), F.md5(q.passage), shown(q.conv_id), shown(q.turn))), " ")
+    return out.select("conv_id", "turn", "role", "body", F.size("quotes").cast("long").alias("n_quotes"), links.alias("links"), "parent_turn", "root_turn", "place", "depth")
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,17 +110,20 @@ OP8_SQL = rf"""
     parts AS (SELECT uid, run, conv_id, turn, 3 AS size, passage AS x FROM p UNION ALL SELECT uid, run, conv_id, turn, 2, unnest(string_split_regex(passage, '\n[ \t\r]*\n')) FROM p UNION ALL SELECT uid, run, conv_id, turn, 1, unnest(string_split(passage, chr(10))) FROM p),
     asked AS (SELECT * FROM (SELECT DISTINCT uid, run, conv_id, turn, size, {NORMAL} AS norm FROM parts) WHERE norm <> ''),
     near AS (SELECT a.uid, a.run, a.size, 1 AS own, a.conv_id AS c, min(o.turn) AS to_turn FROM asked a JOIN orig o USING (conv_id, norm) GROUP BY a.uid, a.run, a.size, a.conv_id, a.turn, a.norm HAVING min(o.turn) < a.turn),
-    firsts AS (SELECT norm, min(struct_pack(c := conv_id, t := turn)) AS f FROM orig GROUP BY norm),
-    far AS (SELECT uid, run, size, 0 AS own, f.c AS c, f.t AS to_turn FROM asked JOIN firsts USING (norm) WHERE f.c IS DISTINCT FROM conv_id),
+    others AS (SELECT a.uid, a.run, a.size, min(struct_pack(c := o.conv_id, t := o.turn)) AS f FROM asked a JOIN orig o USING (norm) WHERE o.conv_id IS DISTINCT FROM a.conv_id GROUP BY a.uid, a.run, a.size, a.norm),
+    far AS (SELECT uid, run, size, 0 AS own, f.c AS c, f.t AS to_turn FROM others),
     best AS (SELECT * FROM (FROM near UNION ALL FROM far) QUALIFY row_number() OVER (PARTITION BY uid, run ORDER BY own DESC, size DESC, c, to_turn) = 1),
     inner_links AS (SELECT p.uid, p.conv_id, p.turn, p.level, to_turn FROM p JOIN best USING (uid, run) WHERE best.c IS NOT DISTINCT FROM p.conv_id),
     parent AS (SELECT uid, conv_id, turn, max(to_turn) AS parent_turn FROM inner_links i WHERE level = (SELECT min(level) FROM inner_links j WHERE j.uid = i.uid) GROUP BY ALL),
     par AS (SELECT conv_id, turn, max(parent_turn) AS above FROM parent GROUP BY ALL),
-    rec AS (SELECT conv_id, turn, above, turn::VARCHAR AS path, 1 AS depth FROM par UNION ALL SELECT rec.conv_id, rec.turn, par.above, rec.above::VARCHAR || '/' || path, depth + 1 FROM rec JOIN par ON par.conv_id = rec.conv_id AND par.turn = rec.above),
-    paths AS (SELECT conv_id, turn, above::VARCHAR || '/' || path AS path, depth FROM rec WHERE NOT EXISTS (FROM par WHERE par.conv_id = rec.conv_id AND par.turn = rec.above))
-    SELECT msg.conv_id, msg.turn, role, body, (SELECT count(*) FROM p WHERE p.uid = msg.uid) AS n_quotes, parent_turn,
-           coalesce(CASE WHEN parent_turn IS NOT NULL THEN depth END, 0)::INT AS depth, coalesce(CASE WHEN parent_turn IS NOT NULL THEN path END, msg.turn::VARCHAR, '') AS reply_path
-    FROM msg LEFT JOIN parent USING (uid) LEFT JOIN paths ON paths.conv_id = msg.conv_id AND paths.turn = msg.turn"""
+    rec AS (SELECT conv_id, turn, above, [turn] AS path FROM par UNION ALL SELECT rec.conv_id, rec.turn, par.above, [rec.above] || path FROM rec JOIN par ON par.conv_id = rec.conv_id AND par.turn = rec.above),
+    replied AS (SELECT conv_id, turn, [above] || path AS path FROM rec WHERE NOT EXISTS (FROM par WHERE par.conv_id = rec.conv_id AND par.turn = rec.above)),
+    paths AS (FROM replied UNION SELECT conv_id, path[1], [path[1]] FROM replied),
+    places AS (SELECT conv_id, turn, path[1] AS root, len(path) - 1 AS depth, row_number() OVER (PARTITION BY conv_id, path[1] ORDER BY path) - 1 AS place FROM paths),
+    quoted AS (SELECT uid, count(*) AS n, string_agg(level || ':' || md5(passage) || ':' || coalesce(c::VARCHAR, '-') || ':' || coalesce(to_turn::VARCHAR, '-'), ' ' ORDER BY run) AS links FROM p LEFT JOIN best USING (uid, run) GROUP BY uid)
+    SELECT msg.conv_id, msg.turn, role, body, coalesce(n, 0) AS n_quotes, coalesce(links, '') AS links, parent_turn, CASE WHEN parent_turn IS NULL THEN msg.turn ELSE root END AS root_turn,
+           CASE WHEN parent_turn IS NULL THEN 0 ELSE place END AS place, CASE WHEN parent_turn IS NULL THEN 0 ELSE depth END AS depth
+    FROM msg LEFT JOIN quoted USING (uid) LEFT JOIN parent USING (uid) LEFT JOIN places ON places.conv_id = msg.conv_id AND places.turn = msg.turn"""
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -123,15 +123,15 @@ TALK = [
     (None, 0, "> other\nz"), (1, 3, "other"), (3, 0, ">"), (4, 0, "a\n\nb c"), (4, 1, "> unknown words\nx"), (4, 2, ">b  C\ny"),
 ]
 LINKED = [
-    (None, 0, "z", None, [0]), (1, 0, "Hello there\nHow are  you?", None, [0]), (1, 1, "Fine.", 0, [0, 1]), (1, 2, "Good", 1, [0, 1, 2]), (1, 4, "yes", 2, [0, 1, 2, 4]), (1, 3, "other", None, [3]), (1, 3, "other", None, [3]), (2, 0, "stolen", None, [0]),
-    (2, 1, "", None, [1]), (3, 0, "", None, [0]), (4, 0, "a\n\nb c", None, [0]), (4, 2, "y", 0, [0, 2]), (4, 1, "x", None, [1]),
+    (None, 0, "z", None, (0, 0, 0)), (1, 0, "Hello there\nHow are  you?", None, (0, 0, 0)), (1, 1, "Fine.", 0, (0, 1, 1)), (1, 2, "Good", 1, (0, 2, 2)), (1, 4, "yes", 2, (0, 3, 3)), (1, 3, "other", None, (3, 0, 0)), (1, 3, "other", None, (3, 0, 0)),
+    (2, 0, "stolen", None, (0, 0, 0)), (2, 1, "", None, (1, 0, 0)), (3, 0, "", None, (0, 0, 0)), (4, 0, "a\n\nb c", None, (0, 0, 0)), (4, 2, "y", 0, (0, 1, 1)), (4, 1, "x", None, (1, 0, 0)),
 ]
 
 
 def test_quotations_are_linked_and_ordered(spark):
     df = spark.createDataFrame([(c, t, "user", x) for c, t, x in TALK], "conv_id long, turn long, role string, text string").withColumn("body", F.lit("clash"))
     got = quotes.link_quotations(df).collect()
-    assert [(r.conv_id, r.turn, r.body, r.parent_turn, r.reply_path) for r in got] == LINKED
+    assert [(r.conv_id, r.turn, r.body, r.parent_turn, (r.root_turn, r.place, r.depth)) for r in got] == LINKED
     by = {(r.conv_id, r.turn): r.quotes for r in got}
     assert [tuple(q) for q in by[1, 2]] == [(2, "Hello there", 1, 0), (1, "Fine.", 1, 1)] and [tuple(q) for q in by[4, 1]] == [(1, "unknown words", None, None)] and by[2, 0][0].conv_id == 1
     assert quotes.link_quotations(df.limit(0)).count() == 0
@@ -158,7 +158,7 @@ def test_quotations_against_sql(spark, tmp_path):
 
     from anchorwise.llm import queries
 
-    rows = [(c, t, "user", x) for c, t, x in [*TALK, *((9, i, (f"> m{i - 1} text\n" if i else "") + f"m{i} text\nOn it wrote:") for i in range(12))]]
+    rows = [(c, t, "user", x) for c, t, x in [*TALK, (5, 0, "> Thanks all"), (5, 1, "Thanks all"), (6, 0, "Thanks all"), *((8, i, "root" if not i else f"> root\nm{i}" if i % 3 else f"> m{i - 1}\nm{i}") for i in range(9)), *((9, i, (f"> m{i - 1} text\n" if i else "") + f"m{i} text\nOn it wrote:") for i in range(12))]]
     spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
     con = duckdb.connect()
     con.sql(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
@@ -178,7 +178,25 @@ def test_plan_is_native(spark):
 def test_long_reply_chains(spark):
     rows = [(1, i, "u", (f"> m{i - 1} text\n" if i else "") + f"m{i} text") for i in range(40)]
     got = quotes.link_quotations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
-    assert [r.reply_path for r in got] == [list(range(i + 1)) for i in range(40)]
+    assert [(r.turn, r.root_turn, r.place, r.depth) for r in got] == [(i, 0, i, i) for i in range(40)]
+
+
+def test_threads_against_a_plain_walk(spark):
+    rng = random.Random(8)
+    parents = [(c, t, rng.randrange(max(0, t - 1 - c), t)) for c in range(6) for t in range(1, 60) if rng.random() < 0.8]
+    parents += [(7, t, 0) for t in range(1, 400)]  # one message with all replies
+    got = {(r.conv_id, r.turn): (r.root_turn, r.place, r.depth) for r in quotes.threads(spark.createDataFrame(parents, "conv_id long, turn long, parent long")).collect()}
+    above, below, want = {(c, t): p for c, t, p in parents}, {}, {}
+    for c, t, p in sorted(parents):
+        below.setdefault((c, p), []).append(t)
+    for c, root in sorted(k for k in below if k not in above):
+        stack, n = [(root, 0)], 0
+        while stack:
+            t, depth = stack.pop()
+            want[c, t] = (root, n, depth)
+            n += 1
+            stack += [(x, depth + 1) for x in reversed(below.get((c, t), []))]
+    assert got == want
 
 
 def test_helpers():
