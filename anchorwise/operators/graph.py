@@ -71,15 +71,35 @@ def closure(edges: DataFrame) -> DataFrame:
 
 
 def has_cycles(edges: DataFrame, strict: bool = False) -> bool:
-    """True if some start reaches a node twice, as over a diamond; with `strict` only if a node reaches itself."""
-    reach = closure(edges)
+    """True if some start reaches a node twice, as over a diamond; with `strict` only if a node reaches itself.
+
+    Strictly, edges to nodes without edges of their own are taken away until none is left or none goes, so edges only become fewer. Otherwise paths grow by an edge a round, from all starts, and the first
+    pair of nodes with two paths ends it; as long as there is none, pairs are as many as paths, and each is written once."""
+    steps = table(edges.select("child", "parent").distinct())
     if strict:
-        return not reach.filter("start = node").isEmpty()
-    # Over a tree, every node but the start has one edge into it: edges out of the reached nodes are as many as nodes less one.
-    own = edges.distinct().select(F.col("child").alias("start"), F.col("child").alias("node")).distinct()
-    cone = reach.union(own).distinct()
-    out = edges.distinct().groupBy(F.col("child").alias("node")).agg(F.count("*").alias("out"))
-    return not cone.join(out, "node", "left").groupBy("start").agg(F.sum(F.coalesce("out", F.lit(0))).alias("edges"), F.count("*").alias("nodes")).filter("edges != nodes - 1").isEmpty()
+        have = steps.count()
+        while True:
+            last, steps = steps, table(steps.join(steps.select(F.col("child").alias("parent")), "parent", "left_semi").select("child", "parent"))
+            release(last)
+            have, before = steps.count(), have
+            if have in (0, before):
+                release(steps)
+                return have > 0
+    own = table(steps.select(F.col("child").alias("start"), F.col("child").alias("node")).distinct())
+    rounds, new = [own], table(steps.select(F.col("child").alias("start"), F.col("parent").alias("node")))
+    try:
+        while not new.isEmpty():
+            seen = rounds[0]
+            for pairs in rounds[1:]:
+                seen = seen.union(pairs)
+            twice = new.groupBy("start", "node").agg(F.count("*").alias("n")).filter("n > 1")
+            if not twice.isEmpty() or not new.join(seen, ["start", "node"], "left_semi").isEmpty():
+                return True
+            rounds.append(new)
+            new = table(new.join(steps.withColumnRenamed("child", "node"), "node").select("start", F.col("parent").alias("node")))
+        return False
+    finally:
+        release(steps, new, *(r for r in rounds if r is not new))
 
 
 def weak_components(edges: DataFrame) -> DataFrame:

@@ -64,6 +64,7 @@ def test_against_depth_first_search(spark, seed):
     while more := {(a, d) for a, b in reach for c, d in pairs if b == c} - reach:
         reach |= more
     assert {tuple(r) for r in graph.closure(e).collect()} == reach
+    assert graph.has_cycles(e, strict=True) == any(a == b for a, b in reach)
 
 
 def test_build_display_and_lookup(spark):
