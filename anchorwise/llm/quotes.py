@@ -4,7 +4,8 @@ Lines that begin with `>` marks are quoted; the number of marks is the level. Ne
 paragraphs (between blank lines) and their lines are normalised (lower case, white space runs to one blank) and hashed, and so are the unquoted texts
 of all messages. A passage is linked to the earliest message before it in its conversation that has the largest unit in common
 (passage, then paragraph, then line), and else to the first such message of any other conversation. Originals are reduced to one row a
-hash before the join (with the first messages of two conversations, as one may be the asker's own), so a line that many messages share costs no more than one row a quotation.
+hash before the join (with the first messages of two conversations, as one may be the asker's own), so a line that many messages share costs no more than one row a quotation. Quotations of a very frequent line are
+dealt to all tasks, each of which has the line's original.
 
 The parent of a message is the latest original in its conversation of its passages of the lowest level linked there. Messages that reply to each other form a
 thread; their places in it come by doubling along a tour of the thread, in as many rounds as the logarithm of its length and with two rows a message, however long chains of
@@ -23,6 +24,8 @@ from pyspark.sql import functions as F
 from . import common
 
 MARKS, ATTRIBUTION = r"^(?:[ \t]*>)+", r"(?i)^[ \t]*on\b.+\bwrote:[ \t\r]*$"
+#: A key is hot from this part of the rows on, so there are no more hot keys than this.
+HOT = 1000
 LINK = "struct<level:int,passage:string,conv_id:bigint,turn:bigint>"
 
 
@@ -52,17 +55,28 @@ def parse(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     return bodies, passages
 
 
+def _dealt_join(asked: DataFrame, originals: DataFrame, *keys: str) -> DataFrame:
+    """Inner join of asked (with uid and run) to originals, one row a key. A key that over a thousandth of asked has, of which there are a thousand at most, is dealt to as many
+    tasks as a shuffle has, with its original in each."""
+    every, parts = asked.count(), common.parts(asked.sparkSession)
+    hot = F.broadcast(asked.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") * HOT > every).select(*keys, F.lit(True).alias("hot")))
+    part = F.when(F.col("hot"), F.pmod(F.xxhash64("uid", "run"), F.lit(parts)).cast("int")).otherwise(F.lit(0))
+    parts_of = F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0))))
+    dealt = asked.join(hot, list(keys), "left").withColumn("part", part).drop("hot")
+    return dealt.join(originals.join(hot, list(keys), "left").withColumn("part", parts_of).drop("hot"), [*keys, "part"]).drop("part")
+
+
 def links(passages: DataFrame, originals: DataFrame) -> DataFrame:
     """passages (uid, conv_id, turn, run, level, passage) with the message (to_conv, to_turn) that each quotes; nulls where none is found."""
     asked = passages.select("uid", "run", "conv_id", "turn", F.explode(_units(F.col("passage"))).alias("u")).select("uid", "run", "conv_id", "turn", "u.*")
     units = originals.filter("conv_id is not null and turn is not null").select("conv_id", "turn", F.explode(_units(F.col("body"))).alias("u")).select("conv_id", "turn", "u.key")
     within = units.groupBy("conv_id", "key").agg(F.min("turn").alias("to_turn"))
-    near = asked.join(within, ["conv_id", "key"]).filter("to_turn < turn").select("uid", "run", "size", F.lit(1).alias("own"), F.col("conv_id").alias("to_conv"), "to_turn")
+    near = _dealt_join(asked, within, "conv_id", "key").filter("to_turn < turn").select("uid", "run", "size", F.lit(1).alias("own"), F.col("conv_id").alias("to_conv"), "to_turn")
     # The first messages of the two least conversations: one of them at least is not the asker's own. The limit of the window also holds before its shuffle.
     two = within.withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("conv_id"))).filter("nth <= 2")
     firsts = two.groupBy("key").agg(*(F.min(F.when(F.col("nth") == k, F.struct("conv_id", F.col("to_turn").alias("turn")))).alias(f"f{k}") for k in (1, 2)))
     other = F.when(F.col("f1.conv_id").eqNullSafe(F.col("conv_id")), F.col("f2")).otherwise(F.col("f1"))
-    far = asked.join(firsts, "key").withColumn("f", other).filter("f is not null").select("uid", "run", "size", F.lit(0).alias("own"), F.col("f.conv_id").alias("to_conv"), F.col("f.turn").alias("to_turn"))
+    far = _dealt_join(asked, firsts, "key").withColumn("f", other).filter("f is not null").select("uid", "run", "size", F.lit(0).alias("own"), F.col("f.conv_id").alias("to_conv"), F.col("f.turn").alias("to_turn"))
     best = near.union(far).groupBy("uid", "run").agg(F.max(F.struct("own", "size", (-F.col("to_conv")).alias("c"), (-F.col("to_turn")).alias("t"))).alias("b"))
     return passages.join(best, ["uid", "run"], "left").select("uid", "conv_id", "turn", "run", "level", "passage", (-F.col("b.c")).alias("to_conv"), (-F.col("b.t")).alias("to_turn"))
 

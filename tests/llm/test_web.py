@@ -181,6 +181,14 @@ def test_long_reply_chains(spark):
     assert [(r.turn, r.root_turn, r.place, r.depth) for r in got] == [(i, 0, i, i) for i in range(40)]
 
 
+def test_a_line_that_many_quote(spark):
+    rows = [(1, 0, "u", "Ok"), *((c, t, "u", "> ok\nm") for c in (1, 2) for t in range(1, 2000)), (3, 0, "u", "rare"), (3, 1, "u", "> rare\nx")]
+    got = quotes.link_quotations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)).collect()
+    found = [(r.conv_id, r.turn, q.conv_id, q.turn) for r in got for q in r.quotes]
+    assert sorted(found) == [*((1, t, 1, 0) for t in range(1, 2000)), *((2, t, 1, 0) for t in range(1, 2000)), (3, 1, 3, 0)]
+    assert sorted((r.turn, r.root_turn, r.place, r.depth) for r in got if r.conv_id == 1) == [(t, 0, t, min(t, 1)) for t in range(2000)]
+
+
 def test_threads_against_a_plain_walk(spark):
     rng = random.Random(8)
     parents = [(c, t, rng.randrange(max(0, t - 1 - c), t)) for c in range(6) for t in range(1, 60) if rng.random() < 0.8]
