@@ -96,6 +96,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "matched", "n_words")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .filter_audit import audit
+
+    return audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import quality
+    from .common import table
+
+    rows = table(quality.ledger(read(spark, sf_dir, "documents").select("doc_id", "text")))  # the ledger is stored; policies read it
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", quality.rejected(quality.BASE).alias("base_failed"), (~quality.rejected()).alias("kept"), "fail_bits")
+
+
 NORMAL = r"lower(trim(regexp_replace(x, '\s+', ' ', 'g')))"
 OP8_SQL = rf"""
     WITH RECURSIVE m AS (SELECT row_number() OVER () AS uid, conv_id, turn, role, coalesce(text, '') AS t FROM conversations),
@@ -126,6 +140,36 @@ OP8_SQL = rf"""
     FROM msg LEFT JOIN quoted USING (uid) LEFT JOIN parent USING (uid) LEFT JOIN places ON places.conv_id = msg.conv_id AND places.turn = msg.turn"""
 
 
+WORDS = r"[^\x20\x09-\x0D]+"
+OP11_SQL = rf"""
+    WITH d AS (SELECT row_number() OVER () AS uid, doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+    w AS (SELECT *, regexp_extract_all(t, '{WORDS}') AS ws FROM d),
+    f AS (SELECT uid, part, doc_id, len(ws) < 200 AS a, 100 * len(list_distinct(ws)) < 50 * len(ws) AS b, 100 * len(regexp_extract_all(t, '[A-Z]')) > 3 * length(t) AS c, regexp_matches(t, '[#$%&*|]') AS d,
+          coalesce(min(doc_id) OVER (PARTITION BY t) < doc_id, false) AS e, doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS good, doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AS toxic FROM w),
+    failed AS (SELECT part, good, toxic, (CASE WHEN a THEN 'A' ELSE '' END) || (CASE WHEN b THEN 'B' ELSE '' END) || (CASE WHEN c THEN 'C' ELSE '' END) || (CASE WHEN d THEN 'D' ELSE '' END) || (CASE WHEN e THEN 'E' ELSE '' END) AS letters FROM f),
+    l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+    o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM l a, l b, l c, l d, l e WHERE a.x NOT IN (b.x, c.x, d.x, e.x) AND b.x NOT IN (c.x, d.x, e.x) AND c.x NOT IN (d.x, e.x) AND d.x <> e.x),
+    s AS (SELECT filter_order, i::INT AS step, filter_order[i] AS filter, substr(filter_order, 1, i - 1) AS before FROM o, unnest(range(1, 6)) AS t(i)),
+    cells AS (SELECT part, letters, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM failed GROUP BY ALL),
+    r AS (SELECT *, before <> '' AND regexp_matches(letters, '[' || before || 'x]') AS gone, contains(letters, filter) AS fails FROM cells, s),
+    t AS (SELECT part, filter_order, step, filter, coalesce(sum(n) FILTER (NOT gone AND NOT fails), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (NOT gone AND fails), 0)::BIGINT AS removed,
+          coalesce(sum(n) FILTER (gone AND fails), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (letters = filter), 0)::BIGINT AS unique_fails,
+          coalesce(sum(good) FILTER (NOT gone AND fails), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (NOT gone AND fails), 0)::BIGINT AS toxic_lost FROM r GROUP BY ALL)
+    SELECT *, (sum(removed) OVER (PARTITION BY part, filter))::BIGINT AS shapley FROM t"""
+OP12_SQL = rf"""
+    WITH d AS (SELECT row_number() OVER () AS uid, doc_id, coalesce(text, '') AS t FROM documents),
+    w AS (SELECT *, regexp_extract_all(t, '{WORDS}') AS ws, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{WORDS}')) AS ls FROM d),
+    grams AS (SELECT uid, i, ws[i : i + 7] AS g FROM (SELECT uid, ws, unnest(range(1, len(ws) - 6)) AS i FROM w)),
+    twice AS (SELECT uid, i FROM grams QUALIFY count(*) OVER (PARTITION BY uid, g) > 1),
+    covered AS (SELECT uid, count(DISTINCT p) AS n FROM (SELECT uid, unnest(range(i, i + 8)) AS p FROM twice) GROUP BY uid),
+    m AS (SELECT doc_id, len(ws) AS n_words, len(array_to_string(ws, '')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines,
+          coalesce(n, 0) AS n_repeat_words, len(list_filter(ws, lambda x: regexp_matches(x, '\p{{L}}'))) AS n_alpha, length(regexp_replace(t, '\P{{Lu}}', '', 'g')) AS n_capitals, length(regexp_replace(t, '\P{{L}}', '', 'g')) AS n_letters
+          FROM w LEFT JOIN covered USING (uid)),
+    b AS (SELECT *, (n_words < 20)::BIGINT + 2 * (100 * n_repeat_words > 30 * n_words)::BIGINT + 4 * (word_chars < 3 * n_words OR word_chars > 10 * n_words)::BIGINT + 8 * (10 * n_symbols > n_words)::BIGINT
+          + 16 * (100 * n_alpha < 80 * n_words)::BIGINT + 32 * (100 * n_dup_lines > 50 * n_lines)::BIGINT + 64 * (100 * n_capitals > 30 * n_letters)::BIGINT AS fail_bits FROM m)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits FROM b"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2:3].isdigit()}
 
@@ -138,6 +182,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT page_id, target_uri, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 100 AND f <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
                    CASE WHEN payload_bytes >= 100 AND f <> page_id THEN f END AS refers_to FROM q""",
         "op8_quotation_linking": OP8_SQL,
+        "op11_filter_audit": OP11_SQL,
+        "op12_quality_rules": OP12_SQL,
         "op7_exact_dedup": """
             WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
             SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
