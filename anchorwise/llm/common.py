@@ -111,6 +111,23 @@ def with_uid(df: DataFrame, name: str = "uid") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+#: What words don't hold, as characters and as a pattern of one or more.
+BLANK_CHARS, BLANKS = " \t\n\x0b\f\r", r"[\x20\x09-\x0D]+"
+
+
+def split_words(text: Column) -> Column:
+    """The words of a text, runs of other characters than blanks, tabs, line ends and the like."""
+    outside = [*BLANK_CHARS, ""]
+    blank_end = F.substring(text, 1, 1).isin(outside) | F.substring(text, -1, 1).isin(outside)
+    found = F.split(text, BLANKS)
+    return F.when(blank_end, F.array_remove(found, "")).otherwise(found)
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with the value made once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -16,19 +16,19 @@ from itertools import permutations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import let, split_words
+
 FILTERS = "ABCDE"
 #: The filter that looks at other documents.
 COPY = 1 << FILTERS.index("E")
-BLANKS = r"[\x20\x09-\x0D]+"
 #: Cells of a part.
 CELLS = 1 << len(FILTERS)
 
 
 def own_failures(text: Column) -> Column:
     """The bits of the filters A to D."""
-    words = F.array_remove(F.split(text, BLANKS), "")
-    few = F.transform(F.array(words), lambda w: F.struct(F.size(w).cast("long").alias("n"), F.size(F.array_distinct(w)).cast("long").alias("distinct")))[0]  # words are made once
-    capitals = F.length(text) - F.length(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))
+    few = let(split_words(text), lambda w: F.struct(F.size(w).cast("long").alias("n"), F.size(F.array_distinct(w)).cast("long").alias("distinct")))
+    capitals = F.length(F.regexp_replace(text, "[^A-Z]+", ""))
     failed = (few.n < 200, 100 * few.distinct < 50 * few.n, 100 * capitals.cast("long") > 3 * F.length(text).cast("long"), text.rlike(r"[#$%&*|]"))
     bits = F.lit(0)
     for k, condition in enumerate(failed):

@@ -10,12 +10,11 @@ then replaces them."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLANKS = r"[\x20\x09-\x0D]+"
+from .common import BLANKS, let, split_words
+
 NO_BLANK = r"[^\x20\x09-\x0D]"
 WINDOW = 8
 #: name, failing condition over the measurements. The place is the number of the bit: append new rules, never move one.
@@ -26,7 +25,7 @@ RULES = [
     ("symbols", "10 * n_symbols > n_words"),
     ("few_alphabetic_words", "100 * n_alphabetic_words < 80 * n_words"),
     ("duplicate_lines", "100 * n_dup_lines > 50 * n_lines"),
-    ("capitals", "100 * n_capitals > 30 * n_letters"),
+    ("capitals", "100 * n_capitals > 30 * word_chars"),
 ]
 #: The rules that reject in each version.
 POLICIES = {
@@ -46,61 +45,48 @@ def mask(version: int) -> int:
     return sum(map(bit, POLICIES[version]))
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body(value), with the value made once."""
-    return F.transform(F.array(value), body)[0]
-
-
-def _joined(hashes: Column, n: Column, by: int) -> Column:
-    """Of each hash and that `by` places on; n of them."""
-    return F.zip_with(F.slice(hashes, 1, n), F.slice(hashes, by + 1, n), lambda a, b: F.xxhash64(a, b))
-
-
 def _covered(windows: Column) -> Column:
-    """How many words lie in windows that occur twice: equal hashes are neighbours once sorted, and windows cover what lies up to the next one."""
+    """How many words lie in windows that occur twice, of (h, i) in order: equal hashes are neighbours, and a window covers what lies up to the next one."""
 
-    def of_sorted(s: Column) -> Column:
-        pairs = F.zip_with(F.slice(s, 1, F.size(s) - 1), F.slice(s, 2, F.size(s) - 1), lambda a, b: F.when(a.h == b.h, F.array(a.i, b.i)))
-        return let(F.sort_array(F.array_distinct(F.flatten(F.filter(pairs, lambda p: p.isNotNull())))), of_places)
+    def of_places(places: Column) -> Column:
+        until = F.transform(places, lambda p, k: F.coalesce(F.least(F.get(places, k + 1) - p, F.lit(WINDOW)), F.lit(WINDOW)))
+        return F.aggregate(until, F.lit(0).cast("long"), lambda total, n: total + n)
 
-    def of_places(p: Column) -> Column:
-        gaps = F.zip_with(F.slice(p, 1, F.size(p) - 1), F.slice(p, 2, F.size(p) - 1), lambda a, b: F.least(b - a, F.lit(WINDOW)))
-        return F.aggregate(gaps, F.lit(WINDOW).cast("long"), lambda total, g: total + g)
-
-    return let(F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i")))), of_sorted)
+    same = lambda k, h: F.coalesce(F.get(windows, k).h == h, F.lit(False))
+    twice = F.filter(windows, lambda w, k: same(k - 1, w.h) | same(k + 1, w.h))
+    return let(F.sort_array(F.transform(twice, lambda w: w.i)), of_places)
 
 
 def repeated_words(words: Column) -> Column:
-    """Of an array of words: how many lie in a window of WINDOW words that is found twice or more."""
-
-    def of_windows(windows: Column) -> Column:
-        return F.when(F.size(F.array_distinct(windows)) == F.size(windows), F.lit(0).cast("long")).otherwise(_covered(windows))
+    """Of an array of words: how many lie in a window of WINDOW words that is found twice or more. A repeated window repeats five runs of four words, which few texts do, so only those
+    are looked at in windows. Elements are read by their place, as a slice copies the whole array; runs that begin near the end are cut short, and left out in the end."""
+    none, half = F.lit(0).cast("long"), WINDOW // 2
 
-    def doubled(hashes: Column, have: Column, by: int) -> Column:
-        if by == WINDOW:
-            return of_windows(hashes)
-        return let(_joined(hashes, have - by, by), lambda wider: doubled(wider, F.size(wider), 2 * by))
+    def of_halves(halves: Column) -> Column:
+        whole = F.transform(halves, lambda h, i: F.struct(F.xxhash64(h, F.get(halves, i + half)).alias("h"), i.alias("i")))
+        windows = F.filter(whole, lambda x: x.i <= F.size(halves) - WINDOW)
+        return F.when(F.size(halves) - F.size(F.array_distinct(halves)) <= half, none).otherwise(let(F.sort_array(windows), _covered))
 
-    return F.when(F.size(words) < WINDOW, F.lit(0).cast("long")).otherwise(let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: doubled(h, F.size(h), 1)))
+    halves = F.transform(words, lambda w, i: F.xxhash64(w, *(F.get(words, i + k) for k in range(1, half))))
+    return F.when(F.size(words) <= WINDOW, none).otherwise(let(halves, of_halves))
 
 
 def measurements(text: Column) -> Column:
     """A struct of all figures that rules use."""
     text = F.coalesce(text, F.lit(""))
     count = lambda x: x.cast("long")
-    without = lambda chars: F.length(F.translate(text, chars, ""))
     of_words = lambda w: F.struct(count(F.size(w)).alias("n_words"), count(F.size(F.filter(w, lambda x: x.rlike(r"\p{L}")))).alias("n_alphabetic_words"), repeated_words(w).alias("n_repeat_words"))
     of_lines = lambda x: F.struct(count(F.size(x)).alias("n_lines"), count(F.size(x) - F.size(F.array_distinct(x))).alias("n_dup_lines"))
-    words = let(F.array_remove(F.split(text, BLANKS), ""), of_words)
+    words = let(split_words(text), of_words)
     lines = let(F.filter(F.split(text, "\n"), lambda x: x.rlike(NO_BLANK)), of_lines)
     return F.struct(
-        words.alias("w"), lines.alias("l"), count(without(" \t\n\x0b\f\r")).alias("word_chars"), count(F.length(text) - without("#*$%&|<>")).alias("n_symbols"),
-        count(F.length(F.regexp_replace(text, r"\P{Lu}+", ""))).alias("n_capitals"), count(F.length(F.regexp_replace(text, r"\P{L}+", ""))).alias("n_letters"),
+        words.alias("w"), lines.alias("l"), count(F.length(F.regexp_replace(text, BLANKS, ""))).alias("word_chars"), count(F.regexp_count(text, F.lit(r"[#*$%&|<>]"))).alias("n_symbols"),
+        count(F.length(F.regexp_replace(text, r"\P{Lu}+", ""))).alias("n_capitals"),
     )
 
 
 #: Columns of the ledger besides those of the documents.
-MEASURED = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_alphabetic_words", "n_lines", "n_capitals", "n_letters"]
+MEASURED = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_alphabetic_words", "n_lines", "n_capitals"]
 
 
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -166,7 +166,7 @@ OP12_SQL = rf"""
           coalesce(n, 0) AS n_repeat_words, len(list_filter(ws, lambda x: regexp_matches(x, '\p{{L}}'))) AS n_alpha, length(regexp_replace(t, '\P{{Lu}}', '', 'g')) AS n_capitals, length(regexp_replace(t, '\P{{L}}', '', 'g')) AS n_letters
           FROM w LEFT JOIN covered USING (uid)),
     b AS (SELECT *, (n_words < 20)::BIGINT + 2 * (100 * n_repeat_words > 30 * n_words)::BIGINT + 4 * (word_chars < 3 * n_words OR word_chars > 10 * n_words)::BIGINT + 8 * (10 * n_symbols > n_words)::BIGINT
-          + 16 * (100 * n_alpha < 80 * n_words)::BIGINT + 32 * (100 * n_dup_lines > 50 * n_lines)::BIGINT + 64 * (100 * n_capitals > 30 * n_letters)::BIGINT AS fail_bits FROM m)
+          + 16 * (100 * n_alpha < 80 * n_words)::BIGINT + 32 * (100 * n_dup_lines > 50 * n_lines)::BIGINT + 64 * (100 * n_capitals > 30 * word_chars)::BIGINT AS fail_bits FROM m)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits FROM b"""
 
 
