@@ -110,6 +110,13 @@ def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", quality.rejected(quality.BASE).alias("base_failed"), (~quality.rejected()).alias("kept"), "fail_bits")
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .hard_negatives import mine
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(read(spark, sf_dir, "embeddings"), label, F.col("vec_id") % 100 == 0)
+
+
 NORMAL = r"lower(trim(regexp_replace(x, '\s+', ' ', 'g')))"
 OP8_SQL = rf"""
     WITH RECURSIVE m AS (SELECT row_number() OVER () AS uid, conv_id, turn, role, coalesce(text, '') AS t FROM conversations),
@@ -170,6 +177,16 @@ OP12_SQL = rf"""
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits FROM b"""
 
 
+OP13_SQL = """
+    WITH p AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+               WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.vec_id AS anchor_id, o.vec_id AS other_id, a.label = o.label AS same, list_inner_product(a.v, o.v)::BIGINT AS score FROM p a JOIN p o ON a.vec_id <> o.vec_id WHERE a.vec_id % 100 = 0),
+    pos AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+    SELECT pos.anchor_id, pos.other_id AS positive_id, (row_number() OVER w)::INT AS rank, n.other_id AS negative_id, pos.score AS positive_score, n.score AS negative_score
+    FROM pos JOIN s n ON n.anchor_id = pos.anchor_id AND NOT n.same AND 80 * pos.score <= 100 * n.score AND n.score <= pos.score
+    WINDOW w AS (PARTITION BY pos.anchor_id, pos.other_id ORDER BY n.score DESC, n.other_id) QUALIFY row_number() OVER w <= 5"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2:3].isdigit()}
 
@@ -184,6 +201,7 @@ def oracle_sql() -> dict[str, str]:
         "op8_quotation_linking": OP8_SQL,
         "op11_filter_audit": OP11_SQL,
         "op12_quality_rules": OP12_SQL,
+        "op13_hard_negatives": OP13_SQL,
         "op7_exact_dedup": """
             WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
             SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
