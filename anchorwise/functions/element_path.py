@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 
 class ElementPath:
     """`at` holds if the path ends with the given one (equals it, if that begins with a slash); `within` if the given one
@@ -19,6 +21,7 @@ class ElementPath:
         return self.names.pop()
 
     @staticmethod
+    @lru_cache(maxsize=1024)
     def _parse(path: str) -> tuple[bool, list[str]]:
         absolute = path.startswith("/")
         names = path[absolute:].rstrip("/").split("/")
@@ -36,5 +39,7 @@ class ElementPath:
         if path == "/":
             return True
         absolute, names = self._parse(path)
+        if not absolute and len(names) == 1:
+            return names[0] in self.names
         places = [0] if absolute else range(len(self.names) - len(names) + 1)
         return any(self.names[p : p + len(names)] == names for p in places)

@@ -88,11 +88,6 @@ def page(title: str, body: str) -> str:
     return f"<html><head><title>{title}</title></head><body>{body}</body></html>"
 
 
-def wrapped(title: Column, body: Column) -> Column:
-    """The native form of page(): the title is not escaped."""
-    return F.concat(F.lit("<html><head><title>"), title, F.lit("</title></head><body>"), body, F.lit("</body></html>"))
-
-
 def rendered(text: Column, rules: list[tuple[str, str]] | None = None, *, expand: bool = False) -> Column:
     """The HTML of page bodies, with `expand` also with their templates expanded: one pass through Python for both. Null for a page that fails, so that it can be counted."""
 

@@ -19,31 +19,45 @@ HREF = r"(?is)(?:^|[\s\x{22}'])href\s*=\s*(?:\x{22}([^\x{22}]*)|'([^']*)|([^\s\x
 UNBROKEN = r"(?i)</[^>]*>|<(?:" + "|".join(INLINE) + r")(?:[\s/][^>]*)?>"
 TAG = r"<[A-Za-z!?][^>]*>"
 EDGE = r"^[\[\](),?!;:.'\x{22}]+|[\[\](),?!;:.'\x{22}]+$"
-BLANK = r"\s+"
+#: White space as the JDK knows it: no-break spaces are none.
+BLANK_EDGE = r"^\p{javaWhitespace}+|\p{javaWhitespace}+$"
+#: Any tag; and `<` in the text of a script or style, each found from the tag on or from the one before.
+ANY_TAG = r"</?[A-Za-z!?][^>]*>"
+RAW_LESS = r"(?i)(<(?:script|style)\b[^>]*+>|\G(?!^))([^<]*+)<(?!/(?:script|style)\b)"
 # Entities, and further ones that attributes hold; the ampersand comes last.
 ATTRIBUTE_ENTITIES = [("&#x27;", "'"), ("&#X27;", "'"), ("&#34;", '"'), ("&#x22;", '"'), ("&#38;", "&"), ("&#x26;", "&")]
 ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
 
 
-def plain_text(html: Column) -> Column:
-    """Text of a piece of HTML: inline and closing tags vanish, other opening tags become a space."""
-    text = F.regexp_replace(F.regexp_replace(html, UNBROKEN, ""), TAG, " ")
+def entities(text: Column) -> Column:
     for entity, char in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
     return text
 
 
-def normalize(term: Column) -> Column:
-    """Lower case, no white space, no punctuation at the ends."""
-    return F.regexp_replace(F.regexp_replace(F.lower(term), BLANK, ""), EDGE, "")
+def plain_text(html: Column) -> Column:
+    """Text of a piece of HTML: inline and closing tags vanish, other opening tags become a space."""
+    return entities(F.regexp_replace(F.regexp_replace(html, UNBROKEN, ""), TAG, " "))
+
+
+def phrase_text(html: Column) -> Column:
+    """Text of an anchor or title: all tags vanish."""
+    return entities(F.regexp_replace(html, ANY_TAG, ""))
+
+
+def normalize(word: Column) -> Column:
+    """Of a word: lower case, no punctuation at the ends."""
+    return F.regexp_replace(F.lower(word), EDGE, "")
 
 
 def normalize_phrase(text: Column) -> Column:
-    return normalize(text)
+    """Of any text: lower case, no white space at the ends, then no punctuation there. What is inside stays, and so does white space that punctuation was around."""
+    return F.regexp_replace(F.regexp_replace(F.lower(text), BLANK_EDGE, ""), EDGE, "")
 
 
 def accepted(term: Column) -> Column:
-    return term.rlike(r"^\p{L}")
+    """A letter comes first; letters beyond the first 65,536 characters are two halves to the JDK, and none."""
+    return term.rlike(r"^[\p{L}&&[^\x{10000}-\x{10FFFF}]]")
 
 
 def words(text: Column, tokenizer: str = "break") -> Column:
@@ -55,10 +69,20 @@ def words(text: Column, tokenizer: str = "break") -> Column:
     return F.filter(F.transform(found, normalize), accepted)
 
 
-def link_target(attributes: Column) -> Column:
-    """The article that an anchor's href names: in double, single or no quotes, its entities and then its bytes decoded, root-relative, without a colon, cut at #; null for other anchors."""
-    href = F.concat(*(F.regexp_extract(attributes, HREF, k) for k in (1, 2, 3)))  # one of them at most holds something
+def href(attributes: Column) -> Column:
+    """The href among an anchor's attributes, in double, single or no quotes, its entities decoded; empty where there is none."""
+    found = F.concat(*(F.regexp_extract(attributes, HREF, k) for k in (1, 2, 3)))  # one of them at most holds something
     for entity, char in [*ATTRIBUTE_ENTITIES, *ENTITIES]:
-        href = F.replace(href, F.lit(entity), F.lit(char))
+        found = F.replace(found, F.lit(entity), F.lit(char))
+    return found
+
+
+def article_of(href: Column) -> Column:
+    """The article that a url names: its bytes decoded, root-relative, without a colon, cut at #; null for other urls."""
     href = F.try_url_decode(href)
     return F.when(href.startswith("/") & ~href.contains(":"), F.regexp_extract(href, "^/([^#]*)", 1))
+
+
+def link_target(attributes: Column) -> Column:
+    """The article that an anchor's href names, null for other anchors."""
+    return article_of(href(attributes))

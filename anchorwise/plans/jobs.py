@@ -47,7 +47,7 @@ def generate_job(spark: SparkSession, input_dir: str, working_dir: str, *, max_d
     raw, seen, parsed, made = (Observation(x) for x in ("lines", "articles", "pages", "terms"))
     lines = readers.lines(spark, input_dir)
     articles = readers.parse_articles(lines.observe(raw, F.count_if(readers.is_rejected(F.col("line"))).alias("REJECTED")), strict).observe(seen, F.count(F.lit(1)).alias("ARTICLES"))
-    pages = link_terms.pages_of_markup(articles, rules).observe(parsed, F.count("html").alias("HTML_PARSE"), F.count_if(F.col("html").isNull()).alias("HTML_PARSE_ERROR"))
+    pages = link_terms.pages_of_markup(articles, rules).observe(parsed, F.count("pieces").alias("HTML_PARSE"), F.count_if(F.col("pieces").isNull()).alias("HTML_PARSE_ERROR"))
     terms = link_terms.terms_of_html(pages, max_distance).observe(made, F.count(F.lit(1)).alias("WIKITERM"))
     if plan_file:
         Path(plan_file).write_text(explained(terms))

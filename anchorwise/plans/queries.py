@@ -25,26 +25,42 @@ def text(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-# ---- SQL of the term steps ----
+# ---- SQL of the term steps, written from their definition: of the engine's patterns, that of words alone is used ----
 
 
-def plain_sql(x: str) -> str:
-    x = f"regexp_replace(regexp_replace({x}, {text(T.UNBROKEN)}, '', 'g'), {text(T.TAG)}, ' ', 'g')"
-    for entity, char in T.ENTITIES:
-        x = f"replace({x}, {text(entity)}, {text(char)})"
+def decoded_sql(x: str) -> str:
+    for name, char in (("nbsp", " "), ("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "''"), ("#39", "''"), ("copy", "©"), ("middot", "·"), ("amp", "&")):
+        x = f"regexp_replace({x}, '&{name}(;|\\b)', '{char}', 'g')"
     return x
 
 
-def norm_sql(x: str) -> str:
-    return f"regexp_replace(regexp_replace(lower({x}), '\\s+', '', 'g'), {text(T.EDGE)}, '', 'g')"
+def plain_sql(x: str) -> str:
+    inline = "b|big|i|small|tt|abbr|acronym|cite|code|dfn|em|kbd|strong|samp|time|var|a|bdo|img|map|object|q|script|span|sub|sup|button|input|label|select|textarea"
+    return decoded_sql(f"regexp_replace(regexp_replace(regexp_replace({x}, '</[^>]*>', '', 'g'), '<({inline})([\\s/][^>]*)?>', '', 'gi'), '<[A-Za-z!?][^>]*>', ' ', 'g')")
+
+
+def trimmed_sql(x: str) -> str:
+    """Without punctuation at the ends."""
+    return f"trim({x}, '[](),?!;:.''\"')"
+
+
+def phrase_sql(x: str) -> str:
+    """Of an anchor or a title: one term, with the white space inside it, or none."""
+    blank = r"[\t-\r\x1c-\x20\x{1680}\x{2000}-\x{2006}\x{2008}-\x{200a}\x{2028}\x{2029}\x{205f}\x{3000}]+"
+    text = decoded_sql(f"regexp_replace({x}, '</?[A-Za-z!?][^>]*>', '', 'g')")
+    return accepted_sql(f"[{trimmed_sql(f"regexp_replace(lower({text}), '^{blank}|{blank}$', '', 'g')")}]")
+
+
+def accepted_sql(terms: str) -> str:
+    return f"list_filter({terms}, lambda t: regexp_matches(t, '^\\p{{L}}') AND unicode(t) < 65536)"
 
 
 def words_sql(x: str) -> str:
-    return f"list_filter(list_transform(regexp_extract_all({x}, {text(T.WORD)}), lambda t: {norm_sql('t')}), lambda t: regexp_matches(t, '^\\p{{L}}'))"
+    return accepted_sql(f"list_transform(regexp_extract_all({x}, {text(T.WORD)}), lambda t: {trimmed_sql('lower(t)')})")
 
 
 def ref_sql(attributes: str) -> str:
-    """Written apart from the engine's patterns: the value by its first character, then entities, then bytes."""
+    """The value by its first character, then entities, then bytes."""
     value = f"trim(regexp_extract(' ' || {attributes}, '[\\s\"''][hH][rR][eE][fF]\\s*=(.*)$', 1, 's'))"
     raw = f"CASE left({value}, 1) WHEN chr(34) THEN split_part({value}, chr(34), 2) WHEN chr(39) THEN split_part({value}, chr(39), 2) ELSE regexp_extract({value}, '^[^\\s>]*') END"
     for entity, char in (("&#x27;", "''"), ("&#X27;", "''"), ("&#34;", '"'), ("&#x22;", '"'), ("&#38;", "&"), ("&#x26;", "&"), ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "''"), ("&#39;", "''"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
@@ -52,15 +68,20 @@ def ref_sql(attributes: str) -> str:
     return f"(SELECT CASE WHEN starts_with(v, '/') AND NOT contains(v, ':') THEN substr(split_part(v, '#', 1), 2) END FROM (SELECT url_decode({raw}) AS v))"
 
 
-PIECES_SQL = f"""
-    b AS (SELECT page_id, url AS article_name, regexp_replace(html, {text(T.COMMENT)}, '', 'g') AS h FROM pages),
-    c AS (SELECT page_id, article_name, regexp_extract(h, {text(T.TITLE)}, 1) AS title, regexp_replace(h, {text(T.TITLE)}, '', 'g') AS body FROM b),
-    s AS (SELECT *, string_split_regex(body, {text(T.ANCHOR)}) AS texts, regexp_extract_all(body, {text(T.ANCHOR)}, 1) AS attrs, regexp_extract_all(body, {text(T.ANCHOR)}, 2) AS labels FROM c),
-    link AS (SELECT page_id, article_name, 2 * i + 1 AS piece, {ref_sql("attrs[i + 1]")} AS ref FROM (SELECT *, unnest(range(len(attrs))) AS i FROM s)),
+# Marks: 1 where a script or style begins, 2 where it ends; 3 and 4 around the attributes of an anchor, 5 at its end.
+PIECES_SQL = rf"""
+    b AS (SELECT page_id, url AS article_name, regexp_replace(coalesce(html, ''), '<!--.*?-->', '', 'gs') AS h FROM pages),
+    raw AS (SELECT page_id, article_name, string_split(regexp_replace(regexp_replace(h, '<script[^>]*>', chr(1), 'gi'), '<style[^>]*>', ' ' || chr(1), 'gi'), chr(1)) AS x FROM b),
+    ended AS (SELECT page_id, article_name, x[1] AS begin, list_transform(x[2:], lambda p: regexp_replace(p, '</(script|style)\s*>', chr(2), 'i')) AS x FROM raw),
+    c AS (SELECT page_id, article_name, begin || array_to_string(list_transform(x, lambda p: replace(split_part(p, chr(2), 1), '<', ' ') || split_part(p, chr(2), 2)), '') AS h FROM ended),
+    body AS (SELECT page_id, article_name, regexp_extract(h, '<title[^>]*>(.*?)</title\s*>', 1, 'is') AS title, regexp_replace(h, '<title[^>]*>.*?</title\s*>', '', 'gis') AS x FROM c),
+    s AS (SELECT page_id, article_name, title, string_split(regexp_replace(regexp_replace(x, '<a(\s[^>]*)?>', chr(3) || '\1' || chr(4), 'gi'), '</a\s*>', chr(5), 'gi'), chr(3)) AS x FROM body),
+    seg AS (SELECT page_id, article_name, i, x[i + 1] AS x FROM (SELECT *, unnest(range(len(x))) AS i FROM s)),
+    link AS (SELECT page_id, article_name, 2 * i - 1 AS piece, {ref_sql("split_part(x, chr(4), 1)")} AS ref FROM seg WHERE i > 0),
     piece AS (
-        SELECT page_id, article_name, -1 AS piece, list_filter([{norm_sql(plain_sql("title"))}], lambda t: regexp_matches(t, '^\\p{{L}}')) AS ts FROM s
-        UNION ALL SELECT page_id, article_name, 2 * i, {words_sql(plain_sql("texts[i + 1]"))} FROM (SELECT *, unnest(range(len(texts))) AS i FROM s)
-        UNION ALL SELECT page_id, article_name, 2 * i + 1, list_filter([{norm_sql(plain_sql("labels[i + 1]"))}], lambda t: regexp_matches(t, '^\\p{{L}}')) FROM (SELECT *, unnest(range(len(labels))) AS i FROM s)),
+        SELECT page_id, article_name, -1 AS piece, {phrase_sql("title")} AS ts FROM s
+        UNION ALL SELECT page_id, article_name, 2 * i, {words_sql(plain_sql("CASE WHEN i = 0 THEN x ELSE split_part(x, chr(5), 2) END"))} FROM seg
+        UNION ALL SELECT page_id, article_name, 2 * i - 1, {phrase_sql("split_part(split_part(x, chr(4), 2), chr(5), 1)")} FROM seg WHERE i > 0),
     tok AS (SELECT page_id, article_name, piece, unnest(ts) AS term, generate_subscripts(ts, 1) AS ord FROM piece),
     pos AS (SELECT page_id, article_name, piece, term, row_number() OVER (PARTITION BY page_id ORDER BY piece, ord) - 1 AS pos FROM tok),
     lpos AS (SELECT l.page_id, l.piece, l.ref, count(p.term) AS pos FROM link l LEFT JOIN pos p ON p.page_id = l.page_id AND p.piece < l.piece WHERE l.ref IS NOT NULL GROUP BY ALL),
@@ -447,10 +468,14 @@ def category_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(readers.parse_categories(rows))
 
 
-@query(f"WITH {PIECES_SQL} SELECT 'ARTICLES' AS counter, count(*) AS value FROM pages UNION ALL SELECT 'WIKITERM', count(*) FROM pairs UNION ALL SELECT 'LINKS', count(*) FROM lpos")
+@query(f"""WITH {PIECES_SQL} SELECT 'ARTICLES' AS counter, count(*) AS value FROM pages UNION ALL SELECT 'HTML_PARSE', count(html) FROM pages UNION ALL SELECT 'HTML_PARSE_ERROR', count(*) - count(html) FROM pages
+    UNION ALL SELECT 'WIKITERM', count(*) FROM pairs UNION ALL SELECT 'LINKS', count(*) FROM lpos""")
 def counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    page = link_terms.page_terms(pages_of(spark, sf_dir), tokenizer="pattern")
+    parsed = link_terms.with_pieces(pages_of(spark, sf_dir))
+    pieces = parsed.select(F.struct("article_name", "pieces").alias("article_name"), "pieces")  # as the key, so that pages that failed are still told apart
+    page = link_terms.page_terms(pieces, tokenizer="pattern").withColumn("pieces", F.col("article_name.pieces"))
     low = lambda link: F.greatest(link.pos - DISTANCE, F.lit(0))
     near = F.aggregate("links", F.lit(0).cast("long"), lambda n, link: n + F.greatest(F.least(link.pos + DISTANCE, F.size("terms")) - low(link), F.lit(0)))
-    one = page.agg(F.count("*").alias("ARTICLES"), F.sum(near).alias("WIKITERM"), F.sum(F.size("links")).alias("LINKS"))
-    return one.select(F.explode(F.create_map(*(x for c in ("ARTICLES", "WIKITERM", "LINKS") for x in (F.lit(c), F.col(c))))).alias("counter", "value"))
+    figures = {"ARTICLES": F.count("*"), "HTML_PARSE": F.count("pieces"), "HTML_PARSE_ERROR": F.count_if(F.col("pieces").isNull()), "WIKITERM": F.sum(near), "LINKS": F.sum(F.size("links"))}
+    one = page.agg(*(v.alias(k) for k, v in figures.items()))
+    return one.select(F.explode(F.create_map(*(x for c in figures for x in (F.lit(c), F.col(c))))).alias("counter", "value"))

@@ -139,8 +139,10 @@ def test_plan_of_pairs_has_no_exchange_and_no_python(spark):
     from anchorwise.plans import registry
 
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").selectExpr("url AS article_name", "html")
-    plan = jobs.explained(link_terms.terms_of_html(pages, 10))
+    plan = jobs.explained(link_terms.terms_of_html(pages, 10, parse="native"))
     assert "Exchange" not in plan and "Python" not in plan and "ReadSchema: struct<url:string,html:string>" in plan
+    plan = jobs.explained(link_terms.terms_of_html(pages, 10)).partition("\n\n\n")[0]
+    assert "Exchange" not in plan and plan.count("ArrowEvalPython") == 1  # for pages that want a parser
     plan = jobs.explained(registry.queries()["tfidf_top20_lineitem"](spark, "/root/testdata/sf0.001"))
     assert "WindowGroupLimit" in plan and "Python" not in plan
 

@@ -19,7 +19,7 @@ def page(spark, html, **options):
 def test_terms_and_links_in_order(spark, tokenizer):
     html = '<html><head><title>The Title</title></head><body><p>One two <a href="/Big_City#x">Big City</a> three<b>bold</b>. <a href="http://x.org/">Out Side</a><!-- no --> end<a href="/File:x">f</a><a href="/bad%zz">b</a><a href="/E%C3%A9">9</a> last</body></html>'
     r = page(spark, html, tokenizer=tokenizer)
-    assert r.terms == ["thetitle", "one", "two", "bigcity", "threebold", "outside", "end", "f", "b", "last"]
+    assert r.terms == ["the title", "one", "two", "big city", "threebold", "out side", "end", "f", "b", "last"]
     assert [(x.ref, x.pos) for x in r.links] == [("Big_City", 3), ("Eé", 9)]
 
 
@@ -44,7 +44,12 @@ def test_window_takes_the_lower_end_and_not_the_upper(spark):
 
 def test_normalised_terms(spark):
     df = spark.createDataFrame([(x,) for x in ["U.S.A.", "rock'n'roll", '"Quoted,"', "9lives", "(x)", "", "Éa b"]], "t string")
-    assert [r[0] for r in df.select(T.normalize(F.col("t"))).collect()] == ["u.s.a", "rock'n'roll", "quoted", "9lives", "x", "", "éab"]
+    assert [r[0] for r in df.select(T.normalize(F.col("t"))).collect()] == ["u.s.a", "rock'n'roll", "quoted", "9lives", "x", "", "éa b"]
+    phrases = {" New\tYork \n": "new\tyork", "( foo )": " foo ", "\u3000a\u2028": "a", "\xa0a": "\xa0a", "...": "", "[The City], (old)": "the city], (old"}
+    df = spark.createDataFrame([(x,) for x in phrases], "t string").select("t", T.normalize_phrase(F.col("t")).alias("n"))
+    assert {r.t: r.n for r in df.collect()} == phrases
+    letters = {" foo ": False, "a": True, "É": True, "𝒳": False, "9": False, "": False, "_a": False, "ª": True}
+    assert {r.t: r.a for r in spark.createDataFrame([(x,) for x in letters], "t string").select("t", T.accepted(F.col("t")).alias("a")).collect()} == letters
     assert df.limit(1).select(T.words(F.lit("A  b\t9c d. [e"), "space")).first()[0] == ["A", "b", "d."]
 
 
@@ -116,7 +121,7 @@ def test_renderer():
 def test_markup_to_terms(spark):
     df = spark.createDataFrame([("T", "Go to [[Big Town|the town]] now {{main|Other}} [[De:X]]")], "article_name string, article_text string")
     got = [(r.term, r.article_ref, r.term_distance) for r in link_terms.terms_of_markup(df, 3).collect()]
-    assert got == [("t", "Big_Town", -3), ("go", "Big_Town", -2), ("to", "Big_Town", -1), ("thetown", "Big_Town", 0), ("now", "Big_Town", 1), ("other", "Big_Town", 2)]
+    assert got == [("t", "Big_Town", -3), ("go", "Big_Town", -2), ("to", "Big_Town", -1), ("the town", "Big_Town", 0), ("now", "Big_Town", 1), ("other", "Big_Town", 2)]
 
 
 TARGETS = {
