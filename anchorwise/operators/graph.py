@@ -1,7 +1,8 @@
 """The category graph: nodes with their parents, as tables.
 
-Edges are (child, parent). Fixpoints run as joins with a checkpoint a round. The one sequential operation, breaking cycles, runs for
-each weakly connected component by itself, since its search never leaves one."""
+Edges are (child, parent). Fixpoints run as joins with a table a round, which is written once. Paths double in length each round, so a chain of n edges takes log2(n) rounds. The one sequential
+operation, breaking cycles, never leaves a weakly connected component; it is cut to what lies on circles of undirected edges before, and runs for each component of
+the rest by itself."""
 
 from __future__ import annotations
 
@@ -9,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.shared import cut, release, table
+from ..functions.shared import release, table
 
 
 def edges_of(categories: DataFrame) -> DataFrame:
@@ -58,48 +59,87 @@ def find(categories: DataFrame, name: str) -> DataFrame:
     return categories.filter(F.col("name") == name)
 
 
-def closure(edges: DataFrame) -> DataFrame:
-    """(start, node): all nodes on a path of one edge or more from start. Each round joins only the pairs of the last."""
-    steps = edges.select(F.col("child").alias("node"), "parent").distinct()
-    found = new = cut(edges.select(F.col("child").alias("start"), F.col("parent").alias("node")).distinct())
+def _union(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for df in tables[1:]:
+        out = out.union(df)
+    return out
+
+
+def _longer(rounds: list[DataFrame]) -> DataFrame:
+    """Paths of rounds[0] (one edge) up to the last (up to r = 2^k edges), continued by paths of r edges. Each path is continued once: r of its edges are the last ones. (start, node, length)"""
+    r = 1 << (len(rounds) - 1)
+    last = rounds[-1].filter(F.col("length") == r).select(F.col("start").alias("node"), F.col("node").alias("to"))
+    return _union(rounds).join(last, "node").select("start", F.col("to").alias("node"), (F.col("length") + r).alias("length"))
+
+
+def distances(edges: DataFrame) -> DataFrame:
+    """(start, node, length): all nodes on a path of one edge or more from start, with the fewest edges. A part of a shortest path is a shortest path, so pairs at distance r continue all shorter
+    ones to distances up to 2r. Round k finds the pairs at distances from 2^(k-1) + 1 to 2^k and writes them alone."""
+    rounds = [table(edges.select(F.col("child").alias("start"), F.col("parent").alias("node"), F.lit(1).alias("length")).distinct())]
     while True:
-        further = new.join(steps, "node").select("start", F.col("parent").alias("node")).distinct()
-        new = cut(further.join(found, ["start", "node"], "left_anti"))
+        new = table(_longer(rounds).groupBy("start", "node").agg(F.min("length").alias("length")).join(_union(rounds), ["start", "node"], "left_anti"))
         if new.isEmpty():
-            return found
-        found = cut(found.union(new))
+            release(new)
+            return _union(rounds)
+        rounds.append(new)
+
+
+def closure(edges: DataFrame) -> DataFrame:
+    """(start, node): all nodes on a path of one edge or more from start."""
+    return distances(edges).select("start", "node")
 
 
 def has_cycles(edges: DataFrame, strict: bool = False) -> bool:
     """True if some start reaches a node twice, as over a diamond; with `strict` only if a node reaches itself.
 
-    Strictly, edges to nodes without edges of their own are taken away until none is left or none goes, so edges only become fewer. Otherwise paths grow by an edge a round, from all starts, and the first
-    pair of nodes with two paths ends it; as long as there is none, pairs are as many as paths, and each is written once."""
+    Paths double in length each round, from all starts, and the first pair of nodes with two paths ends it; as long as there is none, pairs are as many as paths, and each is
+    written once."""
     steps = table(edges.select("child", "parent").distinct())
     if strict:
-        have = steps.count()
-        while True:
-            last, steps = steps, table(steps.join(steps.select(F.col("child").alias("parent")), "parent", "left_semi").select("child", "parent"))
-            release(last)
-            have, before = steps.count(), have
-            if have in (0, before):
-                release(steps)
-                return have > 0
-    own = table(steps.select(F.col("child").alias("start"), F.col("child").alias("node")).distinct())
-    rounds, new = [own], table(steps.select(F.col("child").alias("start"), F.col("parent").alias("node")))
+        return _has_circle(steps)
+    rounds = [table(steps.select(F.col("child").alias("start"), F.col("parent").alias("node"), F.lit(1).alias("length")))]
+    release(steps)
     try:
-        while not new.isEmpty():
-            seen = rounds[0]
-            for pairs in rounds[1:]:
-                seen = seen.union(pairs)
-            twice = new.groupBy("start", "node").agg(F.count("*").alias("n")).filter("n > 1")
-            if not twice.isEmpty() or not new.join(seen, ["start", "node"], "left_semi").isEmpty():
-                return True
+        if not rounds[0].filter("start = node").isEmpty():
+            return True
+        while True:
+            new = table(_longer(rounds))
             rounds.append(new)
-            new = table(new.join(steps.withColumnRenamed("child", "node"), "node").select("start", F.col("parent").alias("node")))
-        return False
+            if new.isEmpty():
+                return False
+            twice = new.groupBy("start", "node").agg(F.count("*").alias("n")).filter("n > 1 or start = node")
+            if not twice.isEmpty() or not new.join(_union(rounds[:-1]), ["start", "node"], "left_semi").isEmpty():
+                return True
     finally:
-        release(steps, new, *(r for r in rounds if r is not new))
+        release(*rounds)
+
+
+def _has_circle(edges: DataFrame) -> bool:
+    """If a path comes back to its start. Edges from or to nodes that no circle can pass are taken away, and of nodes with one edge in and one out, those whose hash is less than
+    their neighbours' are bridged over, so that chains lose a third of their edges a round; when nothing is taken away any more, what is left has a circle. Deletes its input."""
+    k = 0
+    while True:
+        if not edges.filter("child = parent").isEmpty():
+            release(edges)
+            return True
+        have = edges.count()
+        once = lambda c, o: edges.groupBy(F.col(c).alias("name")).agg(F.count("*").alias("n"), F.min(o).alias(o)).filter("n = 1").select("name", o)  # noqa: B023, E731
+        inner = once("parent", "child").join(once("child", "parent"), "name")
+        h = lambda c: F.xxhash64(F.col(c), F.lit(k))  # noqa: B023, E731
+        over = table(inner.filter((h("name") < h("child")) & (h("name") < h("parent"))))
+        bridged = over.select("child", "parent")
+        gone = over.select("name")
+        rest = edges.join(gone.toDF("child"), "child", "left_anti").join(gone.toDF("parent"), "parent", "left_anti").select("child", "parent")
+        bridged = rest.union(bridged).distinct()
+        ends = bridged.join(bridged.select(F.col("child").alias("parent")), "parent", "left_semi").join(bridged.select(F.col("parent").alias("child")), "child", "left_semi")
+        left = table(ends.select("child", "parent"))
+        n, over_n = left.count(), over.count()
+        release(edges, over)
+        edges, k = left, k + 1
+        if n == 0 or n == have and not over_n:
+            release(edges)
+            return n > 0
 
 
 def weak_components(edges: DataFrame) -> DataFrame:
@@ -120,35 +160,63 @@ def weak_components(edges: DataFrame) -> DataFrame:
         state = moved.select("name", F.col("next").alias("component"))
 
 
+#: Rounds in which the ends of trees are taken off before cycles are broken. What longer chains leave is searched with the rest.
+TRIM_ROUNDS = 12
+
+
+def trimmed(edges: DataFrame, rounds: int = TRIM_ROUNDS) -> DataFrame:
+    """(child, parent, first): the edges that can be part of an undirected circle, and others at ends of chains of more than `rounds` edges. An edge to or from a node without further edges
+    never is a second way to a node. A search that starts at such a node goes on from its one parent, so the parent takes its place among the starts if that is earlier: `first`
+    is the earliest name that a search from `child` stands for."""
+    edges = table(edges.select("child", "parent").distinct().withColumn("first", F.col("child")))
+    for _ in range(rounds):
+        ends = edges.select(F.explode(F.array("child", "parent")).alias("name")).groupBy("name").agg(F.count("*").alias("n")).filter("n = 1").select("name")
+        if ends.isEmpty():
+            break
+        below = edges.join(ends.withColumnRenamed("name", "child"), "child", "left_semi")
+        earlier = below.groupBy(F.col("parent").alias("child")).agg(F.min("first").alias("earlier"))
+        kept = edges.join(ends.withColumnRenamed("name", "child"), "child", "left_anti").join(ends.withColumnRenamed("name", "parent"), "parent", "left_anti")
+        last, edges = edges, table(kept.join(earlier, "child", "left").select("child", "parent", F.least("first", "earlier").alias("first")))
+        release(last)
+    return edges
+
+
 def _broken(pdf: pd.DataFrame) -> pd.DataFrame:
     parents: dict[str, list[str]] = {}
     for child, parent in sorted(zip(pdf.child, pdf.parent, strict=True)):
         parents.setdefault(child, []).append(parent)
+    starts = dict(zip(pdf.child, pdf["first"], strict=True)) if "first" in pdf else {c: c for c in parents}
     removed = []
-    for start in sorted(parents):
-        marked, stack = {start}, [(start, list(parents.get(start, ())))]
+    for start in sorted(parents, key=starts.get):
+        marked, stack = {start}, [(start, iter(list(parents.get(start, ()))))]
         while stack:  # depth first, parents by name
             node, left = stack[-1]
-            if not left:
+            parent = next(left, None)
+            if parent is None:
                 stack.pop()
-                continue
-            parent = left.pop(0)
-            if parent in marked:
+            elif parent in marked:
                 parents[node].remove(parent)
                 removed.append((node, parent))
             else:
                 marked.add(parent)
-                stack.append((parent, list(parents.get(parent, ()))))
+                stack.append((parent, iter(list(parents.get(parent, ())))))
     return pd.DataFrame(removed, columns=["child", "parent"])
 
 
 def broken_edges(edges: DataFrame) -> DataFrame:
     """Edges to remove so that no start reaches a node twice: starts and parents go by name."""
-    edges = edges.distinct()
-    parts = edges.join(weak_components(edges).withColumnRenamed("name", "child"), "child")
+    core = trimmed(edges)
+    parts = core.join(weak_components(core).withColumnRenamed("name", "child"), "child")
     return parts.groupBy("component").applyInPandas(_broken, "child string, parent string")
 
 
+def largest_search(edges: DataFrame) -> int:
+    """The edges of the largest component that one task searches when cycles are broken."""
+    core = trimmed(edges)
+    parts = core.join(weak_components(core).withColumnRenamed("name", "child"), "child")
+    return parts.groupBy("component").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+
+
 def break_cycles(edges: DataFrame) -> DataFrame:
     """The edges that stay."""
     return edges.distinct().join(broken_edges(edges), ["child", "parent"], "left_anti")
