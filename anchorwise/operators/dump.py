@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+import struct
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,12 +26,23 @@ def routed(pages: DataFrame) -> DataFrame:
     return pages.withColumn("page_type", F.when(F.col("malformed").isNotNull(), "exception").otherwise(kind) if "malformed" in pages.columns else kind)
 
 
+def range_number(x: Column, cuts: list) -> Column:
+    """How many of the sorted cuts are x or less. They are looked for in two levels, so that a row is compared with some two square roots of them."""
+    if not cuts:
+        return F.lit(0)
+    width = math.isqrt(len(cuts)) + 1
+    groups = [cuts[i : i + width] for i in range(0, len(cuts), width)]
+    passed = lambda array: F.size(F.filter(array, lambda c: x >= c))
+    group = F.greatest(passed(F.array(*(F.lit(g[0]) for g in groups))), F.lit(1))
+    return (group - 1) * width + passed(F.element_at(F.array(*(F.array(*map(F.lit, g)) for g in groups)), group))
+
+
 def main_before(df: DataFrame, is_main: Column, order: str = "ordinal") -> DataFrame:
     """Adds main_before, the number of main rows in front of each. Rows are counted by range of `order` first, so no task sees all of them:
     a running sum within a range, plus the sums of the ranges before (one row a range). Ranges hold about RANGE_ROWS rows."""
     buckets = max(RANGES, -(-df.count() // RANGE_ROWS))
     cuts = sorted(set(df.stat.approxQuantile(order, [i / buckets for i in range(1, buckets)], 0.1 / buckets)))
-    rows = df.withColumn("__main", is_main.cast("long")).withColumn("__range", F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: F.col(order) >= c)) if cuts else F.lit(0))
+    rows = df.withColumn("__main", is_main.cast("long")).withColumn("__range", range_number(F.col(order), cuts))
     totals = rows.groupBy("__range").agg(F.sum("__main").alias("__sum"))
     before = Window.partitionBy(F.lit(0)).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     front = totals.select("__range", F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__front"))
@@ -77,6 +91,42 @@ def in_sample(share: float, key: str, seed: int = 0) -> Column:
     return F.lit(True) if share == 1 else F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1_000_000)) < round(share * 1_000_000)
 
 
+# The JDK's generator of random numbers.
+FACTOR, ADDEND, STATE_BITS, FLOAT_BITS = 0x5DEECE66D, 0xB, 48, 24
+#: Bits of a place in the sequence of draws.
+PLACE_BITS = 44
+
+
+def draw(place: Column, seed: int = 0) -> Column:
+    """Of the JDK's Random(seed): the draw at this place (from 0) of its sequence of floats, as a whole number of 2^-24. Steps are affine, and so are 2^i of them at once; those of the
+    bits of the place are put together, so a row needs no row before it. Products are made in halves, as they are wider than 64 bits."""
+    whole, half = (1 << STATE_BITS) - 1, 1 << FLOAT_BITS
+    factor, addend, jumps = FACTOR, ADDEND, []
+    for bit in range(PLACE_BITS):
+        jumps.append(F.struct(F.lit(1 << bit).cast("long").alias("bit"), F.lit(factor // half).cast("long").alias("high"), F.lit(factor % half).cast("long").alias("low"), F.lit(addend).cast("long").alias("add")))
+        factor, addend = factor * factor & whole, (factor + 1) * addend & whole
+
+    def step(state: Column, jump: Column) -> Column:
+        high, low = F.shiftright(state, FLOAT_BITS), state.bitwiseAND(F.lit(half - 1))
+        cross = (high * jump.low + low * jump.high).bitwiseAND(F.lit(half - 1))
+        return F.when(place.bitwiseAND(jump.bit) == 0, state).otherwise((F.shiftleft(cross, FLOAT_BITS) + low * jump.low + jump.add).bitwiseAND(F.lit(whole).cast("long")))
+
+    first = ((seed ^ FACTOR) & whole) * FACTOR + ADDEND & whole  # the state after the first step
+    return F.shiftright(F.aggregate(F.array(*jumps), F.lit(first).cast("long"), step), STATE_BITS - FLOAT_BITS)
+
+
+def drawn_sample(df: DataFrame, share: float, is_main: Column, order: str = "ordinal", seed: int = 0) -> DataFrame:
+    """All other rows, and the main rows that a loop over them would keep which draws a number for each: that of the k-th main row by `order` is the k-th. 1 keeps all."""
+    if not 0 <= share <= 1:
+        raise ValueError("share must be from 0 to 1")
+    if share == 1:
+        return df
+    most = math.floor(struct.unpack("f", struct.pack("f", share))[0] * (1 << FLOAT_BITS))
+    mains = main_before(df.filter(is_main).select(order), F.lit(True), order)
+    dropped = mains.filter(draw(F.col("main_before"), seed) > most).select(order)
+    return df.join(dropped, order, "left_anti").select(df.columns)
+
+
 def main_articles(pages: DataFrame) -> DataFrame:
     """Routed pages to (article_name, article_text) of main pages."""
     return ordered_articles(pages).drop("ordinal")

@@ -26,10 +26,11 @@ def dump_job(spark: SparkSession, input_file: str, output_dir: str, metadata_dir
     """Splits a dump into article lines, categories, redirects, disambiguations and the first pages that are no XML; gives counts of page types."""
     pages = dump.routed(readers.dump_pages(spark, input_file))
     is_main = F.col("page_type") == "main"
-    if sample_percent != 100:
-        pages = pages.filter(~is_main | dump.in_sample(sample_percent / 100, "title"))
     routed = pages = table(pages)  # routed once, for all outputs
+    sampled = None
     try:
+        if sample_percent != 100:
+            sampled = pages = table(dump.drawn_sample(pages, sample_percent / 100, is_main))
         if num_pages is not None:
             pages = dump.page_limit(pages, num_pages, is_main)
         sinks.article_parts(dump.ordered_articles(pages), output_dir, pages_per_file=pages_per_file, compress=compress)
@@ -39,7 +40,7 @@ def dump_job(spark: SparkSession, input_file: str, output_dir: str, metadata_dir
         sinks.disambiguations(dump.disambiguations(pages), f"{metadata_dir}/disambigs.txt")
         return {r.counter: r.value for r in dump.page_counters(pages).collect()}
     finally:
-        release(routed)
+        release(routed, *([sampled] if sampled else []))
 
 
 def generate_job(spark: SparkSession, input_dir: str, working_dir: str, *, max_distance: int = link_terms.MAX_DISTANCE, rules: list[tuple[str, str]] | None = None, strict: bool = False, plan_file: str | None = None) -> dict[str, int]:

@@ -321,6 +321,15 @@ def page_limit_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dump.page_limit(events, 100, F.col("event_type") == F.col("kind"), "event_id").select("event_id", "event_type")
 
 
+@query(f"""WITH RECURSIVE r AS (SELECT 0 AS k, (25214903917 * 25214903917::HUGEINT + 11) % 281474976710656 AS state UNION ALL SELECT k + 1, (state * 25214903917 + 11) % 281474976710656 FROM r WHERE k < (SELECT count(*) FROM part)),
+    pages AS (SELECT p_partkey, page_type, row_number() OVER (PARTITION BY page_type ORDER BY p_partkey) - 1 AS k FROM ({ROUTED_SQL}))
+    SELECT p_partkey AS ordinal, page_type FROM pages JOIN r USING (k) WHERE page_type <> 'main' OR (state // 16777216)::FLOAT / 16777216 <= 0.2::FLOAT""")
+def main_page_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fifth of the main pages, by draws in their order; the SQL makes one draw after the other."""
+    pages = dump.routed(made_pages(spark, sf_dir)).select("ordinal", "page_type")
+    return dump.drawn_sample(pages, 0.2, F.col("page_type") == "main")
+
+
 @query()
 def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sampling operator; its hash is not in SQL."""

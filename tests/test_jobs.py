@@ -113,6 +113,52 @@ def test_markup_job(spark, tmp_path):
     assert spark.read.option("sep", "\t").csv(str(tmp_path / "o" / "templates")).count() >= 0
 
 
+def test_draws_are_those_of_a_loop(spark):
+    from anchorwise.operators import dump
+
+    def loop(seed, n):
+        state = (seed ^ 0x5DEECE66D) % 2**48
+        for _ in range(n):
+            state = (state * 0x5DEECE66D + 11) % 2**48
+            yield state >> 24
+
+    for seed in (0, 1, -7, 123456789012345):
+        got = [r[0] for r in spark.range(300).select(dump.draw(F.col("id"), seed)).collect()]
+        assert got == [*loop(seed % 2**48, 300)]
+    assert round(spark.range(1).select(dump.draw(F.col("id"))).first()[0] / 2**24, 6) == 0.730968  # the first float of Random(0)
+    far = (1 << 33) + 12345  # a place that no loop reaches soon: by powers of the step as a matrix
+    a, c, state, k = 0x5DEECE66D, 11, 0x5DEECE66D, far + 1
+    while k:
+        if k & 1:
+            state = (state * a + c) % 2**48
+        a, c, k = a * a % 2**48, (a + 1) * c % 2**48, k >> 1
+    assert spark.range(1).select(dump.draw(F.lit(far))).first()[0] == state >> 24
+
+
+def test_sample_of_main_pages_goes_by_their_place(spark, tmp_path):
+    from anchorwise.operators import dump
+
+    page = lambda t, ns: f"<page><title>{t}</title><ns>{ns}</ns><revision><text>x</text></revision></page>\n"
+    (tmp_path / "x.xml").write_text("<mediawiki>\n" + "".join(page(f"P{k}", 0) + page(f"File:{k}.png", 6) for k in range(15)) + "</mediawiki>\n")
+    counts = jobs.dump_job(spark, str(tmp_path / "x.xml"), str(tmp_path / "o"), str(tmp_path / "m"), sample_percent=20)
+    assert counts["main-page"] == 1 and counts["file-page"] == 15  # one of the first fifteen
+    assert open(tmp_path / "o" / "part-000.txt").read().startswith("P7\t")
+    rows = spark.range(1000).select(F.col("id").alias("ordinal"), F.lit("main").alias("page_type"))
+    assert dump.drawn_sample(rows, 1, F.lit(True)).count() == 1000 and dump.drawn_sample(rows, 0, F.lit(True)).count() == 0
+    assert 150 < dump.drawn_sample(rows, 0.2, F.lit(True)).count() < 250 and dump.drawn_sample(rows.limit(0), 0.2, F.lit(True)).count() == 0
+    with pytest.raises(ValueError, match="share"):
+        dump.drawn_sample(rows, 2, F.lit(True))
+
+
+def test_range_numbers(spark):
+    from anchorwise.operators import dump
+
+    for n in (0, 1, 2, 5, 17, 100):
+        cuts = [3 * i for i in range(n)]
+        got = spark.range(-2, 3 * n + 3).select("id", dump.range_number(F.col("id"), cuts).alias("k")).collect()
+        assert all(r.k == sum(c <= r.id for c in cuts) for r in got)
+
+
 def test_nth_least(spark):
     from anchorwise.operators.dump import nth_least
 
