@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BATCH_BYTES = 4 << 20
@@ -95,20 +95,39 @@ def _file_number(path: Column, salt: int) -> Column:
     return F.pmod(F.xxhash64(path, F.lit(salt)), F.lit(1 << 63 - FILE_ROW_BITS))
 
 
+def _kind(df: DataFrame) -> str | None:
+    """Where the rows come straight from: "parquet" files, an "rdd" such as a checkpoint, or None for anything else."""
+    source = _source(df._jdf.queryExecution().optimizedPlan())
+    if source is None:
+        return None
+    if source.nodeName().startswith(("LogicalRelation", "Relation")) and source.relation().getClass().getSimpleName() == "HadoopFsRelation" and source.relation().fileFormat().toString() == "Parquet":
+        return "parquet"
+    return "rdd" if source.nodeName() in ("LogicalRDD", "Scan ExistingRDD") else None
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df, or a checkpoint of it: a table whose rows have the same keys in each call of with_uid(). For operators that number their rows more than once."""
+    return df if _kind(df) else cut(df)
+
+
 def with_uid(df: DataFrame, name: str = "uid") -> DataFrame:
     """Adds uid (or `name`), a number for each row, the same in every scan of the same input. In Parquet files it follows from the file and the row's place in it,
-    so it doesn't change with splits, which depend on settings and on the cores registered at the moment. A checkpoint has partitions of its own, that don't change. Other rows
-    are written to the shared folder first."""
-    source = _source(df._jdf.queryExecution().optimizedPlan())
-    if source is not None and source.nodeName().startswith(("LogicalRelation", "Relation")) and source.relation().getClass().getSimpleName() == "HadoopFsRelation" and source.relation().fileFormat().toString() == "Parquet":
-        place = df.metadataColumn("_metadata")
-        salt = _file_salt(df, place)
-        if salt is not None:
-            row = F.when(place["row_index"] < 1 << FILE_ROW_BITS, place["row_index"]).otherwise(F.raise_error(F.lit("a file has too many rows for row keys")))
-            return df.withColumn(name, F.shiftleft(_file_number(place["file_path"], salt), FILE_ROW_BITS) + row)
-    if source is None or source.nodeName() not in ("LogicalRDD", "Scan ExistingRDD"):
-        df = cut(df)
-    return df.withColumn(name, F.monotonically_increasing_id())
+    so it doesn't change with splits, which depend on settings and on the cores registered at the moment. Files go by hashes of their paths; where hashes clash under all salts, as with
+    very many files, by their place among the sorted paths, which are joined to the rows. A checkpoint has partitions of its own, that don't change. Other rows
+    are written to the shared folder first (in each call: see settled())."""
+    kind = _kind(df)
+    if kind != "parquet":
+        return (df if kind else cut(df)).withColumn(name, F.monotonically_increasing_id())
+    place = df.metadataColumn("_metadata")
+    row = F.when(place["row_index"] < 1 << FILE_ROW_BITS, place["row_index"]).otherwise(F.raise_error(F.lit("a file has too many rows for row keys")))
+    salt = _file_salt(df, place)
+    if salt is not None:
+        return df.withColumn(name, F.shiftleft(_file_number(place["file_path"], salt), FILE_ROW_BITS) + row)
+    path, at, number = free(df, "path"), free(df, "row_at"), free(df, "file_number")
+    files = df.select(place["file_path"].alias(path)).distinct()
+    numbers = table(files.withColumn(number, F.row_number().over(Window.orderBy(path)).cast("long")))  # a row for each file
+    rows = df.withColumns({path: place["file_path"], at: row}).join(numbers, path)
+    return rows.withColumn(name, F.shiftleft(F.col(number), FILE_ROW_BITS) + F.col(at)).drop(path, at, number)
 
 
 #: What words don't hold, as characters and as a pattern of one or more.

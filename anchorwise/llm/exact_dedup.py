@@ -160,6 +160,6 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """docs without the rows that exact_dedup() does not keep. Any names of other columns pass."""
-    key = common.free(docs, "uid")
+    docs, key = common.settled(docs), common.free(docs, "uid")
     stay = exact_dedup(docs).filter("kept").select(F.col("uid").alias(key))
     return common.with_uid(docs, key).join(stay, key, "left_semi").drop(key)

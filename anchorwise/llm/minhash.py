@@ -303,7 +303,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, size: int = WORDS, ba
 
 def drop_near_copies(docs: DataFrame, *, percent: int = 85) -> DataFrame:
     """docs with one row of each component of sets whose similarity is `percent` hundredths or more. Any names of other columns pass."""
-    key = common.free(docs, "uid")
+    docs, key = common.settled(docs), common.free(docs, "uid")
     found = near_duplicates(docs, percent=percent).filter("kept")
     stay = found.groupBy("component_id", F.when(F.col("component_id").isNull() | (F.col("n_shingles") == 0), F.col("uid")).alias("own")).agg(F.min("uid").alias(key)).select(key)
     return common.with_uid(docs, key).join(stay, key, "left_semi").drop(key)

@@ -21,13 +21,52 @@ from pyspark.sql import DataFrame
 from . import common
 
 BITS, SIZES = 16, (3, 4, 5)
-# Words of unwanted and of other hosts.
-UNWANTED = """
-ads adserver adult affiliate banner bets betting bingo cams casino cheap clickbait cracked crypto escort followers gambling jackpot keygen loans lottery malware meds payday pharmacy pills poker popups porn
-replica roulette seo sexy singles slots spam spyware tracker tracking viagra warez winner xxx
-""".split()
+# Words of unwanted and of other hosts, a family of unwanted ones to a line. None is a word of a host of `pages`.
+UNWANTED_FAMILIES = [line.split() for line in """
+adserver adservice adverts adclick
+adults adulttoys adulttube
+affiliate affiliates
+banner banners
+betting bettor betshop sportsbet
+bingo bingohall
+cams livecams camgirls
+casinos kasino casinoclub
+cheaper cheapest cheapmeds
+clickbait clickbaits
+cracked cracks crackz
+crypto cryptos cryptocoins
+escort escorts
+followers buyfollowers
+gambling gamblers gamble
+jackpot jackpots
+keygen keygens
+loans payloans quickloan
+lottery lotteries lotto
+malware malwares
+meds medsale
+payday paydays
+pharmacy pharmacies
+pill pillshop dietpill
+poker pokerroom
+popups popup
+porn porno porntube
+replica replicas
+roulette roulettes
+seo seolinks
+sexy sexcam
+singles hotsingles
+slots slotmachine
+spammer spammy spambot
+spyware spywares
+tracker tracking trackers
+viagra viagras
+warez warezz
+winner winners
+xxx xxxtube
+""".strip().split("\n")]
+UNWANTED = [w for family in UNWANTED_FAMILIES for w in family]
 WANTED = """
-academy agriculture airport animals archive art-museum astronomy athletics atlas authors bakery ballet biology birdwatch bookshop botany bridges brothers-farm bus-times castle ceramics chemistry choir cinema
+academy agriculture airport animals archive art-museum astronomy athletics atlas authors bakery ballet biology birdwatch bookshop botany bridges brothers-barn bus-times castle ceramics chemistry choir cinema
 city-council climate coastline college community concerts cooking courthouse cycling dance dentist dictionary drawing earthquake education electronics elections engineering environment european-history family-tree farming
 festival finance firefighters fishing flowers folk-songs football forestry fountain gallery gardening geography geology government guitar handicraft harbour health heritage hiking history hospital housing
 insects institute islands journal kitchen knitting landscape language lecture letters library lighthouse literature mathematics medicine meeting meteorology monument mother-tongue mountains music national-park nature
@@ -44,7 +83,7 @@ def _urls(words: list[str], copies: int, seed: int) -> list[str]:
     return [f"{pick(sub)}{pick(form).format(w)}.example.{pick(top)}/{pick(path).format(pick(range(10_000)))}" for w in words for _ in range(copies)]
 
 
-LABELLED = [(x, 1) for x in _urls(UNWANTED, 24, 1)] + [(x, 0) for x in _urls(WANTED, 8, 2)]
+LABELLED = [(x, 1) for x in _urls(UNWANTED, 12, 1)] + [(x, 0) for x in _urls(WANTED, 8, 2)]
 _URL = re.compile(r"://([^/?#]*)([^?#]*)", re.DOTALL)
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 

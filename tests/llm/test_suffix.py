@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from anchorwise.llm import common, suffix_dedup
+from anchorwise.llm import common, exact_dedup, minhash, suffix_dedup
 from anchorwise.llm.suffix_array import permuted_lcp, suffix_array
 
 
@@ -113,3 +113,38 @@ def test_row_keys_do_not_follow_splits(spark, tmp_path, files):
     finally:
         spark.conf.unset(setting)
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_row_keys_where_paths_clash_and_of_other_input(spark, tmp_path, monkeypatch):
+    at = str(tmp_path / "t")
+    spark.range(100).selectExpr("id AS doc_id", "cast(id % 7 AS string) AS text", "id AS path").repartition(5).write.parquet(at)
+    rows = spark.read.parquet(at)
+    monkeypatch.setattr(common, "_file_salt", lambda df, place: None)  # as if all salts clashed
+    keys = lambda df: {r.doc_id: r.uid for r in common.with_uid(df).collect()}
+    first = keys(rows)
+    assert len(set(first.values())) == 100 and first == keys(rows.filter("doc_id >= 0")) and common.with_uid(rows).columns == ["doc_id", "text", "path", "uid"]
+    assert exact_dedup.drop_copies(rows).count() == 7
+    # Rows that come out of a shuffle: numbered once, so that both passes mean the same ones.
+    shuffled = rows.repartition(3).select("doc_id", "text")
+    once = common.settled(shuffled)
+    assert keys(once) == keys(once) and common.settled(rows) is rows
+    assert sorted(r.doc_id for r in exact_dedup.drop_copies(shuffled).collect()) == list(range(93, 100))
+    assert sorted(r.doc_id for r in minhash.drop_near_copies(shuffled).collect()) == list(range(7))
+
+
+def test_planted_passages_of_400_bytes_go_and_shorter_ones_stay(spark):
+    rng = random.Random(40)
+    words = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9))) for _ in range(n))
+    plant = {size: [words(200)[:size] for _ in range(6)] for size in (300, 399, 400, 401, 700)}
+    docs, holds = [], {}
+    for size, passages in plant.items():
+        for passage in passages:
+            for mark in "ABCD"[: rng.randrange(2, 5)]:  # another letter on both sides of each copy, so that no more than the passage is shared
+                holds[len(docs)] = size
+                docs.append((len(docs), f"{words(rng.randrange(40, 90))}{mark}{passage}{mark}{words(rng.randrange(40, 90))}"))
+    docs += [(len(docs) + i, words(200)) for i in range(20)]  # clean ones
+    got = {r.doc_id: r for r in suffix_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for i, text in docs:
+        size = holds.get(i, 0)
+        removed = size if size >= 400 else 0
+        assert (got[i].n_removed, len(got[i].spans), got[i].n_bytes) == (removed, int(removed > 0), len(text.encode()))

@@ -33,22 +33,30 @@ def test_model_parts_the_labelled_table_and_new_urls():
     assert s[0] > 0.5 > s[1] and 0.1 < s[2] < 0.5  # without n-grams: the share of unwanted rows, so null urls are allowed
 
 
-def test_model_judges_hosts_that_it_has_not_seen(spark):
+def word_of(url):
+    name = url.partition("/")[0].split(".example.")[0].split(".")[-1]
+    return name.removeprefix("my-").removesuffix("-online").removesuffix("-page")
+
+
+def test_model_judges_words_that_it_has_not_seen(spark):
     import re
 
-    host = lambda x: x.partition("/")[0]
-    known = {host(x) for x, _ in url_filter.LABELLED}
-    words = {w for x in known for w in [x.split(".example.")[0].split(".")[-1]]}
-    for sf in ("sf0.001", "sf0.01", "sf0.1", "check_s"):
-        seen = {url_filter.split(r.url)[0] for r in spark.read.parquet(f"/root/testdata/{sf}/pages.parquet").select("url").collect()}
-        assert not known & seen and not words & {x.split(".example.")[0].split(".")[-1] for x in seen if x}
-    right = []
-    for k in range(8):  # held-out words
-        fold = [random.Random(i).randrange(8) for i in range(len(url_filter.LABELLED))]
-        m = url_filter.Model.train([x for x, f in zip(url_filter.LABELLED, fold) if f != k])
-        rest = [x for x, f in zip(url_filter.LABELLED, fold) if f == k]
-        right += [(s >= 0.5) == bool(y) for s, (_, y) in zip(m.scores([x for x, _ in rest]), rest)]
-    assert sum(right) / len(right) >= 0.9
+    tokens = lambda words: {t for w in words for t in re.split("[-.]", w)}
+    known = tokens([*url_filter.UNWANTED, *url_filter.WANTED])
+    for sf in ("sf0.001", "sf0.01", "sf0.1"):  # no word of a host is in the table
+        hosts = {url_filter.split(r.url)[0] for r in spark.read.parquet(f"/root/testdata/{sf}/pages.parquet").select("url").distinct().collect()}
+        assert len(hosts) > 5 and not known & tokens({h.split(".example.")[0] for h in hosts})
+    words = sorted({word_of(x) for x, _ in url_filter.LABELLED})
+    random.Random(1).shuffle(words)
+    fold, scored = {w: i % 8 for i, w in enumerate(words)}, []
+    for k in range(8):
+        m = url_filter.Model.train([r for r in url_filter.LABELLED if fold[word_of(r[0])] != k])
+        rest = [r for r in url_filter.LABELLED if fold[word_of(r[0])] == k]
+        scored += [(s, y) for s, (_, y) in zip(m.scores([x for x, _ in rest]), rest)]
+    good = sorted(s for s, y in scored if not y)
+    recall = lambda least: sum(s >= least for s, y in scored if y) / sum(y for _, y in scored)
+    assert recall(0.5) >= 0.7 and sum(s >= 0.5 for s in good) < 0.12 * len(good)
+    assert recall(good[int(0.95 * len(good))]) >= 0.5  # at false alarms of a twentieth
     assert all(re.fullmatch(r"[a-z0-9.-]+/[a-z0-9./]*", x) for x, _ in url_filter.LABELLED)
 
 
