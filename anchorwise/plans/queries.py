@@ -9,7 +9,7 @@ from ..functions import scoring, templates
 from ..functions import terms as T
 from ..functions import wikitext as W
 from ..functions.shared import spread
-from ..operators import dump, graph, link_terms, tfidf
+from ..operators import dump, graph, link_terms, link_terms_sql, tfidf
 from ..sources import readers
 from .registry import query
 
@@ -135,6 +135,13 @@ def proximity_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs_of(spark, sf_dir)
 
 
+@query(f"WITH {PIECES_SQL} SELECT * FROM pairs")
+def link_terms_table_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows by a table function of SQL."""
+    link_terms_sql.register(spark)
+    return spark.sql(f"SELECT article_name, t.* FROM {{pages}}, LATERAL link_terms(html, {DISTANCE}) AS t", pages=pages_of(spark, sf_dir))
+
+
 @query(f"WITH {PIECES_SQL} SELECT article_name, ref AS article_ref FROM link WHERE ref IS NOT NULL")
 def link_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_terms.link_refs(pages_of(spark, sf_dir))
@@ -145,9 +152,9 @@ def page_term_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(link_terms.page_terms(table(spark, sf_dir, "pages"), key="page_id", tokenizer="pattern").filter(F.size("terms") > 0).select("page_id", "terms"), "terms")
 
 
-@query()
+@query(f"WITH {PIECES_SQL} SELECT article_ref, term, count(*) AS n FROM pairs GROUP BY ALL")
 def link_terms_jdk_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The product's own word boundaries; SQL has no such function."""
+    """The product's own word boundaries; the SQL finds words by a pattern, which agrees on these pages."""
     return link_terms.terms_of_html(pages_of(spark, sf_dir), DISTANCE).groupBy("article_ref", "term").agg(F.count("*").alias("n"))
 
 
@@ -371,9 +378,19 @@ def unknown_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.unknown_templates(table(spark, sf_dir, "part").select(F.concat(F.lit("a {{Zz "), "p_brand", F.lit("|1}} {{cite x}}")).alias("html")), "html")
 
 
-@query()
+# The list of a page's terms in order, by hand: its title, its words and the labels of its links; the links' places follow from the lengths of its parts.
+MARKUP_SQL = f"""
+    WITH p AS (SELECT p_name, replace(p_type, ' ', '_') AS type_ref, {phrase_sql("p_name")} AS title, {words_sql("p_name")} AS name, {phrase_sql("p_brand")} AS main, {words_sql("p_brand")} AS brand FROM part),
+    q AS (SELECT p_name, list_concat(title, name, ['is', 'a', 'thing', 'of'], main, ['in', 'paris', 'see'], brand) AS ts,
+          [struct_pack(ref := type_ref, pos := len(title) + len(name) + 2), struct_pack(ref := 'Paris', pos := len(title) + len(name) + 5 + len(main))] AS links FROM p),
+    l AS (SELECT p_name, ts, unnest(links, recursive := true) FROM q),
+    n AS (SELECT p_name, ref, pos, greatest(pos - {DISTANCE}, 0) AS low, ts[greatest(pos - {DISTANCE}, 0) + 1 : pos + {DISTANCE}] AS around FROM l)
+    SELECT p_name AS article_name, unnest(around) AS term, ref AS article_ref, (low + generate_subscripts(around, 1) - 1 - pos)::INT AS term_distance FROM n"""
+
+
+@query(MARKUP_SQL)
 def markup_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wiki markup to terms near links, by way of the renderer; SQL has none."""
+    """Wiki markup to terms near links, by way of the renderer, the templates and the parser."""
     markup = F.concat(F.lit("'''"), "p_name", F.lit("''' is a [["), "p_type", F.lit("|thing]] of {{main|"), "p_brand", F.lit("}} in [[Paris]].\n== See ==\n* [[File:x.png|thumb|"), "p_brand", F.lit("]]"))
     return link_terms.terms_of_markup(table(spark, sf_dir, "part").select(F.col("p_name").alias("article_name"), markup.alias("article_text")), DISTANCE)
 

@@ -116,3 +116,17 @@ def test_native_pieces_of_made_up_pages(spark):
     pages += ["".join(rng.choice([f"<a href='/X'>{rng.choice(['t', '<b>t</b>u', ''])}</a>", "w ", "<p>", "</p>", "&amp;"]) for _ in range(rng.randrange(1, 14))) for _ in range(500)]
     n, differ = agree(spark, spark.createDataFrame([*enumerate(pages), (-1, None)], "k long, html string"))
     assert n > 1000 and [pages[r.k] for r in differ] == []
+
+
+def test_table_function_of_sql(spark):
+    from anchorwise.operators import link_terms_sql
+
+    html = "<title> Big City, </title>One (two) <a href=/New_York>New  York<a href='/b%zz'>x</a><a href='/a+b#c'>\u3000Y\u2028</a> <a href=/c:d>9</a> 𝒳 rock'n'roll"
+    rows = spark.createDataFrame([("p", html), ("q", None), ("r", "")], "article_name string, html string")
+    link_terms_sql.register(spark)
+    got = spark.sql("SELECT article_name, t.* FROM {rows}, LATERAL link_terms(html, 3) AS t", rows=rows)
+    want = link_terms.terms_of_html(rows, 3, tokenizer="pattern")
+    assert got.columns == want.columns and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and want.count() > 5
+    assert [r.article_ref for r in want.select("article_ref").distinct().orderBy("article_ref").collect()] == ["New_York", "a b"]
+    with pytest.raises(Exception, match="distance must be"):
+        spark.sql("SELECT t.* FROM {rows}, LATERAL link_terms(html, -1) AS t", rows=rows).collect()
