@@ -7,6 +7,7 @@ it is alone on its bit, and the number of bits set before is its slot. A slot ho
 a lookup is confirmed byte by byte. Rows whose digest is not in the history are grouped among themselves.
 
 Null text counts as empty. A null doc_id is smaller than any other. Of repeated rows with the winning doc_id one stays.
+A very long text is hashed whole, by the task that reads it; only its digest travels. Further columns don't matter here and pass drop_copies(), whatever their names.
 An empty table gives no rows; an empty history leaves all rows to the second grouping."""
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ is a shuffle of its own, whose large partitions Spark splits. These tables are d
 
 A pair at the threshold 0.85 shares no band with probability (1 - 0.85 ** rows) ** bands, 8e-8 here (1.5e-5 at 0.8, the pipeline's threshold).
 Null text counts as empty; rows with a null id, repeated rows and ties are rows of their own; component_id is the smallest doc_id
-(null if all are null). An empty table gives no rows."""
+(null if all are null). A very long text is read whole, by one task, and compared by the hashes of all its shingles. Further columns don't matter here and pass drop_near_copies(), whatever their
+names. An empty table gives no rows."""
 
 from __future__ import annotations
 

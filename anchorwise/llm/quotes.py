@@ -13,8 +13,8 @@ replies are. Rows are ordered by conversation, thread and place: a reply comes a
 conversation of any size is dealt to many tasks.
 
 Null text is empty. A null conv_id or turn links with nothing; it is a thread of its own (null first). Repeated rows are messages of their own with
-the same links. An attribution line (`On ... wrote:`) before a quotation goes with it. Messages that only quote have an empty body. Empty tables
-give no rows."""
+the same links. An attribution line (`On ... wrote:`) before a quotation goes with it. Messages that only quote have an empty body. Very long
+messages are rows as others are: their lines are. Further columns don't matter, whatever their names. Empty tables give no rows."""
 
 from __future__ import annotations
 

@@ -13,7 +13,8 @@ and splits its own subtree likewise. After k samples the next value is the thres
 
 Draws are hashes of (doc_id, sample, place), so a row's samples don't depend on its partition; rows with equal doc_id and text
 have equal samples, null ids count as 0. Null text is empty; an empty text has one sample without pieces. U+2581 in a text decodes
-as a blank. Memory is bounded by the known words (`WORDS`) and one text's paths. An empty table gives no rows."""
+as a blank. Memory is bounded by the known words (`WORDS`) and one text's paths; a very long text is cut at blanks, but a very long word takes a step for each of its characters. Further columns don't matter, whatever their
+names. An empty table gives no rows."""
 
 from __future__ import annotations
 
