@@ -44,7 +44,7 @@ def test_tree(spark):
     assert graph.has_cycles(e, strict=True) and graph.broken_edges(e).count() == 1 and not graph.has_cycles(graph.break_cycles(e))
 
 
-@pytest.mark.parametrize("seed", range(2))
+@pytest.mark.parametrize("seed", range(1))
 def test_against_depth_first_search(spark, seed):
     rng = random.Random(seed)
     pairs = sorted({(str(rng.randrange(6)), str(rng.randrange(6))) for _ in range(rng.randrange(1, 8))})
@@ -119,7 +119,7 @@ def test_cycles_of_many_graphs(spark):
     for plain, strict in ((twice, False), (circle, True)):
         without = [e for g in graphs if not plain(g) for e in g]
         assert len(without) > 1000 and not graph.has_cycles(edges(spark, without), strict=strict)
-        for g in [g for g in graphs if plain(g)][:2]:
+        for g in [g for g in graphs if plain(g)][:1]:
             assert graph.has_cycles(edges(spark, without + g), strict=strict)
 
 
