@@ -28,7 +28,7 @@ from .common import column, mapped, release, table
 #: Rows that the coarse tree is fitted on, and its cells at most.
 SAMPLE, CELLS = 2048, 256
 #: Rows of a shard and of a leaf of its tree; anchors of a block.
-SHARD, LEAF, BLOCK = 8192, 512, 256
+SHARD, LEAF, BLOCK = 8192, 512, 1024
 #: By how much bounds of distances are widened, as a share of the largest norm.
 SLACK = 1e-6
 SHARD_ROW = "shard long, ids binary, labels binary, vectors binary, leaves binary, inner binary, dims int"
@@ -307,7 +307,8 @@ def search(shards: DataFrame, asked: DataFrame, most2: float, k: int, same_label
             out += [(anchor, twin, w, other, -minus) for w, f in enumerate(found) for minus, other, _ in f]
         return pa.RecordBatch.from_arrays([pa.array([x[j] for x in out], pa.int64()) for j in range(5)], ["anchor_id", "twin", "window", "other_id", "score"])
 
-    pairs = shards.join(asked, "shard")
+    # A sort-merge join by hint: the optimizer knows neither how far a block is copied to shards nor how well vectors were compressed, and would send either side through the driver.
+    pairs = shards.join(asked.hint("merge"), "shard")
     return mapped(pairs, run, "anchor_id long, twin long, window long, other_id long, score long")
 
 

@@ -210,3 +210,11 @@ def test_walk_leaves_out_what_is_too_far():
         assert (low[:, leaf] <= d[:, members].min(1)).all() and (high[:, leaf] >= d[:, members].max(1)).all()
     nearest = np.sort(d, 1)[:, 10]
     assert (low <= nearest[:, None]).mean() < 0.5 and sorted(np.concatenate(tree.leaves)) == list(range(len(v)))
+
+
+def test_search_sends_no_side_through_the_driver(spark):
+    """Whatever size the optimizer takes shards and blocks for."""
+    shards, asked = spark.createDataFrame([], hard_negatives.SHARD_ROW), spark.range(1).selectExpr("id AS shard", "CAST('x' AS binary) AS anchors")
+    for same in (True, False):
+        plan = hard_negatives.search(shards.union(spark.range(1).selectExpr("id", "binary('')", "binary('')", "binary('')", "binary('')", "binary('')", "1")), asked, 1.0, 5, same)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
