@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -170,3 +171,13 @@ def test_element_paths():
         with pytest.raises(ValueError):
             p.at(bad)
     assert p.pop() == "two" and p.at("/one")
+
+
+def test_words_of_the_jdk_cut_to_the_pattern(spark):
+    """Signs behind numbers, points within, marks, underscores and scripts without blanks; with the JDK's words alone some differ."""
+    rng = random.Random(7)
+    signs = "ab Z é1 2._&%$,'-\"#@°¢‰²–·\u00ad\u0301\u200d\u093fか漢カก한𝒜"
+    texts = ['token = "f0d1804254bb97126dbab880713c87f56cf3d527& b', "a5% b2.5 c1,000", *("".join(rng.choice(signs) for _ in range(rng.randrange(1, 15))) for _ in range(4000))]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", *(T.words(F.col("t"), k).alias(k) for k in ("cut", "pattern", "break")))
+    rows = df.collect()
+    assert [r.t for r in rows if r.cut != r.pattern] == [] and rows[0]["break"] != rows[0].pattern == ["token", "f0d1804254bb97126dbab880713c87f56cf3d527", "b"]
