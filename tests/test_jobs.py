@@ -212,3 +212,19 @@ def test_rejected_lines(spark):
     rows = spark.createDataFrame([("a\tb\tc",), ("a\tYg==",), ("",)], "line string")
     assert {r.line for r in readers.rejected_lines(rows).collect()} == {"a\tb\tc", ""}
     assert rows.select(F.count("*")).first()[0] == 3
+
+
+def test_rows_of_one_row_group_are_dealt_out(spark, tmp_path):
+    """One split holds all rows, others none, as a row group is not cut."""
+    from anchorwise.functions.shared import spread
+
+    spark.range(20000).selectExpr("id", "string(hash(id)) AS t").coalesce(1).write.parquet(str(tmp_path / "t"))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        df = spark.read.parquet(str(tmp_path / "t"))
+        assert df.rdd.getNumPartitions() >= 4 and max(df.rdd.glom().map(len).collect()) == 20000
+        assert max(spread(df).rdd.glom().map(len).collect()) < 5000 and spread(df).distinct().count() == 20000
+        assert spread(df.filter("id < 0")).count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
