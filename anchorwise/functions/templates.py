@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 ARTICLE_URL = "http://en.wikipedia.org/wiki/"
 ARTICLE_MARK = "_wikiarticle_"
 _EDGE = re.compile(r"\{\{|\}\}")
+#: What makes a rule more than a name.
+_SPECIAL = re.compile(r"[\\.^$*+?{}\[\]|()]")
 
 
 def parse_rules(lines: list[str]) -> list[tuple[str, str]]:
@@ -139,19 +141,40 @@ def anonymous_parameters(content: Column) -> Column:
 
 
 def expand_template(content: Column, rules: list[tuple[str, str]] | None = None) -> Column:
-    """The native form of Templates.expand() for a column of template contents: one branch a rule, with aliases resolved beforehand."""
+    """The native form of Templates.expand() for a column of template contents, with aliases resolved beforehand. The name is made once; rules that are plain names are looked up, patterns tried in
+    turn, and of both the first rule counts."""
     rules, templates = default_rules() if rules is None else rules, Templates(rules)
-    name, args = template_name(content), anonymous_parameters(content)
+    if not rules:
+        return F.lit(None).cast("string")
+    args = anonymous_parameters(content)
     text = F.concat(F.array_join(F.transform(args, lambda x: F.concat(F.lit(" "), x)), ""), F.lit(", "))
     link = lambda x: F.concat(F.lit(f' <a href="{ARTICLE_URL}'), F.translate(x, " ", "_"), F.lit('">'), x, F.lit("</a> "))
     articles = F.array_join(F.transform(args, link), "")
-    value = None
-    for pattern, action in rules:
-        if action.startswith("alias:"):
-            action = templates.action(action.removeprefix("alias:"))
-        result = F.lit(None).cast("string") if action is None else text if action == "text" else articles if action == "articles" else F.lit(action.removeprefix("constant:") if action.startswith("constant:") else "")
-        value = (F if value is None else value).when(name.rlike(f"^(?:{pattern})$"), result)
-    return value.otherwise(F.lit(None)) if value is not None else F.lit(None).cast("string")
+    actions = [templates.action(a.removeprefix("alias:")) if a.startswith("alias:") else a for _, a in rules]
+    values = F.array(*(F.lit(None if a is None else a.removeprefix("constant:") if a.startswith("constant:") else "").cast("string") for a in actions))
+    names: dict[str, int] = {}
+    patterns = []
+    for k, (pattern, _) in enumerate(rules, 1):
+        if _SPECIAL.search(pattern):
+            patterns.append((k, pattern))
+        else:
+            names.setdefault(pattern, k)
+
+    def rule(name: Column) -> Column:
+        """The place of the first rule for a name, from 1; null without one."""
+        tried = None
+        for k, pattern in patterns:
+            tried = (F if tried is None else tried).when(name.rlike(f"^(?:{pattern})$"), F.lit(k))
+        # A pattern's end also stands before a last line end, so names by themselves are looked up without it.
+        looked = F.element_at(F.create_map(*(F.lit(x) for pair in names.items() for x in pair)), F.regexp_replace(name, r"(?:\r\n|[\n\r\x{85}\x{2028}\x{2029}])\z", "")) if names else None
+        return looked if tried is None else tried if looked is None else F.least(looked, tried)
+
+    def result(k: Column) -> Column:
+        is_ = lambda kind: k.isin([i for i, a in enumerate(actions, 1) if a == kind])
+        return F.when(k.isNull(), None).when(is_("text"), text).when(is_("articles"), articles).otherwise(F.element_at(values, k))
+
+    once = lambda value, body: F.transform(F.array(value), body)[0]
+    return once(once(template_name(content), rule), result)
 
 
 def markup_to_html(text: Column) -> Column:

@@ -181,3 +181,15 @@ def test_words_of_the_jdk_cut_to_the_pattern(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", *(T.words(F.col("t"), k).alias(k) for k in ("cut", "pattern", "break")))
     rows = df.collect()
     assert [r.t for r in rows if r.cut != r.pattern] == [] and rows[0]["break"] != rows[0].pattern == ["token", "f0d1804254bb97126dbab880713c87f56cf3d527", "b"]
+
+
+def test_native_rules_look_names_up_and_keep_their_order(spark):
+    rules = [("x .+", "text"), ("a", "constant:1"), ("x y", "constant:2"), ("a", "constant:3"), ("see", "alias:a"), ("no", "alias:none"), ("z.", "articles"), ("zz", "text")]
+    t = templates.Templates(rules)
+    texts = ["x y|p", "a|q", "A", " see |q", "no", "zz|A b", "zz", "none", "", "|", "x", "a:b|c", None]
+    column = templates.expand_template(F.col("t"), rules)
+    got = {r.t: r.e for r in spark.createDataFrame([(x,) for x in [*texts, "a\n"]], "t string").select("t", column.alias("e")).collect()}
+    assert got == {x: None if x is None else t.expand(x) for x in texts} | {"a\n": "1"}
+    plan = spark.range(1).selectExpr("string(id) AS t").select(templates.expand_template(F.col("t")))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("RLIKE") < 79 and plan.count("split_part") < 10  # once for all rules
+    assert spark.range(1).select(templates.expand_template(F.lit("a"), []).alias("e")).first().e is None
