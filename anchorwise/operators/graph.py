@@ -6,7 +6,12 @@ the rest by itself."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+from itertools import groupby
+from operator import itemgetter
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -181,11 +186,13 @@ def trimmed(edges: DataFrame, rounds: int = TRIM_ROUNDS) -> DataFrame:
     return edges
 
 
-def _broken(pdf: pd.DataFrame) -> pd.DataFrame:
+def _removed(edges: Iterable[tuple[str, str, str]]) -> list[tuple[str, str]]:
+    """Of (child, parent, first): the edges by which a search comes to a node once more."""
     parents: dict[str, list[str]] = {}
-    for child, parent in sorted(zip(pdf.child, pdf.parent, strict=True)):
+    starts: dict[str, str] = {}
+    for child, parent, first in sorted(edges):
         parents.setdefault(child, []).append(parent)
-    starts = dict(zip(pdf.child, pdf["first"], strict=True)) if "first" in pdf else {c: c for c in parents}
+        starts[child] = first
     removed = []
     for start in sorted(parents, key=starts.get):
         marked, stack = {start}, [(start, iter(list(parents.get(start, ()))))]
@@ -200,14 +207,31 @@ def _broken(pdf: pd.DataFrame) -> pd.DataFrame:
             else:
                 marked.add(parent)
                 stack.append((parent, iter(list(parents.get(parent, ())))))
-    return pd.DataFrame(removed, columns=["child", "parent"])
+    return removed
+
+
+def _broken(pdf: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame(_removed(zip(pdf.child, pdf.parent, pdf["first"] if "first" in pdf else pdf.child, strict=True)), columns=["child", "parent"])
+
+
+def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Searches component by component; the rows of each follow one another. A task takes very many small ones, so none is a call of its own."""
+    rows = (row for b in batches for row in zip(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in ("component", "child", "parent", "first")), strict=True))
+    removed: list[tuple[str, str]] = []
+    for _, component in groupby(rows, key=itemgetter(0)):
+        removed += _removed(row[1:] for row in component)
+        if len(removed) >= 10_000:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in zip(*removed, strict=True)], ["child", "parent"])
+            removed = []
+    if removed:
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in zip(*removed, strict=True)], ["child", "parent"])
 
 
 def broken_edges(edges: DataFrame) -> DataFrame:
     """Edges to remove so that no start reaches a node twice: starts and parents go by name."""
     core = trimmed(edges)
     parts = core.join(weak_components(core).withColumnRenamed("name", "child"), "child")
-    return parts.groupBy("component").applyInPandas(_broken, "child string, parent string")
+    return parts.repartition("component").sortWithinPartitions("component").mapInArrow(_searched, "child string, parent string")
 
 
 def largest_search(edges: DataFrame) -> int:

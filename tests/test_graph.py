@@ -163,3 +163,17 @@ def test_build_display_and_lookup(spark):
     assert graph.same_graph(rows, spark.createDataFrame([("b", ["x", "y"]), ("a", [])], "name string, parents array<string>")) and not graph.same_graph(rows, built)
     with pytest.raises(Exception, match="occurs twice"):
         graph.require_unique(rows.union(rows)).collect()
+
+
+def test_small_components_are_searched_in_one_pass(spark):
+    """No call of a function for each, also where their rows come in many batches."""
+    edges = [(f"{k}-{a}", f"{k}-{b}") for k in range(400) for a, b in ((0, 1), (1, 2), (2, 0), (0, 2))]
+    e = spark.createDataFrame(edges, "child string, parent string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        found = graph.broken_edges(e)
+        assert "FlatMapGroups" not in found._jdf.queryExecution().executedPlan().toString()
+        want = {tuple(r) for k in range(400) for r in graph._broken(pd.DataFrame(edges[4 * k : 4 * k + 4], columns=["child", "parent"])).itertuples(index=False)}
+        assert sorted(tuple(r) for r in found.collect()) == sorted(want) and len(want) >= 400
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
