@@ -193,3 +193,14 @@ def test_native_rules_look_names_up_and_keep_their_order(spark):
     plan = spark.range(1).selectExpr("string(id) AS t").select(templates.expand_template(F.col("t")))._jdf.queryExecution().analyzed().toString()
     assert plan.count("RLIKE") < 79 and plan.count("split_part") < 10  # once for all rules
     assert spark.range(1).select(templates.expand_template(F.lit("a"), []).alias("e")).first().e is None
+
+
+def test_documents_travel_instead_of_their_words(spark):
+    from anchorwise.plans import queries as q
+
+    plan = q.whitespace_tokens(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.index("Exchange") > plan.index("Generate")
+    rows = spark.createDataFrame([("a", "x", 1), ("a", "x", 2), ("a", "y", 1), ("b", "y", 4), (None, "y", 9)], "doc string, term string, weight int").repartition(3, "doc")
+    counts = tfidf.counts_by_document(rows)
+    assert sorted(tuple(r) for r in counts.collect()) == [("a", "x", 3, 4), ("a", "y", 1, 4), ("b", "y", 4, 4)]
+    assert sorted(tfidf.scores_of(counts).collect()) == sorted(tfidf.scores(rows).collect())
